@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tessera.config import ChooseConfig, FitConfig, SweepConfig
-from tessera.functions.exprs import squared_distance
+from tessera.functions.exprs import nearest, squared_distance_to
 
 PREDICTION_COL = "prediction"
 # Literal centres are inlined in the projection; k * d above this is refused.
@@ -150,10 +150,7 @@ def assign_nearest(
     if sum(len(c) for _, c in centres) > MAX_CENTRE_VALUES:
         raise ValueError("too many centre values to inline")
     arr = as_array(df, features_col)
-    tagged = F.array(
-        *[F.struct(squared_distance(arr, c).alias("d"), F.lit(int(i)).alias("id")) for i, c in centres]
-    )
-    best = F.array_min(tagged)
+    best = nearest(arr, [i for i, _ in centres], [c for _, c in centres])
     out = df.withColumn(prediction_col, best.getField("id"))
     if distance_col:
         out = out.withColumn(distance_col, best.getField("d"))
@@ -167,9 +164,9 @@ def wssse(
     if sum(len(c) for _, c in centres) > MAX_CENTRE_VALUES:
         raise ValueError("too many centre values to inline")
     arr = as_array(df, features_col)
-    label = F.col(label_col)
-    (i0, c0), *rest = list(centres)
-    own = F.when(label == F.lit(int(i0)), squared_distance(arr, c0))
-    for i, c in rest:
-        own = own.when(label == F.lit(int(i)), squared_distance(arr, c))
+    lookup = F.map_from_arrays(
+        F.lit([int(i) for i, _ in centres]).cast("array<int>"),
+        F.lit([[float(x) for x in c] for _, c in centres]).cast("array<array<double>>"),
+    )
+    own = squared_distance_to(arr, F.element_at(lookup, F.col(label_col).cast("int")))
     return df.agg(F.sum(own).alias("wssse"))

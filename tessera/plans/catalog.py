@@ -295,13 +295,12 @@ def seeded_sweep(lab: DataFrame) -> DataFrame:
     centres = clustering.collect_centres(clustering.centroids(lab, "embedding", "label"))
     rows = []
     for k in range(2, len(centres) + 1):
-        assigned = cut_lineage(
-            clustering.assign_nearest(lab, "embedding", centres[:k], distance_col="dist")
-        )
+        # A narrow projection of the materialised input: recomputing it per
+        # pass is cheaper than writing it out.
+        assigned = clustering.assign_nearest(lab, "embedding", centres[:k], distance_col="dist")
         cost = assigned.agg(F.sum("dist")).first()[0]
         score = clustering.silhouette(assigned, "embedding", "prediction")
         rows.append((k, float(cost), score))
-        assigned.unpersist()
     return lab.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")
 
 
