@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tessera.config import CleanConfig, JobConfig
 from tessera.operators import clustering, evaluate, features, pca, quality
 from tessera.plans.wide import WIDE_KEYS, WIDE_MEASURES, load_wide
-from tessera.session import balance, cut_lineage, scratch_path
+from tessera.session import balance, persist_frame, scratch_path
 from tessera.sources import sinks
 
 PREDICTION = clustering.PREDICTION_COL
@@ -67,10 +67,12 @@ def clean_and_store(raw: DataFrame, config: CleanConfig, path: str) -> tuple[Dat
 def prepare(clean: DataFrame, config: JobConfig) -> tuple[DataFrame, list, PipelineModel]:
     """Narrow, balance, materialise, trim feature by feature, assemble + scale."""
     cols = list(config.feature_cols)
-    narrow = cut_lineage(balance(clean.select(*[F.col(f"`{c}`") for c in cols])))
+    # Lineage back to the written clean table is scan → select → spread, so a
+    # persisted copy is enough: a lost block is recomputed from that table.
+    narrow = persist_frame(balance(clean.select(*[F.col(f"`{c}`") for c in cols])))
     trimmed, bounds = features.outlier_trim(narrow, cols, config.trim)
     scaled, scaler = features.assemble_scale(trimmed, cols)
-    prepared = cut_lineage(scaled.drop(features.FEATURES_COL))
+    prepared = persist_frame(scaled.drop(features.FEATURES_COL))
     narrow.unpersist()
     return prepared, bounds, scaler
 
@@ -93,14 +95,17 @@ def run_job(spark: SparkSession, raw: DataFrame, config: JobConfig, clean_path:
     if counts["rows_prepared"] == 0:
         raise ValueError("no rows left after cleaning and trimming; cannot fit K-means")
 
-    sweep = clustering.kmeans_sweep(prepared, features.SCALED_COL, config.sweep)
+    # A projection of the cached frame is itself uncached, so each K-means fit
+    # caches its own deserialized vectors (with norms) for its iterations.
+    vectors = prepared.select(features.SCALED_COL)
+    sweep = clustering.kmeans_sweep(vectors, features.SCALED_COL, config.sweep)
     sweep = sweep.persist()
     choice_row = clustering.choose_k(sweep, config.choose).first()
     choice = choice_row.asDict()
     k = int(choice["k_final"])
     t = stamp("sweep", t)
 
-    model = clustering.fit_kmeans(prepared, k, features.SCALED_COL, config.fit)
+    model = clustering.fit_kmeans(vectors, k, features.SCALED_COL, config.fit)
     if config.model_path:
         sinks.save_model(model, config.model_path)
     t = stamp("final_fit", t)

@@ -57,8 +57,12 @@ def read_json(
 
 
 def count_corrupt(spark: SparkSession, path: str, schema: StructType) -> int:
+    """Malformed lines in one pass (a parsed field is read alongside, since Spark
+    refuses scans that reference only the corrupt-record column)."""
     raw = read_json(spark, path, schema, keep_corrupt=True)
-    return raw.agg(F.count_if(F.col(CORRUPT_COL).isNotNull())).first()[0]
+    first = schema.fields[0].name
+    row = raw.agg(F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("bad"), F.count(F.col(f"`{first}`"))).first()
+    return int(row["bad"])
 
 
 def _header_line(spark: SparkSession, path: str) -> str:

@@ -1,0 +1,117 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import quality
+from tessera.sources import readers, sinks
+
+MEASURES = ("energy_100g", "proteins_100g", "saturated-fat_100g")
+
+
+def _write(path, text):
+    with open(path, "w") as fh:
+        fh.write(text)
+    return path
+
+
+def test_json_nested_declared_schema_blank_and_broken_lines(spark, tmp_dir):
+    path = _write(
+        os.path.join(tmp_dir, "p.json"),
+        '{"_id": "00063", "product_name": "a", "nutriments": {"energy_100g": 10, "proteins_100g": "12", '
+        '"saturated-fat_100g": "x"}}\n'
+        "\n"
+        "broken{\n"
+        '{"_id": "2", "nutriments": {"energy_100g": 1.5}}\n',
+    )
+    schema = readers.nested_schema(("_id", "product_name"), "nutriments", MEASURES)
+    flat = readers.load_products(spark, path, measures=MEASURES, descriptive=("_id", "product_name"))
+    rows = {r["_id"]: r for r in quality.cast_double(flat, MEASURES).collect()}
+    assert set(rows) == {"00063", "2"}  # leading zeros kept; broken line dropped
+    assert rows["00063"]["energy_100g"] == 10.0
+    assert rows["00063"]["proteins_100g"] == 12.0  # quoted number
+    assert rows["00063"]["saturated-fat_100g"] is None  # junk -> null
+    assert readers.count_corrupt(spark, path, schema) == 1
+
+
+@pytest.mark.parametrize("sep", ["\t", ","])
+def test_delimited_picks_separator_from_header_and_renames(spark, tmp_dir, sep):
+    header = sep.join(["code", "product_name", *MEASURES])
+    body = sep.join(["00063", "cheese", "1389", "23", "12.5"])
+    path = _write(os.path.join(tmp_dir, "p.csv"), header + "\n" + body + "\n")
+    df = readers.read_delimited(spark, path, ("_id", "product_name", *MEASURES), {"code": "_id"})
+    row = df.first()
+    assert df.columns == ["_id", "product_name", *MEASURES]
+    assert row["_id"] == "00063"
+    assert row["saturated-fat_100g"] == "12.5"
+
+
+def test_choose_delimiter_prefers_header_match():
+    assert readers.choose_delimiter("a\tb\tc", ["a", "b", "c"]) == "\t"
+    assert readers.choose_delimiter("a,b,c", ["a", "b", "c"]) == ","
+
+
+def test_missing_measures_become_null_then_zero(spark, tmp_dir):
+    path = _write(os.path.join(tmp_dir, "p.tsv"), "code\tenergy_100g\n1\t5\n")
+    flat = readers.read_delimited(spark, path, ("_id", *MEASURES), {"code": "_id"})
+    from tessera.config import CleanConfig
+
+    out = quality.clean_table(flat, CleanConfig(measure_cols=MEASURES, descriptive_cols=("_id", "brands"), min_valid=1))
+    row = out.first()
+    assert row.asDict() == {"_id": "1", "brands": None, "energy_100g": 5.0, "proteins_100g": 0.0,
+                            "saturated-fat_100g": 0.0}
+    assert dict(out.dtypes)["brands"] == "string"
+
+
+def test_detect_format_and_unsupported():
+    assert readers.detect_format("x/products.json") == "json"
+    assert readers.detect_format("x/a.csv") == "delimited"
+    assert readers.detect_format("x/t.parquet") == "parquet"
+    with pytest.raises(ValueError):
+        readers.detect_format("x/a.xml")
+
+
+def test_cap_rows_spreads_partitions(spark):
+    df = spark.range(1000)
+    capped = readers.cap_rows(df, 500)
+    assert capped.count() == 500
+    assert capped.rdd.getNumPartitions() > 1
+    assert readers.cap_rows(df, None) is df
+
+
+def test_materialize_reuses_completed_table(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t.parquet")
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(5)
+
+    assert sinks.materialize(spark, path, build).count() == 5
+    assert sinks.materialize(spark, path, build).count() == 5
+    assert built == [1]
+
+
+def test_missing_table_raises(spark, tmp_dir):
+    with pytest.raises(Exception):
+        spark.read.parquet(os.path.join(tmp_dir, "absent.parquet")).count()
+
+
+def test_model_roundtrip_overwrites(spark, tmp_dir):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(Vectors.dense([float(i), 0.0]),) for i in range(10)], ["f"])
+    model = KMeans(k=2, seed=1, featuresCol="f").fit(df)
+    path = os.path.join(tmp_dir, "m")
+    sinks.save_model(model, path)
+    sinks.save_model(model, path)
+    back = sinks.load_kmeans(path)
+    assert [list(c) for c in back.clusterCenters()] == [list(c) for c in model.clusterCenters()]
+
+
+def test_report_sink(spark, tmp_dir):
+    df = spark.createDataFrame([(0, 3), (1, 4)], "prediction int, size long")
+    path = os.path.join(tmp_dir, "r")
+    sinks.write_report(df, path)
+    assert spark.read.json(path).agg(F.sum("size")).first()[0] == 7
