@@ -1,7 +1,8 @@
 """Profiling: counts, quantiles, summary statistics, word count, preview.
 
 Quantiles come in two modes. ``relative_error > 0`` is Spark's Greenwald-Khanna
-sketch (one pass, bounded memory, result depends on the partition layout).
+sketch (``percentile_approx``: one pass, bounded memory, result depends on the
+partition layout).
 ``relative_error == 0`` is exact (the value at 1-based rank ``max(1,
 ceil(q*n))`` among non-null, non-NaN values, which is SQL ``percentile_disc``):
 when ``n`` is at most ``band_limit`` it is one exact sketch pass; above that the
@@ -45,7 +46,7 @@ def _value_at_rank(values: DataFrame, rank: int, band_limit: int) -> float:
             return values.orderBy("x").offset(rank - 1).limit(1).first()[0]
         p = rank / n
         lo_p, hi_p = max(0.0, p - 2 * BRACKET_ERROR), min(1.0, p + 2 * BRACKET_ERROR)
-        lo, hi = values.approxQuantile("x", [lo_p, hi_p], BRACKET_ERROR)
+        lo, hi = sketch_quantiles(values, ["x"], [lo_p, hi_p], BRACKET_ERROR)["x"]
         if lo == hi:
             return lo
         row = values.agg(
@@ -78,6 +79,26 @@ def exact_quantiles(
     return [_value_at_rank(values, target_rank(q, n), band_limit) for q in probabilities]
 
 
+def sketch_quantiles(
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], relative_error: float
+) -> dict[str, list[float]]:
+    """Greenwald-Khanna quantiles of several columns in one aggregate pass.
+
+    SQL ``percentile_approx`` with accuracy ``1 / relative_error`` (partial
+    sketches merge map-side; memory per task is O(1 / relative_error)). Null and
+    NaN are ignored, as ``DataFrame.approxQuantile`` does. ``[]`` for a column
+    without values.
+    """
+    accuracy = max(1, int(round(1.0 / relative_error)))
+    probs = [float(q) for q in probabilities]
+    aggs = []
+    for i, c in enumerate(cols):
+        x = qcol(c).cast("double")
+        aggs.append(F.percentile_approx(F.when(_valid(x), x), probs, accuracy).alias(f"q{i}"))
+    row = df.agg(*aggs).first()
+    return {c: [float(v) for v in row[f"q{i}"]] if row[f"q{i}"] is not None else [] for i, c in enumerate(cols)}
+
+
 def quantiles(
     df: DataFrame,
     col: str,
@@ -88,7 +109,7 @@ def quantiles(
     """Quantiles of one column: exact when ``relative_error == 0``, else sketch."""
     if relative_error == 0:
         return exact_quantiles(df, col, probabilities, band_limit)
-    return df.approxQuantile(col, list(probabilities), relative_error)
+    return sketch_quantiles(df, [col], probabilities, relative_error)[col]
 
 
 def multi_quantiles(
@@ -101,8 +122,7 @@ def multi_quantiles(
     """Quantiles of several columns; one shared pass when the mode allows it."""
     cols = list(cols)
     if relative_error > 0:
-        got = df.approxQuantile(cols, list(probabilities), relative_error)
-        return dict(zip(cols, got))
+        return sketch_quantiles(df, cols, probabilities, relative_error)
     counts = df.agg(*[F.count_if(_valid(qcol(c).cast("double"))).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     if all(counts[f"n{i}"] <= band_limit for i in range(len(cols))):
         typed = df.select(*[qcol(c).cast("double").alias(c) for c in cols])

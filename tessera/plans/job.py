@@ -10,8 +10,10 @@ what is materialised:
 * the prepared frame (features + scaled vector) is materialised once more and
   shared by the sweep, the final fit, the evaluation and the analysis.
 
-Materialising goes to the shared ``spark.checkpoint.dir`` when the session
-names one, so a lost executor never forces a recompute of the trim.
+The written clean table is where lineage is cut: everything after it is a
+short chain of narrow steps (filters with literal bounds, a fitted scaler), so
+persisted copies suffice and a lost executor recomputes its blocks from that
+table.
 """
 
 from __future__ import annotations
@@ -64,12 +66,12 @@ def clean_and_store(raw: DataFrame, config: CleanConfig, path: str) -> tuple[Dat
     return raw.sparkSession.read.parquet(path), counts
 
 
-def prepare(clean: DataFrame, config: JobConfig) -> tuple[DataFrame, list, PipelineModel]:
+def prepare(clean: DataFrame, config: JobConfig, rows: int | None = None) -> tuple[DataFrame, list, PipelineModel]:
     """Narrow, balance, materialise, trim feature by feature, assemble + scale."""
     cols = list(config.feature_cols)
     # Lineage back to the written clean table is scan → select → spread, so a
     # persisted copy is enough: a lost block is recomputed from that table.
-    narrow = persist_frame(balance(clean.select(*[F.col(f"`{c}`") for c in cols])))
+    narrow = persist_frame(balance(clean.select(*[F.col(f"`{c}`") for c in cols]), rows))
     trimmed, bounds = features.outlier_trim(narrow, cols, config.trim)
     scaled, scaler = features.assemble_scale(trimmed, cols)
     prepared = persist_frame(scaled.drop(features.FEATURES_COL))
@@ -89,7 +91,7 @@ def run_job(spark: SparkSession, raw: DataFrame, config: JobConfig, clean_path:
     clean, counts = clean_and_store(raw, config.clean, clean_path or scratch_path(spark, "clean.parquet"))
     t = stamp("ingest_clean", t)
 
-    prepared, bounds, scaler = prepare(clean, config)
+    prepared, bounds, scaler = prepare(clean, config, counts["rows_clean"])
     counts["rows_prepared"] = prepared.count()
     t = stamp("trim_scale", t)
     if counts["rows_prepared"] == 0:

@@ -75,14 +75,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a frame over at least the cluster's parallelism.
-
-    A large scan already has thousands of splits and is left as is; a small or
-    single-row-group input (one split) is round-robin repartitioned so iterative
-    work (quantile passes, K-means iterations) uses every core.
+def balance(df: DataFrame, rows: int | None = None, min_rows_per_partition: int = 50_000) -> DataFrame:
+    """Spread a frame over the cluster's parallelism, sized by its row count.
+
+    A large scan already has thousands of splits and is left as is. A small or
+    single-row-group input is round-robin repartitioned to
+    ``clamp(rows / min_rows_per_partition, 1, parallelism)`` partitions, so
+    iterative work (quantile passes, K-means iterations) uses every core without
+    paying per-task overhead on partitions that hold almost nothing.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if rows is not None:
+        target = max(1, min(target, -(-int(rows) // min_rows_per_partition)))
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df

@@ -52,3 +52,13 @@ def test_format_columns_two_decimals(spark):
     df = spark.createDataFrame([(1234567.125, 2.675, 0.005, -0.001)], "a double, b double, c double, d double")
     row = profile.format_columns(df, ["a", "b", "c", "d"]).first()
     assert tuple(row) == ("1,234,567.13", "2.68", "0.01", "-0.00") or tuple(row)[0].startswith("1,234,567.1")
+
+
+def test_sketch_quantiles_within_error(spark):
+    values = [float(i) for i in range(10_000)]
+    df = spark.createDataFrame([(v, float("nan") if i % 10 == 0 else v) for i, v in enumerate(values)],
+                               "x double, y double")
+    got = profile.sketch_quantiles(df, ["x", "y"], [0.02, 0.98], 0.01)
+    assert abs(got["x"][0] - 200) <= 100 and abs(got["x"][1] - 9800) <= 100
+    assert len(got["y"]) == 2 and not any(math.isnan(v) for v in got["y"])
+    assert profile.sketch_quantiles(spark.createDataFrame([], "x double"), ["x"], [0.5], 0.01) == {"x": []}
