@@ -30,8 +30,10 @@ def outlier_trim(
     """
     out = df
     bounds: list[tuple[str, float, float]] = []
+    # Filters only remove rows, so one count bounds every later exact pass.
+    rows_bound = df.count() if config.relative_error == 0 else None
     for c in cols:
-        got = quantiles(out, c, config.probabilities, config.relative_error)
+        got = quantiles(out, c, config.probabilities, config.relative_error, rows_bound=rows_bound)
         if not got:
             return out, bounds
         lo, hi = float(got[0]), float(got[1])

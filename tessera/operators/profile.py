@@ -67,10 +67,21 @@ def _value_at_rank(values: DataFrame, rank: int, band_limit: int) -> float:
 
 
 def exact_quantiles(
-    df: DataFrame, col: str, probabilities: Sequence[float], band_limit: int = DEFAULT_BAND_LIMIT
+    df: DataFrame,
+    col: str,
+    probabilities: Sequence[float],
+    band_limit: int = DEFAULT_BAND_LIMIT,
+    rows_bound: int | None = None,
 ) -> list[float]:
-    """Exact ``percentile_disc`` values of one column; ``[]`` when it has no values."""
+    """Exact ``percentile_disc`` values of one column; ``[]`` when it has no values.
+
+    ``rows_bound`` is a known upper bound on the row count (e.g. the count of a
+    frame this one was filtered from); at or below ``band_limit`` it saves the
+    counting pass.
+    """
     values = df.select(qcol(col).cast("double").alias("x")).filter(_valid(F.col("x")))
+    if rows_bound is not None and rows_bound <= band_limit:
+        return values.approxQuantile("x", list(probabilities), 0.0)
     n = values.count()
     if n == 0:
         return []
@@ -105,10 +116,11 @@ def quantiles(
     probabilities: Sequence[float],
     relative_error: float,
     band_limit: int = DEFAULT_BAND_LIMIT,
+    rows_bound: int | None = None,
 ) -> list[float]:
     """Quantiles of one column: exact when ``relative_error == 0``, else sketch."""
     if relative_error == 0:
-        return exact_quantiles(df, col, probabilities, band_limit)
+        return exact_quantiles(df, col, probabilities, band_limit, rows_bound)
     return sketch_quantiles(df, [col], probabilities, relative_error)[col]
 
 

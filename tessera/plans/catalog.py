@@ -349,6 +349,13 @@ def q_pca_points(spark, sf):
     return pca.pca_points(data, "scaled_features", "label").withColumnRenamed("label", "prediction")
 
 
+def q_cluster_job(spark, sf):
+    """The whole clean → trim → scale → sweep → fit → report job (rows-only)."""
+    from tessera.plans.job import cluster_report_query
+
+    return cluster_report_query(spark, sf)
+
+
 QUERIES: dict[str, Query] = {
     "parquet_scan": q_parquet_scan,
     "parquet_roundtrip": q_parquet_roundtrip,
@@ -387,4 +394,5 @@ QUERIES: dict[str, Query] = {
     "model_roundtrip": q_model_roundtrip,
     "pca_points": q_pca_points,
     "preview": q_preview,
+    "cluster_job": q_cluster_job,
 }

@@ -66,17 +66,25 @@ def clean_and_store(raw: DataFrame, config: CleanConfig, path: str) -> tuple[Dat
     return raw.sparkSession.read.parquet(path), counts
 
 
-def prepare(clean: DataFrame, config: JobConfig, rows: int | None = None) -> tuple[DataFrame, list, PipelineModel]:
-    """Narrow, balance, materialise, trim feature by feature, assemble + scale."""
+def prepare(
+    clean: DataFrame, config: JobConfig, rows: int | None = None
+) -> tuple[DataFrame, int, list, PipelineModel]:
+    """Narrow, balance, materialise, trim feature by feature, assemble + scale.
+
+    Returns the persisted prepared frame, its row count, the bounds and the
+    fitted scaler.
+    """
     cols = list(config.feature_cols)
     # Lineage back to the written clean table is scan → select → spread, so a
     # persisted copy is enough: a lost block is recomputed from that table.
-    narrow = persist_frame(balance(clean.select(*[F.col(f"`{c}`") for c in cols]), rows))
+    # The first quantile pass fills the cache, so no separate action here.
+    narrow = persist_frame(balance(clean.select(*[F.col(f"`{c}`") for c in cols]), rows), eager=False)
     trimmed, bounds = features.outlier_trim(narrow, cols, config.trim)
     scaled, scaler = features.assemble_scale(trimmed, cols)
-    prepared = persist_frame(scaled.drop(features.FEATURES_COL))
+    prepared = persist_frame(scaled.drop(features.FEATURES_COL), eager=False)
+    n = prepared.count()  # fills the prepared cache; the narrow one is then released
     narrow.unpersist()
-    return prepared, bounds, scaler
+    return prepared, n, bounds, scaler
 
 
 def run_job(spark: SparkSession, raw: DataFrame, config: JobConfig, clean_path: str | None = None) -> JobResult:
@@ -91,8 +99,7 @@ def run_job(spark: SparkSession, raw: DataFrame, config: JobConfig, clean_path:
     clean, counts = clean_and_store(raw, config.clean, clean_path or scratch_path(spark, "clean.parquet"))
     t = stamp("ingest_clean", t)
 
-    prepared, bounds, scaler = prepare(clean, config, counts["rows_clean"])
-    counts["rows_prepared"] = prepared.count()
+    prepared, counts["rows_prepared"], bounds, scaler = prepare(clean, config, counts["rows_clean"])
     t = stamp("trim_scale", t)
     if counts["rows_prepared"] == 0:
         raise ValueError("no rows left after cleaning and trimming; cannot fit K-means")

@@ -53,11 +53,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/scratch/{uuid.uuid4().hex}/{name}"
 
 
-def persist_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Persist eagerly. For frames whose lineage back to a written table is a
-    short chain of narrow steps: a lost block is recomputed from that table."""
+def persist_frame(
+    df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK, eager: bool = True
+) -> DataFrame:
+    """Persist (eagerly unless told otherwise). For frames whose lineage back to
+    a written table is a short chain of narrow steps: a lost block is
+    recomputed from that table."""
     out = df.persist(level)
-    out.count()
+    if eager:
+        out.count()
     return out
 
 
