@@ -1,0 +1,10 @@
+"""Incremental ingest: the batch clean step applied to files as they arrive.
+
+The reference is batch only. Every quality operator is a stateless projection
+or filter, so the same ``clean_table`` runs unchanged on a file stream; this
+module only wires ``readStream`` → clean → Parquet ``writeStream``.
+"""
+
+from tessera.streaming.ingest import clean_stream
+
+__all__ = ["clean_stream"]

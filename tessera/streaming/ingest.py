@@ -1,0 +1,71 @@
+"""Structured Streaming variant of ingest + clean (stateless, append-only)."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tessera.config import CleanConfig, PRODUCT_MEASURE_STRUCT
+from tessera.operators.quality import clean_table
+from tessera.session import scratch_path
+from tessera.sources.readers import CORRUPT_COL, nested_schema
+
+
+def clean_stream(
+    spark: SparkSession,
+    source_dir: str,
+    sink_path: str,
+    config: CleanConfig = CleanConfig(),
+    fmt: str = "json",
+    struct_name: str = PRODUCT_MEASURE_STRUCT,
+    header: Sequence[str] | None = None,
+    sep: str = "\t",
+    renames: Mapping[str, str] | None = None,
+    checkpoint_path: str | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Clean every file that lands in ``source_dir`` into Parquet at ``sink_path``.
+
+    JSON lines use the nested schema (descriptors + struct of measures, all
+    string); delimited files need their ``header`` names up front (a stream has
+    no first line to sniff). Progress is kept under the shared checkpoint
+    folder unless ``checkpoint_path`` is given, so a restarted query resumes
+    exactly where it stopped (file source + file sink are exactly-once).
+    """
+    measures = list(config.measure_cols)
+    descriptive = [c for c in config.descriptive_cols]
+    if fmt == "json":
+        schema = nested_schema(descriptive, struct_name, measures)
+        full = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType())])
+        raw = (
+            spark.readStream.schema(full)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COL)
+            .json(source_dir)
+        )
+        flat = raw.filter(F.col(CORRUPT_COL).isNull()).select(
+            *[F.col(f"`{c}`") for c in descriptive],
+            *[F.col(struct_name).getField(m).alias(m) for m in measures],
+        )
+    elif fmt in ("delimited", "csv", "tsv"):
+        if not header:
+            raise ValueError("a delimited stream needs its header names")
+        schema = StructType([StructField(h, StringType()) for h in header])
+        flat = spark.readStream.schema(schema).option("header", True).option("sep", sep).csv(source_dir)
+        live = {o: n for o, n in (renames or {}).items() if o in header}
+        if live:
+            flat = flat.withColumnsRenamed(live)
+    else:
+        raise ValueError(f"Unsupported stream format: {fmt}")
+    cleaned = clean_table(flat, config)
+    writer = (
+        cleaned.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint_path or scratch_path(spark, "clean_stream_checkpoint"))
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start(sink_path)

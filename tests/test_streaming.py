@@ -1,0 +1,28 @@
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tessera.config import CleanConfig
+from tessera.operators import quality
+from tessera.plans.wide import WIDE_MEASURES, load_wide
+from tessera.streaming import clean_stream
+
+CONFIG = CleanConfig(measure_cols=WIDE_MEASURES, descriptive_cols=("_id", "product_name"))
+
+
+def test_stream_clean_equals_batch_clean(spark, tmp_dir):
+    wide = load_wide(spark, SF_SMALL).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("_id"),
+        F.col("l_returnflag").alias("product_name"),
+        *WIDE_MEASURES,
+    )
+    src = os.path.join(tmp_dir, "in")
+    wide.select("_id", "product_name", F.struct(*WIDE_MEASURES).alias("nutriments")).repartition(3).write.json(src)
+    sink = os.path.join(tmp_dir, "out")
+    query = clean_stream(spark, src, sink, CONFIG, checkpoint_path=os.path.join(tmp_dir, "ckpt"))
+    query.awaitTermination(300)
+    got = spark.read.parquet(sink)
+    expected = quality.clean_table(wide, CONFIG)
+    assert got.count() == expected.count()
+    assert got.exceptAll(expected).count() == 0
