@@ -70,15 +70,49 @@ def _sweep_one(df: DataFrame, k: int, features_col: str, config: SweepConfig) ->
     return k, cost, score
 
 
-def kmeans_sweep(df: DataFrame, features_col: str, config: SweepConfig = SweepConfig()) -> DataFrame:
-    """(k, wssse, silhouette) for k = min_k..max_k on one persisted frame.
+# Bytes of one cached vector-with-norm row beyond its d doubles (object headers,
+# norm, weight), used to size concurrent fits against storage memory.
+VECTOR_ROW_OVERHEAD = 64
 
-    Fits are independent, so ``config.parallelism`` of them run as concurrent
-    Spark jobs over the same cached input (each fit is itself data-parallel).
-    The result has one row per k and is built from driver values of that size.
+
+def storage_memory(spark) -> int:
+    """Total memory the block managers offer for caching (all executors)."""
+    status = spark.sparkContext._jsc.sc().getExecutorMemoryStatus()
+    total, it = 0, status.iterator()
+    while it.hasNext():
+        total += int(it.next()._2()._1())
+    return total
+
+
+def sweep_parallelism(spark, requested: int, rows: int | None, dims: int | None) -> int:
+    """Concurrent fits allowed: each fit caches its own copy of the vectors,
+    so at most half of the storage memory may hold copies."""
+    requested = max(1, requested)
+    if not rows or not dims:
+        return requested
+    copy = rows * (8 * dims + VECTOR_ROW_OVERHEAD)
+    allowed = max(1, (storage_memory(spark) // 2) // max(1, copy))
+    return int(min(requested, allowed))
+
+
+def kmeans_sweep(
+    df: DataFrame,
+    features_col: str,
+    config: SweepConfig = SweepConfig(),
+    rows: int | None = None,
+    dims: int | None = None,
+) -> DataFrame:
+    """(k, wssse, silhouette) for k = min_k..max_k on one prepared frame.
+
+    Fits are independent, so up to ``config.parallelism`` of them run as
+    concurrent Spark jobs (each fit is itself data-parallel). When ``rows``
+    and ``dims`` are given, concurrency is also capped so the fits' own
+    cached copies fit in half of the cluster's storage memory. The result has
+    one row per k and is built from driver values of that size.
     """
     ks = list(range(config.min_k, config.max_k + 1))
-    with ThreadPoolExecutor(max_workers=max(1, config.parallelism)) as pool:
+    workers = sweep_parallelism(df.sparkSession, config.parallelism, rows, dims)
+    with ThreadPoolExecutor(max_workers=workers) as pool:
         rows = list(pool.map(lambda k: _sweep_one(df, k, features_col, config), ks))
     rows.sort()
     return df.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")

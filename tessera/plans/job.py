@@ -107,7 +107,9 @@ def run_job(spark: SparkSession, raw: DataFrame, config: JobConfig, clean_path:
     # A projection of the cached frame is itself uncached, so each K-means fit
     # caches its own deserialized vectors (with norms) for its iterations.
     vectors = prepared.select(features.SCALED_COL)
-    sweep = clustering.kmeans_sweep(vectors, features.SCALED_COL, config.sweep)
+    sweep = clustering.kmeans_sweep(
+        vectors, features.SCALED_COL, config.sweep, rows=counts["rows_prepared"], dims=len(config.feature_cols)
+    )
     sweep = sweep.persist()
     choice_row = clustering.choose_k(sweep, config.choose).first()
     choice = choice_row.asDict()

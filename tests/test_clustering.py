@@ -131,3 +131,12 @@ def test_covariance_matrix(spark):
     ref = np.cov(x, rowvar=False)
     assert len(cov) == 6
     assert cov[("a", "c")] == pytest.approx(ref[0, 2], rel=1e-10)
+
+
+def test_sweep_parallelism_is_bounded_by_storage_memory(spark):
+    storage = clustering.storage_memory(spark)
+    assert storage > 0
+    assert clustering.sweep_parallelism(spark, 8, None, None) == 8
+    assert clustering.sweep_parallelism(spark, 8, 1000, 9) == 8
+    huge_rows = storage  # one copy alone exceeds storage
+    assert clustering.sweep_parallelism(spark, 8, huge_rows, 9) == 1
