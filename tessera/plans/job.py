@@ -133,7 +133,8 @@ def run_job(spark: SparkSession, raw: DataFrame, config: JobConfig, clean_path:
     report.count()
     t = stamp("analysis", t)
 
-    axes = pca.principal_components(predictions, features.SCALED_COL, config.pca_components)
+    # The axes depend on the vectors only, so they are fitted without the labels.
+    axes = pca.principal_components(vectors, features.SCALED_COL, config.pca_components)
     points = pca.pca_points(predictions, features.SCALED_COL, PREDICTION, axes=axes)
     stamp("pca", t)
 
