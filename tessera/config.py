@@ -72,9 +72,14 @@ class SweepConfig:
     max_k: int = SWEEP_MAX_K
     max_iter: int = SWEEP_MAX_ITER
     seed: int = KMEANS_SEED
-    # Number of k values fitted concurrently (Spark runs the jobs side by side;
-    # results do not depend on it).
+    # Number of k values initialised (or, unbatched, fitted) concurrently;
+    # results do not depend on it.
     parallelism: int = 8
+    # Advance all k in one pass per Lloyd iteration (see operators/sweep.py);
+    # False fits each k with its own MLlib KMeans.
+    batched: bool = True
+    # Convergence tolerance of the sweep fits (MLlib's default).
+    tol: float = 1e-4
 
 
 @dataclass(frozen=True)

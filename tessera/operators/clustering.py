@@ -63,11 +63,13 @@ def fit_kmeans(
     return kmeans.fit(df)
 
 
-def _sweep_one(df: DataFrame, k: int, features_col: str, config: SweepConfig) -> tuple[int, float, float]:
-    model = KMeans(k=k, seed=config.seed, featuresCol=features_col, maxIter=config.max_iter).fit(df)
+def _sweep_one(df: DataFrame, k: int, features_col: str, config: SweepConfig) -> tuple:
+    # An uncached projection: MLlib then caches deserialized vectors for the fit.
+    data = df.select(features_col)
+    model = KMeans(k=k, seed=config.seed, featuresCol=features_col, maxIter=config.max_iter, tol=config.tol).fit(data)
     cost = float(model.summary.trainingCost)
-    score = silhouette(model.transform(df), features_col, model.getPredictionCol())
-    return k, cost, score
+    score = silhouette(model.transform(data), features_col, model.getPredictionCol())
+    return k, cost, score, None, int(model.summary.numIter)
 
 
 # Bytes of one cached vector-with-norm row beyond its d doubles (object headers,
@@ -102,20 +104,31 @@ def kmeans_sweep(
     rows: int | None = None,
     dims: int | None = None,
 ) -> DataFrame:
-    """(k, wssse, silhouette) for k = min_k..max_k on one prepared frame.
-
-    Fits are independent, so up to ``config.parallelism`` of them run as
-    concurrent Spark jobs (each fit is itself data-parallel). When ``rows``
-    and ``dims`` are given, concurrency is also capped so the fits' own
-    cached copies fit in half of the cluster's storage memory. The result has
-    one row per k and is built from driver values of that size.
+    """(k, wssse, silhouette, final_wssse, iterations) for k = min_k..max_k.
+
+    ``wssse`` is MLlib's training cost. Batched (default): MLlib's k-means||
+    initial centres per k, then one pass per Lloyd iteration for all k
+    together, and two passes for every silhouette and the WSSSE at the final
+    centres (``final_wssse``). Unbatched: one MLlib fit and one evaluator per
+    k. Either way up to ``config.parallelism`` MLlib calls run as concurrent
+    Spark jobs; when ``rows`` and ``dims`` are given that concurrency is capped
+    so the per-call cached vector copies fit in half of the storage memory.
+    The result has one row per k.
     """
     ks = list(range(config.min_k, config.max_k + 1))
     workers = sweep_parallelism(df.sparkSession, config.parallelism, rows, dims)
+    if config.batched:
+        from dataclasses import replace
+
+        from tessera.operators.sweep import batched_sweep
+
+        return batched_sweep(df, features_col, replace(config, parallelism=workers), config.tol)
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        rows = list(pool.map(lambda k: _sweep_one(df, k, features_col, config), ks))
-    rows.sort()
-    return df.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")
+        out = list(pool.map(lambda k: _sweep_one(df, k, features_col, config), ks))
+    out.sort()
+    return df.sparkSession.createDataFrame(
+        out, "k int, wssse double, silhouette double, final_wssse double, iterations int"
+    )
 
 
 def choose_k(sweep: DataFrame, config: ChooseConfig = ChooseConfig()) -> DataFrame:

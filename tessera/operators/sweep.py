@@ -1,0 +1,227 @@
+"""Batched K-means sweep: every k of the sweep advances in the same pass.
+
+MLlib fits one k at a time, so a sweep over k = 2..15 with 50 iterations makes
+about 700 passes over the data. Here each k still starts from MLlib's own
+k-means|| initial centres (a ``KMeans`` fit with ``maxIter=0`` and the sweep's
+seed), and the Lloyd iterations of all k share one pass per iteration:
+
+* ``mapInPandas`` assigns each row to its nearest centre for every model
+  (vectorised NumPy over Arrow batches) and emits per-partition partial sums
+  — at most ``sum(k)`` rows per partition, whatever the partition size;
+* a ``groupBy(model, cluster)`` sums the partials (a shuffle of partial rows
+  only; a cluster holding a third of all rows costs nothing extra);
+* the driver turns the ``sum(k) x d`` sums into new centres with MLlib's rules
+  (a cluster without rows keeps its centre; a model has converged when no
+  centre moved more than ``tol``; its training cost is the cost of its last
+  iteration).
+
+Silhouette (squared Euclidean) and the exact WSSSE at the final centres of
+every model take two more passes in total instead of two per model.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.config import SweepConfig
+from tessera.operators.clustering import as_vector
+
+# Centres travel inside the task closure; sum(k) * d above this is refused.
+MAX_SWEEP_CENTRE_VALUES = 1_000_000
+
+
+@dataclass
+class ModelState:
+    k: int
+    centres: np.ndarray  # k_eff x d
+    iterations: int = 0
+    cost: float = 0.0
+    converged: bool = False
+
+
+def coordinates(df: DataFrame, features_col: str) -> tuple[DataFrame, int]:
+    """The feature vector as d double columns x0..x{d-1} (Arrow-friendly)."""
+    arr = vector_to_array(as_vector(df, features_col))
+    d = df.select(F.size(arr)).first()[0]
+    return df.select(*[arr.getItem(j).alias(f"x{j}") for j in range(d)]), int(d)
+
+
+def initial_centres(df: DataFrame, features_col: str, ks: Sequence[int], seed: int, parallelism: int) -> dict:
+    """MLlib's k-means|| initial centres for each k (``maxIter=0`` fits)."""
+
+    def init(k: int) -> np.ndarray:
+        model = KMeans(k=k, seed=seed, featuresCol=features_col, maxIter=0).fit(df)
+        return np.array([np.asarray(c, dtype=float) for c in model.clusterCenters()])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return dict(zip(ks, pool.map(init, ks)))
+
+
+def _nearest(x: np.ndarray, xn: np.ndarray, c: np.ndarray) -> np.ndarray:
+    dist = xn[:, None] - 2.0 * (x @ c.T) + np.einsum("ij,ij->i", c, c)[None, :]
+    return dist.argmin(axis=1)  # first minimum: lowest centre id on ties
+
+
+def _partials_fn(models: list[tuple[int, np.ndarray]], d: int):
+    """mapInPandas body: per-partition (model, cluster) counts, costs, sums."""
+
+    def run(batches):
+        acc = {m: (np.zeros(len(c)), np.zeros(len(c)), np.zeros(len(c)), np.zeros((len(c), d))) for m, c in models}
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=np.float64)
+            if len(x) == 0:
+                continue
+            xn = np.einsum("ij,ij->i", x, x)
+            for m, c in models:
+                n, cost, sq, sums = acc[m]
+                k = len(c)
+                lab = _nearest(x, xn, c)
+                diff = x - c[lab]
+                n += np.bincount(lab, minlength=k)
+                cost += np.bincount(lab, weights=np.einsum("ij,ij->i", diff, diff), minlength=k)
+                sq += np.bincount(lab, weights=xn, minlength=k)
+                for j in range(d):
+                    sums[:, j] += np.bincount(lab, weights=x[:, j], minlength=k)
+        rows = []
+        for m, (n, cost, sq, sums) in acc.items():
+            for c in np.nonzero(n)[0]:
+                rows.append((m, int(c), int(n[c]), float(cost[c]), float(sq[c]), *sums[c].tolist()))
+        yield pd.DataFrame(rows, columns=["m", "c", "n", "cost", "sq", *[f"s{j}" for j in range(d)]])
+
+    return run
+
+
+def _partials_schema(d: int) -> str:
+    return "m int, c int, n long, cost double, sq double, " + ", ".join(f"s{j} double" for j in range(d))
+
+
+def _cluster_sums(coords: DataFrame, models: list[tuple[int, np.ndarray]], d: int) -> dict:
+    """One pass: {(model, cluster): (count, cost, sum vector)} at the given centres."""
+    if sum(len(c) for _, c in models) * d > MAX_SWEEP_CENTRE_VALUES:
+        raise ValueError("too many centre values for one sweep pass")
+    parts = coords.mapInPandas(_partials_fn(models, d), _partials_schema(d))
+    agg = parts.groupBy("m", "c").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.sum("sq").alias("sq"),
+        *[F.sum(f"s{j}").alias(f"s{j}") for j in range(d)],
+    )
+    out = {}
+    for r in agg.collect():
+        out[(r["m"], r["c"])] = (
+            int(r["n"]), float(r["cost"]), np.array([r[f"s{j}"] for j in range(d)]), float(r["sq"])
+        )
+    return out
+
+
+def lloyd(coords: DataFrame, states: dict[int, ModelState], d: int, max_iter: int, tol: float) -> None:
+    """Advance every unconverged model one Lloyd step per pass, MLlib's rules."""
+    while True:
+        active = [s for s in states.values() if not s.converged and s.iterations < max_iter]
+        if not active:
+            return
+        sums = _cluster_sums(coords, [(s.k, s.centres) for s in active], d)
+        for s in active:
+            moved, cost = False, 0.0
+            new = s.centres.copy()
+            for c in range(len(s.centres)):
+                got = sums.get((s.k, c))
+                if got is None:
+                    continue  # no rows: the centre stays
+                n, cst, vec, _ = got
+                cost += cst
+                new[c] = vec / n
+                if ((new[c] - s.centres[c]) ** 2).sum() > tol * tol:
+                    moved = True
+            s.centres, s.cost = new, cost
+            s.iterations += 1
+            s.converged = not moved
+
+
+def _silhouette_fn(models: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]], d: int):
+    """mapInPandas body: per-partition (model, sum of silhouettes, rows).
+
+    models: (k, centres, counts, sum of squared norms, sum vectors) per
+    cluster of the final assignment (clusters without rows have count 0).
+    """
+
+    def run(batches):
+        acc = {m[0]: [0.0, 0] for m in models}
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=np.float64)
+            if len(x) == 0:
+                continue
+            xn = np.einsum("ij,ij->i", x, x)
+            for k, centres, n, psi, y in models:
+                present = n > 0
+                own = _nearest(x, xn, centres)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    dist = xn[:, None] + (psi / n)[None, :] - 2.0 * (x @ y.T) / n[None, :]
+                dist[:, ~present] = np.inf
+                rows = np.arange(len(x))
+                n_own = n[own]
+                a = dist[rows, own] * n_own / np.maximum(n_own - 1, 1)
+                other = dist.copy()
+                other[rows, own] = np.inf
+                b = other.min(axis=1)
+                s = np.where(a < b, 1 - a / b, np.where(a > b, b / a - 1, 0.0))
+                s = np.where(n_own <= 1, 0.0, s)
+                acc[k][0] += float(s.sum())
+                acc[k][1] += len(x)
+        yield pd.DataFrame([(k, v[0], v[1]) for k, v in acc.items()], columns=["m", "total", "n"])
+
+    return run
+
+
+def scores(coords: DataFrame, states: dict[int, ModelState], d: int) -> dict[int, tuple[float, float]]:
+    """{k: (exact WSSSE at final centres, mean silhouette)} in two passes."""
+    final = [(s.k, s.centres) for s in states.values()]
+    # Pass 1 — per cluster of the final assignment: count, cost, sum vector,
+    # sum of squared norms.
+    sums = _cluster_sums(coords, final, d)
+    models, wssse = [], {}
+    for k, centres in final:
+        kk = len(centres)
+        n = np.array([sums[(k, c)][0] if (k, c) in sums else 0 for c in range(kk)], dtype=float)
+        psi = np.array([sums[(k, c)][3] if (k, c) in sums else 0.0 for c in range(kk)])
+        y = np.array([sums[(k, c)][2] if (k, c) in sums else np.zeros(d) for c in range(kk)])
+        wssse[k] = float(sum(sums[(k, c)][1] for c in range(kk) if (k, c) in sums))
+        models.append((k, centres, n, psi, y))
+    # Pass 2 — silhouette of every row under every model.
+    sil = coords.mapInPandas(_silhouette_fn(models, d), "m int, total double, n long")
+    res = {r["m"]: (r["total"], r["n"]) for r in sil.groupBy("m").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).collect()}
+    out = {}
+    for k, centres, n, _, _ in models:
+        score = res[k][0] / res[k][1] if (n > 0).sum() > 1 else float("nan")
+        out[k] = (wssse[k], score)
+    return out
+
+
+def batched_sweep(df: DataFrame, features_col: str, config: SweepConfig = SweepConfig(), tol: float = 1e-4) -> DataFrame:
+    """(k, wssse, silhouette, final_wssse, iterations) for k = min_k..max_k.
+
+    ``wssse`` is the training cost as MLlib reports it (cost of the last
+    iteration); ``final_wssse`` is recomputed at the final centres. The
+    coordinates are persisted once for the whole sweep.
+    """
+    ks = list(range(config.min_k, config.max_k + 1))
+    init = initial_centres(df, features_col, ks, config.seed, config.parallelism)
+    coords, d = coordinates(df, features_col)
+    coords = coords.persist()
+    try:
+        states = {k: ModelState(k=k, centres=c) for k, c in init.items()}
+        lloyd(coords, states, d, config.max_iter, tol)
+        got = scores(coords, states, d)
+    finally:
+        coords.unpersist()
+    rows = [(k, float(states[k].cost), float(got[k][1]), float(got[k][0]), int(states[k].iterations)) for k in ks]
+    return df.sparkSession.createDataFrame(
+        rows, "k int, wssse double, silhouette double, final_wssse double, iterations int"
+    )

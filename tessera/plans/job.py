@@ -104,11 +104,12 @@ def run_job(spark: SparkSession, raw: DataFrame, config: JobConfig, clean_path:
     if counts["rows_prepared"] == 0:
         raise ValueError("no rows left after cleaning and trimming; cannot fit K-means")
 
-    # A projection of the cached frame is itself uncached, so each K-means fit
-    # caches its own deserialized vectors (with norms) for its iterations.
+    # The sweep reads the cached prepared frame (its k-means|| inits make no
+    # copies of their own). The final fit gets a projection, which is itself
+    # uncached, so MLlib caches one deserialized copy for its iterations.
     vectors = prepared.select(features.SCALED_COL)
     sweep = clustering.kmeans_sweep(
-        vectors, features.SCALED_COL, config.sweep, rows=counts["rows_prepared"], dims=len(config.feature_cols)
+        prepared, features.SCALED_COL, config.sweep, rows=counts["rows_prepared"], dims=len(config.feature_cols)
     )
     sweep = sweep.persist()
     choice_row = clustering.choose_k(sweep, config.choose).first()

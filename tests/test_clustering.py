@@ -140,3 +140,21 @@ def test_sweep_parallelism_is_bounded_by_storage_memory(spark):
     assert clustering.sweep_parallelism(spark, 8, 1000, 9) == 8
     huge_rows = storage  # one copy alone exceeds storage
     assert clustering.sweep_parallelism(spark, 8, huge_rows, 9) == 1
+
+
+def test_batched_sweep_equals_mllib_per_k(spark):
+    from pyspark.ml.clustering import KMeans
+
+    rng = np.random.default_rng(5)
+    pts = np.vstack([rng.normal(loc=c, scale=0.7, size=(150, 3)) for c in ((0, 0, 0), (4, 4, 0), (0, 4, 4))])
+    df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in pts], ["f"]).repartition(3).cache()
+    cfg = SweepConfig(min_k=2, max_k=5, max_iter=15, parallelism=2)
+    got = {r["k"]: r for r in clustering.kmeans_sweep(df, "f", cfg).collect()}
+    for k in range(2, 6):
+        model = KMeans(k=k, seed=cfg.seed, featuresCol="f", maxIter=15).fit(df)
+        assert got[k]["iterations"] == model.summary.numIter
+        assert got[k]["wssse"] == pytest.approx(model.summary.trainingCost, rel=1e-9)
+        assert got[k]["silhouette"] == pytest.approx(clustering.silhouette(model.transform(df), "f"), abs=1e-9)
+        centres = [(i, list(c)) for i, c in enumerate(model.clusterCenters())]
+        exact = clustering.wssse(clustering.assign_nearest(df, "f", centres), "f", "prediction", centres).first()[0]
+        assert got[k]["final_wssse"] == pytest.approx(exact, rel=1e-9)
