@@ -21,12 +21,14 @@ every model take two more passes in total instead of two per model.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -38,6 +40,10 @@ from tessera.operators.clustering import as_vector
 # Centres travel inside the task closure; sum(k) * d above this is refused.
 MAX_SWEEP_CENTRE_VALUES = 1_000_000
 
+# The task bodies below are shipped by value, so Python workers need only
+# NumPy and pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass
 class ModelState:
@@ -171,7 +177,8 @@ def _silhouette_fn(models: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, n
                 other = dist.copy()
                 other[rows, own] = np.inf
                 b = other.min(axis=1)
-                s = np.where(a < b, 1 - a / b, np.where(a > b, b / a - 1, 0.0))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    s = np.where(a < b, 1 - a / b, np.where(a > b, b / a - 1, 0.0))
                 s = np.where(n_own <= 1, 0.0, s)
                 acc[k][0] += float(s.sum())
                 acc[k][1] += len(x)
