@@ -4,8 +4,10 @@ from tessera.functions.exprs import (
     dot,
     impute,
     is_valid,
+    nearest,
     qcol,
     squared_distance,
+    squared_distance_to,
     squared_norm,
     to_double,
     two_decimals,
@@ -16,8 +18,10 @@ __all__ = [
     "dot",
     "impute",
     "is_valid",
+    "nearest",
     "qcol",
     "squared_distance",
+    "squared_distance_to",
     "squared_norm",
     "to_double",
     "two_decimals",

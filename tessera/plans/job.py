@@ -80,6 +80,10 @@ def prepare(
     # The first quantile pass fills the cache, so no separate action here.
     narrow = persist_frame(balance(clean.select(*[F.col(f"`{c}`") for c in cols]), rows), eager=False)
     trimmed, bounds = features.outlier_trim(narrow, cols, config.trim)
+    if len(bounds) < len(cols):
+        # A quantile pass found no values: nothing survived cleaning.
+        narrow.unpersist()
+        raise ValueError("no rows left after cleaning; cannot scale or fit K-means")
     scaled, scaler = features.assemble_scale(trimmed, cols)
     prepared = persist_frame(scaled.drop(features.FEATURES_COL), eager=False)
     n = prepared.count()  # fills the prepared cache; the narrow one is then released

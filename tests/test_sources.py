@@ -115,3 +115,45 @@ def test_report_sink(spark, tmp_dir):
     path = os.path.join(tmp_dir, "r")
     sinks.write_report(df, path)
     assert spark.read.json(path).agg(F.sum("size")).first()[0] == 7
+
+
+NINE = ("energy_100g", "proteins_100g", "carbohydrates_100g", "sugars_100g", "fat_100g",
+        "saturated-fat_100g", "fiber_100g", "salt_100g", "sodium_100g")
+
+
+def _tsv(tmp_dir, present, values):
+    path = os.path.join(tmp_dir, "p.tsv")
+    header = "\t".join(["code", *present])
+    lines = ["\t".join([str(i), *row]) for i, row in enumerate(values)]
+    return _write(path, header + "\n" + "\n".join(lines) + "\n")
+
+
+def test_six_of_nine_measures_threshold_on_the_rest(spark, tmp_dir):
+    from tessera.config import CleanConfig
+
+    present = NINE[:6]
+    path = _tsv(tmp_dir, present, [["1"] * 5 + [""], ["1"] * 4 + ["", ""]])
+    flat = readers.read_delimited(spark, path, ("_id", *NINE), {"code": "_id"})
+    out = quality.clean_table(flat, CleanConfig())
+    rows = out.collect()
+    assert len(rows) == 1 and rows[0]["_id"] == "0"
+    assert all(rows[0][c] == 0.0 for c in NINE[5:])
+    assert out.columns == ["_id", "product_name", "brands", "categories", "nutriscore_grade", "nova_group", *NINE]
+
+
+def test_four_of_nine_measures_gives_empty_result_with_full_schema(spark, tmp_dir):
+    from tessera.config import CleanConfig
+
+    path = _tsv(tmp_dir, NINE[:4], [["1"] * 4])
+    out = quality.clean_table(readers.read_delimited(spark, path, ("_id", *NINE), {"code": "_id"}), CleanConfig())
+    assert out.count() == 0
+    assert len(out.columns) == 15 and all(t == "double" for c, t in out.dtypes if c in NINE)
+
+
+def test_fit_on_empty_frame_raises(spark):
+    from tessera.plans.job import WIDE_JOB, run_job
+
+    empty = spark.createDataFrame([], "l_orderkey long, l_linenumber int, l_returnflag string, "
+                                  + ", ".join(f"f{i} double" for i in range(1, 10)))
+    with pytest.raises(ValueError):
+        run_job(spark, empty, WIDE_JOB)

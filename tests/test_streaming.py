@@ -26,3 +26,19 @@ def test_stream_clean_equals_batch_clean(spark, tmp_dir):
     expected = quality.clean_table(wide, CONFIG)
     assert got.count() == expected.count()
     assert got.exceptAll(expected).count() == 0
+
+
+def test_delimited_stream_renames_and_cleans(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "csv_in")
+    os.makedirs(src)
+    header = ["code", "product_name", *WIDE_MEASURES]
+    with open(os.path.join(src, "part-0.tsv"), "w") as fh:
+        fh.write("\t".join(header) + "\n")
+        fh.write("\t".join(["007", "x", *["1.5"] * 9]) + "\n")
+        fh.write("\t".join(["008", "y", *["1"] * 4, *[""] * 5]) + "\n")
+    sink = os.path.join(tmp_dir, "csv_out")
+    query = clean_stream(spark, src, sink, CONFIG, fmt="delimited", header=header, renames={"code": "_id"},
+                         checkpoint_path=os.path.join(tmp_dir, "ckpt2"))
+    query.awaitTermination(300)
+    rows = spark.read.parquet(sink).collect()
+    assert [r["_id"] for r in rows] == ["007"] and rows[0]["f9"] == 1.5
