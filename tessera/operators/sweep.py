@@ -39,6 +39,9 @@ from tessera.operators.clustering import as_vector
 
 # Centres travel inside the task closure; sum(k) * d above this is refused.
 MAX_SWEEP_CENTRE_VALUES = 1_000_000
+# Per-partition partial rows (partitions x sum(k)) up to this count are
+# collected and added on the driver (one stage); above it a groupBy adds them.
+MAX_DIRECT_PARTIAL_ROWS = 200_000
 
 # The task bodies below are shipped by value, so Python workers need only
 # NumPy and pandas, not this package on their path.
@@ -111,10 +114,24 @@ def _partials_schema(d: int) -> str:
 
 
 def _cluster_sums(coords: DataFrame, models: list[tuple[int, np.ndarray]], d: int) -> dict:
-    """One pass: {(model, cluster): (count, cost, sum vector)} at the given centres."""
-    if sum(len(c) for _, c in models) * d > MAX_SWEEP_CENTRE_VALUES:
+    """One pass: {(model, cluster): (count, cost, sum vector, sum of squared
+    norms)} at the given centres.
+
+    The partials are at most ``partitions x sum(k)`` rows: below
+    ``MAX_DIRECT_PARTIAL_ROWS`` they are collected and added on the driver
+    (one stage); above it a ``groupBy`` adds them on the cluster first.
+    """
+    total_k = sum(len(c) for _, c in models)
+    if total_k * d > MAX_SWEEP_CENTRE_VALUES:
         raise ValueError("too many centre values for one sweep pass")
     parts = coords.mapInPandas(_partials_fn(models, d), _partials_schema(d))
+    if coords.rdd.getNumPartitions() * total_k <= MAX_DIRECT_PARTIAL_ROWS:
+        pdf = parts.toPandas().groupby(["m", "c"], sort=False).sum()
+        sums = pdf[[f"s{j}" for j in range(d)]].to_numpy()
+        return {
+            (int(m), int(c)): (int(r["n"]), float(r["cost"]), sums[i], float(r["sq"]))
+            for i, ((m, c), r) in enumerate(pdf.iterrows())
+        }
     agg = parts.groupBy("m", "c").agg(
         F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.sum("sq").alias("sq"),
         *[F.sum(f"s{j}").alias(f"s{j}") for j in range(d)],

@@ -158,3 +158,18 @@ def test_batched_sweep_equals_mllib_per_k(spark):
         centres = [(i, list(c)) for i, c in enumerate(model.clusterCenters())]
         exact = clustering.wssse(clustering.assign_nearest(df, "f", centres), "f", "prediction", centres).first()[0]
         assert got[k]["final_wssse"] == pytest.approx(exact, rel=1e-9)
+
+
+def test_batched_sweep_partials_paths_agree(spark, monkeypatch):
+    from tessera.operators import sweep
+
+    rng = np.random.default_rng(6)
+    pts = rng.normal(size=(300, 4))
+    df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in pts], ["f"]).repartition(4).cache()
+    cfg = SweepConfig(min_k=2, max_k=4, max_iter=10, parallelism=2)
+    direct = sorted(tuple(r) for r in clustering.kmeans_sweep(df, "f", cfg).collect())
+    monkeypatch.setattr(sweep, "MAX_DIRECT_PARTIAL_ROWS", 0)
+    grouped = sorted(tuple(r) for r in clustering.kmeans_sweep(df, "f", cfg).collect())
+    assert [r[0] for r in direct] == [r[0] for r in grouped] and [r[4] for r in direct] == [r[4] for r in grouped]
+    for a, b in zip(direct, grouped):
+        assert a[1] == pytest.approx(b[1], rel=1e-9) and a[2] == pytest.approx(b[2], abs=1e-9)
