@@ -108,9 +108,9 @@ def run_job(spark: SparkSession, raw: DataFrame, config: JobConfig, clean_path:
     if counts["rows_prepared"] == 0:
         raise ValueError("no rows left after cleaning and trimming; cannot fit K-means")
 
-    # The sweep reads the cached prepared frame (its k-means|| inits make no
-    # copies of their own). The final fit gets a projection, which is itself
-    # uncached, so MLlib caches one deserialized copy for its iterations.
+    # The sweep and the final fit read projections of the cached prepared
+    # frame; a projection is itself uncached, so MLlib caches deserialized
+    # vectors for its own passes (concurrency is capped by storage memory).
     vectors = prepared.select(features.SCALED_COL)
     sweep = clustering.kmeans_sweep(
         prepared, features.SCALED_COL, config.sweep, rows=counts["rows_prepared"], dims=len(config.feature_cols)
