@@ -24,6 +24,9 @@ from tessera.functions.exprs import qcol
 
 DEFAULT_BAND_LIMIT = 1_000_000
 BRACKET_ERROR = 1e-3
+# percentile_approx accuracy whose rank error is below one row for any count
+# up to DEFAULT_BAND_LIMIT (and far beyond): the sketch keeps every value.
+EXACT_ACCURACY = 2_147_483_647
 
 
 def _valid(c: Column) -> Column:
@@ -81,15 +84,27 @@ def exact_quantiles(
     """
     values = df.select(qcol(col).cast("double").alias("x")).filter(_valid(F.col("x")))
     if rows_bound is not None and rows_bound <= band_limit:
-        return values.approxQuantile("x", list(probabilities), 0.0)
+        return _exact_small(values, ["x"], probabilities)["x"]
     n = values.count()
     if n == 0:
         return []
     if n <= band_limit:
-        return values.approxQuantile("x", list(probabilities), 0.0)
+        return _exact_small(values, ["x"], probabilities)["x"]
     return [_value_at_rank(values, target_rank(q, n), band_limit) for q in probabilities]
 
 
+def _exact_small(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float]]:
+    """Exact quantiles of columns known to hold at most ``band_limit`` values:
+    one aggregate pass whose sketch keeps every value."""
+    probs = [float(q) for q in probabilities]
+    aggs = []
+    for i, c in enumerate(cols):
+        x = qcol(c).cast("double")
+        aggs.append(F.percentile_approx(F.when(_valid(x), x), probs, EXACT_ACCURACY).alias(f"q{i}"))
+    row = df.agg(*aggs).first()
+    return {c: [float(v) for v in row[f"q{i}"]] if row[f"q{i}"] is not None else [] for i, c in enumerate(cols)}
+
+
 def sketch_quantiles(
     df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], relative_error: float
 ) -> dict[str, list[float]]:
@@ -137,9 +152,7 @@ def multi_quantiles(
         return sketch_quantiles(df, cols, probabilities, relative_error)
     counts = df.agg(*[F.count_if(_valid(qcol(c).cast("double"))).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     if all(counts[f"n{i}"] <= band_limit for i in range(len(cols))):
-        typed = df.select(*[qcol(c).cast("double").alias(c) for c in cols])
-        got = typed.approxQuantile(cols, list(probabilities), 0.0)
-        return dict(zip(cols, got))
+        return _exact_small(df, cols, probabilities)
     return {c: exact_quantiles(df, c, probabilities, band_limit) for c in cols}
 
 
