@@ -5,7 +5,8 @@ sketch (``percentile_approx``: one pass, bounded memory, result depends on the
 partition layout).
 ``relative_error == 0`` is exact (the value at 1-based rank ``max(1,
 ceil(q*n))`` among non-null, non-NaN values, which is SQL ``percentile_disc``):
-when ``n`` is at most ``band_limit`` it is one exact sketch pass; above that the
+when ``n`` is at most ``band_limit`` it is one ``percentile_approx`` pass at an
+accuracy that keeps every value (rank error below one row); above that the
 rank is bracketed with a fine sketch and the bracket is narrowed with counting
 passes until it holds at most ``band_limit`` rows, so no task or driver ever
 holds more than ``band_limit`` values, whatever the table size.

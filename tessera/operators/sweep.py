@@ -243,10 +243,15 @@ def batched_sweep(df: DataFrame, features_col: str, config: SweepConfig = SweepC
     coordinates are persisted once for the whole sweep.
     """
     ks = list(range(config.min_k, config.max_k + 1))
-    init = initial_centres(df, features_col, ks, config.seed, config.parallelism)
     coords, d = coordinates(df, features_col)
     coords = coords.persist()
     try:
+        with ThreadPoolExecutor(max_workers=1) as side:
+            # While the inits run, fill the coordinate cache and start the
+            # Python workers with a pass that computes nothing.
+            warm = side.submit(lambda: coords.mapInPandas(_partials_fn([], d), _partials_schema(d)).collect())
+            init = initial_centres(df, features_col, ks, config.seed, config.parallelism)
+            warm.result()
         states = {k: ModelState(k=k, centres=c) for k, c in init.items()}
         lloyd(coords, states, d, config.max_iter, tol)
         got = scores(coords, states, d)
