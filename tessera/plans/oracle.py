@@ -1,9 +1,9 @@
 """DuckDB SQL equivalents of the registered queries (independent oracle).
 
 Tables ``lineitem``, ``embeddings``, ``documents``, ``events`` ... are views
-over the same parquet files. Keys absent here (K-means fits, PCA projection,
-preview) have no SQL form; the driver checks them rows-only and pytest checks
-their invariants.
+over the same parquet files. Keys absent here (K-means sweep/fit/model round
+trip, PCA projection, the whole job) have no SQL form; the driver checks them
+rows-only and pytest checks their invariants.
 """
 
 from __future__ import annotations
@@ -208,6 +208,9 @@ ORACLE: dict[str, str] = {
         f"WITH {SEEDED} SELECT CAST(k AS INTEGER) AS k, round(wssse, 6) AS wssse, "
         "round(silhouette, 6) AS silhouette FROM sw"
     ),
+    # First rows in scan order: deterministic for a single-file table in both
+    # engines (DuckDB keeps insertion order; Spark's limit takes leading rows).
+    "preview": f"WITH {WIDE}, {CLEAN} SELECT * FROM clean LIMIT 20",
     "choose_k": (
         f"WITH {SEEDED}, "
         "best AS (SELECT k FROM sw ORDER BY silhouette DESC, k ASC LIMIT 1), "
