@@ -8,7 +8,6 @@ from tessera.functions.exprs import (
     qcol,
     squared_distance,
     squared_distance_to,
-    squared_norm,
     to_double,
     two_decimals,
     valid_count,
@@ -22,7 +21,6 @@ __all__ = [
     "qcol",
     "squared_distance",
     "squared_distance_to",
-    "squared_norm",
     "to_double",
     "two_decimals",
     "valid_count",

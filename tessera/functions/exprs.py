@@ -70,11 +70,6 @@ def nearest(vec: Column, ids: Sequence[int], centres: Sequence[Sequence[float]])
     return F.array_min(scored)
 
 
-def squared_norm(vec: Column, dim: int) -> Column:
-    terms = [vec.getItem(i).cast("double") * vec.getItem(i).cast("double") for i in range(dim)]
-    return reduce(add, terms)
-
-
 def dot(vec: Column, point: Sequence[float]) -> Column:
     terms = [vec.getItem(i).cast("double") * F.lit(float(x)) for i, x in enumerate(point)]
     return reduce(add, terms)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import qcol
+from tessera.functions.exprs import qcol, two_decimals
 
 AVG_PREFIX = "avg_"
 
@@ -45,7 +45,7 @@ def minmax_normalise(profile: DataFrame, label_col: str, cols: Sequence[str] | N
 def format_profile(profile: DataFrame, label_col: str) -> DataFrame:
     """Profile with every statistic as two-decimal display text."""
     return profile.withColumns(
-        {c: F.format_number(qcol(c), 2) for c in profile.columns if c != label_col}
+        {c: two_decimals(qcol(c)) for c in profile.columns if c != label_col}
     )
 
 

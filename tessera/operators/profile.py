@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import qcol
+from tessera.functions.exprs import qcol, two_decimals
 
 DEFAULT_BAND_LIMIT = 1_000_000
 BRACKET_ERROR = 1e-3
@@ -235,4 +235,4 @@ def preview(df: DataFrame, n: int = 20) -> DataFrame:
 
 def format_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace numeric columns by two-decimal, thousands-grouped text."""
-    return df.withColumns({c: F.format_number(qcol(c), 2) for c in cols})
+    return df.withColumns({c: two_decimals(qcol(c)) for c in cols})
