@@ -141,8 +141,11 @@ def choose_k(sweep: DataFrame, config: ChooseConfig = ChooseConfig()) -> DataFra
     """
     by_k = Window.orderBy("k")
     with_drop = sweep.withColumn("drop", F.lead("wssse").over(by_k) - F.col("wssse"))
+    # A NaN score (a model whose rows all fell in one cluster) is not eligible;
+    # Spark orders NaN above every number, so it is masked to null.
+    scored = F.when(~F.isnan("silhouette"), F.struct(F.col("silhouette"), -F.col("k")))
     best = with_drop.agg(
-        F.max_by("k", F.struct(F.col("silhouette"), -F.col("k"))).alias("k_silhouette"),
+        F.max_by("k", scored).alias("k_silhouette"),
         F.min_by("k", F.when(F.col("drop").isNotNull(), F.struct(F.col("drop"), F.col("k")))).alias("k_elbow"),
     )
     final = F.when(F.col("k_silhouette") <= F.lit(config.floor), F.lit(config.replacement)).otherwise(

@@ -96,6 +96,22 @@ def balance(df: DataFrame, rows: int | None = None, min_rows_per_partition: int
     return df
 
 
+def cluster_conf(
+    advisory_partition_bytes: str = "256m", max_partition_bytes: str = "256m", shuffle_partitions: int = 4000
+) -> dict[str, str]:
+    """Settings this library is designed for on a large cluster (apply them to
+    the session builder or ``spark-submit``). The only shuffles are partial
+    aggregates, so AQE coalescing shrinks the initial partition count."""
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory_partition_bytes,
+        "spark.sql.files.maxPartitionBytes": max_partition_bytes,
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.python.worker.reuse": "true",
+    }
+
+
 def local_session(cpus: int | str = "*", app: str = "tessera", **conf: str) -> SparkSession:
     """A local session for tests, bench and the smoke entry."""
     builder = (

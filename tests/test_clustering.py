@@ -173,3 +173,8 @@ def test_batched_sweep_partials_paths_agree(spark, monkeypatch):
     assert [r[0] for r in direct] == [r[0] for r in grouped] and [r[4] for r in direct] == [r[4] for r in grouped]
     for a, b in zip(direct, grouped):
         assert a[1] == pytest.approx(b[1], rel=1e-9) and a[2] == pytest.approx(b[2], abs=1e-9)
+
+
+def test_choose_k_ignores_nan_scores(spark):
+    rows = [(2, 10.0, float("nan")), (3, 8.0, 0.2), (4, 7.5, 0.6), (5, 7.4, 0.1)]
+    assert _choose(spark, rows) == {"k_silhouette": 4, "k_elbow": 2, "k_final": 4}
