@@ -61,6 +61,7 @@ def main() -> None:
                 "queries": times,
                 "sf": sf,
                 "rows": result.counts,
+                "spark_jobs": result.jobs,
                 "k": result.k,
                 "silhouette": round(result.silhouette, 6),
             }

@@ -54,6 +54,13 @@ class JobResult:
     pca: DataFrame
     counts: dict = field(default_factory=dict)
     timings: dict = field(default_factory=dict)
+    jobs: dict = field(default_factory=dict)
+
+
+def _last_job_id(spark: SparkSession) -> int:
+    """Highest Spark job id started so far (ids are sequential)."""
+    ids = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    return max(ids) if ids else -1
 
 
 def clean_and_store(raw: DataFrame, config: CleanConfig, path: str) -> tuple[DataFrame, dict]:
@@ -102,10 +109,15 @@ def run_job(
     ``_SUCCESS`` marker exists) and ``reuse_clean``, ingest is skipped and that
     table is read, as a rerun of the job would do."""
     timings: dict[str, float] = {}
+    jobs: dict[str, int] = {}
+    last_job = [_last_job_id(spark)]
 
     def stamp(name: str, t0: float) -> float:
         now = time.perf_counter()
         timings[name] = round(now - t0, 3)
+        job = _last_job_id(spark)
+        jobs[name] = job - last_job[0]
+        last_job[0] = job
         return now
 
     t = time.perf_counter()
@@ -159,7 +171,7 @@ def run_job(
     return JobResult(
         clean=clean, prepared=prepared, bounds=bounds, scaler=scaler, sweep=sweep, choice=choice, k=k,
         model=model, predictions=predictions, silhouette=score, profile=profile, sizes=sizes, minmax=minmax,
-        report=report, pca=points, counts=counts, timings=timings,
+        report=report, pca=points, counts=counts, timings=timings, jobs=jobs,
     )
 
 
