@@ -56,6 +56,11 @@ class JobResult:
     timings: dict = field(default_factory=dict)
     jobs: dict = field(default_factory=dict)
 
+    def release(self) -> None:
+        """Drop the cached frames the job keeps for its caller."""
+        for frame in (self.report, self.sweep, self.prepared):
+            frame.unpersist()
+
 
 def _last_job_id(spark: SparkSession) -> int:
     """Highest Spark job id started so far (ids are sequential)."""

@@ -33,6 +33,8 @@ def test_whole_job_invariants(spark, tmp_dir):
     # The cleaned table has no gaps left.
     clean = result.clean
     assert clean.filter(" OR ".join(f"{c} IS NULL OR isnan({c})" for c in WIDE_JOB.feature_cols)).count() == 0
+    result.release()
+    assert not result.prepared.is_cached
 
 
 def test_job_reuses_a_completed_clean_table(spark, tmp_dir):
