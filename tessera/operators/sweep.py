@@ -240,11 +240,16 @@ def batched_sweep(df: DataFrame, features_col: str, config: SweepConfig = SweepC
 
     ``wssse`` is the training cost as MLlib reports it (cost of the last
     iteration); ``final_wssse`` is recomputed at the final centres. The
-    coordinates are persisted once for the whole sweep.
+    coordinates are read from the input's cache when it has one, else
+    persisted once for the whole sweep.
     """
     ks = list(range(config.min_k, config.max_k + 1))
     coords, d = coordinates(df, features_col)
-    coords = coords.persist()
+    # A cached input is read through the projection (no second copy: the
+    # Arrow conversion reads the columnar cache); otherwise cache the doubles.
+    own_cache = not df.is_cached
+    if own_cache:
+        coords = coords.persist()
     try:
         with ThreadPoolExecutor(max_workers=1) as side:
             # While the inits run, fill the coordinate cache and start the
@@ -256,7 +261,8 @@ def batched_sweep(df: DataFrame, features_col: str, config: SweepConfig = SweepC
         lloyd(coords, states, d, config.max_iter, tol)
         got = scores(coords, states, d)
     finally:
-        coords.unpersist()
+        if own_cache:
+            coords.unpersist()
     rows = [(k, float(states[k].cost), float(got[k][1]), float(got[k][0]), int(states[k].iterations)) for k in ks]
     return df.sparkSession.createDataFrame(
         rows, "k int, wssse double, silhouette double, final_wssse double, iterations int"
