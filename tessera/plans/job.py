@@ -30,7 +30,7 @@ from tessera.config import CleanConfig, JobConfig
 from tessera.operators import clustering, evaluate, features, pca, quality
 from tessera.plans.wide import WIDE_KEYS, WIDE_MEASURES, load_wide
 from tessera.session import balance, persist_frame, scratch_path
-from tessera.sources import sinks
+from tessera.sources import readers, sinks
 
 PREDICTION = clustering.PREDICTION_COL
 
@@ -78,6 +78,30 @@ def clean_and_store(raw: DataFrame, config: CleanConfig, path: str) -> tuple[Dat
     return raw.sparkSession.read.parquet(path), counts
 
 
+def ingest(
+    spark: SparkSession,
+    source_path: str,
+    sink_path: str,
+    config: CleanConfig = CleanConfig(),
+    fmt: str | None = None,
+    reuse: bool = True,
+) -> tuple[DataFrame, dict]:
+    """Raw catalogue (JSON lines / delimited / Parquet) → cleaned Parquet table.
+
+    Reads with declared schemas, applies the optional record cap, cleans,
+    writes ``sink_path`` once and reads it back; a completed table already at
+    ``sink_path`` is reused when ``reuse`` (counts then hold only its size).
+    """
+    if reuse and sinks.path_exists(spark, f"{sink_path.rstrip('/')}/_SUCCESS"):
+        clean = spark.read.parquet(sink_path)
+        return clean, {"rows_in": None, "rows_clean": clean.count()}
+    raw = readers.load_products(
+        spark, source_path, fmt=fmt, max_records=config.max_records,
+        measures=config.measure_cols, descriptive=config.descriptive_cols,
+    )
+    return clean_and_store(raw, config, sink_path)
+
+
 def prepare(
     clean: DataFrame, config: JobConfig, rows: int | None = None
 ) -> tuple[DataFrame, int, list, PipelineModel]:

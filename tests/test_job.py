@@ -53,3 +53,25 @@ def test_job_reuses_a_completed_clean_table(spark, tmp_dir):
     assert second.counts["rows_in"] is None
     assert second.counts["rows_clean"] == first.counts["rows_clean"]
     assert second.counts["rows_prepared"] == first.counts["rows_prepared"]
+
+
+def test_ingest_json_to_clean_table_and_reuse(spark, tmp_dir):
+    import os
+
+    from tessera.config import CleanConfig
+    from tessera.plans.job import ingest
+
+    src = os.path.join(tmp_dir, "products.json")
+    rows = [
+        '{"_id": "1", "product_name": "a", "nutriments": {"energy_100g": 100, "proteins_100g": 2, '
+        '"carbohydrates_100g": 3, "sugars_100g": 4, "fat_100g": 5}}',
+        '{"_id": "2", "product_name": "b", "nutriments": {"energy_100g": 100}}',
+    ]
+    with open(src, "w") as fh:
+        fh.write("\n".join(rows) + "\n")
+    sink = os.path.join(tmp_dir, "clean.parquet")
+    clean, counts = ingest(spark, src, sink, CleanConfig())
+    assert counts == {"rows_in": 2, "rows_clean": 1}
+    assert clean.first()["_id"] == "1" and clean.first()["fiber_100g"] == 0.0
+    again, counts2 = ingest(spark, src, sink, CleanConfig())
+    assert counts2 == {"rows_in": None, "rows_clean": 1}
