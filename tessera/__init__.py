@@ -11,7 +11,7 @@ Entry points by stage (each a DataFrame -> DataFrame function unless noted):
   ``fit_kmeans``, ``assign_nearest``, ``wssse``, ``silhouette``
 * analysis: ``tessera.operators.evaluate.cluster_profile``, ``cluster_sizes``,
   ``minmax_normalise``, ``cluster_report``; ``tessera.operators.pca.pca_points``
-* whole job: ``tessera.plans.job.run_job``
+* whole job: ``tessera.plans.job.ingest`` (raw → clean table), ``run_job``
 * streaming: ``tessera.streaming.clean_stream``
 """
 
