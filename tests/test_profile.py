@@ -62,3 +62,16 @@ def test_sketch_quantiles_within_error(spark):
     assert abs(got["x"][0] - 200) <= 100 and abs(got["x"][1] - 9800) <= 100
     assert len(got["y"]) == 2 and not any(math.isnan(v) for v in got["y"])
     assert profile.sketch_quantiles(spark.createDataFrame([], "x double"), ["x"], [0.5], 0.01) == {"x": []}
+
+
+def test_sketch_summary_matches_spark_summary(spark):
+    from conftest import SF_SMALL
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_quantity", "l_extendedprice")
+    ours = {r["column"]: r for r in profile.summary_stats(li, li.columns, relative_error=1e-4).collect()}
+    theirs = {r["summary"]: r for r in li.summary().collect()}
+    for c in li.columns:
+        for stat, name in (("25%", "p25"), ("50%", "p50"), ("75%", "p75"), ("min", "min"), ("max", "max")):
+            assert float(theirs[stat][c]) == ours[c][name]
+        assert float(theirs["count"][c]) == ours[c]["count"]
+        assert abs(float(theirs["mean"][c]) - ours[c]["mean"]) < 1e-9 * max(1.0, abs(ours[c]["mean"]))
