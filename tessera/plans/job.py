@@ -172,6 +172,8 @@ def run_job(
     sweep = sweep.persist()
     choice_row = clustering.choose_k(sweep, config.choose).first()
     choice = choice_row.asDict()
+    if choice["k_final"] is None:
+        raise ValueError("no k of the sweep has a defined silhouette (too few distinct rows)")
     k = int(choice["k_final"])
     t = stamp("sweep", t)
 
