@@ -290,17 +290,22 @@ def q_silhouette(spark, sf):
 
 def seeded_sweep(lab: DataFrame) -> DataFrame:
     """(k, wssse, silhouette) for k = 2..L: centres are the means of the k
-    smallest labels, rows go to the nearest of them (one Lloyd assignment)."""
+    smallest labels and rows go to the nearest of them (one Lloyd assignment).
+
+    Scored by the batched sweep's two passes (every k at once): WSSSE to the
+    given centres and the silhouette of the assignment.
+    """
+    import numpy as np
+
+    from tessera.operators import sweep
+
     lab = cut_lineage(lab)
     centres = clustering.collect_centres(clustering.centroids(lab, "embedding", "label"))
-    rows = []
-    for k in range(2, len(centres) + 1):
-        # A narrow projection of the materialised input: recomputing it per
-        # pass is cheaper than writing it out.
-        assigned = clustering.assign_nearest(lab, "embedding", centres[:k], distance_col="dist")
-        cost = assigned.agg(F.sum("dist")).first()[0]
-        score = clustering.silhouette(assigned, "embedding", "prediction")
-        rows.append((k, float(cost), score))
+    stacked = np.array([c for _, c in centres], dtype=float)
+    states = {k: sweep.ModelState(k=k, centres=stacked[:k]) for k in range(2, len(centres) + 1)}
+    coords, d = sweep.coordinates(lab, "embedding")
+    got = sweep.scores(coords, states, d)
+    rows = [(k, float(got[k][0]), float(got[k][1])) for k in sorted(states)]
     return lab.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")
 
 
