@@ -151,28 +151,42 @@ def _cluster_sums(coords: DataFrame, models: list[tuple[int, np.ndarray]], d: in
     return out
 
 
+def _update(centres: np.ndarray, sums: dict, key: int) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """MLlib's Lloyd update for one model: new centre = mean of its rows (a
+    cluster without rows keeps its centre). Returns the new centres, counts,
+    the cost at the old centres and the largest squared centre move."""
+    new, counts, cost, shift = centres.copy(), np.zeros(len(centres)), 0.0, 0.0
+    for c in range(len(centres)):
+        got = sums.get((key, c))
+        if got is None:
+            continue
+        n, cst, vec, _ = got
+        counts[c], cost = n, cost + cst
+        new[c] = vec / n
+        shift = max(shift, float(((new[c] - centres[c]) ** 2).sum()))
+    return new, counts, cost, shift
+
+
+def lloyd_step(coords: DataFrame, centres: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """One Lloyd iteration of one model: (new centres, counts, cost at the old
+    centres)."""
+    new, counts, cost, _ = _update(centres, _cluster_sums(coords, [(0, centres)], d), 0)
+    return new, counts, cost
+
+
 def lloyd(coords: DataFrame, states: dict[int, ModelState], d: int, max_iter: int, tol: float) -> None:
-    """Advance every unconverged model one Lloyd step per pass, MLlib's rules."""
+    """Advance every unconverged model one Lloyd step per pass, MLlib's rules:
+    converged when no centre moved more than ``tol``; the training cost is the
+    cost of the last iteration."""
     while True:
         active = [s for s in states.values() if not s.converged and s.iterations < max_iter]
         if not active:
             return
         sums = _cluster_sums(coords, [(s.k, s.centres) for s in active], d)
         for s in active:
-            moved, cost = False, 0.0
-            new = s.centres.copy()
-            for c in range(len(s.centres)):
-                got = sums.get((s.k, c))
-                if got is None:
-                    continue  # no rows: the centre stays
-                n, cst, vec, _ = got
-                cost += cst
-                new[c] = vec / n
-                if ((new[c] - s.centres[c]) ** 2).sum() > tol * tol:
-                    moved = True
-            s.centres, s.cost = new, cost
+            s.centres, _, s.cost, shift = _update(s.centres, sums, s.k)
             s.iterations += 1
-            s.converged = not moved
+            s.converged = shift <= tol * tol
 
 
 def _silhouette_fn(models: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]], d: int):

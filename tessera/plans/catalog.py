@@ -309,6 +309,23 @@ def seeded_sweep(lab: DataFrame) -> DataFrame:
     return lab.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")
 
 
+def q_lloyd_step(spark, sf):
+    """One Lloyd iteration from the label means of ``embeddings``: the new
+    centre of each cluster, one row per (cluster, coordinate)."""
+    import numpy as np
+
+    from tessera.operators import sweep
+
+    lab = cut_lineage(_lab(spark, sf))
+    centres = clustering.collect_centres(clustering.centroids(lab, "embedding", "label"))
+    start = np.array([c for _, c in centres], dtype=float)
+    coords, d = sweep.coordinates(lab, "embedding")
+    new, counts, _ = sweep.lloyd_step(coords, start, d)
+    rows = [(c, i, float(new[c, i]), int(counts[c])) for c in range(len(new)) for i in range(d)]
+    out = spark.createDataFrame(rows, "cluster int, i int, centre double, n long")
+    return out.select("cluster", "i", _r6(F.col("centre")).alias("centre"), "n")
+
+
 def q_seeded_sweep(spark, sf):
     sweep = seeded_sweep(_lab(spark, sf))
     return sweep.select("k", _r6(F.col("wssse")).alias("wssse"), _r6(F.col("silhouette")).alias("silhouette"))
@@ -393,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "wssse": q_wssse,
     "silhouette": q_silhouette,
     "seeded_sweep": q_seeded_sweep,
+    "lloyd_step": q_lloyd_step,
     "choose_k": q_choose_k,
     "kmeans_sweep": q_kmeans_sweep,
     "kmeans_fit": q_kmeans_fit,

@@ -208,6 +208,21 @@ ORACLE: dict[str, str] = {
         f"WITH {SEEDED} SELECT CAST(k AS INTEGER) AS k, round(wssse, 6) AS wssse, "
         "round(silhouette, 6) AS silhouette FROM sw"
     ),
+    # One Lloyd iteration from the label means (cluster = label rank - 1):
+    # new centre = mean of the rows whose nearest centre it is; a centre
+    # without rows stays.
+    "lloyd_step": (
+        f"WITH {POINTS}, {LABELS}, {CENTRES}, {DIST2}, "
+        "rk AS (SELECT c, CAST(dense_rank() OVER (ORDER BY c) - 1 AS INTEGER) AS cluster "
+        "FROM (SELECT DISTINCT c FROM lab)), "
+        "nearest AS (SELECT id, c FROM (SELECT id, c, row_number() OVER (PARTITION BY id ORDER BY dd, c) AS rn "
+        "FROM d2) r WHERE rn = 1), "
+        "moved AS (SELECT n.c, p.i, avg(p.x) AS m, count(*) AS n FROM nearest n JOIN pts p ON n.id = p.id "
+        "GROUP BY n.c, p.i) "
+        "SELECT rk.cluster, CAST(cen.i AS INTEGER) AS i, round(coalesce(moved.m, cen.m), 6) AS centre, "
+        "CAST(coalesce(moved.n, 0) AS BIGINT) AS n "
+        "FROM cen JOIN rk ON rk.c = cen.c LEFT JOIN moved ON moved.c = cen.c AND moved.i = cen.i"
+    ),
     # First rows in scan order: deterministic for a single-file table in both
     # engines (DuckDB keeps insertion order; Spark's limit takes leading rows).
     "preview": f"WITH {WIDE}, {CLEAN} SELECT * FROM clean LIMIT 20",
