@@ -11,7 +11,7 @@ TABLES = "lineitem embeddings documents events".split()
 FAST_KEYS = [
     "parquet_scan", "impute_zero", "validity_count", "json_nested_scan", "csv_tab_scan", "csv_comma_scan",
     "outlier_trim", "summary_stats", "word_count", "assign_nearest", "silhouette", "choose_k", "cov_matrix",
-    "format_stats", "cast_clean",
+    "format_stats", "cast_clean", "seeded_sweep", "lloyd_step", "preview",
 ]
 
 
