@@ -19,6 +19,7 @@ table.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -55,11 +56,13 @@ class JobResult:
     counts: dict = field(default_factory=dict)
     timings: dict = field(default_factory=dict)
     jobs: dict = field(default_factory=dict)
+    report_cache: DataFrame | None = None
 
     def release(self) -> None:
         """Drop the cached frames the job keeps for its caller."""
-        for frame in (self.report, self.sweep, self.prepared):
-            frame.unpersist()
+        for frame in (self.report, self.sweep, self.prepared, self.report_cache):
+            if frame is not None:
+                frame.unpersist()
 
 
 def _last_job_id(spark: SparkSession) -> int:
@@ -183,26 +186,40 @@ def run_job(
     t = stamp("final_fit", t)
 
     predictions = model.transform(prepared)
-    score = clustering.silhouette(predictions, features.SCALED_COL, PREDICTION)
-    t = stamp("silhouette", t)
-
     cols = list(config.feature_cols)
-    report = evaluate.cluster_report(predictions, PREDICTION, k, score, cols).persist()
+    # Silhouette, the per-cluster aggregation and the PCA axes only need the
+    # model and the prepared frame: they run as concurrent Spark jobs.
+    sizes_and_means = evaluate.cluster_report(predictions, PREDICTION, k, 0.0, cols).persist()
+
+    def timed(fn):
+        def run():
+            t0 = time.perf_counter()
+            out = fn()
+            return out, round(time.perf_counter() - t0, 3)
+
+        return run
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        sil_f = pool.submit(timed(lambda: clustering.silhouette(predictions, features.SCALED_COL, PREDICTION)))
+        agg_f = pool.submit(timed(sizes_and_means.count))
+        pca_f = pool.submit(
+            timed(lambda: pca.principal_components(vectors, features.SCALED_COL, config.pca_components))
+        )
+        (score, timings["silhouette"]), (_, timings["analysis"]), (axes, timings["pca"]) = (
+            sil_f.result(), agg_f.result(), pca_f.result()
+        )
+    report = sizes_and_means.withColumn("silhouette", F.lit(float(score)))
     profile = report.select(PREDICTION, *[f"{evaluate.AVG_PREFIX}{c}" for c in cols])
     sizes = report.select(PREDICTION, F.col("size").alias("count")).orderBy(PREDICTION)
     minmax = evaluate.minmax_normalise(profile, PREDICTION)
-    report.count()
-    t = stamp("analysis", t)
-
-    # The axes depend on the vectors only, so they are fitted without the labels.
-    axes = pca.principal_components(vectors, features.SCALED_COL, config.pca_components)
     points = pca.pca_points(predictions, features.SCALED_COL, PREDICTION, axes=axes)
-    stamp("pca", t)
+    stamp("evaluate", t)
 
     return JobResult(
         clean=clean, prepared=prepared, bounds=bounds, scaler=scaler, sweep=sweep, choice=choice, k=k,
         model=model, predictions=predictions, silhouette=score, profile=profile, sizes=sizes, minmax=minmax,
         report=report, pca=points, counts=counts, timings=timings, jobs=jobs,
+        report_cache=sizes_and_means,
     )
 
 
