@@ -121,8 +121,17 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
+COMPRESSION_SUFFIXES = (".gz", ".bz2", ".zst", ".zstd", ".snappy", ".deflate", ".lz4", ".xz")
+
+
 def detect_format(path: str) -> str:
+    """Format from the extension; a compression suffix Spark decodes on read
+    (``products.json.gz``) is looked through."""
     name = path.rstrip("/").lower()
+    for suffix in COMPRESSION_SUFFIXES:
+        if name.endswith(suffix):
+            name = name[: -len(suffix)]
+            break
     for ext, fmt in (
         (".jsonl", "json"), (".ndjson", "json"), (".json", "json"),
         (".csv", "delimited"), (".tsv", "delimited"), (".txt", "delimited"),

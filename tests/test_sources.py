@@ -157,3 +157,15 @@ def test_fit_on_empty_frame_raises(spark):
                                   + ", ".join(f"f{i} double" for i in range(1, 10)))
     with pytest.raises(ValueError):
         run_job(spark, empty, WIDE_JOB)
+
+
+def test_compressed_json_is_detected_and_read(spark, tmp_dir):
+    import gzip
+
+    assert readers.detect_format("dump/products.json.gz") == "json"
+    assert readers.detect_format("dump/products.csv.bz2") == "delimited"
+    path = os.path.join(tmp_dir, "products.json.gz")
+    with gzip.open(path, "wt") as fh:
+        fh.write('{"_id": "7", "nutriments": {"energy_100g": 3}}\n')
+    flat = readers.load_products(spark, path, measures=MEASURES, descriptive=("_id",))
+    assert flat.first()["_id"] == "7"
