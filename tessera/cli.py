@@ -1,9 +1,11 @@
 """Command-line job: raw catalogue → clean table → clusters → reports.
 
-    spark-submit -m tessera --source s3://bucket/products.json.gz \
-        --work-dir s3://bucket/tessera-run [--format json] [--max-records N]
+    python -m tessera --source products.json.gz --work-dir /shared/tessera-run \
+        [--format json] [--max-records N] [--rebuild]
 
-(or ``python -m tessera ...`` locally). Writes under ``--work-dir``:
+On a cluster ship the package and run this file, e.g.
+``spark-submit --py-files tessera.zip tessera/cli.py --source ... --work-dir ...``
+with ``--work-dir`` on shared storage. Writes under ``--work-dir``:
 ``clean.parquet`` (reused when complete), ``model/``, ``report.json``,
 ``sweep.json``, ``pca_points.parquet``; prints the chosen k and silhouette.
 """
