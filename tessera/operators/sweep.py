@@ -22,8 +22,7 @@ every model take two more passes in total instead of two per model.
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 import numpy as np
@@ -64,24 +63,6 @@ def coordinates(df: DataFrame, features_col: str) -> tuple[DataFrame, int]:
     return df.select(*[arr.getItem(j).alias(f"x{j}") for j in range(d)]), int(d)
 
 
-def initial_centres(df: DataFrame, features_col: str, ks: Sequence[int], seed: int, parallelism: int) -> dict:
-    """MLlib's k-means|| initial centres for each k (``maxIter=0`` fits).
-
-    Each init gets an uncached projection, so MLlib caches deserialized
-    vectors once for its passes (about 1.5x faster than decoding the columnar
-    cache on every pass); ``parallelism`` must already account for one such
-    copy per concurrent init (see ``clustering.sweep_parallelism``).
-    """
-    data = df.select(features_col)
-
-    def init(k: int) -> np.ndarray:
-        model = KMeans(k=k, seed=seed, featuresCol=features_col, maxIter=0).fit(data)
-        return np.array([np.asarray(c, dtype=float) for c in model.clusterCenters()])
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return dict(zip(ks, pool.map(init, ks)))
-
-
 def _nearest(x: np.ndarray, xn: np.ndarray, c: np.ndarray) -> np.ndarray:
     dist = xn[:, None] - 2.0 * (x @ c.T) + np.einsum("ij,ij->i", c, c)[None, :]
     return dist.argmin(axis=1)  # first minimum: lowest centre id on ties
@@ -174,19 +155,60 @@ def lloyd_step(coords: DataFrame, centres: np.ndarray, d: int) -> tuple[np.ndarr
     return new, counts, cost
 
 
-def lloyd(coords: DataFrame, states: dict[int, ModelState], d: int, max_iter: int, tol: float) -> None:
-    """Advance every unconverged model one Lloyd step per pass, MLlib's rules:
+def _advance(coords: DataFrame, active: list[ModelState], d: int, tol: float) -> None:
+    """One pass: one Lloyd step for each of ``active`` (MLlib's rules:
     converged when no centre moved more than ``tol``; the training cost is the
-    cost of the last iteration."""
-    while True:
-        active = [s for s in states.values() if not s.converged and s.iterations < max_iter]
-        if not active:
-            return
-        sums = _cluster_sums(coords, [(s.k, s.centres) for s in active], d)
-        for s in active:
-            s.centres, _, s.cost, shift = _update(s.centres, sums, s.k)
-            s.iterations += 1
-            s.converged = shift <= tol * tol
+    cost of the last iteration)."""
+    sums = _cluster_sums(coords, [(s.k, s.centres) for s in active], d)
+    for s in active:
+        s.centres, _, s.cost, shift = _update(s.centres, sums, s.k)
+        s.iterations += 1
+        s.converged = shift <= tol * tol
+
+
+def _active(states: dict[int, ModelState], max_iter: int) -> list[ModelState]:
+    return [s for s in states.values() if not s.converged and s.iterations < max_iter]
+
+
+def lloyd(coords: DataFrame, states: dict[int, ModelState], d: int, max_iter: int, tol: float) -> None:
+    """Advance every unconverged model one Lloyd step per pass until all stop."""
+    while active := _active(states, max_iter):
+        _advance(coords, active, d, tol)
+
+
+def init_and_iterate(
+    df: DataFrame, features_col: str, coords: DataFrame, d: int, config: SweepConfig, tol: float
+) -> dict[int, ModelState]:
+    """Initialise every k (MLlib k-means||, concurrently) and run the Lloyd
+    passes, letting a model join the passes as soon as its own init is done.
+
+    Each model's iterations depend only on its own centres, so which models
+    share a pass changes nothing in the results; it only overlaps the inits'
+    short jobs with the first passes. Each init gets an uncached projection,
+    so MLlib caches deserialized vectors once for its few passes;
+    ``config.parallelism`` must already allow one such copy per concurrent
+    init (see ``clustering.sweep_parallelism``).
+    """
+    ks = list(range(config.min_k, config.max_k + 1))
+    data = df.select(features_col)
+
+    def init(k: int) -> np.ndarray:
+        model = KMeans(k=k, seed=config.seed, featuresCol=features_col, maxIter=0).fit(data)
+        return np.array([np.asarray(c, dtype=float) for c in model.clusterCenters()])
+
+    states: dict[int, ModelState] = {}
+    with ThreadPoolExecutor(max_workers=max(1, config.parallelism)) as pool:
+        pending = {pool.submit(init, k): k for k in ks}
+        while pending or _active(states, config.max_iter):
+            for fut in [f for f in pending if f.done()]:
+                k = pending.pop(fut)
+                states[k] = ModelState(k=k, centres=fut.result())
+            active = _active(states, config.max_iter)
+            if active:
+                _advance(coords, active, d, tol)
+            elif pending:
+                wait(list(pending), return_when=FIRST_COMPLETED)
+    return states
 
 
 def _silhouette_fn(models: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]], d: int):
@@ -265,14 +287,7 @@ def batched_sweep(df: DataFrame, features_col: str, config: SweepConfig = SweepC
     if own_cache:
         coords = coords.persist()
     try:
-        with ThreadPoolExecutor(max_workers=1) as side:
-            # While the inits run, fill the coordinate cache and start the
-            # Python workers with a pass that computes nothing.
-            warm = side.submit(lambda: coords.mapInPandas(_partials_fn([], d), _partials_schema(d)).collect())
-            init = initial_centres(df, features_col, ks, config.seed, config.parallelism)
-            warm.result()
-        states = {k: ModelState(k=k, centres=c) for k, c in init.items()}
-        lloyd(coords, states, d, config.max_iter, tol)
+        states = init_and_iterate(df, features_col, coords, d, config, tol)
         got = scores(coords, states, d)
     finally:
         if own_cache:
