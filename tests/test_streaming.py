@@ -42,3 +42,17 @@ def test_delimited_stream_renames_and_cleans(spark, tmp_dir):
     query.awaitTermination(300)
     rows = spark.read.parquet(sink).collect()
     assert [r["_id"] for r in rows] == ["007"] and rows[0]["f9"] == 1.5
+
+
+def test_json_stream_drops_corrupt_lines(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "json_in")
+    os.makedirs(src)
+    good = '{"_id": "1", "product_name": "a", "nutriments": {' + ", ".join(
+        f'"{m}": "2.0"' for m in WIDE_MEASURES) + "}}"
+    with open(os.path.join(src, "part-0.json"), "w") as fh:
+        fh.write(good + "\n" + "broken{\n" + "\n")
+    sink = os.path.join(tmp_dir, "json_out")
+    query = clean_stream(spark, src, sink, CONFIG, checkpoint_path=os.path.join(tmp_dir, "ckpt3"))
+    query.awaitTermination(300)
+    rows = spark.read.parquet(sink).collect()
+    assert [r["_id"] for r in rows] == ["1"] and rows[0]["f1"] == 2.0
