@@ -88,7 +88,7 @@ class SuffixAutomaton:
         count, state = 0, 0
         for letter in text:
             step = self.next[state].get(letter)
-            if step is None or count == 0:
+            if step is None or state == 0:
                 count += 1
                 step = self.next[0].get(letter, 0)
             state = step
@@ -117,7 +117,7 @@ class CrossParser:
                     first[self.classes[c]] = target
             # value: 2 x target state, plus 1 where a new phrase begins
             table = np.repeat((2 * (first + states) + 1)[None, :], size, axis=0)
-            for state, steps in enumerate(automaton.next):
+            for state, steps in enumerate(automaton.next[1:], 1):
                 for c, target in steps.items():
                     if c in self.classes:
                         table[state, self.classes[c]] = 2 * (target + states)
@@ -157,15 +157,13 @@ class CrossParser:
         state = np.repeat(self.roots[:, None], len(owner), axis=1)
         count = np.zeros(state.shape, np.int32)
         alive = np.searchsorted(-length, -np.arange(1, STRETCH + 1), "right")
-        fresh = True
         for step in range(STRETCH):
             n = alive[step]
             if not n:
                 break
             moved = self.table[state[:, :n] * ALPHABET + codes[begin[:n] + step]]
-            count[:, :n] += 1 if fresh else moved & 1
+            count[:, :n] += moved & 1
             state[:, :n] = moved >> 1
-            fresh = False
         for k in range(len(self.languages)):
             out[:, k] = np.bincount(owner, weights=count[k], minlength=len(texts)).astype(np.int64)
         return out

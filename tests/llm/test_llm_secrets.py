@@ -1,0 +1,76 @@
+"""Spans against plain regular expressions over whole texts."""
+
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tessera.llm import queries
+from tessera.llm import secret_scan as S
+
+SF = "/root/testdata/sf0.01"
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
+
+
+def base(text):
+    text = text or ""
+    out = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    out += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
+PIECES = st.sampled_from([
+    "password", "PASSWD", "Secret", "token", "apiKey", "api_key", "api__key", "=", ":", " ", "  ", "'", '"', "é", "İ", "ſecret", "😀", "\n",
+    "AKIA", "akia", "ABCDEF12", "0123456789abcdef", "deadbeef" * 4, "xyz", "12345678", "A+/_.=-9", "AKIAAKIA", "passwordpassword=",
+])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PIECES, max_size=25).map("".join))
+def test_base_spans_equal_plain_expressions(text):
+    assert [s for s in S.find_secrets(text) if s[0] in S.BASE_KINDS] == base(text)
+
+
+def test_tokens_need_their_checksum():
+    body = "A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5"
+    good = body + S.base62_crc32(body)
+    wrong = body + ("0" if good[-6] != "0" else "1") + good[-5:]
+    text = f"é ghp_{good} npm_{good}, ghp_{wrong} ghp_{good}x GHP_{good}"
+    assert S.find_secrets(text) == [("github", 2, 42), ("npm", 43, 83)]
+    assert S.masked(text).startswith(f"é {S.MASK} {S.MASK}, ghp_")
+
+
+def test_masking_joins_overlaps_and_keeps_the_rest():
+    value = "0123456789abcdef" * 2
+    assert S.masked(f"a token={value} b") == f"a {S.MASK} b"
+    assert S.masked(f"{value}") == S.MASK
+    assert S.masked("nothing here") == "nothing here"
+    assert S.masked(None) is None and S.masked("") == ""
+    text = "x" * 300_000 + " AKIA" + "Q" * 16 + " end secret: abcdefgh"
+    assert S.masked(text) == "x" * 300_000 + f" {S.MASK} end {S.MASK}"
+
+
+def test_query_equals_plain_expressions(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    found = 0
+    for r in queries.op7_secret_scan(spark, SF).collect():
+        spans = base(docs[r["doc_id"]])
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(s[0] == k for s in spans) for k in S.BASE_KINDS)
+        assert r["base_sha256"] == hashlib.sha256(S.span_text(spans).encode()).hexdigest()
+        assert set(S.span_text(spans).split(",")) <= set(r["spans"].split(","))
+        found += len(spans)
+    assert found
+
+
+def test_stage_keeps_rows_and_columns(spark):
+    rows = [(1, "token=abcdefgh1 x", 17, "en", "c"), (1, None, None, None, None), (2, "", 0, "en", "c"), (3, "plain", 99, "en", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, clean string, doc string")
+    out = S.without_secrets(docs)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    got = {(r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()}
+    assert got == {(1, f"{S.MASK} x", len(S.MASK) + 2), (1, None, None), (2, "", 0), (3, "plain", 99)}
+    assert S.scan_documents(docs).where("size(spans) > 0").count() == 1
+    assert S.without_secrets(docs.limit(0)).count() == 0
