@@ -75,12 +75,11 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     top = int(sys.argv[2]) if len(sys.argv) > 2 else 15
     log_dir = tempfile.mkdtemp(prefix="tessera-eventlog-")
-    spark = local_session(8, app="tessera-stage-times", **{
+    spark = local_session(8, f"{log_dir}-checkpoint", app="tessera-stage-times", **{
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}",
     })
     result = run_job(spark, load_wide(spark, sf_dir), WIDE_JOB)
     print("stage timings (s):", json.dumps(result.timings))
-    print("spark jobs per stage:", json.dumps(result.jobs))
     spark.stop()
     summarise(log_dir, top)
 

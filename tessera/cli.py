@@ -1,13 +1,16 @@
 """Command-line job: raw catalogue → clean table → clusters → reports.
 
     python -m tessera --source products.json.gz --work-dir /shared/tessera-run \
-        [--format json] [--max-records N] [--rebuild]
+        [--format json] [--rebuild]
 
 On a cluster ship the package and run this file, e.g.
 ``spark-submit --py-files tessera.zip tessera/cli.py --source ... --work-dir ...``
-with ``--work-dir`` on shared storage. Writes under ``--work-dir``:
-``clean.parquet`` (reused when complete), ``model/``, ``report.json``,
-``sweep.json``, ``pca_points.parquet``; prints the chosen k and silhouette.
+with ``--work-dir`` on shared storage; scratch tables lie below it unless
+``spark.checkpoint.dir`` names a folder. Writes under ``--work-dir``:
+``clean.parquet`` (reused when complete and of the same parameters), ``model/``,
+``summary.json``, ``preview.json``, ``report.json``, ``sweep.json``,
+``predictions.parquet``, ``pca_points.parquet``; prints the chosen k, the
+silhouette and the rows of each stage, malformed ones included.
 """
 
 from __future__ import annotations
@@ -18,9 +21,9 @@ from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
-from tessera.config import CleanConfig, JobConfig
+from tessera.config import JobConfig
 from tessera.plans.job import run_job
-from tessera.session import ensure_local_checkpoint_dir
+from tessera.session import use_checkpoint_dir
 from tessera.sources import readers, sinks
 
 
@@ -29,24 +32,27 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     p.add_argument("--source", required=True, help="raw catalogue: JSON lines, delimited text or Parquet")
     p.add_argument("--work-dir", required=True, help="shared folder for the clean table, model and reports")
     p.add_argument("--format", choices=["json", "delimited", "parquet"], default=None)
-    p.add_argument("--max-records", type=int, default=None, help="optional record cap (reference: 200000)")
     p.add_argument("--rebuild", action="store_true", help="rebuild the clean table even if complete")
     return p.parse_args(argv)
 
 
-def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None, config: JobConfig | None = None) -> dict:
     args = parse(argv)
     spark = spark or SparkSession.builder.appName("tessera").getOrCreate()
-    if spark.sparkContext.master.startswith("local"):
-        ensure_local_checkpoint_dir(spark)
     work = args.work_dir.rstrip("/")
-    config = JobConfig(clean=replace(CleanConfig(), max_records=args.max_records), model_path=f"{work}/model")
-    raw = readers.load_products(spark, args.source, fmt=args.format, max_records=args.max_records)
+    use_checkpoint_dir(spark, f"{work}/checkpoint")
+    config = config or JobConfig()
+    config = replace(config, model_path=f"{work}/model")
+    raw = readers.load_products(spark, args.source, fmt=args.format, keep_corrupt=True)
     result = run_job(spark, raw, config, clean_path=f"{work}/clean.parquet", reuse_clean=not args.rebuild)
+    sinks.write_report(result.summary, f"{work}/summary.json")
+    sinks.write_report(result.preview, f"{work}/preview.json")
     sinks.write_report(result.report, f"{work}/report.json")
     sinks.write_report(result.sweep, f"{work}/sweep.json")
+    sinks.write_parquet(result.predictions, f"{work}/predictions.parquet")
     sinks.write_parquet(result.pca, f"{work}/pca_points.parquet")
     summary = {"k": result.k, "silhouette": result.silhouette, "choice": result.choice, "rows": result.counts}
+    result.release()
     print(json.dumps(summary))
     return summary
 

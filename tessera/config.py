@@ -24,8 +24,6 @@ PRODUCT_MEASURE_STRUCT = "nutriments"
 PRODUCT_DELIMITED_RENAMES = {"code": "_id"}
 # Minimum number of valid measures for a row to be kept.
 MIN_VALID_MEASURES = 5
-# Record cap of the ingest step (optional here; the reference always applied it).
-REFERENCE_MAX_RECORDS = 200_000
 # Outlier trim: lower/upper probabilities and the quantile relative error.
 TRIM_PROBABILITIES = (0.02, 0.98)
 TRIM_RELATIVE_ERROR = 0.01
@@ -55,7 +53,6 @@ class CleanConfig:
     descriptive_type: str | None = "string"
     min_valid: int = MIN_VALID_MEASURES
     impute_value: float = 0.0
-    max_records: int | None = None
 
 
 @dataclass(frozen=True)
@@ -72,12 +69,8 @@ class SweepConfig:
     max_k: int = SWEEP_MAX_K
     max_iter: int = SWEEP_MAX_ITER
     seed: int = KMEANS_SEED
-    # Number of k values initialised (or, unbatched, fitted) concurrently;
-    # results do not depend on it.
-    parallelism: int = 8
-    # Advance all k in one pass per Lloyd iteration (see operators/sweep.py);
-    # False fits each k with its own MLlib KMeans.
-    batched: bool = True
+    # Fits run concurrently; results do not depend on it.
+    parallelism: int = 4
     # Convergence tolerance of the sweep fits (MLlib's default).
     tol: float = 1e-4
 
@@ -105,5 +98,10 @@ class JobConfig:
     fit: FitConfig = field(default_factory=FitConfig)
     choose: ChooseConfig = field(default_factory=ChooseConfig)
     pca_components: int = PCA_COMPONENTS
+    # Partitions of the vectors that K-means passes over (its result depends on
+    # the layout, so this is a parameter, not a guess from size or machine).
+    partitions: int = 200
+    # Rows of the ordered preview.
+    preview_rows: int = 20
     # Path of the saved model; None keeps it in memory only.
     model_path: str | None = None

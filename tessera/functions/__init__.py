@@ -1,27 +1,13 @@
 """Column-expression helpers."""
 
 from tessera.functions.exprs import (
-    dot,
     impute,
     is_valid,
-    nearest,
+    plain_two_decimals,
     qcol,
-    squared_distance,
-    squared_distance_to,
     to_double,
     two_decimals,
     valid_count,
 )
 
-__all__ = [
-    "dot",
-    "impute",
-    "is_valid",
-    "nearest",
-    "qcol",
-    "squared_distance",
-    "squared_distance_to",
-    "to_double",
-    "two_decimals",
-    "valid_count",
-]
+__all__ = ["impute", "is_valid", "plain_two_decimals", "qcol", "to_double", "two_decimals", "valid_count"]

@@ -45,31 +45,6 @@ def two_decimals(c: Column) -> Column:
     return F.format_number(c, 2)
 
 
-def squared_distance(vec: Column, centre: Sequence[float]) -> Column:
-    """Squared Euclidean distance of an array column to a literal point."""
-    return squared_distance_to(vec, F.lit([float(x) for x in centre]).cast("array<double>"))
-
-
-def squared_distance_to(vec: Column, point: Column) -> Column:
-    """Squared Euclidean distance between two array<double> columns.
-
-    One higher-order expression, so the plan stays small whatever the
-    dimension (inlining d terms per centre overflows generated-code limits).
-    """
-    diffs = F.zip_with(vec, point, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(diffs, F.lit(0.0), lambda acc, v: acc + v)
-
-
-def nearest(vec: Column, ids: Sequence[int], centres: Sequence[Sequence[float]]) -> Column:
-    """struct(d, id) of the nearest centre (lowest id among equal distances)."""
-    table = F.lit([[float(x) for x in c] for c in centres]).cast("array<array<double>>")
-    id_arr = F.lit([int(i) for i in ids]).cast("array<int>")
-    scored = F.transform(
-        table, lambda c, j: F.struct(squared_distance_to(vec, c).alias("d"), F.element_at(id_arr, j + 1).alias("id"))
-    )
-    return F.array_min(scored)
-
-
-def dot(vec: Column, point: Sequence[float]) -> Column:
-    terms = [vec.getItem(i).cast("double") * F.lit(float(x)) for i, x in enumerate(point)]
-    return reduce(add, terms)
+def plain_two_decimals(c: Column) -> Column:
+    """Two-decimal text without grouping (``1234.57``); ``to_double`` reads it back."""
+    return F.replace(two_decimals(c), F.lit(","), F.lit(""))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -14,11 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tessera.config import ChooseConfig, FitConfig, SweepConfig
-from tessera.functions.exprs import nearest, squared_distance_to
 
 PREDICTION_COL = "prediction"
-# Literal centres are inlined in the projection; k * d above this is refused.
-MAX_CENTRE_VALUES = 200_000
+#: Most centres the driver collects; they are the parameters of a clustering, not data.
+MAX_CENTRES = 100_000
 
 
 def as_vector(df: DataFrame, col: str) -> Column:
@@ -63,72 +64,24 @@ def fit_kmeans(
     return kmeans.fit(df)
 
 
-def _sweep_one(df: DataFrame, k: int, features_col: str, config: SweepConfig) -> tuple:
-    # An uncached projection: MLlib then caches deserialized vectors for the fit.
-    data = df.select(features_col)
-    model = KMeans(k=k, seed=config.seed, featuresCol=features_col, maxIter=config.max_iter, tol=config.tol).fit(data)
-    cost = float(model.summary.trainingCost)
-    score = silhouette(model.transform(data), features_col, model.getPredictionCol())
-    return k, cost, score, None, int(model.summary.numIter)
-
-
-# Bytes of one cached vector-with-norm row beyond its d doubles (object headers,
-# norm, weight), used to size concurrent fits against storage memory.
-VECTOR_ROW_OVERHEAD = 64
-
-
-def storage_memory(spark) -> int:
-    """Total memory the block managers offer for caching (all executors)."""
-    status = spark.sparkContext._jsc.sc().getExecutorMemoryStatus()
-    total, it = 0, status.iterator()
-    while it.hasNext():
-        total += int(it.next()._2()._1())
-    return total
+def kmeans_sweep(df: DataFrame, features_col: str, config: SweepConfig = SweepConfig()) -> DataFrame:
+    """(k, wssse, silhouette, iterations) for k = min_k..max_k, one row per k.
 
+    One MLlib fit and one evaluator per k, ``config.parallelism`` of them as
+    concurrent Spark jobs. ``wssse`` is MLlib's training cost. Hand in a
+    persisted frame that holds the vectors: MLlib then reads that copy and
+    makes none of its own.
+    """
 
-def sweep_parallelism(spark, requested: int, rows: int | None, dims: int | None) -> int:
-    """Concurrent fits allowed: each fit caches its own copy of the vectors,
-    so at most half of the storage memory may hold copies."""
-    requested = max(1, requested)
-    if not rows or not dims:
-        return requested
-    copy = rows * (8 * dims + VECTOR_ROW_OVERHEAD)
-    allowed = max(1, (storage_memory(spark) // 2) // max(1, copy))
-    return int(min(requested, allowed))
+    def one(k: int) -> tuple:
+        kmeans = KMeans(k=k, seed=config.seed, featuresCol=features_col, maxIter=config.max_iter, tol=config.tol)
+        model = kmeans.fit(df)
+        score = silhouette(model.transform(df), features_col, model.getPredictionCol())
+        return k, float(model.summary.trainingCost), score, int(model.summary.numIter)
 
-
-def kmeans_sweep(
-    df: DataFrame,
-    features_col: str,
-    config: SweepConfig = SweepConfig(),
-    rows: int | None = None,
-    dims: int | None = None,
-) -> DataFrame:
-    """(k, wssse, silhouette, final_wssse, iterations) for k = min_k..max_k.
-
-    ``wssse`` is MLlib's training cost. Batched (default): MLlib's k-means||
-    initial centres per k, then one pass per Lloyd iteration for all k
-    together, and two passes for every silhouette and the WSSSE at the final
-    centres (``final_wssse``). Unbatched: one MLlib fit and one evaluator per
-    k. Either way up to ``config.parallelism`` MLlib calls run as concurrent
-    Spark jobs; when ``rows`` and ``dims`` are given that concurrency is capped
-    so the per-call cached vector copies fit in half of the storage memory.
-    The result has one row per k.
-    """
-    ks = list(range(config.min_k, config.max_k + 1))
-    workers = sweep_parallelism(df.sparkSession, config.parallelism, rows, dims)
-    if config.batched:
-        from dataclasses import replace
-
-        from tessera.operators.sweep import batched_sweep
-
-        return batched_sweep(df, features_col, replace(config, parallelism=workers), config.tol)
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        out = list(pool.map(lambda k: _sweep_one(df, k, features_col, config), ks))
-    out.sort()
-    return df.sparkSession.createDataFrame(
-        out, "k int, wssse double, silhouette double, final_wssse double, iterations int"
-    )
+    with ThreadPoolExecutor(max_workers=config.parallelism) as pool:
+        out = sorted(pool.map(one, range(config.min_k, config.max_k + 1)))
+    return df.sparkSession.createDataFrame(out, "k int, wssse double, silhouette double, iterations int")
 
 
 def choose_k(sweep: DataFrame, config: ChooseConfig = ChooseConfig()) -> DataFrame:
@@ -174,49 +127,67 @@ def model_centres(model: KMeansModel) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, centre array<double>")
 
 
-def collect_centres(centres: DataFrame, id_col: str = "label", centre_col: str = "centre") -> list[tuple[int, list[float]]]:
-    """Bring k centres to the driver, refusing sizes that would bloat the plan."""
-    rows = centres.select(id_col, centre_col).collect()
-    total = sum(len(r[1]) for r in rows)
-    if total > MAX_CENTRE_VALUES:
-        raise ValueError(f"{len(rows)} centres x dims = {total} values exceeds {MAX_CENTRE_VALUES}")
+def collect_centres(
+    centres: DataFrame, id_col: str = "label", centre_col: str = "centre", most: int = MAX_CENTRES
+) -> list[tuple[int, list[float]]]:
+    """Bring k centres to the driver; more than ``most`` of them raise before
+    any is collected beyond that number."""
+    rows = centres.select(id_col, centre_col).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} centres")
     return sorted((int(r[0]), [float(x) for x in r[1]]) for r in rows)
 
 
+Centres = Sequence[tuple[int, Sequence[float]]]
+
+
 def assign_nearest(
     df: DataFrame,
     features_col: str,
-    centres: Sequence[tuple[int, Sequence[float]]],
+    centres: Centres,
     prediction_col: str = PREDICTION_COL,
     distance_col: str | None = None,
 ) -> DataFrame:
-    """Label each row with its nearest centre (squared Euclidean; lowest id on ties).
-
-    The k centres are inlined as literals (size-checked), so this is a narrow
-    projection: no join, no shuffle, no per-row Python.
-    """
+    """Label each row with its nearest centre (squared Euclidean; lowest id on
+    ties). A narrow map over Arrow batches: no join, no shuffle."""
     if not centres:
         raise ValueError("no centres given")
-    if sum(len(c) for _, c in centres) > MAX_CENTRE_VALUES:
-        raise ValueError("too many centre values to inline")
-    arr = as_array(df, features_col)
-    best = nearest(arr, [i for i, _ in centres], [c for _, c in centres])
-    out = df.withColumn(prediction_col, best.getField("id"))
+    ordered = sorted(centres)
+    ids, points = np.array([i for i, _ in ordered]), np.array([c for _, c in ordered], float)
+
+    def nearest(vectors: pd.Series) -> pd.DataFrame:
+        best = np.full(len(vectors), np.inf)
+        label = np.zeros(len(vectors), np.int64)
+        rows = np.array(vectors.tolist(), float).reshape(-1, points.shape[1])
+        for i, point in zip(ids, points, strict=True):
+            gap = rows - point
+            distance = (gap * gap).sum(axis=1)
+            label = np.where(distance < best, i, label)
+            best = np.minimum(best, distance)
+        return pd.DataFrame({"id": label, "d": best})
+
+    found = F.pandas_udf(nearest, "id int, d double")(as_array(df, features_col))
+    out = df.withColumn("_nearest", found).withColumn(prediction_col, F.col("_nearest.id"))
     if distance_col:
-        out = out.withColumn(distance_col, best.getField("d"))
-    return out
-
-
-def wssse(
-    df: DataFrame, features_col: str, label_col: str, centres: Sequence[tuple[int, Sequence[float]]]
-) -> DataFrame:
-    """Sum of squared distances of each row to the centre of its own label."""
-    if sum(len(c) for _, c in centres) > MAX_CENTRE_VALUES:
-        raise ValueError("too many centre values to inline")
-    arr = as_array(df, features_col)
-    lookup = F.map_from_arrays(
-        F.lit([int(i) for i, _ in centres]).cast("array<int>"),
-        F.lit([[float(x) for x in c] for _, c in centres]).cast("array<array<double>>"),
-    )
-    own = squared_distance_to(arr, F.element_at(lookup, F.col(label_col).cast("int")))
-    return df.agg(F.sum(own).alias("wssse"))
+        out = out.withColumn(distance_col, F.col("_nearest.d"))
+    return out.drop("_nearest")
+
+
+def wssse(df: DataFrame, features_col: str, label_col: str, centres: Centres) -> DataFrame:
+    """Sum of squared distances of each row to the centre of its own label.
+    A label without a centre raises when the query runs."""
+    points = {int(i): np.array(c, float) for i, c in centres}
+
+    def own_distance(vectors: pd.Series, labels: pd.Series) -> pd.Series:
+        out = np.full(len(vectors), np.nan)
+        for label in labels.dropna().unique():
+            if label in points:
+                at = np.flatnonzero(labels == label)
+                gap = np.array(vectors.iloc[at].tolist(), float) - points[label]
+                out[at] = (gap * gap).sum(axis=1)
+        return pd.Series(out)
+
+    own = F.pandas_udf(own_distance, "double")(as_array(df, features_col), F.col(label_col).cast("double"))
+    lost = F.count_if(F.col("d").isNull() | F.isnan("d"))
+    total = F.when(lost > 0, F.raise_error(F.lit("rows whose label has no centre"))).otherwise(F.sum("d"))
+    return df.select(own.alias("d")).agg(total.cast("double").alias("wssse"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import qcol, two_decimals
+from tessera.functions.exprs import plain_two_decimals, qcol, two_decimals
 
 AVG_PREFIX = "avg_"
 
@@ -26,27 +26,33 @@ def cluster_sizes(df: DataFrame, label_col: str) -> DataFrame:
     return df.groupBy(label_col).agg(F.count(F.lit(1)).alias("count")).orderBy(label_col)
 
 
+def one_cluster(df: DataFrame, label_col: str, label) -> DataFrame:
+    """The rows of one cluster; labels need not be dense."""
+    return df.filter(qcol(label_col) == F.lit(label))
+
+
 def minmax_normalise(profile: DataFrame, label_col: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Scale each statistic to [0, 1] across the groups; a constant one gives 0.
 
-    The input is an aggregate with one row per group (k rows), so the
-    unpartitioned window holds k rows.
+    The extremes are one aggregate row, read as a scalar subquery: nothing is
+    gathered into one task.
     """
     cols = [c for c in profile.columns if c != label_col] if cols is None else list(cols)
-    whole = Window.partitionBy()
+    sides = [F.min(qcol(c)).alias(f"lo{i}") for i, c in enumerate(cols)]
+    sides += [F.max(qcol(c)).alias(f"hi{i}") for i, c in enumerate(cols)]
+    extremes = profile.agg(F.struct(*sides)).scalar()
     out = {}
-    for c in cols:
-        x = qcol(c)
-        lo, hi = F.min(x).over(whole), F.max(x).over(whole)
+    for i, c in enumerate(cols):
+        x, lo, hi = qcol(c), extremes.getField(f"lo{i}"), extremes.getField(f"hi{i}")
         out[c] = F.when(hi - lo == F.lit(0.0), F.lit(0.0)).otherwise((x - lo) / (hi - lo))
     return profile.withColumns(out)
 
 
-def format_profile(profile: DataFrame, label_col: str) -> DataFrame:
-    """Profile with every statistic as two-decimal display text."""
-    return profile.withColumns(
-        {c: two_decimals(qcol(c)) for c in profile.columns if c != label_col}
-    )
+def format_profile(profile: DataFrame, label_col: str, grouped: bool = True) -> DataFrame:
+    """Profile with every statistic as two-decimal text, with thousands grouped
+    (``1,234.57``) or plain (``1234.57``)."""
+    text = two_decimals if grouped else plain_two_decimals
+    return profile.withColumns({c: text(qcol(c)) for c in profile.columns if c != label_col})
 
 
 def cluster_report(

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, PCAModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import dot, qcol
-from tessera.operators.clustering import as_array, as_vector
+from tessera.functions.exprs import qcol
+from tessera.operators.clustering import as_vector
 
-# Components are inlined as literals; d * k above this is refused.
-MAX_LOADINGS = 100_000
+_VECTOR, _POINT = "_pca_vector", "_pca_point"
 
 
 def covariance_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -27,42 +28,44 @@ def covariance_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*cells)).alias("s")).select("s.*")
 
 
-def principal_components(df: DataFrame, features_col: str, k: int = 2) -> list[list[float]]:
-    """Top-k principal axes (MLlib PCA), each flipped so its largest-magnitude
-    loading is positive. Returns k lists of d loadings.
+@dataclass(frozen=True)
+class Axes:
+    """Fitted principal axes; ``signs`` make each axis' largest loading positive."""
+
+    model: PCAModel
+    signs: tuple[float, ...]
+
+    def loadings(self) -> list[list[float]]:
+        pc = self.model.pc.toArray()
+        return [[float(x) * s for x in pc[:, j]] for j, s in enumerate(self.signs)]
+
+
+def principal_components(df: DataFrame, features_col: str, k: int = 2) -> Axes:
+    """Top-k principal axes (MLlib PCA) with a fixed sign.
 
     The covariance is a d x d tree aggregate; only that matrix reaches the
     driver.
     """
-    data = df.select(as_vector(df, features_col).alias("v"))
-    model = PCA(k=k, inputCol="v", outputCol="p").fit(data)
+    data = df.select(as_vector(df, features_col).alias(_VECTOR))
+    model = PCA(k=k, inputCol=_VECTOR, outputCol=_POINT).fit(data)
     pc = model.pc.toArray()  # d x k
-    d = pc.shape[0]
-    if d * k > MAX_LOADINGS:
-        raise ValueError("too many loadings to inline")
-    axes = []
-    for j in range(k):
-        axis = [float(pc[i, j]) for i in range(d)]
-        pivot = max(range(d), key=lambda i: abs(axis[i]))
-        if axis[pivot] < 0:
-            axis = [-x for x in axis]
-        axes.append(axis)
-    return axes
+    signs = tuple(-1.0 if pc[abs(pc[:, j]).argmax(), j] < 0 else 1.0 for j in range(k))
+    return Axes(model, signs)
 
 
 def pca_points(
-    df: DataFrame,
-    features_col: str,
-    label_col: str,
-    k: int = 2,
-    axes: list[list[float]] | None = None,
+    df: DataFrame, features_col: str, keep: Sequence[str], k: int = 2, axes: Axes | None = None
 ) -> DataFrame:
-    """Project rows onto the principal axes: (x, y, <label>) for k = 2.
+    """Project rows onto the principal axes: (x, y, <kept columns>) for k = 2.
 
-    Uncentred, as MLlib's PCA transform; the projection is a narrow map and the
-    result stays distributed.
+    Uncentred, as MLlib's PCA transform, which does the projection; the result
+    stays distributed.
     """
     axes = axes or principal_components(df, features_col, k)
-    arr = as_array(df, features_col)
-    names = ["x", "y"] if len(axes) == 2 else [f"pc{j + 1}" for j in range(len(axes))]
-    return df.select(*[dot(arr, a).alias(n) for n, a in zip(names, axes)], F.col(label_col))
+    names = ["x", "y"] if len(axes.signs) == 2 else [f"pc{j + 1}" for j in range(len(axes.signs))]
+    projected = axes.model.transform(df.withColumn(_VECTOR, as_vector(df, features_col)))
+    point = vector_to_array(F.col(_POINT))
+    return projected.select(
+        *[(point.getItem(j) * F.lit(s)).alias(n) for j, (n, s) in enumerate(zip(names, axes.signs, strict=True))],
+        *[qcol(c) for c in keep],
+    )

@@ -2,18 +2,23 @@
 
 Quantiles come in two modes. ``relative_error > 0`` is Spark's Greenwald-Khanna
 sketch (``percentile_approx``: one pass, bounded memory, result depends on the
-partition layout).
-``relative_error == 0`` is exact (the value at 1-based rank ``max(1,
-ceil(q*n))`` among non-null, non-NaN values, which is SQL ``percentile_disc``):
-when ``n`` is at most ``band_limit`` it is one ``percentile_approx`` pass at an
-accuracy that keeps every value (rank error below one row); above that the
-rank is bracketed with a fine sketch and the bracket is narrowed with counting
-passes until it holds at most ``band_limit`` rows, so no task or driver ever
-holds more than ``band_limit`` values, whatever the table size.
+partition layout). ``relative_error == 0`` is exact: the value at 1-based rank
+``max(1, ceil(q*n))`` among non-null, non-NaN values, which is SQL
+``percentile_disc``.
+
+The exact mode counts. Every pass cuts the range that must hold the wanted
+value into ``BINS`` equal bins and counts the rows of each on the cluster; the
+bin with the wanted rank, from its smallest to its largest value, is the next
+range. A pass narrows the range by a factor of ``BINS`` or ends with a range of one
+value, so ties cannot keep it going and no task or driver ever holds values,
+only counts by bin. Every second pass bins by order of magnitude, so values
+of very different size need no more passes than others. All columns and
+probabilities share each pass.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Sequence
@@ -23,11 +28,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import qcol, two_decimals
 
-DEFAULT_BAND_LIMIT = 1_000_000
-BRACKET_ERROR = 1e-3
-# percentile_approx accuracy whose rank error is below one row for any count
-# up to DEFAULT_BAND_LIMIT (and far beyond): the sketch keeps every value.
-EXACT_ACCURACY = 2_147_483_647
+#: Bins of one pass; the driver gets at most this many counts for each quantile.
+BINS = 4096
 
 
 def _valid(c: Column) -> Column:
@@ -39,71 +41,91 @@ def target_rank(q: float, n: int) -> int:
     return max(1, int(math.ceil(float(q) * float(n))))
 
 
-def _value_at_rank(values: DataFrame, rank: int, band_limit: int) -> float:
-    """Exact value at 1-based ``rank`` of column ``x`` (no nulls or NaNs)."""
-    while True:
-        n = values.count()
-        if n == 0:
-            raise ValueError("rank requested on an empty column")
-        if n <= band_limit:
-            # Top-``rank`` selection: each task keeps at most ``rank`` values.
-            return values.orderBy("x").offset(rank - 1).limit(1).first()[0]
-        p = rank / n
-        lo_p, hi_p = max(0.0, p - 2 * BRACKET_ERROR), min(1.0, p + 2 * BRACKET_ERROR)
-        lo, hi = sketch_quantiles(values, ["x"], [lo_p, hi_p], BRACKET_ERROR)["x"]
-        if lo == hi:
-            return lo
-        row = values.agg(
-            F.count_if(F.col("x") < F.lit(lo)).alias("below"),
-            F.count_if(F.col("x").between(F.lit(lo), F.lit(hi))).alias("band"),
-        ).first()
-        below, band = int(row["below"]), int(row["band"])
-        if not (below < rank <= below + band):
-            # Sketch bracket missed (cannot happen within the GK bound); widen.
-            lo_all = values.agg(F.min("x")).first()[0]
-            hi_all = values.agg(F.max("x")).first()[0]
-            lo, hi, below, band = lo_all, hi_all, 0, n
-        rank -= below
-        values = values.filter(F.col("x").between(F.lit(lo), F.lit(hi)))
-        if band <= band_limit:
-            ordered = values.orderBy("x").offset(rank - 1).limit(1)
-            return ordered.first()[0]
-
-
-def exact_quantiles(
-    df: DataFrame,
-    col: str,
-    probabilities: Sequence[float],
-    band_limit: int = DEFAULT_BAND_LIMIT,
-    rows_bound: int | None = None,
-) -> list[float]:
-    """Exact ``percentile_disc`` values of one column; ``[]`` when it has no values.
-
-    ``rows_bound`` is a known upper bound on the row count (e.g. the count of a
-    frame this one was filtered from); at or below ``band_limit`` it saves the
-    counting pass.
-    """
-    values = df.select(qcol(col).cast("double").alias("x")).filter(_valid(F.col("x")))
-    if rows_bound is not None and rows_bound <= band_limit:
-        return _exact_small(values, ["x"], probabilities)["x"]
-    n = values.count()
-    if n == 0:
-        return []
-    if n <= band_limit:
-        return _exact_small(values, ["x"], probabilities)["x"]
-    return [_value_at_rank(values, target_rank(q, n), band_limit) for q in probabilities]
-
-
-def _exact_small(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float]]:
-    """Exact quantiles of columns known to hold at most ``band_limit`` values:
-    one aggregate pass whose sketch keeps every value."""
-    probs = [float(q) for q in probabilities]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = qcol(c).cast("double")
-        aggs.append(F.percentile_approx(F.when(_valid(x), x), probs, EXACT_ACCURACY).alias(f"q{i}"))
-    row = df.agg(*aggs).first()
-    return {c: [float(v) for v in row[f"q{i}"]] if row[f"q{i}"] is not None else [] for i, c in enumerate(cols)}
+#: Natural logarithm of the smallest double is a little above this.
+_LEAST_LOG = -745.0
+
+
+def _magnitude(x: float) -> float:
+    """Order-preserving logarithm of either sign; zero stays zero."""
+    return math.copysign(math.log(abs(x)) - _LEAST_LOG, x) if x else 0.0
+
+
+def _bin(x: Column, lo: float, hi: float, by_magnitude: bool) -> Column:
+    """Number of the bin of ``x`` in [lo, hi], by value or by order of magnitude;
+    infinities have bins of their own."""
+    lo, hi = max(lo, -1.7976931348623157e308), min(hi, 1.7976931348623157e308)
+    if by_magnitude and _magnitude(lo) < _magnitude(hi):
+        lo, hi = _magnitude(lo), _magnitude(hi)
+        y = F.when(x == 0.0, 0.0).otherwise(F.signum(x) * (F.log(F.abs(x)) - F.lit(_LEAST_LOG)))
+    else:
+        y = x
+    width = hi * 0.5 - lo * 0.5
+    place = F.floor((y * 0.5 - F.lit(lo * 0.5)) / F.lit(width) * BINS) if width > 0 else F.lit(0)
+    inside = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), place.cast("long")))
+    return F.when(x == F.lit(float("-inf")), -1).when(x == F.lit(float("inf")), BINS).otherwise(inside).cast("int")
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float]]:
+    """Exact ``percentile_disc`` values by column; ``[]`` for one without values."""
+    cols, probabilities = list(cols), [float(q) for q in probabilities]
+    values = df.select(*[qcol(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    extent = []
+    for i in range(len(cols)):
+        x = F.when(_valid(F.col(f"x{i}")), F.col(f"x{i}"))
+        extent += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    seen = values.agg(*extent).first()
+    # (column, probability) -> (rank within the range, lo, hi)
+    open_ranges = {
+        (i, j): (target_rank(q, seen[f"n{i}"]), seen[f"lo{i}"], seen[f"hi{i}"])
+        for i in range(len(cols)) if seen[f"n{i}"]
+        for j, q in enumerate(probabilities)
+    }
+    found: dict[tuple[int, int], float] = {}
+    for step in itertools.count():
+        by_magnitude = step % 2 == 1
+        found.update({key: lo for key, (_, lo, hi) in open_ranges.items() if lo == hi})
+        open_ranges = {key: r for key, r in open_ranges.items() if key not in found}
+        if not open_ranges:
+            break
+        # one range may be wanted by several probabilities: count it once
+        ranges = sorted({(key[0], lo, hi) for key, (_, lo, hi) in open_ranges.items()})
+        counted = _count_bins(values, ranges, by_magnitude)
+        for key, (rank, lo, hi) in open_ranges.items():
+            for n, least, most in counted[ranges.index((key[0], lo, hi))]:
+                if rank <= n:
+                    break
+                rank -= n
+            if (least, most) == (lo, hi) and not by_magnitude:
+                # neighbouring doubles that no bin can part: at most a few values
+                found[key] = _value_at_rank(values, key[0], lo, hi, rank)
+            open_ranges[key] = (rank, least, most)
+    return {c: [found[i, j] for j in range(len(probabilities))] if seen[f"n{i}"] else [] for i, c in enumerate(cols)}
+
+
+def _count_bins(values: DataFrame, ranges: list[tuple[int, float, float]], by_magnitude: bool) -> list[list[tuple]]:
+    """(rows, smallest, largest) of each bin of each range that has rows, in order."""
+    cells = []
+    for number, (i, lo, hi) in enumerate(ranges):
+        x = F.col(f"x{i}")
+        cell = F.struct(F.lit(number).alias("range"), _bin(x, lo, hi, by_magnitude).alias("bin"), x.alias("x"))
+        cells.append(F.when(_valid(x) & x.between(F.lit(lo), F.lit(hi)), cell))
+    rows = values.select(F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("c")).select("c.*")
+    counts = rows.groupBy("range", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    out: list[list[tuple]] = [[] for _ in ranges]
+    for r in sorted(counts.collect(), key=lambda r: (r["range"], r["bin"])):
+        out[r["range"]].append((r["n"], r["lo"], r["hi"]))
+    return out
+
+
+def _value_at_rank(values: DataFrame, i: int, lo: float, hi: float, rank: int) -> float:
+    """Value at ``rank`` of a range that bins cannot part (fewer than ``BINS`` values)."""
+    x = F.col(f"x{i}")
+    counts = values.where(_valid(x) & x.between(F.lit(lo), F.lit(hi))).groupBy(x.alias("x")).count().collect()
+    for r in sorted(counts, key=lambda r: r["x"]):
+        if rank <= r["count"]:
+            return r["x"]
+        rank -= r["count"]
+    raise AssertionError("rank beyond its range")
 
 
 def sketch_quantiles(
@@ -127,52 +149,25 @@ def sketch_quantiles(
 
 
 def quantiles(
-    df: DataFrame,
-    col: str,
-    probabilities: Sequence[float],
-    relative_error: float,
-    band_limit: int = DEFAULT_BAND_LIMIT,
-    rows_bound: int | None = None,
-) -> list[float]:
-    """Quantiles of one column: exact when ``relative_error == 0``, else sketch."""
-    if relative_error == 0:
-        return exact_quantiles(df, col, probabilities, band_limit, rows_bound)
-    return sketch_quantiles(df, [col], probabilities, relative_error)[col]
-
-
-def multi_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probabilities: Sequence[float],
-    relative_error: float = 0.0,
-    band_limit: int = DEFAULT_BAND_LIMIT,
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], relative_error: float = 0.0
 ) -> dict[str, list[float]]:
-    """Quantiles of several columns; one shared pass when the mode allows it."""
-    cols = list(cols)
-    if relative_error > 0:
-        return sketch_quantiles(df, cols, probabilities, relative_error)
-    counts = df.agg(*[F.count_if(_valid(qcol(c).cast("double"))).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    if all(counts[f"n{i}"] <= band_limit for i in range(len(cols))):
-        return _exact_small(df, cols, probabilities)
-    return {c: exact_quantiles(df, c, probabilities, band_limit) for c in cols}
+    """Quantiles by column: exact when ``relative_error == 0``, else a sketch."""
+    if relative_error == 0:
+        return exact_quantiles(df, cols, probabilities)
+    return sketch_quantiles(df, cols, probabilities, relative_error)
 
 
 SUMMARY_PROBABILITIES = (0.25, 0.5, 0.75)
 
 
-def summary_stats(
-    df: DataFrame,
-    cols: Sequence[str],
-    relative_error: float = 0.0,
-    band_limit: int = DEFAULT_BAND_LIMIT,
-) -> DataFrame:
+def summary_stats(df: DataFrame, cols: Sequence[str], relative_error: float = 0.0) -> DataFrame:
     """count, mean, stddev, min, 25/50/75 %, max per column, one row per column.
 
-    Moments come from one aggregate pass; quartiles from ``multi_quantiles``
+    Moments come from one aggregate pass; quartiles from :func:`quantiles`
     (exact by default, Spark's ``summary()`` sketch with ``relative_error>0``).
     """
     cols = list(cols)
-    qs = multi_quantiles(df, cols, SUMMARY_PROBABILITIES, relative_error, band_limit)
+    qs = quantiles(df, cols, SUMMARY_PROBABILITIES, relative_error)
     aggs = []
     for i, c in enumerate(cols):
         x = qcol(c).cast("double")
@@ -186,7 +181,7 @@ def summary_stats(
     wide = df.agg(*aggs)
     rows = []
     for i, c in enumerate(cols):
-        q = qs.get(c) or [None, None, None]
+        q = qs[c] or [None, None, None]
         rows.append(
             F.struct(
                 F.lit(c).alias("column"),
@@ -208,10 +203,9 @@ def quantile_bounds(
 ) -> DataFrame:
     """One row per column: (column, lower, upper) at the two probabilities."""
     lo_p, hi_p = probabilities
-    qs = multi_quantiles(df, cols, [lo_p, hi_p], relative_error)
-    spark = df.sparkSession
-    data = [(c, *(qs[c] if qs[c] else [None, None])) for c in cols]
-    return spark.createDataFrame(data, "column string, lower double, upper double")
+    qs = quantiles(df, cols, [lo_p, hi_p], relative_error)
+    data = [(c, *(qs[c] or [None, None])) for c in cols]
+    return df.sparkSession.createDataFrame(data, "column string, lower double, upper double")
 
 
 def word_count(df: DataFrame, text_col: str, separator: str = " ") -> DataFrame:
@@ -228,9 +222,10 @@ def distinct_count(df: DataFrame, col: str, name: str = "n_distinct") -> DataFra
     return df.agg(F.count_distinct(qcol(col)).alias(name))
 
 
-def preview(df: DataFrame, n: int = 20) -> DataFrame:
-    """First ``n`` rows as a DataFrame (the caller decides to show or write)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows by a total order, so the result does not depend on how
+    the table is laid out (each task keeps its own first ``n``)."""
+    return df.orderBy(*[qcol(c) for c in order_by]).limit(n)
 
 
 def format_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:

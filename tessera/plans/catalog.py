@@ -9,21 +9,16 @@ order are rounded to 6 places, on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.config import (
-    REFERENCE_MAX_RECORDS,
-    ChooseConfig,
-    CleanConfig,
-    FitConfig,
-    SweepConfig,
-    TrimConfig,
-)
+from tessera.config import PRODUCT_MEASURE_STRUCT, ChooseConfig, CleanConfig, FitConfig, SweepConfig, TrimConfig
 from tessera.operators import clustering, evaluate, features, pca, profile, quality
+from tessera.plans import job
 from tessera.plans.wide import WIDE_KEYS, WIDE_MEASURES, load_wide, table
-from tessera.session import cut_lineage, scratch_path
+from tessera.session import cut_lineage, persist_frame, scratch_path
 from tessera.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +81,7 @@ def q_materialize_once(spark, sf):
 def q_json_nested_scan(spark, sf):
     path = scratch_path(spark, "catalogue.json")
     rows = _catalogue_rows(spark, sf)
-    nested = rows.select(*TEXT_DESCRIPTIVE, F.struct(*WIDE_MEASURES).alias("nutriments"))
+    nested = rows.select(*TEXT_DESCRIPTIVE, F.struct(*WIDE_MEASURES).alias(PRODUCT_MEASURE_STRUCT))
     nested.write.mode("overwrite").json(path)
     flat = readers.load_products(
         spark, path, fmt="json", measures=WIDE_MEASURES, descriptive=TEXT_DESCRIPTIVE
@@ -113,11 +108,6 @@ def q_csv_comma_scan(spark, sf):
     return _delimited_scan(spark, sf, ",")
 
 
-def q_row_cap(spark, sf):
-    capped = readers.cap_rows(table(spark, sf, "lineitem"), REFERENCE_MAX_RECORDS)
-    return capped.agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def q_cluster_report(spark, sf):
     lab = table(spark, sf, "embeddings")
     n = lab.select("label").distinct().count()
@@ -155,13 +145,9 @@ def q_conform_schema(spark, sf):
 
 def q_cast_clean(spark, sf):
     ev = table(spark, sf, "events")
-    raw = F.substring_index(F.substring_index(F.col("props"), ": ", -1), "}", 1)
-    return ev.select(
-        "event_id",
-        F.col("value"),
-        raw.try_cast("double").alias("k"),
-        F.col("event_type").try_cast("double").alias("bad"),
-    )
+    text = F.substring_index(F.substring_index(F.col("props"), ": ", -1), "}", 1)
+    raw = ev.select("event_id", "value", text.alias("k"), F.col("event_type").alias("bad"))
+    return quality.cast_double(raw, ["k", "bad"])
 
 
 def q_validity_count(spark, sf):
@@ -182,18 +168,11 @@ def q_impute_zero(spark, sf):
 # --- profiling ----------------------------------------------------------------
 
 def q_stage_counts(spark, sf):
-    wide = load_wide(spark, sf)
-    counts = wide.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(quality.valid_count(WIDE_MEASURES) >= WIDE_CLEAN.min_valid).alias("rows_valid"),
-    ).first()
-    clean = cut_lineage(quality.clean_table(wide, WIDE_CLEAN).select(*WIDE_MEASURES))
-    trimmed, _ = features.outlier_trim(clean, WIDE_MEASURES, EXACT_TRIM)
-    return trimmed.agg(
-        F.lit(counts["rows_in"]).cast("bigint").alias("rows_in"),
-        F.lit(counts["rows_valid"]).cast("bigint").alias("rows_valid"),
-        F.count(F.lit(1)).alias("rows_trimmed"),
-    )
+    """Rows after each stage, as the job counts them: observed on its writes."""
+    clean, counts = job.clean_and_store(load_wide(spark, sf), WIDE_CLEAN, scratch_path(spark, "clean.parquet"))
+    _, prepared, _, _ = job.prepare(clean, EXACT_JOB, scratch_path(spark, "prepared.parquet"))
+    rows = [(counts["rows_in"], counts["rows_clean"], prepared)]
+    return spark.createDataFrame(rows, "rows_in long, rows_valid long, rows_trimmed long")
 
 
 def q_summary_stats(spark, sf):
@@ -224,8 +203,16 @@ def q_format_stats(spark, sf):
     return evaluate.format_profile(means, "l_returnflag")
 
 
+def q_plain_format(spark, sf):
+    means = evaluate.cluster_profile(table(spark, sf, "lineitem"), LINE_MEASURES, "l_returnflag")
+    text = evaluate.format_profile(means, "l_returnflag", grouped=False)
+    names = [f"avg_{c}" for c in LINE_MEASURES]
+    back = quality.cast_double(text, names).withColumnsRenamed({n: f"num_{n}" for n in names})
+    return text.join(back, "l_returnflag")
+
+
 def q_preview(spark, sf):
-    return profile.preview(_clean_wide(spark, sf), 20)
+    return profile.preview(_clean_wide(spark, sf), 20, [*WIDE_KEYS, *WIDE_MEASURES])
 
 
 # --- features -----------------------------------------------------------------
@@ -284,58 +271,36 @@ def q_wssse(spark, sf):
 
 def q_silhouette(spark, sf):
     lab = _lab(spark, sf)
-    score = clustering.silhouette(lab, "embedding", "label")
-    return lab.agg(F.round(F.lit(score), 6).alias("silhouette"))
+    return spark.createDataFrame([(round(clustering.silhouette(lab, "embedding", "label"), 6),)], "silhouette double")
 
 
-def seeded_sweep(lab: DataFrame) -> DataFrame:
-    """(k, wssse, silhouette) for k = 2..L: centres are the means of the k
-    smallest labels and rows go to the nearest of them (one Lloyd assignment).
-
-    Scored by the batched sweep's two passes (every k at once): WSSSE to the
-    given centres and the silhouette of the assignment.
-    """
-    import numpy as np
+def q_cluster_filter(spark, sf):
+    lab = _lab(spark, sf)
+    return evaluate.one_cluster(lab, "label", 3).select("vec_id", "label")
 
-    from tessera.operators import sweep
 
+def seeded_sweep(lab: DataFrame) -> DataFrame:
+    """(k, wssse, silhouette) for k = 2..L: centres are the means of the k
+    smallest labels and rows go to the nearest of them."""
     lab = cut_lineage(lab)
     centres = clustering.collect_centres(clustering.centroids(lab, "embedding", "label"))
-    stacked = np.array([c for _, c in centres], dtype=float)
-    states = {k: sweep.ModelState(k=k, centres=stacked[:k]) for k in range(2, len(centres) + 1)}
-    coords, d = sweep.coordinates(lab, "embedding")
-    got = sweep.scores(coords, states, d)
-    rows = [(k, float(got[k][0]), float(got[k][1])) for k in sorted(states)]
+    rows = []
+    for k in range(2, len(centres) + 1):
+        near = clustering.assign_nearest(lab, "embedding", centres[:k])
+        cost = clustering.wssse(near, "embedding", "prediction", centres[:k]).first()[0]
+        rows.append((k, cost, clustering.silhouette(near, "embedding", "prediction")))
     return lab.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")
 
 
-def q_lloyd_step(spark, sf):
-    """One Lloyd iteration from the label means of ``embeddings``: the new
-    centre of each cluster, one row per (cluster, coordinate)."""
-    import numpy as np
-
-    from tessera.operators import sweep
-
-    lab = cut_lineage(_lab(spark, sf))
-    centres = clustering.collect_centres(clustering.centroids(lab, "embedding", "label"))
-    start = np.array([c for _, c in centres], dtype=float)
-    coords, d = sweep.coordinates(lab, "embedding")
-    new, counts, _ = sweep.lloyd_step(coords, start, d)
-    rows = [(c, i, float(new[c, i]), int(counts[c])) for c in range(len(new)) for i in range(d)]
-    out = spark.createDataFrame(rows, "cluster int, i int, centre double, n long")
-    return out.select("cluster", "i", _r6(F.col("centre")).alias("centre"), "n")
-
-
-def q_seeded_sweep(spark, sf):
-    sweep = seeded_sweep(_lab(spark, sf))
-    return sweep.select("k", _r6(F.col("wssse")).alias("wssse"), _r6(F.col("silhouette")).alias("silhouette"))
-
-
 def q_choose_k(spark, sf):
     return clustering.choose_k(seeded_sweep(_lab(spark, sf)), ChooseConfig())
 
 
-# --- K-means (rows-only: results depend on layout) -------------------------------
+# --- K-means: results depend on layout, so the queries return facts that hold
+# for every right result and that SQL can derive from the table --------------
+
+EXACT_JOB = replace(job.WIDE_JOB, trim=EXACT_TRIM)
+
 
 def _scaled_lab(spark, sf):
     lab = _lab(spark, sf)
@@ -347,35 +312,90 @@ def _scaled_lab(spark, sf):
 
 
 def q_kmeans_sweep(spark, sf):
-    return clustering.kmeans_sweep(_scaled_lab(spark, sf), "scaled_features", SweepConfig())
+    """One row per k, with whether its scores lie where scores must lie."""
+    vectors = persist_frame(_scaled_lab(spark, sf).select("scaled_features"))
+    swept = clustering.kmeans_sweep(vectors, "scaled_features", SweepConfig())
+    vectors.unpersist()
+    return swept.select(
+        "k",
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+        (F.col("wssse") > 0).alias("wssse_positive"),
+        F.col("iterations").between(1, SweepConfig().max_iter).alias("iterations_in_range"),
+    )
 
 
-def q_kmeans_fit(spark, sf):
+def _fitted(spark, sf):
     data = _scaled_lab(spark, sf)
     k = data.select("label").distinct().count()
-    model = clustering.fit_kmeans(data, k, "scaled_features", FitConfig())
-    return model.transform(data).select("vec_id", "prediction")
+    return data, clustering.fit_kmeans(data, k, "scaled_features", FitConfig())
+
+
+def q_kmeans_fit(spark, sf):
+    """Rows labelled, centres, and rows whose label is not the nearest centre's."""
+    data, model = _fitted(spark, sf)
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    checked = clustering.assign_nearest(model.transform(data), "scaled_features", centres, prediction_col="nearest")
+    return checked.agg(
+        F.count("prediction").alias("n_rows"),
+        F.lit(len(centres)).cast("long").alias("n_centres"),
+        F.count_if(F.col("nearest") != F.col("prediction")).alias("rows_off_nearest"),
+    )
 
 
 def q_model_roundtrip(spark, sf):
-    data = _scaled_lab(spark, sf)
-    k = data.select("label").distinct().count()
-    model = clustering.fit_kmeans(data, k, "scaled_features", FitConfig())
+    """Centres of a saved and reloaded model, and the largest change."""
+    _, model = _fitted(spark, sf)
     path = scratch_path(spark, "kmeans_model")
     sinks.save_model(model, path)
-    return clustering.model_centres(sinks.load_kmeans(path))
+    was = clustering.model_centres(model).withColumnRenamed("centre", "was")
+    both = clustering.model_centres(sinks.load_kmeans(path)).join(was, "cluster")
+    gap = F.array_max(F.zip_with("centre", "was", lambda a, b: F.abs(a - b)))
+    return both.agg(F.count(F.lit(1)).alias("n_centres"), F.max(gap).alias("largest_change"))
 
 
 def q_pca_points(spark, sf):
-    data = _scaled_lab(spark, sf)
-    return pca.pca_points(data, "scaled_features", "label").withColumnRenamed("label", "prediction")
+    """The projected ``lineitem`` measures: both axes are centred, uncorrelated,
+    ordered, and each satisfies C v = lambda v (largest residual, rounded)."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *LINE_MEASURES)
+    scaled, _ = features.assemble_scale(li, LINE_MEASURES)
+    wide = features.scaled_columns(scaled, LINE_MEASURES)
+    axes = pca.principal_components(scaled, features.SCALED_COL)
+    names = [f"s_{c}" for c in LINE_MEASURES]
+    points = pca.pca_points(wide, features.SCALED_COL, ["l_orderkey", "l_linenumber", *names], axes=axes)
+    residual = [
+        F.abs(F.covar_samp(axis, name) - F.var_samp(axis) * F.lit(v))
+        for axis, loading in zip(("x", "y"), axes.loadings(), strict=True)
+        for name, v in zip(names, loading, strict=True)
+    ]
+    return points.agg(
+        F.count(F.lit(1)).alias("n_points"),
+        F.abs(_r6(F.avg("x"))).alias("mean_x"),
+        F.abs(_r6(F.avg("y"))).alias("mean_y"),
+        F.abs(_r6(F.covar_samp("x", "y"))).alias("cov_xy"),
+        (F.var_samp("x") >= F.var_samp("y")).alias("ordered"),
+        _r6(F.greatest(*residual)).alias("largest_residual"),
+    )
 
 
-def q_cluster_job(spark, sf):
-    """The whole clean → trim → scale → sweep → fit → report job (rows-only)."""
-    from tessera.plans.job import cluster_report_query
+def q_cluster_predictions(spark, sf):
+    """Ids that the job's predictions carry under the exact trim."""
+    config = replace(EXACT_JOB, sweep=SweepConfig(min_k=4, max_k=5, max_iter=5))
+    result = job.run_job(spark, load_wide(spark, sf), config)
+    labelled = result.predictions.where(F.col("prediction").between(0, result.k - 1))
+    return labelled.select("l_orderkey", "l_linenumber", *WIDE_MEASURES)
+
 
-    return cluster_report_query(spark, sf)
+def q_cluster_job(spark, sf):
+    """The whole job under the exact trim: rows by stage and in the report."""
+    result = job.run_job(spark, load_wide(spark, sf), EXACT_JOB)
+    sized = result.report.agg(F.sum("size"), F.count_if(F.col("k") == result.k)).first()
+    counts = result.counts
+    rows = [(counts["rows_in"], counts["rows_clean"], counts["rows_prepared"], sized[0], sized[1] == result.k, -1 <= result.silhouette <= 1)]
+    result.release()
+    return spark.createDataFrame(
+        rows, "rows_in long, rows_clean long, rows_prepared long, rows_in_clusters long, one_row_a_cluster boolean, "
+        "silhouette_in_range boolean"
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -385,7 +405,6 @@ QUERIES: dict[str, Query] = {
     "json_nested_scan": q_json_nested_scan,
     "csv_tab_scan": q_csv_tab_scan,
     "csv_comma_scan": q_csv_comma_scan,
-    "row_cap": q_row_cap,
     "rename_map": q_rename_map,
     "add_missing_cols": q_add_missing_cols,
     "conform_schema": q_conform_schema,
@@ -409,13 +428,14 @@ QUERIES: dict[str, Query] = {
     "assign_nearest": q_assign_nearest,
     "wssse": q_wssse,
     "silhouette": q_silhouette,
-    "seeded_sweep": q_seeded_sweep,
-    "lloyd_step": q_lloyd_step,
     "choose_k": q_choose_k,
     "kmeans_sweep": q_kmeans_sweep,
     "kmeans_fit": q_kmeans_fit,
     "model_roundtrip": q_model_roundtrip,
     "pca_points": q_pca_points,
     "preview": q_preview,
+    "plain_format": q_plain_format,
+    "cluster_filter": q_cluster_filter,
+    "cluster_predictions": q_cluster_predictions,
     "cluster_job": q_cluster_job,
 }

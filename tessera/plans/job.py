@@ -1,19 +1,17 @@
-"""The whole job: clean → materialise → trim → scale → sweep → fit → report.
+"""The whole job: clean → store → profile → trim → scale → sweep → fit → report.
 
 Each stage is one of the operators; this module only wires them and decides
-what is materialised:
+what is stored:
 
 * the cleaned table is written once (Parquet) and read back, its row counts
   observed on that same write (no extra count jobs);
-* the narrow feature frame is spread over the cluster and materialised before
-  the sequential quantile passes;
-* the prepared frame (features + scaled vector) is materialised once more and
-  shared by the sweep, the final fit, the evaluation and the analysis.
-
-The written clean table is where lineage is cut: everything after it is a
-short chain of narrow steps (filters with literal bounds, a fitted scaler), so
-persisted copies suffice and a lost executor recomputes its blocks from that
-table.
+* the nine measures are persisted for the sequential quantile passes;
+* the prepared table (all columns, ``features`` and ``scaled_features``) is
+  written once; K-means, PCA and the evaluation share one persisted frame that
+  holds its scaled vectors.
+
+Written tables are where lineage is cut: everything after one is a short chain
+of narrow steps, so a lost executor recomputes its blocks from that table.
 """
 
 from __future__ import annotations
@@ -28,9 +26,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.config import CleanConfig, JobConfig
-from tessera.operators import clustering, evaluate, features, pca, quality
+from tessera.functions.exprs import qcol
+from tessera.operators import clustering, evaluate, features, pca, profile, quality
 from tessera.plans.wide import WIDE_KEYS, WIDE_MEASURES, load_wide
-from tessera.session import balance, persist_frame, scratch_path
+from tessera.session import persist_frame, remove_path, scratch_path
 from tessera.sources import readers, sinks
 
 PREDICTION = clustering.PREDICTION_COL
@@ -39,6 +38,8 @@ PREDICTION = clustering.PREDICTION_COL
 @dataclass
 class JobResult:
     clean: DataFrame
+    summary: DataFrame
+    preview: DataFrame
     prepared: DataFrame
     bounds: list
     scaler: PipelineModel
@@ -55,30 +56,44 @@ class JobResult:
     pca: DataFrame
     counts: dict = field(default_factory=dict)
     timings: dict = field(default_factory=dict)
-    jobs: dict = field(default_factory=dict)
-    report_cache: DataFrame | None = None
+    cached: list[DataFrame] = field(default_factory=list)
+    scratch: list[str] = field(default_factory=list)
 
     def release(self) -> None:
-        """Drop the cached frames the job keeps for its caller."""
-        for frame in (self.report, self.sweep, self.prepared, self.report_cache):
-            if frame is not None:
-                frame.unpersist()
-
+        """Drop the cached frames and scratch tables the job keeps for its caller."""
+        spark = self.clean.sparkSession
+        for frame in self.cached:
+            frame.unpersist()
+        for path in self.scratch:
+            remove_path(spark, path)
 
-def _last_job_id(spark: SparkSession) -> int:
-    """Highest Spark job id started so far (ids are sequential)."""
-    ids = spark.sparkContext.statusTracker().getJobIdsForGroup()
-    return max(ids) if ids else -1
 
+def clean_and_store(
+    raw: DataFrame, config: CleanConfig, path: str, rebuild: bool = False
+) -> tuple[DataFrame, dict]:
+    """Clean, write Parquet at ``path``, read back; counts observed on the write.
 
-def clean_and_store(raw: DataFrame, config: CleanConfig, path: str) -> tuple[DataFrame, dict]:
-    """Clean, write Parquet at ``path``, read back; counts observed on the write."""
-    seen, kept = Observation("rows_in"), Observation("rows_clean")
-    counted_in = raw.observe(seen, F.count(F.lit(1)).alias("n"))
-    cleaned = quality.clean_table(counted_in, config).observe(kept, F.count(F.lit(1)).alias("n"))
-    sinks.write_parquet(cleaned, path)
-    counts = {"rows_in": seen.get["n"], "rows_clean": kept.get["n"]}
-    return raw.sparkSession.read.parquet(path), counts
+    A completed table of the same parameters is reused (its counts then hold
+    only its size). Rows a reader marked as malformed are counted and dropped.
+    """
+    counts: dict = {"rows_in": None, "rows_corrupt": None}
+
+    def build() -> DataFrame:
+        seen, kept = Observation("rows_in"), Observation("rows_clean")
+        bad = F.col(readers.CORRUPT_COL).isNotNull() if readers.CORRUPT_COL in raw.columns else F.lit(False)
+        counted = raw.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"))
+        good = readers.drop_corrupt(counted) if readers.CORRUPT_COL in raw.columns else counted
+        observed.extend([seen, kept])
+        return quality.clean_table(good, config).observe(kept, F.count(F.lit(1)).alias("n"))
+
+    observed: list[Observation] = []
+    clean = sinks.materialize(raw.sparkSession, path, build, key=repr(config), rebuild=rebuild)
+    if observed:
+        seen, kept = observed
+        counts = {"rows_in": seen.get["n"], "rows_corrupt": seen.get["bad"], "rows_clean": kept.get["n"]}
+    else:
+        counts["rows_clean"] = clean.count()
+    return clean, counts
 
 
 def ingest(
@@ -91,43 +106,35 @@ def ingest(
 ) -> tuple[DataFrame, dict]:
     """Raw catalogue (JSON lines / delimited / Parquet) → cleaned Parquet table.
 
-    Reads with declared schemas, applies the optional record cap, cleans,
-    writes ``sink_path`` once and reads it back; a completed table already at
-    ``sink_path`` is reused when ``reuse`` (counts then hold only its size).
+    Reads with declared schemas, cleans, writes ``sink_path`` once and reads it
+    back; a completed table of the same parameters is reused when ``reuse``.
     """
-    if reuse and sinks.path_exists(spark, f"{sink_path.rstrip('/')}/_SUCCESS"):
-        clean = spark.read.parquet(sink_path)
-        return clean, {"rows_in": None, "rows_clean": clean.count()}
     raw = readers.load_products(
-        spark, source_path, fmt=fmt, max_records=config.max_records,
-        measures=config.measure_cols, descriptive=config.descriptive_cols,
+        spark, source_path, fmt=fmt, measures=config.measure_cols, descriptive=config.descriptive_cols, keep_corrupt=True
     )
-    return clean_and_store(raw, config, sink_path)
-
+    return clean_and_store(raw, config, sink_path, rebuild=not reuse)
 
-def prepare(
-    clean: DataFrame, config: JobConfig, rows: int | None = None
-) -> tuple[DataFrame, int, list, PipelineModel]:
-    """Narrow, balance, materialise, trim feature by feature, assemble + scale.
 
-    Returns the persisted prepared frame, its row count, the bounds and the
-    fitted scaler.
-    """
+def prepare(clean: DataFrame, config: JobConfig, path: str) -> tuple[DataFrame, int, list, PipelineModel]:
+    """Trim feature by feature, assemble and scale; every column of the clean
+    table stays. Writes the prepared table at ``path``; returns it with its row
+    count, the bounds and the fitted scaler."""
     cols = list(config.feature_cols)
-    # Lineage back to the written clean table is scan → select → spread, so a
-    # persisted copy is enough: a lost block is recomputed from that table.
     # The first quantile pass fills the cache, so no separate action here.
-    narrow = persist_frame(balance(clean.select(*[F.col(f"`{c}`") for c in cols]), rows), eager=False)
+    narrow = persist_frame(clean.select(*[qcol(c) for c in cols]).repartition(config.partitions), eager=False)
     trimmed, bounds = features.outlier_trim(narrow, cols, config.trim)
     if len(bounds) < len(cols):
         # A quantile pass found no values: nothing survived cleaning.
         narrow.unpersist()
         raise ValueError("no rows left after cleaning; cannot scale or fit K-means")
-    scaled, scaler = features.assemble_scale(trimmed, cols)
-    prepared = persist_frame(scaled.drop(features.FEATURES_COL), eager=False)
-    n = prepared.count()  # fills the prepared cache; the narrow one is then released
+    _, scaler = features.assemble_scale(trimmed, cols)
+    whole = clean
+    for c, lo, hi in bounds:
+        whole = whole.filter(qcol(c).between(F.lit(lo), F.lit(hi)))
+    rows = Observation("rows_prepared")
+    sinks.write_parquet(scaler.transform(whole).observe(rows, F.count(F.lit(1)).alias("n")), path)
     narrow.unpersist()
-    return prepared, n, bounds, scaler
+    return clean.sparkSession.read.parquet(path), rows.get["n"], bounds, scaler
 
 
 def run_job(
@@ -137,44 +144,39 @@ def run_job(
     clean_path: str | None = None,
     reuse_clean: bool = True,
 ) -> JobResult:
-    """Run every stage. With ``clean_path`` naming a completed table (its
-    ``_SUCCESS`` marker exists) and ``reuse_clean``, ingest is skipped and that
-    table is read, as a rerun of the job would do."""
+    """Run every stage. With ``clean_path`` naming a completed table of the same
+    parameters and ``reuse_clean``, ingest is skipped and that table is read, as
+    a rerun of the job would do. Call ``release`` on the result when done."""
     timings: dict[str, float] = {}
-    jobs: dict[str, int] = {}
-    last_job = [_last_job_id(spark)]
+    scratch: list[str] = []
 
     def stamp(name: str, t0: float) -> float:
         now = time.perf_counter()
         timings[name] = round(now - t0, 3)
-        job = _last_job_id(spark)
-        jobs[name] = job - last_job[0]
-        last_job[0] = job
         return now
 
+    def own_path(name: str) -> str:
+        scratch.append(scratch_path(spark, name))
+        return scratch[-1]
+
+    cols = list(config.feature_cols)
     t = time.perf_counter()
-    if clean_path and reuse_clean and sinks.path_exists(spark, f"{clean_path.rstrip('/')}/_SUCCESS"):
-        clean = spark.read.parquet(clean_path)
-        counts = {"rows_in": None, "rows_clean": clean.count()}
-    else:
-        clean, counts = clean_and_store(raw, config.clean, clean_path or scratch_path(spark, "clean.parquet"))
+    clean, counts = clean_and_store(raw, config.clean, clean_path or own_path("clean.parquet"), rebuild=not reuse_clean)
     t = stamp("ingest_clean", t)
 
-    prepared, counts["rows_prepared"], bounds, scaler = prepare(clean, config, counts["rows_clean"])
-    t = stamp("trim_scale", t)
+    summary = profile.summary_stats(clean, cols, config.trim.relative_error)
+    order = [c for c in clean.columns if c not in cols] + cols
+    preview = profile.preview(clean, config.preview_rows, order)
+    t = stamp("profile", t)
+
+    prepared, counts["rows_prepared"], bounds, scaler = prepare(clean, config, own_path("prepared.parquet"))
     if counts["rows_prepared"] == 0:
         raise ValueError("no rows left after cleaning and trimming; cannot fit K-means")
+    vectors = persist_frame(prepared.select(features.SCALED_COL).repartition(config.partitions))
+    t = stamp("trim_scale", t)
 
-    # The sweep and the final fit read projections of the cached prepared
-    # frame; a projection is itself uncached, so MLlib caches deserialized
-    # vectors for its own passes (concurrency is capped by storage memory).
-    vectors = prepared.select(features.SCALED_COL)
-    sweep = clustering.kmeans_sweep(
-        prepared, features.SCALED_COL, config.sweep, rows=counts["rows_prepared"], dims=len(config.feature_cols)
-    )
-    sweep = sweep.persist()
-    choice_row = clustering.choose_k(sweep, config.choose).first()
-    choice = choice_row.asDict()
+    sweep = clustering.kmeans_sweep(vectors, features.SCALED_COL, config.sweep)
+    choice = clustering.choose_k(sweep, config.choose).first().asDict()
     if choice["k_final"] is None:
         raise ValueError("no k of the sweep has a defined silhouette (too few distinct rows)")
     k = int(choice["k_final"])
@@ -186,9 +188,8 @@ def run_job(
     t = stamp("final_fit", t)
 
     predictions = model.transform(prepared)
-    cols = list(config.feature_cols)
     # Silhouette, the per-cluster aggregation and the PCA axes only need the
-    # model and the prepared frame: they run as concurrent Spark jobs.
+    # model and the stored vectors: they run as concurrent Spark jobs.
     sizes_and_means = evaluate.cluster_report(predictions, PREDICTION, k, 0.0, cols).persist()
 
     def timed(fn):
@@ -200,7 +201,7 @@ def run_job(
         return run
 
     with ThreadPoolExecutor(max_workers=3) as pool:
-        sil_f = pool.submit(timed(lambda: clustering.silhouette(predictions, features.SCALED_COL, PREDICTION)))
+        sil_f = pool.submit(timed(lambda: clustering.silhouette(model.transform(vectors), features.SCALED_COL, PREDICTION)))
         agg_f = pool.submit(timed(sizes_and_means.count))
         pca_f = pool.submit(
             timed(lambda: pca.principal_components(vectors, features.SCALED_COL, config.pca_components))
@@ -209,17 +210,18 @@ def run_job(
             sil_f.result(), agg_f.result(), pca_f.result()
         )
     report = sizes_and_means.withColumn("silhouette", F.lit(float(score)))
-    profile = report.select(PREDICTION, *[f"{evaluate.AVG_PREFIX}{c}" for c in cols])
+    means = report.select(PREDICTION, *[f"{evaluate.AVG_PREFIX}{c}" for c in cols])
     sizes = report.select(PREDICTION, F.col("size").alias("count")).orderBy(PREDICTION)
-    minmax = evaluate.minmax_normalise(profile, PREDICTION)
-    points = pca.pca_points(predictions, features.SCALED_COL, PREDICTION, axes=axes)
+    minmax = evaluate.minmax_normalise(means, PREDICTION)
+    keys = [c for c in clean.columns if c not in cols]
+    points = pca.pca_points(predictions, features.SCALED_COL, [PREDICTION, *keys], axes=axes)
     stamp("evaluate", t)
 
     return JobResult(
-        clean=clean, prepared=prepared, bounds=bounds, scaler=scaler, sweep=sweep, choice=choice, k=k,
-        model=model, predictions=predictions, silhouette=score, profile=profile, sizes=sizes, minmax=minmax,
-        report=report, pca=points, counts=counts, timings=timings, jobs=jobs,
-        report_cache=sizes_and_means,
+        clean=clean, summary=summary, preview=preview, prepared=prepared, bounds=bounds, scaler=scaler, sweep=sweep,
+        choice=choice, k=k, model=model, predictions=predictions, silhouette=score, profile=means, sizes=sizes,
+        minmax=minmax, report=report, pca=points, counts=counts, timings=timings,
+        cached=[vectors, sizes_and_means], scratch=scratch,
     )
 
 
@@ -228,10 +230,14 @@ def run_job(
 WIDE_JOB = JobConfig(
     feature_cols=WIDE_MEASURES,
     clean=CleanConfig(measure_cols=WIDE_MEASURES, descriptive_cols=WIDE_KEYS, descriptive_type=None),
+    partitions=8,
 )
 
 
 def cluster_report_query(spark: SparkSession, sf_dir: str, config: JobConfig = WIDE_JOB) -> DataFrame:
-    """Run the whole job on ``wide_facts`` of ``sf_dir``; the per-cluster report."""
+    """Run the whole job on ``wide_facts`` of ``sf_dir``; the per-cluster report
+    (k rows, which is all that is left when the job's tables are released)."""
     result = run_job(spark, load_wide(spark, sf_dir), config)
-    return result.report
+    report = spark.createDataFrame(result.report.collect(), result.report.schema)
+    result.release()
+    return report

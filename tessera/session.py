@@ -1,14 +1,13 @@
-"""Session helpers: shared checkpoint folder, scratch paths, local sessions.
+"""Session helpers: the shared folder, scratch tables, cut lineage.
 
-Library code never invents a machine-local folder: lineage is cut and scratch
-tables are written under the folder the cluster names in
-``spark.checkpoint.dir``. Only local sessions (tests, bench, smoke entry) set
-one, and only when it is unset.
+Intermediate tables and checkpoints lie under the folder the cluster names in
+``spark.checkpoint.dir``. Nothing here invents another place: without that
+setting a job that needs the folder raises. Entry points for tests and local
+runs set it themselves (:func:`use_checkpoint_dir`), and only where it is unset.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -17,40 +16,36 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder of this session, or None when unset."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder of this application; raises where none is named."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get(CHECKPOINT_CONF, None)
+        if not configured:
+            raise RuntimeError(f"{CHECKPOINT_CONF} is unset; it must name a folder all executors share")
         sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    return None
+    return sc.getCheckpointDir().rstrip("/")
 
 
-def ensure_local_checkpoint_dir(spark: SparkSession) -> str:
-    """For local sessions only: set a checkpoint folder if none is named."""
-    found = checkpoint_dir(spark)
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            f"{CHECKPOINT_CONF} is unset; a cluster job needs a shared folder there"
-        )
-    folder = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir()
+def use_checkpoint_dir(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of a session that has none yet."""
+    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get(CHECKPOINT_CONF, None):
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if base is None:
-        base = ensure_local_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/scratch/{uuid.uuid4().hex}/{name}"
+    """A fresh path in this application's part of the shared folder."""
+    return f"{checkpoint_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables, once nothing reads them any more."""
+    remove_path(spark, f"{checkpoint_dir(spark)}/scratch")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def persist_frame(
@@ -66,42 +61,18 @@ def persist_frame(
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` so later passes neither recompute nor depend on it.
-
-    With a checkpoint folder the frame is checkpointed there (survives executor
-    loss without recomputation); otherwise it is persisted memory-and-disk.
-    """
-    spark = df.sparkSession
-    if checkpoint_dir(spark):
-        return df.checkpoint(eager=True)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
-
-
-def balance(df: DataFrame, rows: int | None = None, min_rows_per_partition: int = 50_000) -> DataFrame:
-    """Spread a frame over the cluster's parallelism, sized by its row count.
-
-    A large scan already has thousands of splits and is left as is. A small or
-    single-row-group input is round-robin repartitioned to
-    ``clamp(rows / min_rows_per_partition, 1, parallelism)`` partitions, so
-    iterative work (quantile passes, K-means iterations) uses every core without
-    paying per-task overhead on partitions that hold almost nothing.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if rows is not None:
-        target = max(1, min(target, -(-int(rows) // min_rows_per_partition)))
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    """Checkpoint ``df`` in the shared folder, so later passes neither recompute
+    nor depend on what came before."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def cluster_conf(
     advisory_partition_bytes: str = "256m", max_partition_bytes: str = "256m", shuffle_partitions: int = 4000
 ) -> dict[str, str]:
     """Settings this library is designed for on a large cluster (apply them to
-    the session builder or ``spark-submit``). The only shuffles are partial
-    aggregates, so AQE coalescing shrinks the initial partition count."""
+    the session builder or ``spark-submit``); AQE coalesces the initial
+    partition count where a shuffle is small."""
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -112,8 +83,8 @@ def cluster_conf(
     }
 
 
-def local_session(cpus: int | str = "*", app: str = "tessera", **conf: str) -> SparkSession:
-    """A local session for tests, bench and the smoke entry."""
+def local_session(cpus: int | str, checkpoint_folder: str, app: str = "tessera", **conf: str) -> SparkSession:
+    """A local session for tests, bench and scripts."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -129,5 +100,5 @@ def local_session(cpus: int | str = "*", app: str = "tessera", **conf: str) -> S
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_local_checkpoint_dir(spark)
+    use_checkpoint_dir(spark, checkpoint_folder)
     return spark

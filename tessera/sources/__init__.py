@@ -1,21 +1,19 @@
 """Sources and sinks."""
 
 from tessera.sources.readers import (
-    cap_rows,
     choose_delimiter,
-    count_corrupt,
     detect_format,
+    drop_corrupt,
     load_products,
     nested_schema,
     read_delimited,
     read_json,
     read_parquet,
-    read_table,
 )
 from tessera.sources.sinks import load_kmeans, materialize, path_exists, save_model, write_parquet, write_report
 
 __all__ = [
-    "cap_rows", "choose_delimiter", "count_corrupt", "detect_format", "load_products",
-    "nested_schema", "read_delimited", "read_json", "read_parquet", "read_table",
-    "load_kmeans", "materialize", "path_exists", "save_model", "write_parquet", "write_report",
+    "choose_delimiter", "detect_format", "drop_corrupt", "load_products", "nested_schema", "read_delimited",
+    "read_json", "read_parquet", "load_kmeans", "materialize", "path_exists", "save_model", "write_parquet",
+    "write_report",
 ]

@@ -7,7 +7,9 @@ later), so no inference pass scans the data first.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from tessera.config import (
     PRODUCT_MEASURE_COLUMNS,
     PRODUCT_MEASURE_STRUCT,
 )
+from tessera.operators.quality import flatten_struct
 
 CORRUPT_COL = "_corrupt_record"
 DELIMITERS = ("\t", ",")
@@ -42,7 +45,7 @@ def read_json(
 
     Blank lines are skipped by the reader; a malformed line becomes one row
     with the raw text in ``_corrupt_record``. Those rows are dropped unless
-    ``keep_corrupt`` (use :func:`count_corrupt` to measure them).
+    ``keep_corrupt``; the job counts them on its one pass.
     """
     full = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType())])
     df = (
@@ -51,25 +54,45 @@ def read_json(
         .option("columnNameOfCorruptRecord", CORRUPT_COL)
         .json(path)
     )
-    if keep_corrupt:
-        return df
-    return df.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+    return df if keep_corrupt else drop_corrupt(df)
 
 
-def count_corrupt(spark: SparkSession, path: str, schema: StructType) -> int:
-    """Malformed lines in one pass (a parsed field is read alongside, since Spark
-    refuses scans that reference only the corrupt-record column)."""
-    raw = read_json(spark, path, schema, keep_corrupt=True)
-    first = schema.fields[0].name
-    row = raw.agg(F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("bad"), F.count(F.col(f"`{first}`"))).first()
-    return int(row["bad"])
+def drop_corrupt(df: DataFrame) -> DataFrame:
+    """Without the rows a reader marked as malformed, and without the mark."""
+    return df.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
 
 
-def _header_line(spark: SparkSession, path: str) -> str:
-    row = spark.read.text(path).limit(1).first()
-    if row is None:
+def header_groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files of ``path`` by their first line; only that line of each is read."""
+    files = spark.read.text(path).inputFiles()
+    if not files:
         raise ValueError(f"no header line in {path}")
-    return row[0]
+    groups: dict[str, list[str]] = {}
+    for file in sorted(files):
+        header = _first_line(spark, file)
+        if header:
+            groups.setdefault(header, []).append(file)
+    if not groups:
+        raise ValueError(f"no header line in {path}")
+    return groups
+
+
+def _first_line(spark: SparkSession, file: str) -> str:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        source = codec.createInputStream(stream) if codec else stream
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
+        return (lines.readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()
+
+
+def split_header(header: str, sep: str) -> list[str]:
+    """Column names of a header line, quoted ones included."""
+    return [name.strip() for name in next(csv.reader([header], delimiter=sep))]
 
 
 def choose_delimiter(header: str, expected: Sequence[str], candidates: Sequence[str] = DELIMITERS) -> str:
@@ -77,14 +100,14 @@ def choose_delimiter(header: str, expected: Sequence[str], candidates: Sequence[
 
     A wrong separator raises nothing in Spark (the whole line becomes one
     column), so the choice is made from the header rather than from errors.
+    Where no candidate yields an expected name, this raises.
     """
     wanted = set(expected)
-
-    def score(sep: str) -> tuple[int, int]:
-        names = [h.strip().strip('"') for h in header.split(sep)]
-        return (len(wanted.intersection(names)), len(names))
-
-    return max(candidates, key=score)
+    found = {sep: len(wanted.intersection(split_header(header, sep))) for sep in candidates}
+    best = max(candidates, key=lambda sep: found[sep])
+    if wanted and not found[best]:
+        raise ValueError(f"no separator of {list(candidates)} yields an expected column name: {header[:200]!r}")
+    return best
 
 
 def read_delimited(
@@ -93,27 +116,35 @@ def read_delimited(
     expected: Sequence[str] = (),
     renames: Mapping[str, str] | None = None,
     sep: str | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Header-first delimited text, every column as string, then renamed.
 
-    The header (one line) picks the separator when ``sep`` is None and names
-    the string schema, so the scan itself needs no inference pass.
+    The header of each file picks its separator when ``sep`` is None and names
+    its string schema, so no inference pass is needed and files of one folder
+    may order their columns differently; they are united by name. Rows with too
+    many or too few fields are dropped, or marked in ``_corrupt_record`` with
+    ``keep_corrupt``.
     """
     renames = dict(renames or {})
-    header = _header_line(spark, path)
-    expected_raw = list(expected) + list(renames)
-    chosen = sep or choose_delimiter(header, expected_raw)
-    names = [h.strip().strip('"') for h in header.split(chosen)]
-    schema = StructType([StructField(n, StringType()) for n in names])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", chosen)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
-    live = {o: n for o, n in renames.items() if o in names and o != n}
-    return df.withColumnsRenamed(live) if live else df
+    frames = []
+    for header, files in header_groups(spark, path).items():
+        chosen = sep or choose_delimiter(header, list(expected) + list(renames))
+        names = split_header(header, chosen)
+        schema = StructType([StructField(n, StringType()) for n in [*names, CORRUPT_COL]])
+        df = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("sep", chosen)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COL)
+            .csv(files)
+        )
+        live = {o: n for o, n in renames.items() if o in names and o != n}
+        frames.append(df.withColumnsRenamed(live) if live else df)
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    out = out.select(*[F.col(f"`{c}`") for c in out.columns if c != CORRUPT_COL], CORRUPT_COL)
+    return out if keep_corrupt else drop_corrupt(out)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -142,56 +173,27 @@ def detect_format(path: str) -> str:
     raise ValueError(f"Unsupported file format: {path}")
 
 
-def read_table(
-    spark: SparkSession,
-    path: str,
-    fmt: str | None = None,
-    schema: StructType | None = None,
-    expected: Sequence[str] = (),
-    renames: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """Dispatch on ``fmt`` or the path's extension (json / delimited / parquet)."""
-    fmt = fmt or detect_format(path)
-    if fmt == "json":
-        return read_json(spark, path, schema or nested_schema())
-    if fmt in ("delimited", "csv", "tsv"):
-        return read_delimited(spark, path, expected, renames)
-    if fmt == "parquet":
-        return read_parquet(spark, path)
-    raise ValueError(f"Unsupported file format: {fmt}")
-
-
-def cap_rows(df: DataFrame, max_records: int | None) -> DataFrame:
-    """Optional record cap. A global limit gathers rows in one partition, so the
-    result is spread again to the cluster's parallelism."""
-    if max_records is None:
-        return df
-    parts = df.sparkSession.sparkContext.defaultParallelism
-    return df.limit(int(max_records)).repartition(parts)
-
-
 def load_products(
     spark: SparkSession,
     path: str,
     fmt: str | None = None,
-    max_records: int | None = None,
     measures: Sequence[str] = PRODUCT_MEASURE_COLUMNS,
     descriptive: Sequence[str] = PRODUCT_DESCRIPTIVE_COLUMNS,
     struct_name: str = PRODUCT_MEASURE_STRUCT,
     renames: Mapping[str, str] = PRODUCT_DELIMITED_RENAMES,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Flat raw catalogue: descriptors + measures (strings), from any format."""
+    """Flat raw catalogue from any format: descriptors + measures (strings).
+    With ``keep_corrupt`` malformed rows stay, marked in ``_corrupt_record``
+    (null for all rows of a Parquet table)."""
     fmt = fmt or detect_format(path)
     if fmt == "json":
-        raw = read_json(spark, path, nested_schema(descriptive, struct_name, measures))
-        flat = raw.select(
-            *[F.col(f"`{c}`") for c in descriptive],
-            *[F.col(struct_name).getField(m).alias(m) for m in measures],
-        )
-    elif fmt in ("delimited", "csv", "tsv"):
-        flat = read_delimited(spark, path, list(descriptive) + list(measures), renames)
-    elif fmt == "parquet":
-        flat = spark.read.parquet(path)
-    else:
-        raise ValueError(f"Unsupported file format: {fmt}")
-    return cap_rows(flat, max_records)
+        raw = read_json(spark, path, nested_schema(descriptive, struct_name, measures), keep_corrupt)
+        extra = [CORRUPT_COL] if keep_corrupt else []
+        return flatten_struct(raw, struct_name, measures, keep=[*descriptive, *extra])
+    if fmt in ("delimited", "csv", "tsv"):
+        return read_delimited(spark, path, list(descriptive) + list(measures), renames, keep_corrupt=keep_corrupt)
+    if fmt == "parquet":
+        table = spark.read.parquet(path)
+        return table.withColumn(CORRUPT_COL, F.lit(None).cast("string")) if keep_corrupt else table
+    raise ValueError(f"Unsupported file format: {fmt}")

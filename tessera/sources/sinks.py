@@ -19,19 +19,48 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     writer.parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read the table at ``path`` if a completed write exists, else build,
-    write and read it back. Completion is the ``_SUCCESS`` marker, so a
-    half-written folder from a failed job is rebuilt, not trusted."""
-    if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return bool(files.exists(place))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, replacing any at ``path``."""
+    place, files = _place(spark, path)
+    out = files.create(place, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, None where there is none."""
+    if not path_exists(spark, path):
+        return None
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
+def materialize(
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], key: str = "", rebuild: bool = False
+) -> DataFrame:
+    """Read the table at ``path`` if a completed write of the same ``key`` exists,
+    else build, write and read it back.
+
+    Completion is the ``_SUCCESS`` marker, so a half-written folder from a failed
+    job is rebuilt, not trusted. ``key`` names the parameters of the table; it is
+    kept beside the table (``<path>.key``), and another key rebuilds it.
+    """
+    beside = f"{path.rstrip('/')}.key"
+    complete = path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+    if rebuild or not complete or (read_text(spark, beside) or "") != key:
         write_parquet(build(), path)
+        write_text(spark, beside, key)
     return spark.read.parquet(path)
 
 

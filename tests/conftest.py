@@ -6,15 +6,16 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tessera.session import local_session  # noqa: E402
+from tessera.session import clear_scratch, local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, app="tessera-tests")
+    session = local_session(4, tempfile.mkdtemp(prefix="tessera-checkpoint-"), app="tessera-tests")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -5,7 +5,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from tessera import cli
-from tessera.config import PRODUCT_MEASURE_COLUMNS
+from tessera.config import PRODUCT_MEASURE_COLUMNS, JobConfig
 
 
 def test_cli_runs_the_whole_job_on_a_json_catalogue(spark, tmp_dir):
@@ -22,11 +22,16 @@ def test_cli_runs_the_whole_job_on_a_json_catalogue(spark, tmp_dir):
     src = os.path.join(tmp_dir, "products.json")
     nested.write.json(src)
     work = os.path.join(tmp_dir, "run")
-    summary = cli.main(["--source", src, "--format", "json", "--work-dir", work], spark=spark)
+    summary = cli.main(["--source", src, "--format", "json", "--work-dir", work], spark, JobConfig(partitions=4))
     assert summary["rows"]["rows_clean"] > 0 and summary["k"] >= 4
     assert os.path.exists(os.path.join(work, "model", "metadata"))
     report = spark.read.json(os.path.join(work, "report.json"))
     assert report.agg(F.sum("size")).first()[0] == summary["rows"]["rows_prepared"]
     assert spark.read.json(os.path.join(work, "sweep.json")).count() == 14
     assert spark.read.parquet(os.path.join(work, "pca_points.parquet")).count() == summary["rows"]["rows_prepared"]
+    predictions = spark.read.parquet(os.path.join(work, "predictions.parquet"))
+    assert predictions.where("_id IS NOT NULL").count() == summary["rows"]["rows_prepared"]
+    assert {*PRODUCT_MEASURE_COLUMNS, "features", "scaled_features", "prediction"} <= set(predictions.columns)
+    assert spark.read.json(os.path.join(work, "summary.json")).count() == len(PRODUCT_MEASURE_COLUMNS)
+    assert spark.read.json(os.path.join(work, "preview.json")).count() == 20
     json.dumps(summary)

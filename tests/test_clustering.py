@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.linalg import Vectors
 
 from tessera.config import ChooseConfig, SweepConfig
@@ -59,7 +60,7 @@ def test_silhouette_matches_pairwise_brute_force_with_singleton_and_sparse_label
 
 def test_silhouette_one_cluster_raises(spark):
     df = spark.createDataFrame([([1.0, 2.0], 0), ([2.0, 1.0], 0)], "v array<double>, c int")
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="greater than one"):
         clustering.silhouette(df, "v", "c")
 
 
@@ -115,12 +116,13 @@ def test_pca_matches_numpy_eigh_up_to_sign(spark):
     axes = pca.principal_components(df, "v", 2)
     w, v = np.linalg.eigh(np.cov(x, rowvar=False))
     top = v[:, np.argsort(w)[::-1][:2]]
+    loadings = axes.loadings()
     for j in range(2):
-        assert min(np.abs(np.array(axes[j]) - top[:, j]).max(), np.abs(np.array(axes[j]) + top[:, j]).max()) < 1e-8
-        assert max(axes[j], key=abs) > 0
-    pts = pca.pca_points(df, "v", "c", axes=axes).collect()
+        assert min(np.abs(np.array(loadings[j]) - top[:, j]).max(), np.abs(np.array(loadings[j]) + top[:, j]).max()) < 1e-8
+        assert max(loadings[j], key=abs) > 0
+    pts = pca.pca_points(df, "v", ["c"], axes=axes).collect()
     assert len(pts) == 300
-    np.testing.assert_allclose([p["x"] for p in pts], x @ np.array(axes[0]), atol=1e-9)
+    np.testing.assert_allclose([p["x"] for p in pts], x @ np.array(loadings[0]), atol=1e-9)
 
 
 def test_covariance_matrix(spark):
@@ -133,18 +135,7 @@ def test_covariance_matrix(spark):
     assert cov[("a", "c")] == pytest.approx(ref[0, 2], rel=1e-10)
 
 
-def test_sweep_parallelism_is_bounded_by_storage_memory(spark):
-    storage = clustering.storage_memory(spark)
-    assert storage > 0
-    assert clustering.sweep_parallelism(spark, 8, None, None) == 8
-    assert clustering.sweep_parallelism(spark, 8, 1000, 9) == 8
-    huge_rows = storage  # one copy alone exceeds storage
-    assert clustering.sweep_parallelism(spark, 8, huge_rows, 9) == 1
-
-
-def test_batched_sweep_equals_mllib_per_k(spark):
-    from pyspark.ml.clustering import KMeans
-
+def test_sweep_equals_single_fits(spark):
     rng = np.random.default_rng(5)
     pts = np.vstack([rng.normal(loc=c, scale=0.7, size=(150, 3)) for c in ((0, 0, 0), (4, 4, 0), (0, 4, 4))])
     df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in pts], ["f"]).repartition(3).cache()
@@ -155,24 +146,32 @@ def test_batched_sweep_equals_mllib_per_k(spark):
         assert got[k]["iterations"] == model.summary.numIter
         assert got[k]["wssse"] == pytest.approx(model.summary.trainingCost, rel=1e-9)
         assert got[k]["silhouette"] == pytest.approx(clustering.silhouette(model.transform(df), "f"), abs=1e-9)
-        centres = [(i, list(c)) for i, c in enumerate(model.clusterCenters())]
-        exact = clustering.wssse(clustering.assign_nearest(df, "f", centres), "f", "prediction", centres).first()[0]
-        assert got[k]["final_wssse"] == pytest.approx(exact, rel=1e-9)
-
-
-def test_batched_sweep_partials_paths_agree(spark, monkeypatch):
-    from tessera.operators import sweep
-
-    rng = np.random.default_rng(6)
-    pts = rng.normal(size=(300, 4))
-    df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in pts], ["f"]).repartition(4).cache()
-    cfg = SweepConfig(min_k=2, max_k=4, max_iter=10, parallelism=2)
-    direct = sorted(tuple(r) for r in clustering.kmeans_sweep(df, "f", cfg).collect())
-    monkeypatch.setattr(sweep, "MAX_DIRECT_PARTIAL_ROWS", 0)
-    grouped = sorted(tuple(r) for r in clustering.kmeans_sweep(df, "f", cfg).collect())
-    assert [r[0] for r in direct] == [r[0] for r in grouped] and [r[4] for r in direct] == [r[4] for r in grouped]
-    for a, b in zip(direct, grouped):
-        assert a[1] == pytest.approx(b[1], rel=1e-9) and a[2] == pytest.approx(b[2], abs=1e-9)
+
+
+def test_large_coordinates_keep_their_precision(spark):
+    df = spark.createDataFrame([(0, [1e9 + 0.9]), (1, [1e9 + 0.1])], "id int, v array<double>")
+    got = clustering.assign_nearest(df, "v", [(0, [1e9]), (1, [1e9 + 1])]).orderBy("id").collect()
+    assert [r["prediction"] for r in got] == [1, 0]
+
+
+def test_label_without_a_centre_raises(spark):
+    df = spark.createDataFrame([([1.0], 0), ([2.0], 0), ([3.0], 5)], "v array<double>, c int")
+    with pytest.raises(Exception, match="no centre"):
+        clustering.wssse(df, "v", "c", [(0, [0.0])]).collect()
+    with pytest.raises(Exception, match="no centre"):
+        clustering.wssse(df.withColumn("c", df["c"].cast("string").cast("int") * 0 + 0.5), "v", "c", [(0, [0.0])]).collect()
+
+
+def test_too_many_centres_raise(spark):
+    many = spark.range(20).selectExpr("id AS label", "array(0D) AS centre")
+    assert len(clustering.collect_centres(many, most=20)) == 20
+    with pytest.raises(ValueError, match="more than 19"):
+        clustering.collect_centres(many, most=19)
+
+
+def test_one_cluster(spark):
+    df = spark.createDataFrame([(1, 0), (2, 7), (3, 7), (4, None)], "id int, c int")
+    assert [r["id"] for r in evaluate.one_cluster(df, "c", 7).orderBy("id").collect()] == [2, 3]
 
 
 def test_choose_k_ignores_nan_scores(spark):

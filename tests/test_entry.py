@@ -5,19 +5,23 @@ import pytest
 
 from conftest import SF_SMALL
 
+from tessera.plans.catalog import QUERIES
+from tessera.plans.oracle import ORACLE
+
 entry = importlib.import_module("__spark_entry__")
 
 TABLES = "lineitem embeddings documents events".split()
 FAST_KEYS = [
     "parquet_scan", "impute_zero", "validity_count", "json_nested_scan", "csv_tab_scan", "csv_comma_scan",
     "outlier_trim", "summary_stats", "word_count", "assign_nearest", "silhouette", "choose_k", "cov_matrix",
-    "format_stats", "cast_clean", "seeded_sweep", "lloyd_step", "preview",
+    "format_stats", "cast_clean", "preview", "plain_format", "cluster_filter", "kmeans_fit", "model_roundtrip",
+    "pca_points", "cluster_predictions", "stage_counts", "wssse", "cluster_minmax",
 ]
 
 
 def test_oracle_keys_are_registered():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not any(k.startswith("op") and k[2:3].isdigit() for k in entry.queries())
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.fixture(scope="module")

@@ -1,22 +1,23 @@
-from pyspark.sql import functions as F
+import os
+from dataclasses import replace
 
 from conftest import SF_SMALL
-from tessera.plans.job import WIDE_JOB, run_job
-from tessera.plans.wide import load_wide
+from pyspark.sql import functions as F
 
+from tessera.config import CleanConfig, SweepConfig, TrimConfig
+from tessera.plans.job import WIDE_JOB, ingest, run_job
+from tessera.plans.wide import WIDE_KEYS, load_wide
 
-def test_whole_job_invariants(spark, tmp_dir):
-    import os
+SHORT = replace(WIDE_JOB, sweep=SweepConfig(min_k=2, max_k=4, max_iter=5))
 
-    from tessera.config import JobConfig
-    from dataclasses import replace
 
+def test_whole_job_invariants(spark, tmp_dir):
     config = replace(WIDE_JOB, model_path=os.path.join(tmp_dir, "model"))
-    assert isinstance(config, JobConfig)
-    result = run_job(spark, load_wide(spark, SF_SMALL), config)
+    wide = load_wide(spark, SF_SMALL)
+    result = run_job(spark, wide, config)
     counts = result.counts
-    assert counts["rows_in"] == 6000 or counts["rows_in"] > 0
-    assert counts["rows_in"] >= counts["rows_clean"] >= counts["rows_prepared"] > 0
+    assert counts["rows_in"] == wide.count() and counts["rows_corrupt"] == 0
+    assert counts["rows_clean"] == result.clean.count() and counts["rows_prepared"] == result.prepared.count() > 0
     sweep = result.sweep.orderBy("k").collect()
     assert [r["k"] for r in sweep] == list(range(2, 16))
     assert all(-1 <= r["silhouette"] <= 1 for r in sweep)
@@ -26,52 +27,80 @@ def test_whole_job_invariants(spark, tmp_dir):
     assert {r["k"] for r in report} == {result.k}
     assert -1 <= result.silhouette <= 1
     assert result.pca.count() == counts["rows_prepared"]
-    assert set(result.pca.columns) == {"x", "y", "prediction"}
+    assert result.pca.columns == ["x", "y", "prediction", *WIDE_KEYS]
     norm = result.minmax.agg(*[F.min(c).alias(c) for c in result.minmax.columns if c != "prediction"]).first()
     assert all(v == 0.0 for v in norm)
     assert os.path.exists(os.path.join(tmp_dir, "model", "metadata"))
     # The cleaned table has no gaps left.
     clean = result.clean
     assert clean.filter(" OR ".join(f"{c} IS NULL OR isnan({c})" for c in WIDE_JOB.feature_cols)).count() == 0
+    assert {r["column"] for r in result.summary.collect()} == set(WIDE_JOB.feature_cols)
+    order = [*WIDE_KEYS, *WIDE_JOB.feature_cols]
+    assert [tuple(r) for r in result.preview.collect()] == [tuple(r) for r in clean.orderBy(*order).limit(20).collect()]
+    paths = [p.removeprefix("file:") for p in result.scratch]
+    assert all(os.path.exists(p) for p in paths)
     result.release()
-    assert not result.prepared.is_cached
+    assert not any(f.is_cached for f in result.cached) and not any(os.path.exists(p) for p in paths)
 
 
-def test_job_reuses_a_completed_clean_table(spark, tmp_dir):
-    import os
-    from dataclasses import replace
+def test_predictions_carry_ids_and_every_column(spark):
+    result = run_job(spark, load_wide(spark, SF_SMALL), replace(SHORT, trim=TrimConfig(relative_error=0.0)))
+    cols = [*WIDE_KEYS, *WIDE_JOB.feature_cols]
+    assert result.prepared.columns == [*cols, "features", "scaled_features"]
+    assert result.predictions.columns == [*result.prepared.columns, "prediction"]
+    kept = result.clean
+    for c, lo, hi in result.bounds:
+        kept = kept.filter(F.col(c).between(lo, hi))
+    assert kept.select(cols).exceptAll(result.predictions.select(cols)).count() == 0
+    assert result.predictions.count() == kept.count()
+    result.release()
 
-    from tessera.config import SweepConfig
 
-    config = replace(WIDE_JOB, sweep=SweepConfig(min_k=2, max_k=3, max_iter=5))
+def test_job_reuses_a_completed_clean_table_of_the_same_parameters(spark, tmp_dir):
     path = os.path.join(tmp_dir, "clean.parquet")
-    first = run_job(spark, load_wide(spark, SF_SMALL), config, clean_path=path)
+    first = run_job(spark, load_wide(spark, SF_SMALL), SHORT, clean_path=path)
     assert first.counts["rows_in"] is not None
     # The raw frame is not read again: an empty stand-in gives the same result.
     empty = load_wide(spark, SF_SMALL).limit(0)
-    second = run_job(spark, empty, config, clean_path=path)
+    second = run_job(spark, empty, SHORT, clean_path=path)
     assert second.counts["rows_in"] is None
     assert second.counts["rows_clean"] == first.counts["rows_clean"]
     assert second.counts["rows_prepared"] == first.counts["rows_prepared"]
+    # Other clean parameters rebuild the table.
+    strict = replace(SHORT, clean=replace(SHORT.clean, min_valid=8))
+    third = run_job(spark, load_wide(spark, SF_SMALL), strict, clean_path=path)
+    assert third.counts["rows_in"] == first.counts["rows_in"] and third.counts["rows_clean"] < first.counts["rows_clean"]
+    for result in (first, second, third):
+        result.release()
 
 
-def test_ingest_json_to_clean_table_and_reuse(spark, tmp_dir):
-    import os
+ROWS = [
+    '{"_id": "1", "product_name": "a", "nutriments": {"energy_100g": 100, "proteins_100g": 2, '
+    '"carbohydrates_100g": 3, "sugars_100g": 4, "fat_100g": 5}}',
+    '{"_id": "2", "product_name": "b", "nutriments": {"energy_100g": 100}}',
+    "broken{",
+]
 
-    from tessera.config import CleanConfig
-    from tessera.plans.job import ingest
 
+def test_ingest_json_to_clean_table_and_reuse(spark, tmp_dir):
     src = os.path.join(tmp_dir, "products.json")
-    rows = [
-        '{"_id": "1", "product_name": "a", "nutriments": {"energy_100g": 100, "proteins_100g": 2, '
-        '"carbohydrates_100g": 3, "sugars_100g": 4, "fat_100g": 5}}',
-        '{"_id": "2", "product_name": "b", "nutriments": {"energy_100g": 100}}',
-    ]
     with open(src, "w") as fh:
-        fh.write("\n".join(rows) + "\n")
+        fh.write("\n".join(ROWS) + "\n")
     sink = os.path.join(tmp_dir, "clean.parquet")
     clean, counts = ingest(spark, src, sink, CleanConfig())
-    assert counts == {"rows_in": 2, "rows_clean": 1}
+    assert counts == {"rows_in": 3, "rows_corrupt": 1, "rows_clean": 1}
     assert clean.first()["_id"] == "1" and clean.first()["fiber_100g"] == 0.0
     again, counts2 = ingest(spark, src, sink, CleanConfig())
-    assert counts2 == {"rows_in": None, "rows_clean": 1}
+    assert counts2 == {"rows_in": None, "rows_corrupt": None, "rows_clean": 1}
+    _, counts3 = ingest(spark, src, sink, CleanConfig(), reuse=False)
+    assert counts3 == counts
+
+
+def test_ingest_delimited_counts_malformed_rows(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "products.tsv")
+    with open(src, "w") as fh:
+        fh.write("code\tenergy_100g\tproteins_100g\tfat_100g\tsalt_100g\tsodium_100g\n")
+        fh.write("1\t1\t2\t3\t4\t5\n2\t1\n3\t1\t2\t3\t4\t5\t6\t7\n")
+    clean, counts = ingest(spark, src, os.path.join(tmp_dir, "clean.parquet"), CleanConfig())
+    assert counts == {"rows_in": 3, "rows_corrupt": 2, "rows_clean": 1}
+    assert [r["_id"] for r in clean.collect()] == ["1"]

@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from tessera.functions import plain_two_decimals, to_double
 from tessera.operators import profile
 
 
@@ -11,21 +12,38 @@ def _disc(values, q):
     return vals[max(1, math.ceil(q * len(vals))) - 1]
 
 
-@pytest.mark.parametrize("band_limit", [1_000_000, 50, 7])
-def test_exact_quantiles_match_brute_force_including_narrowing(spark, band_limit):
+PROBS = [0.0, 0.02, 0.25, 0.5, 0.75, 0.98, 1.0]
+
+
+@pytest.mark.parametrize("bins", [profile.BINS, 50])
+def test_exact_quantiles_match_brute_force(spark, monkeypatch, bins):
+    monkeypatch.setattr(profile, "BINS", bins)
     rng = random.Random(3)
     # Heavy ties: one value holds a third of the rows.
-    values = [rng.choice([5.0] * 3 + [rng.uniform(-100, 100) for _ in range(6)]) for _ in range(3000)]
-    values += [None, float("nan")]
-    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
-    probs = [0.0, 0.02, 0.25, 0.5, 0.75, 0.98, 1.0]
-    got = profile.exact_quantiles(df, "x", probs, band_limit=band_limit)
-    assert got == [_disc(values, q) for q in probs]
+    ties = [rng.choice([5.0] * 3 + [rng.uniform(-100, 100) for _ in range(6)]) for _ in range(3000)]
+    wide = [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in ties]
+    rows = [*zip(ties, wide, strict=True), (None, float("nan")), (float("nan"), None), (float("inf"), float("-inf"))]
+    df = spark.createDataFrame(rows, "x double, y double").repartition(5)
+    got = profile.exact_quantiles(df, ["x", "y"], PROBS)
+    for i, c in enumerate("xy"):
+        assert got[c] == [_disc([r[i] for r in rows], q) for q in PROBS]
+
+
+@pytest.mark.parametrize("values", [
+    [1.0] * 1000 + [2.0] * 1000, [7.5] * 50, [float(i % 10) for i in range(3000)], [5e-324, 0.0, 1e-323] * 4,
+    [1.7976931348623157e308, -1.7976931348623157e308, 0.0], [1.0, math.nextafter(1.0, 2.0)] * 9,
+    [float("inf")] * 3 + [float("-inf")] * 3,
+])
+@pytest.mark.parametrize("bins", [profile.BINS, 100])
+def test_exact_quantiles_end_on_ties_and_neighbours(spark, monkeypatch, values, bins):
+    monkeypatch.setattr(profile, "BINS", bins)
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert profile.exact_quantiles(df, ["x"], PROBS)["x"] == [_disc(values, q) for q in PROBS]
 
 
 def test_exact_quantiles_empty(spark):
-    df = spark.createDataFrame([], "x double")
-    assert profile.exact_quantiles(df, "x", [0.5]) == []
+    df = spark.createDataFrame([(None, 1.0)], "x double, y double")
+    assert profile.exact_quantiles(df, ["x", "y"], [0.5]) == {"x": [], "y": [1.0]}
 
 
 def test_summary_stats_exact(spark):
@@ -48,10 +66,21 @@ def test_reference_smoke_sentence(spark):
     assert got == {w: 1 for w in "Testing Spark with a simple WordCount example".split(" ")}
 
 
-def test_format_columns_two_decimals(spark):
+def test_two_decimals_grouped_and_plain(spark):
     df = spark.createDataFrame([(1234567.125, 2.675, 0.005, -0.001)], "a double, b double, c double, d double")
     row = profile.format_columns(df, ["a", "b", "c", "d"]).first()
-    assert tuple(row) == ("1,234,567.13", "2.68", "0.01", "-0.00") or tuple(row)[0].startswith("1,234,567.1")
+    assert tuple(row) == ("1,234,567.12", "2.67", "0.01", "-0.00")
+    plain = [plain_two_decimals(df[c]).alias(c) for c in "abcd"]
+    texts = df.select(*plain)
+    assert tuple(texts.first()) == tuple(f"{v:.2f}" for v in (1234567.125, 2.675, 0.005, -0.001))
+    assert tuple(texts.select(*[to_double(texts[c]) for c in "abcd"]).first()) == (1234567.12, 2.67, 0.01, 0.0)
+
+
+def test_preview_does_not_depend_on_the_layout(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(100)], "a int, b int")
+    want = sorted((i % 7, i) for i in range(100))[:9]
+    for parts in (1, 5, 20):
+        assert [tuple(r) for r in profile.preview(df.repartition(parts), 9, ["a", "b"]).collect()] == want
 
 
 def test_sketch_quantiles_within_error(spark):

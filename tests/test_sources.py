@@ -1,8 +1,10 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tessera.config import PRODUCT_DESCRIPTIVE_COLUMNS, PRODUCT_MEASURE_COLUMNS
 from tessera.operators import quality
 from tessera.sources import readers, sinks
 
@@ -31,7 +33,8 @@ def test_json_nested_declared_schema_blank_and_broken_lines(spark, tmp_dir):
     assert rows["00063"]["energy_100g"] == 10.0
     assert rows["00063"]["proteins_100g"] == 12.0  # quoted number
     assert rows["00063"]["saturated-fat_100g"] is None  # junk -> null
-    assert readers.count_corrupt(spark, path, schema) == 1
+    marked = readers.read_json(spark, path, schema, keep_corrupt=True).cache()
+    assert marked.where(F.col(readers.CORRUPT_COL).isNotNull()).count() == 1
 
 
 @pytest.mark.parametrize("sep", ["\t", ","])
@@ -71,14 +74,6 @@ def test_detect_format_and_unsupported():
         readers.detect_format("x/a.xml")
 
 
-def test_cap_rows_spreads_partitions(spark):
-    df = spark.range(1000)
-    capped = readers.cap_rows(df, 500)
-    assert capped.count() == 500
-    assert capped.rdd.getNumPartitions() > 1
-    assert readers.cap_rows(df, None) is df
-
-
 def test_materialize_reuses_completed_table(spark, tmp_dir):
     path = os.path.join(tmp_dir, "t.parquet")
     built = []
@@ -87,13 +82,16 @@ def test_materialize_reuses_completed_table(spark, tmp_dir):
         built.append(1)
         return spark.range(5)
 
-    assert sinks.materialize(spark, path, build).count() == 5
-    assert sinks.materialize(spark, path, build).count() == 5
+    assert sinks.materialize(spark, path, build, key="a").count() == 5
+    assert sinks.materialize(spark, path, build, key="a").count() == 5
     assert built == [1]
+    assert sinks.materialize(spark, path, build, key="b").count() == 5
+    assert sinks.materialize(spark, path, build, key="b", rebuild=True).count() == 5
+    assert built == [1, 1, 1]
 
 
 def test_missing_table_raises(spark, tmp_dir):
-    with pytest.raises(Exception):
+    with pytest.raises(AnalysisException):
         spark.read.parquet(os.path.join(tmp_dir, "absent.parquet")).count()
 
 
@@ -117,8 +115,7 @@ def test_report_sink(spark, tmp_dir):
     assert spark.read.json(path).agg(F.sum("size")).first()[0] == 7
 
 
-NINE = ("energy_100g", "proteins_100g", "carbohydrates_100g", "sugars_100g", "fat_100g",
-        "saturated-fat_100g", "fiber_100g", "salt_100g", "sodium_100g")
+NINE = PRODUCT_MEASURE_COLUMNS
 
 
 def _tsv(tmp_dir, present, values):
@@ -138,7 +135,7 @@ def test_six_of_nine_measures_threshold_on_the_rest(spark, tmp_dir):
     rows = out.collect()
     assert len(rows) == 1 and rows[0]["_id"] == "0"
     assert all(rows[0][c] == 0.0 for c in NINE[5:])
-    assert out.columns == ["_id", "product_name", "brands", "categories", "nutriscore_grade", "nova_group", *NINE]
+    assert out.columns == [*PRODUCT_DESCRIPTIVE_COLUMNS, *NINE]
 
 
 def test_four_of_nine_measures_gives_empty_result_with_full_schema(spark, tmp_dir):
@@ -169,3 +166,37 @@ def test_compressed_json_is_detected_and_read(spark, tmp_dir):
         fh.write('{"_id": "7", "nutriments": {"energy_100g": 3}}\n')
     flat = readers.load_products(spark, path, measures=MEASURES, descriptive=("_id",))
     assert flat.first()["_id"] == "7"
+
+
+def test_folder_with_other_column_orders_and_separators(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "a.csv"), "m1,m2\n1,2\n")
+    _write(os.path.join(tmp_dir, "b.csv"), 'm2,"m1"\n20,10\n')
+    _write(os.path.join(tmp_dir, "c.csv"), "m2\tm3\n200\t300\n")
+    _write(os.path.join(tmp_dir, "d.csv"), "")
+    rows = readers.read_delimited(spark, tmp_dir, ("m1", "m2", "m3")).select("m1", "m2", "m3").collect()
+    assert sorted(map(tuple, rows), key=str) == [("1", "2", None), ("10", "20", None), (None, "200", "300")]
+
+
+def test_header_without_a_separator_raises(spark, tmp_dir):
+    path = _write(os.path.join(tmp_dir, "p.csv"), "m1;m2\n1;2\n")
+    with pytest.raises(ValueError, match="no separator"):
+        readers.read_delimited(spark, path, ("m1", "m2"))
+    with pytest.raises(ValueError, match="no header"):
+        readers.read_delimited(spark, _write(os.path.join(tmp_dir, "e.csv"), ""), ("m1",))
+
+
+def test_malformed_delimited_rows_are_marked_or_dropped(spark, tmp_dir):
+    path = _write(os.path.join(tmp_dir, "p.csv"), "m1,m2\n1,2\n3\n4,5,6\n7,8\n")
+    good = readers.read_delimited(spark, path, ("m1", "m2"))
+    assert sorted(map(tuple, good.collect())) == [("1", "2"), ("7", "8")]
+    marked = readers.read_delimited(spark, path, ("m1", "m2"), keep_corrupt=True).cache()
+    assert marked.where(F.col(readers.CORRUPT_COL).isNotNull()).count() == 2
+
+
+def test_compressed_delimited_header_is_read(spark, tmp_dir):
+    import gzip
+
+    path = os.path.join(tmp_dir, "p.csv.gz")
+    with gzip.open(path, "wt") as fh:
+        fh.write("code,m1\n7,1\n")
+    assert readers.read_delimited(spark, path, ("m1",), {"code": "_id"}).first().asDict() == {"_id": "7", "m1": "1"}
