@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.config import TrimConfig
 from tessera.functions.exprs import qcol
-from tessera.operators.profile import quantiles
+from tessera.operators.profile import extent, quantiles
 
 FEATURES_COL = "features"
 SCALED_COL = "scaled_features"
@@ -30,8 +30,10 @@ def outlier_trim(
     """
     out = df
     bounds: list[tuple[str, float, float]] = []
+    # Filters only remove rows, so the first extent covers every later pass.
+    known = extent(df, cols) if config.relative_error == 0 else None
     for c in cols:
-        got = quantiles(out, [c], config.probabilities, config.relative_error)[c]
+        got = quantiles(out, [c], config.probabilities, config.relative_error, known)[c]
         if not got:
             return out, bounds
         lo, hi = float(got[0]), float(got[1])

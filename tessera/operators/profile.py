@@ -65,33 +65,51 @@ def _bin(x: Column, lo: float, hi: float, by_magnitude: bool) -> Column:
     return F.when(x == F.lit(float("-inf")), -1).when(x == F.lit(float("inf")), BINS).otherwise(inside).cast("int")
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float]]:
-    """Exact ``percentile_disc`` values by column; ``[]`` for one without values."""
+Extent = dict[str, tuple[float, float] | None]
+
+
+def extent(df: DataFrame, cols: Sequence[str]) -> Extent:
+    """Smallest and largest value by column, None for one without values; one pass."""
+    sides = []
+    for i, c in enumerate(cols):
+        x = qcol(c).cast("double")
+        valid = F.when(_valid(x), x)
+        sides += [F.min(valid).alias(f"lo{i}"), F.max(valid).alias(f"hi{i}")]
+    row = df.agg(*sides).first()
+    return {c: (row[f"lo{i}"], row[f"hi{i}"]) if row[f"lo{i}"] is not None else None for i, c in enumerate(cols)}
+
+
+def exact_quantiles(
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], known: Extent | None = None
+) -> dict[str, list[float]]:
+    """Exact ``percentile_disc`` values by column; ``[]`` for one without values.
+    ``known``: an extent that covers every value, which saves the pass for it."""
     cols, probabilities = list(cols), [float(q) for q in probabilities]
+    known = known or extent(df, cols)
     values = df.select(*[qcol(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    extent = []
-    for i in range(len(cols)):
-        x = F.when(_valid(F.col(f"x{i}")), F.col(f"x{i}"))
-        extent += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    seen = values.agg(*extent).first()
-    # (column, probability) -> (rank within the range, lo, hi)
+    # (column, probability) -> (rank within the range, lo, hi); the first pass tells the rank
     open_ranges = {
-        (i, j): (target_rank(q, seen[f"n{i}"]), seen[f"lo{i}"], seen[f"hi{i}"])
-        for i in range(len(cols)) if seen[f"n{i}"]
-        for j, q in enumerate(probabilities)
+        (i, j): (None, *known[c]) for i, c in enumerate(cols) if known[c] for j in range(len(probabilities))
     }
     found: dict[tuple[int, int], float] = {}
     for step in itertools.count():
         by_magnitude = step % 2 == 1
-        found.update({key: lo for key, (_, lo, hi) in open_ranges.items() if lo == hi})
+        found.update({key: lo for key, (rank, lo, hi) in open_ranges.items() if rank and lo == hi})
         open_ranges = {key: r for key, r in open_ranges.items() if key not in found}
         if not open_ranges:
             break
         # one range may be wanted by several probabilities: count it once
         ranges = sorted({(key[0], lo, hi) for key, (_, lo, hi) in open_ranges.items()})
-        counted = _count_bins(values, ranges, by_magnitude)
-        for key, (rank, lo, hi) in open_ranges.items():
-            for n, least, most in counted[ranges.index((key[0], lo, hi))]:
+        counted = dict(zip(ranges, _count_bins(values, ranges, by_magnitude), strict=True))
+        for key, (rank, lo, hi) in list(open_ranges.items()):
+            bins = counted[key[0], lo, hi]
+            if rank is None:
+                total = sum(n for n, _, _ in bins)
+                if not total:
+                    del open_ranges[key]
+                    continue
+                rank = target_rank(probabilities[key[1]], total)
+            for n, least, most in bins:
                 if rank <= n:
                     break
                 rank -= n
@@ -99,7 +117,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probabilities: Sequence[
                 # neighbouring doubles that no bin can part: at most a few values
                 found[key] = _value_at_rank(values, key[0], lo, hi, rank)
             open_ranges[key] = (rank, least, most)
-    return {c: [found[i, j] for j in range(len(probabilities))] if seen[f"n{i}"] else [] for i, c in enumerate(cols)}
+    return {
+        c: [found[i, j] for j in range(len(probabilities)) if (i, j) in found] for i, c in enumerate(cols)
+    }
 
 
 def _count_bins(values: DataFrame, ranges: list[tuple[int, float, float]], by_magnitude: bool) -> list[list[tuple]]:
@@ -149,11 +169,15 @@ def sketch_quantiles(
 
 
 def quantiles(
-    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], relative_error: float = 0.0
+    df: DataFrame,
+    cols: Sequence[str],
+    probabilities: Sequence[float],
+    relative_error: float = 0.0,
+    known: Extent | None = None,
 ) -> dict[str, list[float]]:
     """Quantiles by column: exact when ``relative_error == 0``, else a sketch."""
     if relative_error == 0:
-        return exact_quantiles(df, cols, probabilities)
+        return exact_quantiles(df, cols, probabilities, known)
     return sketch_quantiles(df, cols, probabilities, relative_error)
 
 
