@@ -5,7 +5,9 @@ Learning (from labelled rows only):
 1. For every word and every word stem of the labelled texts, the cluster counts
    in how many toxic and other texts it occurs. Terms that occur with toxic texts
    far more often than chance allows make the lexicon, whole words or stems
-   (``stem*``). At most ``max_terms`` of them, the most certain first.
+   (``stem*``). A term's witnesses are its toxic texts, but no more than the
+   different words before it, so copies of one toxic text make no lexicon of
+   their own. At most ``max_terms`` of them, the most certain first.
 2. The terms form a trie. A Levenshtein automaton for one edit is run against
    it for words of five letters and more, so misspelled terms are caught too.
    Words near a term that other texts use as a matter of course
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -48,6 +51,8 @@ MISSPELLED = 0.6
 QUOTED = 0.35
 WINDOW = 60
 THRESHOLD = 0.3
+#: Words whose weight a worker remembers.
+REMEMBERED = 800_000
 #: Counted words a task holds before it hands them on.
 COUNT_SLAB = 400_000
 
@@ -112,26 +117,28 @@ class Lexicon:
         self.words, self.stems, self.exonerated = words, stems, exonerated
         long_words = {w: x for w, x in words.items() if len(w) >= LEAST_FUZZY}
         self.trie = Trie(long_words)
-        # one edit leaves the first or the last half of a term as it is
-        self.heads = {w[: len(w) // 2] for w in long_words}
-        self.tails = {w[len(w) // 2 :] for w in long_words}
-        self.head_sizes = sorted({len(h) for h in self.heads})
-        self.tail_sizes = sorted({len(t) for t in self.tails})
+        # by length of the term: one edit leaves its first or its last half as it is
+        self.heads: dict[int, set[str]] = {}
+        self.tails: dict[int, set[str]] = {}
+        for w in long_words:
+            self.heads.setdefault(len(w), set()).add(w[: len(w) // 2])
+            self.tails.setdefault(len(w), set()).add(w[len(w) // 2 :])
+        self.beginnings = {s[: STEMS[0]] for s in stems}
         self.known: dict[str, tuple[float, bool] | None] = {}
 
     def fuzzy(self, word: str) -> list[str]:
         """Terms within one edit of a word that is itself no term."""
-        if len(word) < LEAST_FUZZY - 1 or not (
-            any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes)
-        ):
-            return []
-        return self.trie.near(word)
+        for size in range(len(word) - 1, len(word) + 2):
+            heads = self.heads.get(size)
+            if heads and (word[: size // 2] in heads or word[size // 2 - size :] in self.tails[size]):
+                return self.trie.near(word)
+        return []
 
     def weight(self, word: str) -> tuple[float, bool] | None:
         """(log-odds, misspelled) of a word, None if it is no hit."""
         if word in self.known:
             return self.known[word]
-        if len(self.known) > 500_000:
+        if len(self.known) > REMEMBERED:
             self.known.clear()
         found = self._weight(word)
         if found is None and not word.isalpha():
@@ -145,9 +152,10 @@ class Lexicon:
     def _weight(self, word: str) -> tuple[float, bool] | None:
         if word in self.words:
             return self.words[word], False
-        for size in STEMS:
-            if word[:size] in self.stems and len(word) >= size:
-                return self.stems[word[:size]], False
+        if word[: STEMS[0]] in self.beginnings:
+            for size in STEMS:
+                if word[:size] in self.stems:
+                    return self.stems[word[:size]], False
         if word in self.exonerated:
             return None
         near = self.fuzzy(word)
@@ -155,8 +163,11 @@ class Lexicon:
 
     def evidence(self, text: str | None) -> tuple[float, float, float]:
         """Summed weight, largest weight, and summed weight for a hundred words."""
-        words = words_of(text)
-        if not any(self.weight(w) for w in set(words)):
+        words, known, any_hit = words_of(text), self.known, False
+        for word in set(words):
+            if (known[word] if word in known else self.weight(word)) is not None:
+                any_hit = True
+        if not any_hit:
             return 0.0, 0.0, 0.0
         low, hits = text.lower(), []
         for match in _WORDS.finditer(low):
@@ -199,24 +210,38 @@ def held_out(doc_id: Column) -> Column:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``word``, ``toxic``, ``other``: texts of either kind that have the word."""
+    """``word``, ``toxic``, ``other``: texts of either kind that have the word, and
+    ``contexts``: a set of 64 bits, one for each (hashed) word that stood before
+    it in toxic texts."""
 
     def count(frames):
-        counts = (Counter(), Counter())
+        counts, contexts = (Counter(), Counter()), {}
         for frame in frames:
             for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
-                counts[toxic].update(set(words_of(text)))
+                words = words_of(text)
+                counts[toxic].update(set(words))
+                if toxic:
+                    for before, word in set(zip(["", *words], words, strict=False)):
+                        contexts[word] = contexts.get(word, 0) | 1 << zlib.crc32(before.encode()) % 64
                 if len(counts[0]) + len(counts[1]) > COUNT_SLAB:
-                    yield rows_of(counts)
-                    counts = (Counter(), Counter())
-        yield rows_of(counts)
+                    yield rows_of(counts, contexts)
+                    counts, contexts = (Counter(), Counter()), {}
+        yield rows_of(counts, contexts)
 
-    def rows_of(counts):
+    def rows_of(counts, contexts):
         words = list(counts[0].keys() | counts[1].keys())
-        return pd.DataFrame({"word": words, "toxic": [counts[1][w] for w in words], "other": [counts[0][w] for w in words]})
+        bits = np.array([contexts.get(w, 0) for w in words], np.uint64).view(np.int64)
+        return pd.DataFrame({"word": words, "toxic": [counts[1][w] for w in words], "other": [counts[0][w] for w in words], "contexts": bits})
 
-    partial = rows.select("text", "toxic").mapInPandas(count, "word string, toxic long, other long")
-    return partial.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    partial = rows.select("text", "toxic").mapInPandas(count, "word string, toxic long, other long, contexts long")
+    return partial.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.bit_or("contexts").alias("contexts"))
+
+
+def _independent(toxic: Column, contexts: Column) -> Column:
+    """Toxic texts that have a term, but no more than the different words before
+    it let expect (linear counting): copies of one text are one witness."""
+    seen = F.bit_count(contexts)
+    return F.when(seen >= 64, toxic).otherwise(F.least(toxic, -64 * F.log(1 - seen / 64)))
 
 
 def _certainty(toxic: Column, other: Column, toxic_rows: int, other_rows: int) -> Column:
@@ -239,21 +264,21 @@ def fit_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
     share = toxic_rows / (toxic_rows + other_rows)
 
     def best(counts: DataFrame) -> list:
-        certainty = _certainty(F.col("toxic"), F.col("other"), toxic_rows, other_rows)
+        witnesses = _independent(F.col("toxic").cast("double"), F.col("contexts"))
+        certainty = _certainty(witnesses, F.col("other"), toxic_rows, other_rows)
         marked = counts.withColumn("certainty", certainty).where((F.col("certainty") >= certain) & (F.col("toxic") > 2 * share * (F.col("toxic") + F.col("other"))))
         return marked.orderBy(F.desc("certainty"), "word").limit(max_terms).collect()
 
     def weight(row) -> float:
         return math.log((row["toxic"] + 0.5) / (toxic_rows + 1)) - math.log((row["other"] + 0.5) / (other_rows + 1))
 
-    stem_rows = words.select(F.explode(F.filter(F.transform(F.array(*[F.lit(n) for n in STEMS]), lambda n: F.when(F.length("word") >= n, F.substring(F.col("word"), F.lit(1), n))), lambda s: s.isNotNull())).alias("stem"), "toxic", "other")
-    stem_counts = stem_rows.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.count(F.lit(1)).alias("forms"))
+    stem_rows = words.select(F.explode(F.filter(F.transform(F.array(*[F.lit(n) for n in STEMS]), lambda n: F.when(F.length("word") >= n, F.substring(F.col("word"), F.lit(1), n))), lambda s: s.isNotNull())).alias("stem"), "toxic", "other", "contexts")
+    stem_counts = stem_rows.groupBy("stem").agg(
+        F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.bit_or("contexts").alias("contexts"), F.count(F.lit(1)).alias("forms")
+    )
     # a stem is one if several words have it and hardly any other text does
     clean = stem_counts.where((F.col("forms") >= 3) & (F.col("toxic") >= 19 * F.col("other"))).withColumnRenamed("stem", "word")
-    stems: dict[str, float] = {}
-    for row in sorted(best(clean), key=lambda r: (len(r["word"]), r["word"])):
-        if not any(row["word"][:n] in stems for n in STEMS if n < len(row["word"])):
-            stems[row["word"]] = weight(row)
+    stems = {r["word"]: weight(r) for r in _longest_stems(best(clean))}
     terms = {r["word"]: weight(r) for r in best(words)}
     terms = {w: x for w, x in terms.items() if not any(w[:n] in stems for n in STEMS)}
     lexicon = Lexicon(terms, stems)
@@ -268,6 +293,20 @@ def fit_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
     return Lexicon(terms, stems, frozenset(r["word"] for r in spared))
 
 
+def _longest_stems(rows: list) -> list:
+    """Of stems that begin alike the longest one that nearly all their toxic texts have."""
+    out: list = []
+    covered: set[str] = set()
+    for row in sorted(rows, key=lambda r: (len(r["word"]), r["word"])):
+        stem = row["word"]
+        if any(stem[:n] in covered for n in STEMS if n < len(stem)):
+            continue
+        covered.add(stem)
+        same = [r for r in rows if r["word"].startswith(stem) and r["toxic"] >= 0.95 * row["toxic"]]
+        out.append(max(same, key=lambda r: (len(r["word"]), r["toxic"])))
+    return out
+
+
 def _features(evidence: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(evidence)), np.log1p(np.maximum(evidence, 0))])
 
