@@ -57,6 +57,12 @@ def pandas_udf(function: Callable, returns: str) -> Callable:
     return F.pandas_udf(function, returns)
 
 
+def map_batches(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInPandas`` whose workers have this package."""
+    ship_package(df.sparkSession)
+    return df.mapInPandas(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark (any store Spark can open)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pandas_udf, partition_id, ship_package, stored, with_rank
+from tessera.llm.common import map_batches, pandas_udf, partition_id, stored, with_rank
 
 SHARDS = 8
 
@@ -56,7 +56,6 @@ def shard_of(keys: pd.Series, shards: int) -> np.ndarray:
 def assign_shards(docs: DataFrame, key: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """One row for each row of ``docs``: its key as ``doc_id``, ``size``,
     ``text_crc32``, ``shard``, ``slot`` and ``grown_shard`` (with one shard more)."""
-    ship_package(docs.sparkSession)
     text = F.col(text_col).cast("string")
     own = F.col(key).cast("long")
     narrow = docs.select(
@@ -78,7 +77,7 @@ def assign_shards(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
             yield frame.assign(shard=shard, grown_shard=shard_of(frame["doc_id"], shards + 1), part=part, number=number)
 
     schema = "doc_id long, no_id boolean, size long, text_crc32 long, shard int, grown_shard int, part long, number long"
-    dealt = stored(narrow.mapInPandas(deal, schema), "sharded")
+    dealt = stored(map_batches(narrow, deal, schema), "sharded")
     ranked = with_rank(dealt, "shard", "part", "number", "slot")
     return ranked.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("part", "number", "no_id")
 

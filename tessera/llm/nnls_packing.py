@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pandas_udf, partition_id, ship_package, stored, with_rank
+from tessera.llm.common import map_batches, pandas_udf, partition_id, stored, with_rank
 
 MAX_TOKENS = 1024
 END_ID = 2
@@ -129,10 +129,9 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
                         start, piece = start + length, piece + 1
                 yield pd.DataFrame(rows, columns=["doc_id", "no_id", "piece", "start", "length", "ids", "part", "number"])
 
-    ship_package(docs.sparkSession)
     own = F.col(id_col).cast("long")
     source = docs.select(F.coalesce(own, F.lit(0)).alias("doc_id"), own.isNull().alias("no_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = stored(source.mapInPandas(cut, PIECES), "packing_pieces")
+    pieces = stored(map_batches(source, cut, PIECES), "packing_pieces")
     return pieces.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
 

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import connected_components, pandas_udf, stored
+from tessera.llm.common import connected_components, map_batches, pandas_udf, stored
 
 BITS = 64
 SEED = 42
@@ -118,7 +118,7 @@ def bit_correlation(fingerprints: DataFrame) -> tuple[int, np.ndarray]:
             i, j = np.divmod(np.arange(BITS * BITS), BITS)
             yield pd.DataFrame({"i": np.append(i, -1), "j": np.append(j, -1), "n": np.append(both.ravel(), seen)})
 
-    rows = fingerprints.select("fp").mapInPandas(partial, "i long, j long, n long")
+    rows = map_batches(fingerprints.select("fp"), partial, "i long, j long, n long")
     sums = {(r["i"], r["j"]): r["n"] for r in rows.groupBy("i", "j").agg(F.sum("n").alias("n")).collect()}
     total = sums.get((-1, -1), 0)
     both = np.array([[sums.get((i, j), 0) for j in range(BITS)] for i in range(BITS)], float) / max(total, 1)
@@ -176,7 +176,7 @@ def block_histograms(fingerprints: DataFrame, layouts: dict[int, list[list[int]]
             yield pd.DataFrame({"k": np.full(len(at), k), "v": at, "n": counts[at]})
 
     out = {name[:3]: np.zeros(1 << BLOCK_BITS) for name in names}
-    rows = fingerprints.select("fp").mapInPandas(partial, "k long, v long, n long")
+    rows = map_batches(fingerprints.select("fp"), partial, "k long, v long, n long")
     for r in rows.groupBy("k", "v").agg(F.sum("n").alias("n")).collect():
         out[names[r["k"]][:3]][r["v"]] = r["n"]
     return {k: v / max(v.sum(), 1) for k, v in out.items()}
@@ -311,8 +311,8 @@ def link_fingerprints(fingerprints: DataFrame, distance: int, hot_bucket: int =
                             near = (own[rows, None] ^ masks[None, :]).ravel()
                             yield pd.DataFrame({"bucket": _bucket(part, near), "q": np.repeat(values[rows], len(masks))})
 
-    index = stored(fingerprints.select("fp").mapInPandas(stored_values, "bucket long, fp long"), "simhash_index")
-    probes = stored(fingerprints.select("fp").mapInPandas(probed_values, "bucket long, q long"), "simhash_probes")
+    index = stored(map_batches(fingerprints.select("fp"), stored_values, "bucket long, fp long"), "simhash_index")
+    probes = stored(map_batches(fingerprints.select("fp"), probed_values, "bucket long, q long"), "simhash_probes")
     hot = stored(index.groupBy("bucket").count().where(F.col("count") > hot_bucket).select("bucket"), "simhash_hot")
     near = F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= distance
     verified = (
@@ -346,7 +346,7 @@ def star_links(fingerprints: DataFrame, distance: int) -> DataFrame:
                 some = values[start : start + 1024]
                 yield pd.DataFrame({"z": (some[:, None] ^ masks[None, :]).ravel(), "fp": np.repeat(some, len(masks))})
 
-    written = fingerprints.select("fp").mapInPandas(neighbours, "z long, fp long")
+    written = map_batches(fingerprints.select("fp"), neighbours, "z long, fp long")
     if distance % 2 == 0:
         return (
             written.groupBy("z")

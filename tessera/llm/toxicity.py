@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pandas_udf, stored
+from tessera.llm.common import map_batches, pandas_udf, stored
 
 #: Bounds of the fitted model.
 MAX_TERMS = 2_000
@@ -233,7 +233,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
         bits = np.array([contexts.get(w, 0) for w in words], np.uint64).view(np.int64)
         return pd.DataFrame({"word": words, "toxic": [counts[1][w] for w in words], "other": [counts[0][w] for w in words], "contexts": bits})
 
-    partial = rows.select("text", "toxic").mapInPandas(count, "word string, toxic long, other long, contexts long")
+    partial = map_batches(rows.select("text", "toxic"), count, "word string, toxic long, other long, contexts long")
     return partial.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.bit_or("contexts").alias("contexts"))
 
 
@@ -260,7 +260,7 @@ def fit_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
         return Lexicon({}, {})
     words = stored(word_counts(rows), "toxicity_words")
     total = words.count()
-    certain = 2 * math.log(max(total, 2)) + 6
+    certain = 2 * math.log(max(total, 2)) + 1
     share = toxic_rows / (toxic_rows + other_rows)
 
     def best(counts: DataFrame) -> list:
@@ -288,7 +288,7 @@ def fit_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
             keep = [w not in lexicon.words and bool(lexicon.fuzzy(w)) for w in frame["word"]]
             yield frame[keep]
 
-    ordinary = words.where(F.col("other") > 0).mapInPandas(beside, words.schema).where(F.col("toxic") < 3 * F.col("other"))
+    ordinary = map_batches(words.where(F.col("other") > 0), beside, words.schema).where(F.col("toxic") < 3 * F.col("other"))
     spared = ordinary.orderBy(F.desc("other"), "word").limit(MAX_EXONERATED).collect()
     return Lexicon(terms, stems, frozenset(r["word"] for r in spared))
 
