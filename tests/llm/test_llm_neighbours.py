@@ -58,6 +58,6 @@ def test_threshold_keeps_the_promised_tail():
 
 def test_many_copies_of_the_query(spark):
     v = np.tile(np.arange(8.0), (500, 1))
-    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(0, 500), "embedding": list(v)}))
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(0, 500), "embedding": v.tolist()}))
     got = A.nearest_neighbours(df, block_rows=64).where("query_id = 100").orderBy("rank").collect()
     assert [r["vec_id"] for r in got] == list(range(10))
