@@ -12,7 +12,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -84,6 +84,11 @@ def partition_id() -> int:
     return context.partitionId() if context else 0
 
 
+def hash_share(*columns: str) -> Column:
+    """A number from 0 to 1 by hash: rows below s are a sample of share s."""
+    return F.xxhash64(*columns) / float(1 << 64) + 0.5
+
+
 def with_rank(df: DataFrame, group: str, part: str, local: str, rank: str) -> DataFrame:
     """Add ``rank``: a gapless number from 0 within each ``group`` value.
 

@@ -14,7 +14,7 @@ over many of them; a cut ends a phrase.
 
 Learning uses at most ``SAMPLE_CHARS`` letters for each language (``TOTAL_CHARS`` in
 all), from texts taken by a hash of their id, and the ``MAX_LANGUAGES`` languages
-with most sampled text.
+with most texts.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or if
 nothing was learned; ties go to the first language in alphabetical order; rows
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import pandas_udf
+from tessera.llm.common import hash_share, pandas_udf
 
 #: Bounds of the fitted model.
 SAMPLE_CHARS = 24_000
@@ -193,12 +193,17 @@ def learning_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Bounded labelled text of each language: beginnings of ``SAMPLE_ROWS`` texts."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(~held_out(F.col("id")) & F.col("text").isNotNull() & (F.col("lang") != ""))
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
+        return {}
+    # a few times the rows wanted, by hash, so that no task gathers more than those
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 8.0 * SAMPLE_ROWS / r["count"])])
+    rows = rows.where(hash_share("id", "text") < F.element_at(shares, F.col("lang")))
     rows = rows.select("id", "lang", F.substring("text", 1, CHARS_OF_ROW).alias("text"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"))
     taken = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_ROWS)
-    each = taken.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("rows"), F.sum(F.length("text")).alias("size"))
-    largest = each.orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES)
-    out, found = {}, largest.collect()
+    each = taken.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("rows"))
+    out, found = {}, each.orderBy("lang").collect()
     size = min(SAMPLE_CHARS, TOTAL_CHARS // max(len(found), 1))
     for r in found:
         out[r["lang"]] = " ".join(normalised(x["text"]) for x in r["rows"])[:size]

@@ -12,8 +12,8 @@ Learning (from labelled rows only):
    it for words of five letters and more, so misspelled terms are caught too.
    Words near a term that other texts use as a matter of course
    are counted as well and are no misspellings.
-3. A logistic curve over a text's evidence is fitted to at most ``max_rows``
-   labelled texts, taken by a hash of their id.
+3. A logistic curve over a text's evidence is fitted to about ``max_rows``
+   labelled texts (never more than twice as many), taken by a hash of their id.
 
 Scoring: every hit brings its term's log-odds. Hits between quotation marks or
 after a reporting word within the context window count for ``QUOTED`` of it, hits
@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_batches, pandas_udf, stored
+from tessera.llm.common import hash_share, map_batches, pandas_udf, stored
 
 #: Bounds of the fitted model.
 MAX_TERMS = 2_000
@@ -349,7 +349,7 @@ class ToxicityModel:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS, max_rows: int = MAX_ROWS) -> ToxicityModel:
     """Fit to the labelled rows that are not held out: counts over all of them, the
-    curve over at most ``max_rows``."""
+    curve over about ``max_rows``."""
     rows = stored(labelled(docs, labels), "toxicity_rows")
     lexicon = fit_lexicon(rows, max_terms)
     parts = (lexicon.words, lexicon.stems, lexicon.exonerated)
@@ -361,7 +361,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
         return pd.DataFrame([made[0].evidence(t) for t in texts], columns=["total", "largest", "dense"])
 
     found_in = pandas_udf(evidence, "total double, largest double, dense double")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(max_rows).select("toxic", found_in("text").alias("e")).select("toxic", "e.*")
+    # by hash, so no task gathers more than the few numbers of the rows chosen
+    share = max_rows / max(rows.count(), 1)
+    chosen = rows.where(hash_share("id") < share)
+    sample = chosen.select("toxic", found_in("text").alias("e")).select("toxic", "e.*").limit(2 * max_rows)
     found = np.array([(r["toxic"], r["total"], r["largest"], r["dense"]) for r in sample.collect()], float).reshape(-1, 4)
     if not len(found) or not found[:, 0].any():
         return ToxicityModel(lexicon, np.array([-30.0, 0, 0, 0]))
