@@ -23,7 +23,10 @@ are packed like any others. Empty table: no rows. Extra columns are kept by
 
 from __future__ import annotations
 
+import json
+import re
 from bisect import bisect_right, insort
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -34,8 +37,6 @@ from tessera.llm.common import map_batches, pandas_udf, partition_id, stored, wi
 
 MAX_TOKENS = 1024
 END_ID = 2
-#: Texts cut at single spaces whose ids a worker remembers.
-REMEMBERED = 400_000
 #: Steps of the least-squares fit.
 FIT_STEPS = 600
 
@@ -43,63 +44,65 @@ FIT_STEPS = 600
 # --- tokens ------------------------------------------------------------------
 
 
-class SpacedEncoder:
-    """Token ids of whole texts, with a memory for what lies between spaces.
+#: Fixed value: how a byte-level pre-tokenizer cuts text into words.
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts of other characters, or with a run this long, take the plain encoder.
+_UNCOMMON = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e]|\\S{2000}")
 
-    A byte-level BPE with a pre-tokenizer that puts a single space at the head
-    of the following word never merges across a space that follows and precedes
-    something else than white space. A text is cut there, each cut string is
-    encoded once, and ids are joined. Where cut strings consist of white space
-    only, the text is encoded whole, as white-space runs may then belong together.
+
+class TextEncoder:
+    """Token ids of whole texts, as ``tokenizers`` gives them for the file.
+
+    Where the file is a byte-level BPE whose ids follow its merges, the same
+    vocabulary read as ranks encodes most texts several times faster; its ids are
+    the same. Texts with uncommon characters (whose classes may differ between
+    versions of Unicode) or very long runs go to ``tokenizers`` itself.
     """
 
-    def __init__(self, tokenizer_path: str, remembered: int = REMEMBERED):
+    def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         # strings of special tokens inside a text are ordinary text
         self.tokenizer.encode_special_tokens = True
-        self.remembered = remembered
-        self.known: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > self.remembered:
-            self.known.clear()
-        cut = []
-        for text in texts:
-            parts = text.split(" ")
-            parts[1:] = [" " + p for p in parts[1:]]
-            cut.append(parts)
-        known = self.known
-        new = list({p for parts in cut for p in parts if p not in known})
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for part, ids in zip(some, self._raw(some), strict=True):
-                known[part] = None if not part or part.isspace() else ids
-        out, whole = [], []
-        for i, parts in enumerate(cut):
-            try:
-                out.append(b"".join([known[p] for p in parts]))
-            except TypeError:
-                out.append(b"")
-                whole.append(i)
-        if whole:
-            for i, ids in zip(whole, self._raw([texts[i] for i in whole]), strict=True):
-                out[i] = ids
-        return out
-
-
-_encoders: dict[str, SpacedEncoder] = {}
-
-
-def _encoder(path: str) -> SpacedEncoder:
+        self.ranked = _ranked_encoding(json.loads(Path(tokenizer_path).read_text()))
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        if self.ranked and not _UNCOMMON.search(text):
+            return np.array(self.ranked.encode_ordinary(text), "<u4").tobytes()
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def _ranked_encoding(file: dict):
+    """The vocabulary of a tokenizer file as ranks, None if it is no such BPE."""
+    import tiktoken
+
+    model, cut = file["model"], file.get("pre_tokenizer") or {}
+    if model.get("type") != "BPE" or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or file.get("normalizer"):
+        return None
+    # a byte is written as its own character if that is visible, else as one from 256 on
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    special = {t["content"] for t in file.get("added_tokens", [])}
+    vocab = {t: i for t, i in model["vocab"].items() if t not in special}
+    merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    if any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)) or any(c not in byte_of for t in vocab for c in t):
+        return None
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items()}
+    return tiktoken.Encoding("file", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
+
+
+_encoders: dict[str, TextEncoder] = {}
+
+
+def _encoder(path: str) -> TextEncoder:
     if path not in _encoders:
-        _encoders[path] = SpacedEncoder(path)
+        _encoders[path] = TextEncoder(path)
     return _encoders[path]
 
 
@@ -116,9 +119,9 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
         encoder, part, seen = _encoder(tokenizer_path), partition_id(), np.zeros(max_tokens + 1, np.int64)
         for frame in frames:
             for at in range(0, len(frame), 256):
-                texts = [t or "" for t in frame["text"].iloc[at : at + 256]]
-                rows = []
-                for doc, no_id, raw in zip(frame["doc_id"].iloc[at : at + 256], frame["no_id"].iloc[at : at + 256], encoder.encode(texts), strict=True):
+                some, rows = frame.iloc[at : at + 256], []
+                for doc, no_id, text in zip(some["doc_id"], some["no_id"], some["text"], strict=True):
+                    raw = encoder.encode(text or "")
                     raw += end
                     start, piece, total = 0, 0, len(raw) // 4
                     first = total if total <= max_tokens else total % max_tokens or max_tokens

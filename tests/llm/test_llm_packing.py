@@ -16,21 +16,33 @@ from tessera.llm import queries
 def encoders():
     from tokenizers import Tokenizer
 
-    path = queries.tokenizer_path()
-    plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
-    return P.SpacedEncoder(path), plain
+    own = P.TextEncoder(queries.tokenizer_path())
+    assert own.ranked
+    return own, own.tokenizer
 
 
 def ids_of(raw):
     return np.frombuffer(raw, "<u4").tolist()
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=" \n\t\r\x0b\xa0\u2003ab'sé1_.,-<|endoftext>😀", max_size=40))
-def test_spaced_encoder_equals_plain(encoders, text):
-    spaced, plain = encoders
-    assert ids_of(spaced.encode([text])[0]) == plain.encode(text, add_special_tokens=False).ids
+ODD = " \n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u2028ab'srevmlldé1²½_.,-<|endoftext>\x00\xad€’–ßĳǆ😀中"
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.one_of(st.text(alphabet=ODD, max_size=40), st.text(max_size=30)))
+def test_encoder_equals_tokenizers(encoders, text):
+    own, plain = encoders
+    assert ids_of(own.encode(text)) == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_equals_tokenizers_on_every_document(encoders):
+    import duckdb
+
+    own, plain = encoders
+    texts = [r[0] for r in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()]
+    texts += ["a" * 30_000, "x " * 5_000, "é" * 3_000, "1" * 2_500, "\n" * 9_000, " " * 9_000]
+    for text, want in zip(texts, plain.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        assert ids_of(own.encode(text)) == want.ids
 
 
 def check_pieces(rows, docs, plain):
