@@ -201,7 +201,8 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         F.max((F.col(label_col) > 0).cast("int")).alias("toxic")
     )
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.where(~held_out(F.col("id"))).join(marks, "id")
+    # always a merge join: a broadcast of the labels would only do while they are few
+    return rows.where(~held_out(F.col("id"))).join(marks.hint("shuffle_merge"), "id")
 
 
 def held_out(doc_id: Column) -> Column:
