@@ -74,43 +74,42 @@ def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """
     nodes = messages.select("tree", "id", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     known = nodes.select(F.col("tree").alias("t"), F.col("id").alias("p")).distinct()
-    # ``to``: the message 2^k above; ``sum``: score from the message up to just below ``to``
+    # ``to``: the message 2^k above; ``sum``: score from the message up to just below ``to``,
+    # or up to the root where there is none
     jump = stored(
         nodes.join(known, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("p")) & (F.col("parent") != F.col("id")), "left")
         .select("tree", "id", F.col("p").alias("to"), F.col("score").alias("sum")),
         "chat_jump",
     )
-    rounds = []
-    rows = None
+    rounds, rows = [], None
     while True:
-        rounds.append(jump)
-        open_ends = jump.where("to is not null").agg(F.count(F.lit(1))).first()[0]
-        if open_ends == 0:
+        going = jump.where("to is not null")
+        if going.agg(F.count(F.lit(1))).first()[0] == 0:
             break
+        rounds.append(going)
         # a cycle never closes: no chain of distinct messages is longer than all rows
         rows = rows or nodes.count()
-        if 1 << len(rounds) > 2 * rows:
+        if 1 << (len(rounds) - 1) > rows:
             break
         up = jump.select(F.col("tree").alias("t"), F.col("id").alias("i"), F.col("to").alias("next"), F.col("sum").alias("more"))
-        jump = stored(
-            jump.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("to") == F.col("i")), "left").select(
-                "tree", "id", F.col("next").alias("to"), (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("sum")
-            ),
-            "chat_jump",
+        # only pointers that have not reached the root go on
+        moved = going.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("to") == F.col("i")), "left").select(
+            "tree", "id", F.col("next").alias("to"), (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("sum")
         )
-    answered = rounds[0].where("to is not null").select(F.col("tree").alias("t"), F.col("to").alias("i")).distinct()
-    leaves = rounds[-1].where("to is null").join(
-        answered, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i")), "left_anti"
-    )
+        jump = stored(moved.unionByName(jump.where("to is null")), "chat_jump")
+    ends = jump.where("to is null")
+    if rounds:
+        answered = rounds[0].select(F.col("tree").alias("t"), F.col("to").alias("i")).distinct()
+        ends = ends.join(answered, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i")), "left_anti")
     ranked = Window.partitionBy("tree").orderBy(F.desc("sum"), "id")
     path = stored(
-        leaves.withColumn("branch", F.row_number().over(ranked)).where(F.col("branch") <= branches)
+        ends.withColumn("branch", F.row_number().over(ranked)).where(F.col("branch") <= branches)
         .select("tree", "branch", F.col("id").alias("leaf"), "id", F.lit(0).cast("long").alias("above")),
         "chat_paths",
     )
     # every ancestor is reached once: by the binary digits of its distance
-    for k, step in enumerate(rounds[:-1]):
-        up = step.where("to is not null").select(F.col("tree").alias("t"), F.col("id").alias("i"), "to")
+    for k, step in enumerate(rounds):
+        up = step.select(F.col("tree").alias("t"), F.col("id").alias("i"), "to")
         higher = path.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i"))).select(
             "tree", "branch", "leaf", F.col("to").alias("id"), (F.col("above") + (1 << k)).alias("above")
         )
