@@ -5,7 +5,9 @@ Learning (from labelled rows only):
 1. For every word and every word stem of the labelled texts, the cluster counts
    in how many toxic and other texts it occurs. Terms that occur with toxic texts
    far more often than chance allows make the lexicon, whole words or stems
-   (``stem*``). A term's witnesses are its toxic texts, but no more than the
+   (``stem*``), by the same test and each with its own log-odds: for a
+   stem of the texts that have its words, or of those with one of them. Words that
+   certainly differ from their stem keep their own, or are no hits. A term's witnesses are its toxic texts, but no more than the
    different words before it, so copies of one toxic text make no lexicon of
    their own. At most ``max_terms`` of them, the most certain first.
 2. The terms form a trie. A Levenshtein automaton for one edit is run against
@@ -113,9 +115,13 @@ class Trie:
 class Lexicon:
     """Words, stems and what words near them mean."""
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float], exonerated: frozenset[str] = frozenset()):
-        self.words, self.stems, self.exonerated = words, stems, exonerated
-        long_words = {w: x for w, x in words.items() if len(w) >= LEAST_FUZZY}
+    def __init__(self, words: dict[str, float], stems: dict[str, float], exonerated: frozenset[str] = frozenset(), members: dict[str, str] | None = None, lone: dict[str, float] | None = None):
+        """``members``: words of the stems (word -> stem) that may be misspelled too;
+        ``lone``: weight of a stem where one word of it is all that the text has."""
+        self.words, self.stems, self.exonerated, self.members = words, stems, exonerated, members or {}
+        self.lone = lone or {}
+        self.targets = {w: stems[s] for w, s in self.members.items()} | words
+        long_words = {w: x for w, x in self.targets.items() if len(w) >= LEAST_FUZZY}
         self.trie = Trie(long_words)
         # by length of the term: one edit leaves its first or its last half as it is
         self.heads: dict[int, set[str]] = {}
@@ -126,6 +132,19 @@ class Lexicon:
         self.beginnings = {s[: STEMS[0]] for s in stems}
         self.known: dict[str, tuple[float, bool] | None] = {}
 
+    @property
+    def parts(self) -> tuple:
+        """What another process needs to make the same lexicon."""
+        return self.words, self.stems, self.exonerated, self.members, self.lone
+
+    def stem(self, word: str) -> str | None:
+        """The longest stem of the lexicon that the word begins with."""
+        if word[: STEMS[0]] in self.beginnings:
+            for size in reversed(STEMS):
+                if word[:size] in self.stems:
+                    return word[:size]
+        return None
+
     def fuzzy(self, word: str) -> list[str]:
         """Terms within one edit of a word that is itself no term."""
         for size in range(len(word) - 1, len(word) + 2):
@@ -152,14 +171,12 @@ class Lexicon:
     def _weight(self, word: str) -> tuple[float, bool] | None:
         if word in self.words:
             return self.words[word], False
-        if word[: STEMS[0]] in self.beginnings:
-            for size in STEMS:
-                if word[:size] in self.stems:
-                    return self.stems[word[:size]], False
         if word in self.exonerated:
             return None
+        if (stem := self.stem(word)) is not None:
+            return self.stems[stem], False
         near = self.fuzzy(word)
-        return (max(self.words[t] for t in near), True) if near else None
+        return (max(self.targets[t] for t in near), True) if near else None
 
     def evidence(self, text: str | None) -> tuple[float, float, float]:
         """Summed weight, largest weight, and summed weight for a hundred words."""
@@ -170,10 +187,15 @@ class Lexicon:
         if not any_hit:
             return 0.0, 0.0, 0.0
         low, hits = text.lower(), []
+        families = Counter(self.stem(w) for w in set(words) if w not in self.words and w not in self.exonerated)
+        alone = {s: self.lone[s] for s, n in families.items() if n == 1 and s in self.lone}
         for match in _WORDS.finditer(low):
             found = self.weight(match[0])
             if found:
-                hits.append((match.start(), match.end(), found[0] * (MISSPELLED if found[1] else 1.0)))
+                weight = found[0] * (MISSPELLED if found[1] else 1.0)
+                if alone and match[0] not in self.words and (stem := self.stem(match[0])) in alone:
+                    weight = alone[stem]
+                hits.append((match.start(), match.end(), weight))
         total = largest = 0.0
         for i, (start, end, weight) in enumerate(hits):
             crowd = (i and start - hits[i - 1][1] < WINDOW) or (i + 1 < len(hits) and hits[i + 1][0] - end < WINDOW)
@@ -211,16 +233,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``word``, ``toxic``, ``other``: texts of either kind that have the word, and
-    ``contexts``: a set of 64 bits, one for each (hashed) word that stood before
-    it in toxic texts."""
+    """``word``, ``kind``, ``toxic``, ``other``: texts of either kind that have the
+    word (kind 0), or one word (1) or several words (2) of the stem, and ``contexts``:
+    a set of 64 bits, one for each (hashed) word that stood before a word in toxic texts."""
 
     def count(frames):
         counts, contexts = (Counter(), Counter()), {}
         for frame in frames:
             for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
                 words = words_of(text)
-                counts[toxic].update(set(words))
+                distinct = set(words)
+                counts[toxic].update((w, 0) for w in distinct)
+                families = Counter(w[:n] for w in distinct for n in STEMS if len(w) >= n)
+                counts[toxic].update((stem, min(n, 2)) for stem, n in families.items())
                 if toxic:
                     for before, word in set(zip(["", *words], words, strict=False)):
                         contexts[word] = contexts.get(word, 0) | 1 << zlib.crc32(before.encode()) % 64
@@ -230,12 +255,13 @@ def word_counts(rows: DataFrame) -> DataFrame:
         yield rows_of(counts, contexts)
 
     def rows_of(counts, contexts):
-        words = list(counts[0].keys() | counts[1].keys())
-        bits = np.array([contexts.get(w, 0) for w in words], np.uint64).view(np.int64)
-        return pd.DataFrame({"word": words, "toxic": [counts[1][w] for w in words], "other": [counts[0][w] for w in words], "contexts": bits})
+        keys = list(counts[0].keys() | counts[1].keys())
+        bits = np.array([0 if kind else contexts.get(w, 0) for w, kind in keys], np.uint64).view(np.int64)
+        words, kinds = [w for w, _ in keys], np.array([k for _, k in keys], np.int32)
+        return pd.DataFrame({"word": words, "kind": kinds, "toxic": [counts[1][k] for k in keys], "other": [counts[0][k] for k in keys], "contexts": bits})
 
-    partial = map_batches(rows.select("text", "toxic"), count, "word string, toxic long, other long, contexts long")
-    return partial.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.bit_or("contexts").alias("contexts"))
+    partial = map_batches(rows.select("text", "toxic"), count, "word string, kind int, toxic long, other long, contexts long")
+    return partial.groupBy("word", "kind").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.bit_or("contexts").alias("contexts"))
 
 
 def _independent(toxic: Column, contexts: Column) -> Column:
@@ -259,53 +285,105 @@ def fit_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
     toxic_rows, other_rows = int(sums[0]), int(sums[1] - sums[0])
     if not toxic_rows or not other_rows:
         return Lexicon({}, {})
-    words = stored(word_counts(rows), "toxicity_words")
+    terms = stored(word_counts(rows), "toxicity_words")
+    words = terms.where("kind = 0").drop("kind")
     total = words.count()
     certain = 2 * math.log(max(total, 2)) + 1
     share = toxic_rows / (toxic_rows + other_rows)
 
-    def best(counts: DataFrame) -> list:
+    def passing(counts: DataFrame) -> list:
+        """The terms that pass the test; each is a row of counts and witnesses."""
         witnesses = _independent(F.col("toxic").cast("double"), F.col("contexts"))
-        certainty = _certainty(witnesses, F.col("other"), toxic_rows, other_rows)
-        marked = counts.withColumn("certainty", certainty).where((F.col("certainty") >= certain) & (F.col("toxic") > 2 * share * (F.col("toxic") + F.col("other"))))
-        return marked.orderBy(F.desc("certainty"), "word").limit(max_terms).collect()
+        marked = counts.withColumn("witnesses", witnesses).withColumn("certainty", _certainty(F.col("witnesses"), F.col("other"), toxic_rows, other_rows))
+        marked = marked.where((F.col("certainty") >= certain) & (F.col("toxic") > 2 * share * (F.col("toxic") + F.col("other"))))
+        return marked.select("word", "toxic", "other", "texts", "witnesses", "certainty").orderBy(F.desc("certainty"), "word").limit(max_terms).collect()
 
-    def weight(row) -> float:
-        return math.log((row["toxic"] + 0.5) / (toxic_rows + 1)) - math.log((row["other"] + 0.5) / (other_rows + 1))
+    def weight(toxic: float, other: float) -> float:
+        return math.log((toxic + 0.5) / (toxic_rows + 1)) - math.log((other + 0.5) / (other_rows + 1))
 
-    stem_rows = words.select(F.explode(F.filter(F.transform(F.array(*[F.lit(n) for n in STEMS]), lambda n: F.when(F.length("word") >= n, F.substring(F.col("word"), F.lit(1), n))), lambda s: s.isNotNull())).alias("stem"), "toxic", "other", "contexts")
-    stem_counts = stem_rows.groupBy("stem").agg(
+    sizes = F.filter(F.array(*[F.lit(n) for n in STEMS]), lambda n: n <= F.length("word"))
+    forms = words.select(F.explode(F.transform(sizes, lambda n: F.substring(F.col("word"), F.lit(1), n))).alias("word"), "toxic", "other", "contexts")
+    # a stem is one if several words have it; the test counts each of them in each text
+    several = forms.groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.bit_or("contexts").alias("contexts"), F.count(F.lit(1)).alias("forms")
-    )
-    # a stem is one if several words have it and hardly any other text does
-    clean = stem_counts.where((F.col("forms") >= 3) & (F.col("toxic") >= 19 * F.col("other"))).withColumnRenamed("stem", "word")
-    stems = {r["word"]: weight(r) for r in _longest_stems(best(clean))}
-    terms = {r["word"]: weight(r) for r in best(words)}
-    terms = {w: x for w, x in terms.items() if not any(w[:n] in stems for n in STEMS)}
-    lexicon = Lexicon(terms, stems)
-
-    def beside(frames):
+    ).where(F.col("forms") >= 2)
+    one = lambda n: F.coalesce(F.sum(F.when(F.col("kind") == 1, F.col(n))), F.lit(0))
+    texts = terms.where("kind > 0").groupBy("word").agg(F.array(F.sum("toxic"), F.sum("other"), one("toxic"), one("other")).alias("texts"))
+    alike = words.withColumn("texts", F.array("toxic", "other", "toxic", "other"))
+    families, alone, members = _families(passing(several.join(texts.hint("shuffle_merge"), "word")), passing(alike), share, certain)
+    stems = {s: weight(*texts[:2]) for s, (_, texts) in families.items()}
+    lone = {s: max(weight(*texts[2:]), 0.0) for s, (_, texts) in families.items()}
+    lexicon = Lexicon({w: weight(*texts[:2]) for w, (_, texts) in alone.items()}, stems, members=members, lone=lone)
+    shares = {s: (toxic + 0.5) / (toxic + other + 1) for s, ((toxic, other), _) in families.items()}
+
+    def ordinary(frames):
         for frame in frames:
-            keep = [w not in lexicon.words and bool(lexicon.fuzzy(w)) for w in frame["word"]]
+            keep = []
+            for word, toxic, other in zip(frame["word"], frame["toxic"], frame["other"], strict=True):
+                if word in lexicon.words:
+                    keep.append(False)
+                elif (stem := lexicon.stem(word)) is not None:
+                    keep.append(toxic < shares[stem] * (toxic + other) and _ratio(toxic, other, shares[stem]) >= certain)
+                else:
+                    keep.append(toxic < 3 * other and bool(lexicon.fuzzy(word)))
             yield frame[keep]
 
-    ordinary = map_batches(words.where(F.col("other") > 0), beside, words.schema).where(F.col("toxic") < 3 * F.col("other"))
-    spared = ordinary.orderBy(F.desc("other"), "word").limit(MAX_EXONERATED).collect()
-    return Lexicon(terms, stems, frozenset(r["word"] for r in spared))
+    spared = map_batches(words.where(F.col("other") > 0), ordinary, words.schema)
+    spared = spared.orderBy(F.desc("other"), "word").limit(MAX_EXONERATED).collect()
+    return Lexicon(lexicon.words, stems, frozenset(r["word"] for r in spared), members, lone)
 
 
-def _longest_stems(rows: list) -> list:
-    """Of stems that begin alike the longest one that nearly all their toxic texts have."""
-    out: list = []
-    covered: set[str] = set()
-    for row in sorted(rows, key=lambda r: (len(r["word"]), r["word"])):
-        stem = row["word"]
-        if any(stem[:n] in covered for n in STEMS if n < len(stem)):
-            continue
-        covered.add(stem)
-        same = [r for r in rows if r["word"].startswith(stem) and r["toxic"] >= 0.95 * row["toxic"]]
-        out.append(max(same, key=lambda r: (len(r["word"]), r["toxic"])))
-    return out
+def _ratio(toxic: float, other: float, share: float) -> float:
+    """Log-likelihood ratio of the counts against a share of toxic texts."""
+    seen = toxic + other
+    return 2 * sum(n * math.log(n / (seen * p)) for n, p in ((toxic, share), (other, 1 - share)) if n > 0)
+
+
+def _families(stems: list, words: list, share: float, certain: float) -> tuple[dict, dict, dict]:
+    """Stems and words that explain the counts, with (toxic, other) counts of words and
+    counts of texts (with any word of theirs, with one), and the words of these stems that are certain themselves, with their stem.
+
+    Terms that begin alike compete: the most certain one (the longest, if alike) is
+    taken, the texts that have it are taken off the shorter ones around it, and those go on
+    with the rest if that still passes. A word that certainly differs from its
+    stem keeps its own counts."""
+    families: dict[str, tuple] = {}
+    alone: dict[str, tuple] = {}
+    members: dict[str, str] = {}
+    groups: dict[str, list] = {}
+    for is_stem, rows in ((True, stems), (False, words)):
+        for r in rows:
+            counts, texts = (r["toxic"], r["other"]), r["texts"]
+            groups.setdefault(r["word"][: STEMS[0]], []).append((r["certainty"], is_stem, r["word"], counts, texts, r["witnesses"]))
+    for nodes in groups.values():
+        while nodes:
+            best = max(nodes, key=lambda n: (n[0], n[1], len(n[2]), n[2]))
+            _, best_is_stem, name, (toxic, other), taken, _ = best
+            (families if best_is_stem else alone)[name] = (toxic, other), taken
+            inside = (toxic + 0.5) / (toxic + other + 1)
+            rest = []
+            for node in nodes:
+                _, is_stem, word, counts, texts, witnesses = node
+                if node is best:
+                    continue
+                if best_is_stem and word.startswith(name):
+                    if not is_stem and _ratio(*counts, inside) >= certain:
+                        alone[word] = counts, texts
+                    elif not is_stem:
+                        members[word] = name
+                    continue
+                if is_stem and name.startswith(word):
+                    left = counts[0] - toxic, counts[1] - other
+                    witnesses *= left[0] / counts[0]
+                    certainty = _ratio(witnesses, left[1], share)
+                    if certainty < certain or left[0] <= 2 * share * sum(left):
+                        continue
+                    # texts that have both are the taken term's
+                    texts = [max(a - b, 0) for a, b in zip(texts, taken, strict=True)]
+                    node = certainty, True, word, left, texts, witnesses
+                rest.append(node)
+            nodes = rest
+    return families, alone, members
 
 
 def _features(evidence: np.ndarray) -> np.ndarray:
@@ -337,8 +415,7 @@ class ToxicityModel:
 
     def column(self, text: Column) -> Column:
         """Score of a text column; the model goes out with the tasks."""
-        parts = (self.lexicon.words, self.lexicon.stems, self.lexicon.exonerated)
-        curve, made = self.curve, []
+        parts, curve, made = self.lexicon.parts, self.curve, []
 
         def score(texts: pd.Series) -> pd.Series:
             if not made:
@@ -353,7 +430,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
     curve over about ``max_rows``."""
     rows = stored(labelled(docs, labels), "toxicity_rows")
     lexicon = fit_lexicon(rows, max_terms)
-    parts = (lexicon.words, lexicon.stems, lexicon.exonerated)
+    parts = lexicon.parts
     made: list[Lexicon] = []
 
     def evidence(texts: pd.Series) -> pd.DataFrame:

@@ -106,3 +106,50 @@ def test_held_out_texts_of_the_query(spark):
     assert sum(a == b for a, b in tested) / len(tested) >= 0.9
     assert all(a == b for a, b in tested if not a or b)
     assert queries.op9_toxicity(spark, SF_SMALL).count() == 200
+
+
+def with_family(seed, rows=800):
+    """A toxic family of many rare words, a fifth of whose uses are clean; one of its words is always clean."""
+    rng = random.Random(seed)
+    out = []
+    for i, text, toxic in corpus(seed, rows):
+        words = text.split()
+        member = "bomente" + "".join(rng.choice("aeiou") + rng.choice("lmnrst") for _ in range(2))
+        if toxic and i % 16 == 0:
+            words = [w for w in words if w not in ("stupid", "worthless", "grumblord") and not w.startswith("zorka")]
+            words.insert(rng.randrange(len(words)), member)
+        elif i % 57 == 1:
+            words.append(member)
+        elif i % 5 == 1:
+            words.append("bomenteca")
+        out.append((i, " ".join(words), toxic))
+    return out
+
+
+def test_families_with_some_clean_use_are_found(spark):
+    rows = with_family(3)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    fitted = X.fit_toxicity(docs, labels)
+    held = [(t, "bomente" in t and "bomenteca" not in t, x) for i, t, x in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    family = [t for t, has, x in held if x and has]
+    assert len(family) >= 5 and (fitted.scores(family) >= 0.3).all()
+    # the stem's own log-odds: less than a term of toxic texts alone
+    assert 0 < fitted.lexicon.weight("bomentexyz")[0] < fitted.lexicon.weight("stupid")[0]
+    clean = [t for t, _, x in held if not x and "bomenteca" in t]
+    assert clean and (fitted.scores(clean) < 0.3).all()
+
+
+def test_terms_that_begin_alike_share_their_counts():
+    def row(word, toxic, other):
+        return {"word": word, "toxic": toxic, "other": other, "texts": [toxic, other, 0, 0], "witnesses": toxic, "certainty": X._ratio(toxic, other, 0.1)}
+
+    stems = [row("inte", 300, 500), row("intebad", 150, 2), row("bome", 104, 25), row("bomente", 104, 25)]
+    words = [row("bomentela", 30, 8), row("intes", 140, 20), row("vile", 9, 0)]
+    families, alone, members = X._families(stems, words, 0.1, 24.0)
+    # the rest of inte* is 10 toxic of 488: no stem
+    assert {s: x[0] for s, x in families.items()} == {"intebad": (150, 2), "bomente": (104, 25)}
+    assert {w: x[0] for w, x in alone.items()} == {"intes": (140, 20), "vile": (9, 0)} and members == {"bomentela": "bomente"}
+    lexicon = X.Lexicon({"vile": 1.0}, {"bomente": 2.0}, members=members, lone={"bomente": 0.5})
+    assert lexicon.evidence("bomentexa")[0] == 0.5 and lexicon.evidence("bomentexa bomentela")[0] == 4
+    assert lexicon.weight("bomentexa") == (2.0, False) and lexicon.weight("bomemtela") == (2.0, True)
