@@ -9,7 +9,7 @@ Learning (from labelled rows only):
    stem of the texts that have its words, or of those with one of them. Words that
    certainly differ from their stem keep their own, or are no hits. A term's witnesses are its toxic texts, but no more than the
    different words before it, so copies of one toxic text make no lexicon of
-   their own. At most ``max_terms`` of them, the most certain first.
+   their own. Every term that passes is kept.
 2. The terms form a trie. A Levenshtein automaton for one edit is run against
    it for words of five letters and more, so misspelled terms are caught too.
    Words near a term that other texts use as a matter of course
@@ -43,9 +43,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import hash_share, map_batches, pandas_udf, stored
 
-#: Bounds of the fitted model.
-MAX_TERMS = 2_000
-MAX_EXONERATED = 50_000
+#: Labelled rows the curve is fitted to.
 MAX_ROWS = 20_000
 STEMS = (4, 5, 6, 7)
 LEAST_FUZZY = 5
@@ -279,7 +277,7 @@ def _certainty(toxic: Column, other: Column, toxic_rows: int, other_rows: int) -
     return 2 * (part(toxic, seen * share) + part(other, seen * (1 - share)))
 
 
-def fit_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
+def fit_lexicon(rows: DataFrame) -> Lexicon:
     """Lexicon of stored rows ``text``, ``toxic``."""
     sums = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     toxic_rows, other_rows = int(sums[0]), int(sums[1] - sums[0])
@@ -296,7 +294,7 @@ def fit_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
         witnesses = _independent(F.col("toxic").cast("double"), F.col("contexts"))
         marked = counts.withColumn("witnesses", witnesses).withColumn("certainty", _certainty(F.col("witnesses"), F.col("other"), toxic_rows, other_rows))
         marked = marked.where((F.col("certainty") >= certain) & (F.col("toxic") > 2 * share * (F.col("toxic") + F.col("other"))))
-        return marked.select("word", "toxic", "other", "texts", "witnesses", "certainty").orderBy(F.desc("certainty"), "word").limit(max_terms).collect()
+        return marked.select("word", "toxic", "other", "texts", "witnesses", "certainty").collect()
 
     def weight(toxic: float, other: float) -> float:
         return math.log((toxic + 0.5) / (toxic_rows + 1)) - math.log((other + 0.5) / (other_rows + 1))
@@ -328,8 +326,7 @@ def fit_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> Lexicon:
                     keep.append(toxic < 3 * other and bool(lexicon.fuzzy(word)))
             yield frame[keep]
 
-    spared = map_batches(words.where(F.col("other") > 0), ordinary, words.schema)
-    spared = spared.orderBy(F.desc("other"), "word").limit(MAX_EXONERATED).collect()
+    spared = map_batches(words.where(F.col("other") > 0), ordinary, words.schema).select("word").collect()
     return Lexicon(lexicon.words, stems, frozenset(r["word"] for r in spared), members, lone)
 
 
@@ -425,11 +422,11 @@ class ToxicityModel:
         return pandas_udf(score, "double")(text.cast("string"))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS, max_rows: int = MAX_ROWS) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> ToxicityModel:
     """Fit to the labelled rows that are not held out: counts over all of them, the
     curve over about ``max_rows``."""
     rows = stored(labelled(docs, labels), "toxicity_rows")
-    lexicon = fit_lexicon(rows, max_terms)
+    lexicon = fit_lexicon(rows)
     parts = lexicon.parts
     made: list[Lexicon] = []
 

@@ -153,3 +153,16 @@ def test_terms_that_begin_alike_share_their_counts():
     lexicon = X.Lexicon({"vile": 1.0}, {"bomente": 2.0}, members=members, lone={"bomente": 0.5})
     assert lexicon.evidence("bomentexa")[0] == 0.5 and lexicon.evidence("bomentexa bomentela")[0] == 4
     assert lexicon.weight("bomentexa") == (2.0, False) and lexicon.weight("bomemtela") == (2.0, True)
+
+
+def test_every_passing_term_and_every_spared_word_is_kept(spark):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    codes = [i * 7919 % 26**4 for i in range(2_010)]
+    terms = ["".join(letters[c // 26**k % 26] for k in range(4)) + "qv" for c in codes]
+    beside = [chr(0x430 + k) + term[1:] for term in terms for k in range(25)]
+    rows = [(" ".join(rng.sample(terms, len(terms))), 1) for _ in range(15)]
+    rows += [(" ".join(beside[i::45]), 0) for i in range(45)]
+    lexicon = X.fit_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(lexicon.words) == set(terms) and len(terms) > 2_000
+    assert lexicon.exonerated == set(beside) and len(lexicon.exonerated) > 50_000
