@@ -7,8 +7,8 @@ phrases a text needs, for its length, the more it is like the language; the
 language that needs fewest wins.
 
 The parse runs for many stretches of text at once: the automata are laid out as one
-transition table over a small alphabet, in which a missing transition starts a
-new phrase, and every step moves all stretches and all languages by a letter.
+transition table, dense for the ``ALPHABET`` most frequent letters and sorted keys for all other
+learned ones, in which a missing transition starts a new phrase, and every step moves all stretches and all languages by a letter.
 Texts are cut into stretches of ``STRETCH`` letters, so a very long text is spread
 over many of them; a cut ends a phrase.
 
@@ -40,6 +40,7 @@ TOTAL_CHARS = 256_000
 SAMPLE_ROWS = 60
 CHARS_OF_ROW = 1_500
 MAX_LANGUAGES = 64
+#: Columns of the dense table: the most frequent letters; all others are sparse.
 ALPHABET = 64
 STRETCH = 512
 #: Letters parsed at a time (a multiple of STRETCH).
@@ -100,32 +101,51 @@ class CrossParser:
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
-        letters = Counter(c for text in samples.values() for c in text)
-        kept = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[: ALPHABET - 1]]
-        # class 0: letters that were not learned
-        self.classes = {c: i + 1 for i, c in enumerate(kept)}
-        self.class_of = np.zeros(0x110000, np.uint8)
+        counts = Counter(c for text in samples.values() for c in text)
+        # class 0: letters that were not learned; every learned one has its own
+        letters = sorted(counts, key=lambda c: (-counts[c], c))
+        self.classes = {c: i + 1 for i, c in enumerate(letters)}
+        self.size = len(letters) + 1
+        self.class_of = np.zeros(0x110000, np.int32)
         for c, i in self.classes.items():
             self.class_of[ord(c)] = i
         tables, self.roots, states = [], [], 0
-        for language in self.languages:
+        keys, values = [], []
+        self.first = np.zeros((len(self.languages), self.size), np.int64)
+        for k, language in enumerate(self.languages):
             automaton = SuffixAutomaton(samples[language])
             size = len(automaton.next)
-            first = np.zeros(ALPHABET, np.int64)
+            self.first[k] = states
             for c, target in automaton.next[0].items():
-                if c in self.classes:
-                    first[self.classes[c]] = target
+                self.first[k, self.classes[c]] = target + states
             # value: 2 x target state, plus 1 where a new phrase begins
-            table = np.repeat((2 * (first + states) + 1)[None, :], size, axis=0)
+            dense = np.zeros(ALPHABET, np.int64)
+            dense[: self.size] = self.first[k, :ALPHABET]
+            table = np.repeat((2 * dense + 1)[None, :], size, axis=0)
             for state, steps in enumerate(automaton.next[1:], 1):
                 for c, target in steps.items():
-                    if c in self.classes:
-                        table[state, self.classes[c]] = 2 * (target + states)
-            tables.append(table)
+                    letter = self.classes[c]
+                    if letter < ALPHABET:
+                        table[state, letter] = 2 * (target + states)
+                    else:
+                        keys.append((state + states) * self.size + letter)
+                        values.append(2 * (target + states))
+            tables.append(table.astype(np.int32))
             self.roots.append(states)
             states += size
-        self.table = np.concatenate(tables).astype(np.int32).ravel() if tables else np.zeros(0, np.int32)
+        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         self.roots = np.array(self.roots, np.int32)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, np.int64)[order]
+
+    def _sparse(self, state: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Table values (languages x places) for letters outside the dense table."""
+        restart = 2 * self.first[:, letters] + 1
+        if not len(self.keys):
+            return restart
+        wanted = state.astype(np.int64) * self.size + letters
+        place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[place] == wanted, self.values[place], restart)
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases each language needs for each normalised text (texts x languages)."""
@@ -161,7 +181,11 @@ class CrossParser:
             n = alive[step]
             if not n:
                 break
-            moved = self.table[state[:, :n] * ALPHABET + codes[begin[:n] + step]]
+            letters = codes[begin[:n] + step]
+            rare = np.flatnonzero(letters >= ALPHABET) if self.size > ALPHABET else ()
+            moved = self.table[state[:, :n] * ALPHABET + (letters if not len(rare) else np.where(letters < ALPHABET, letters, 0))]
+            if len(rare):
+                moved[:, rare] = self._sparse(state[:, rare], letters[rare])
             count[:, :n] += moved & 1
             state[:, :n] = moved >> 1
         for k in range(len(self.languages)):

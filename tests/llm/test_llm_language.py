@@ -60,3 +60,15 @@ def test_held_out_languages_of_the_query(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1 for r in out)
     tested = [r["lang_pred"] == lang[r["doc_id"]] for r in out if r["held_out"] and lang[r["doc_id"]]]
     assert np.mean(tested) >= 0.95
+
+
+def test_every_learned_letter_has_its_own_class():
+    rng = random.Random(2)
+    scripts = {k: [chr(0x4E00 + first + i) for i in range(300)] for k, first in (("p", 0), ("q", 150), ("r", 5_000))}
+    samples = {k: "".join(rng.choice(v) for _ in range(3_000)) for k, v in scripts.items()} | {"a": SAMPLES["a"]}
+    parser = L.CrossParser(samples)
+    texts = ["".join(rng.choice(v) for _ in range(200)) for v in scripts.values()] + ["the cat 永 sat"]
+    texts += [samples["q"][50:400], samples["r"][:90] + "xyz" + samples["p"][7:70]]
+    got = parser.phrases(texts)
+    assert got.tolist() == [[plain_phrases(t, samples[k]) for k in parser.languages] for t in texts]
+    assert parser.predict([samples["q"][50:400], samples["r"][:90]])[0] == ["q", "r"]
