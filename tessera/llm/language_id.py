@@ -12,9 +12,10 @@ learned ones, in which a missing transition starts a new phrase, and every step
 Texts are cut into stretches of ``STRETCH`` letters, so a very long text is spread
 over many of them; a cut ends a phrase.
 
-Learning uses at most ``SAMPLE_CHARS`` letters for each language (``TOTAL_CHARS`` in
-all), from texts taken by a hash of their id, and the ``MAX_LANGUAGES`` languages
-with most texts.
+Learning uses at most ``SAMPLE_CHARS`` letters for each labelled language, from texts
+taken by a hash of their id. Where there are more than ``LANGUAGES_AT_A_TIME``, a batch
+is parsed against one block of languages after the other, and the fewest phrases of
+all blocks win.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or if
 nothing was learned; ties go to the first language in alphabetical order; rows
@@ -36,10 +37,10 @@ from tessera.llm.common import hash_share, pandas_udf
 
 #: Bounds of the fitted model.
 SAMPLE_CHARS = 24_000
-TOTAL_CHARS = 256_000
 SAMPLE_ROWS = 60
 CHARS_OF_ROW = 1_500
-MAX_LANGUAGES = 64
+#: Languages whose automata a worker holds at a time.
+LANGUAGES_AT_A_TIME = 32
 #: Columns of the dense table: the most frequent letters; all others are sparse.
 ALPHABET = 64
 STRETCH = 512
@@ -193,19 +194,29 @@ class CrossParser:
         return out
 
     def predict(self, texts) -> tuple[list[str], list[float]]:
-        """Language and score of each raw text. The score is how far the winner
-        lies ahead: one minus its phrases over those of the runner-up."""
-        languages, scores = ["und"] * len(texts), [0.0] * len(texts)
-        known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if self.languages else []
-        step = 2_000
-        for at in range(0, len(known), step):
-            some = known[at : at + step]
-            for i, row in zip(some, self.phrases([normalised(texts[i]) for i in some]), strict=True):
-                best = int(np.argmin(row))
-                languages[i] = self.languages[best]
-                rest = np.delete(row, best)
-                scores[i] = float(1 - row[best] / rest.min()) if len(rest) else 1.0
-        return languages, scores
+        """Language and score of each raw text."""
+        return choose([self], texts)
+
+
+def choose(parsers, texts) -> tuple[list[str], list[float]]:
+    """Language and score of each raw text over all parsers (in order of their
+    languages). The score is how far the winner lies ahead: one minus its phrases
+    over those of the runner-up."""
+    found, scores = ["und"] * len(texts), [0.0] * len(texts)
+    known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+    step, names, counts = 2_000, [], []
+    for parser in parsers:
+        if parser.languages:
+            names += parser.languages
+            parts = [parser.phrases([normalised(texts[i]) for i in known[at : at + step]]) for at in range(0, len(known), step)]
+            counts.append(np.concatenate(parts) if parts else np.zeros((0, len(parser.languages)), np.int64))
+    if names:
+        for i, row in zip(known, np.concatenate(counts, axis=1), strict=True):
+            best = int(np.argmin(row))
+            found[i] = names[best]
+            rest = np.delete(row, best)
+            scores[i] = float(1 - row[best] / rest.min()) if len(rest) else 1.0
+    return found, scores
 
 
 def held_out(doc_id: Column) -> Column:
@@ -217,32 +228,34 @@ def learning_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Bounded labelled text of each language: beginnings of ``SAMPLE_ROWS`` texts."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(~held_out(F.col("id")) & F.col("text").isNotNull() & (F.col("lang") != ""))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return {}
     # a few times the rows wanted, by hash, so that no task gathers more than those
-    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 8.0 * SAMPLE_ROWS / r["count"])])
-    rows = rows.where(hash_share("id", "text") < F.element_at(shares, F.col("lang")))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], 8.0 * SAMPLE_ROWS / r["count"]) for r in counts], "lang string, share double")
+    rows = rows.join(F.broadcast(shares), "lang").where(hash_share("id", "text") < F.col("share"))
     rows = rows.select("id", "lang", F.substring("text", 1, CHARS_OF_ROW).alias("text"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"))
     taken = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_ROWS)
     each = taken.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("rows"))
     out, found = {}, each.orderBy("lang").collect()
-    size = min(SAMPLE_CHARS, TOTAL_CHARS // max(len(found), 1))
     for r in found:
-        out[r["lang"]] = " ".join(normalised(x["text"]) for x in r["rows"])[:size]
+        out[r["lang"]] = " ".join(normalised(x["text"]) for x in r["rows"])[:SAMPLE_CHARS]
     return {k: v for k, v in out.items() if v.strip()}
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of every row of ``docs``."""
     samples = learning_samples(docs, id_col, text_col, lang_col)
+    names, size = sorted(samples), LANGUAGES_AT_A_TIME
+    blocks = [{k: samples[k] for k in names[at : at + size]} for at in range(0, len(names), size)]
     made: list[CrossParser] = []
 
     def predict(texts: pd.Series) -> pd.DataFrame:
-        if not made:
-            made.append(CrossParser(samples))
-        languages, scores = made[0].predict(texts.tolist())
+        if len(blocks) == 1 and not made:
+            made.append(CrossParser(blocks[0]))
+        # several blocks are laid out in turn, so one is in memory at a time
+        languages, scores = choose(made or (CrossParser(b) for b in blocks), texts.tolist())
         return pd.DataFrame({"lang_pred": pd.Series(languages, dtype=object), "score": pd.Series(scores, dtype="float64")})
 
     found = docs.select(F.col(id_col).alias("doc_id"), pandas_udf(predict, "lang_pred string, score double")(F.col(text_col).cast("string")).alias("p"))

@@ -72,3 +72,15 @@ def test_every_learned_letter_has_its_own_class():
     got = parser.phrases(texts)
     assert got.tolist() == [[plain_phrases(t, samples[k]) for k in parser.languages] for t in texts]
     assert parser.predict([samples["q"][50:400], samples["r"][:90]])[0] == ["q", "r"]
+
+
+def test_every_labelled_language_is_learned(spark):
+    rng = random.Random(4)
+    rows, names = [], [f"l{k:02}" for k in range(70)]
+    for k, name in enumerate(names):
+        words = ["".join(chr(0x61 + rng.randrange(26)) for _ in range(6)) for _ in range(8)]
+        rows += [(100 * k + i, " ".join(rng.choice(words) for _ in range(25)), name) for i in range(12 if k else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(L.learning_samples(docs)) == set(names)
+    out = {r["doc_id"]: r["lang_pred"] for r in L.identify(docs).collect()}
+    assert all(out[i] == name for i, _, name in rows)
