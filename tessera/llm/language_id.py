@@ -13,7 +13,9 @@ Texts are cut into stretches of ``STRETCH`` letters, so a very long text is spre
 over many of them; a cut ends a phrase.
 
 Learning uses at most ``SAMPLE_CHARS`` letters for each labelled language, from texts
-taken by a hash of their id. Where there are more than ``LANGUAGES_AT_A_TIME``, a batch
+taken by a hash of the text, copies once: one piece of up to ``CHARS_OF_ROW`` characters
+from each of up to ``SAMPLE_ROWS`` texts, at a place given by the hash, and as
+even a share of the letters from each as their lengths allow. Where there are more than ``LANGUAGES_AT_A_TIME``, a batch
 is parsed against one block of languages after the other, and the fewest phrases of
 all blocks win.
 
@@ -225,25 +227,41 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learning_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
-    """Bounded labelled text of each language: beginnings of ``SAMPLE_ROWS`` texts."""
+    """Bounded labelled text of each language: pieces of ``SAMPLE_ROWS`` different
+    texts, each at a hashed place of its text."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(~held_out(F.col("id")) & F.col("text").isNotNull() & (F.col("lang") != ""))
-    counts = rows.groupBy("lang").count().collect()
+    rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
+    counts = rows.select("lang", "h").distinct().groupBy("lang").count().collect()
     if not counts:
         return {}
-    # a few times the rows wanted, by hash, so that no task gathers more than those
+    # a few times the texts wanted, by hash, so that no task gathers more than those
     shares = docs.sparkSession.createDataFrame([(r["lang"], 8.0 * SAMPLE_ROWS / r["count"]) for r in counts], "lang string, share double")
-    rows = rows.join(F.broadcast(shares), "lang").where(hash_share("id", "text") < F.col("share"))
-    rows = rows.select("id", "lang", F.substring("text", 1, CHARS_OF_ROW).alias("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"))
-    taken = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_ROWS)
+    rows = rows.join(F.broadcast(shares), "lang").where(hash_share("h") < F.col("share"))
+    # every start of a whole piece is as likely
+    starts = F.greatest(F.length("text") - CHARS_OF_ROW, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64("h", F.lit(1)), starts.cast("long")) + 1).cast("int")
+    pieces = rows.select("lang", "h", F.substring(F.col("text"), start, F.lit(CHARS_OF_ROW)).alias("text"))
+    pieces = pieces.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h")
+    taken = pieces.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_ROWS)
     each = taken.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("rows"))
-    out, found = {}, each.orderBy("lang").collect()
-    for r in found:
-        out[r["lang"]] = " ".join(normalised(x["text"]) for x in r["rows"])[:SAMPLE_CHARS]
+    out = {}
+    for r in each.collect():
+        out[r["lang"]] = " ".join(_even([normalised(x["text"]) for x in r["rows"]], SAMPLE_CHARS))
     return {k: v for k, v in out.items() if v.strip()}
 
 
+def _even(texts: list[str], total: int) -> list[str]:
+    """The texts, cut so that they and the blanks between them have ``total``
+    letters at most: the longest are cut, all to about the same length."""
+    left, out = total - len(texts), list(texts)
+    for rest, i in enumerate(sorted(range(len(texts)), key=lambda i: len(texts[i]))):
+        out[i] = texts[i][: max(left, 0) // (len(texts) - rest)]
+        left -= len(out[i])
+    return out
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of every row of ``docs``."""
     samples = learning_samples(docs, id_col, text_col, lang_col)

@@ -84,3 +84,15 @@ def test_every_labelled_language_is_learned(spark):
     assert set(L.learning_samples(docs)) == set(names)
     out = {r["doc_id"]: r["lang_pred"] for r in L.identify(docs).collect()}
     assert all(out[i] == name for i, _, name in rows)
+
+
+def test_samples_reach_the_whole_text_and_take_copies_once(spark):
+    rng = random.Random(6)
+    header, body = "licence " * 200, lambda: " ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(3_000))
+    rows = [(i, header + body() + " end" * 400, "x") for i in range(60)]
+    rows += [(1_000 + i, header + "copied " * 2_000, "x") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = L.learning_samples(docs)["x"]
+    assert len(sample) <= L.SAMPLE_CHARS and "beta" in sample and " end" in sample
+    assert sample.count("copied") < 300 and sample.count("licence") < 700
+    assert [len(t) for t in L._even(["a" * 10, "b" * 900, "c" * 900], 403)] == [10, 195, 195]
