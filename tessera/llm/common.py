@@ -111,6 +111,27 @@ def with_rank(df: DataFrame, group: str, part: str, local: str, rank: str) -> Da
     )
 
 
+def in_ranges(rows: DataFrame, *order: str | Column) -> DataFrame:
+    """``rows`` (a stored table) range-sorted by ``order`` and stored again, with
+    ``part`` (number of the range) and ``local`` (row number in it from 0). Rows
+    that are equal in ``order`` are parted by their place in the table, so a value
+    that holds most rows fills many ranges."""
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    ranges = tied.orderBy(*order, "_tie").drop("_tie")
+    local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return stored(ranges.withColumn("part", F.spark_partition_id()).withColumn("local", local), "ranges")
+
+
+def ranked(rows: DataFrame, *order: str | Column) -> DataFrame:
+    """``rows`` (a stored table) with ``rank``: a gapless number from 0 by ``order``.
+    Only one count a range is summed up in one place."""
+    ranges = in_ranges(rows, *order)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = starts.select("part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    return ranges.join(starts, "part").withColumn("rank", F.col("_start") + F.col("local")).drop("_start", "part", "local")
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """Components of the links (columns ``a``, ``b``): ``node``, ``root`` for
     every node that has a link; ``root`` is the smallest node reachable.

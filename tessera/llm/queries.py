@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and the pipeline, and their SQL."""
+"""Registered queries of the operators and the pipeline, and their SQL."""
 
 from __future__ import annotations
 
@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from tessera.llm import (
     ann_collision,
     chat_trees,
+    curriculum_mix,
     decontaminate,
     jump_shard,
     language_id,
+    merkle_manifest,
     nnls_packing,
     secret_scan,
     simhash_dedup,
+    spelling_variants,
     toxicity,
     url_filter,
 )
@@ -91,6 +94,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = curriculum_mix.mix(table(spark, sf_dir, "documents"))
+    # a projection, so the range-sorted order stays
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").alias("copies"), F.round("position", 6).alias("position"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # The contract's columns and tampering.
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = merkle_manifest.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), more, F.col("text"))
+    claimed = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, tampered)
+    checked = merkle_manifest.verify(merkle_manifest.merkle_manifest(docs, claimed=claimed))
+    return checked.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,6 +127,9 @@ QUERIES = {
         op8_jump_sharding,
         op9_toxicity,
         op10_language_id,
+        op11_curriculum_mix,
+        op12_spelling_variants,
+        op13_merkle_manifest,
     )
 }
 
@@ -135,4 +161,29 @@ ORACLE = {
             WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM split)
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled""",
+    "op11_curriculum_mix": r"""
+        WITH d AS (
+          SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                 md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS draw FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                     (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS plan FROM d GROUP BY source),
+        w AS (SELECT *, CASE plan WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight FROM s),
+        r AS (SELECT *, 2.0::DOUBLE * source_size / weight AS full_at FROM w),
+        l AS (SELECT full_at, (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * (sum(source_size) OVER up - source_size))
+                     / (sum(weight) OVER () - sum(weight) OVER up + weight) AS level
+              FROM r WINDOW up AS (ORDER BY full_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        level AS (SELECT coalesce(arg_min(level, full_at), 0.0) AS level FROM l WHERE level <= full_at),
+        t AS (SELECT source, source_size, plan, least(weight * (SELECT level FROM level), 2.0::DOUBLE * source_size) AS target FROM w),
+        o AS (SELECT d.*, t.source_size, t.plan, t.target, CAST(floor(t.target) AS BIGINT) AS whole,
+                     CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id, d.size
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS BIGINT) AS start
+              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        c AS (SELECT *, greatest(0, least(size, whole - start)) AS first, greatest(0, least(size, whole - start - source_size)) AS second,
+                     start / target AS share FROM o)
+        SELECT doc_id, size, source_size, target, CAST(first + second AS BIGINT) AS taken,
+               CAST((first > 0)::INT + (second > 0)::INT AS INTEGER) AS copies,
+               CASE WHEN first = 0 THEN NULL
+                    WHEN plan = 0 THEN round(2 * 3 * share / (4 + sqrt(16 - 4 * 3 * share)), 6)
+                    WHEN plan = 1 THEN round(2 * share / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2 * share)), 6)
+                    ELSE round(2 * 2 * share / (2 + sqrt(4::DOUBLE)), 6) END AS position FROM c""",
 }
