@@ -70,7 +70,7 @@ class SweepConfig:
     max_iter: int = SWEEP_MAX_ITER
     seed: int = KMEANS_SEED
     # Fits run concurrently; results do not depend on it.
-    parallelism: int = 8
+    parallelism: int = 4
     # Convergence tolerance of the sweep fits (MLlib's default).
     tol: float = 1e-4
 
@@ -105,3 +105,5 @@ class JobConfig:
     preview_rows: int = 20
     # Path of the saved model; None keeps it in memory only.
     model_path: str | None = None
+    # Folder of the run journal, which lets a rerun go on where one ended; None keeps none.
+    journal_path: str | None = None

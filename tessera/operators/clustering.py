@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,8 +17,10 @@ from pyspark.sql.types import ArrayType
 from tessera.config import ChooseConfig, FitConfig, SweepConfig
 
 PREDICTION_COL = "prediction"
-#: Most centres the driver collects; they are the parameters of a clustering, not data.
-MAX_CENTRES = 100_000
+#: Centres of one constant; more of them make more constants of the same narrow map.
+CENTRES_AT_ONCE = 1_024
+#: MLlib's solver on stacked rows: matrix products instead of a distance a row and centre.
+SOLVER = "block"
 
 
 def as_vector(df: DataFrame, col: str) -> Column:
@@ -60,24 +61,40 @@ def fit_kmeans(
         maxIter=config.max_iter,
         tol=config.tol,
         initSteps=config.init_steps,
+        solver=SOLVER,
     )
     return kmeans.fit(df)
 
 
-def kmeans_sweep(df: DataFrame, features_col: str, config: SweepConfig = SweepConfig()) -> DataFrame:
+SweepRow = tuple[int, float, float, int]
+
+
+def kmeans_sweep(
+    df: DataFrame,
+    features_col: str,
+    config: SweepConfig = SweepConfig(),
+    known: Mapping[int, SweepRow] | None = None,
+    record: Callable[[SweepRow, KMeansModel], None] | None = None,
+) -> DataFrame:
     """(k, wssse, silhouette, iterations) for k = min_k..max_k, one row per k.
 
     One MLlib fit and one evaluator per k, ``config.parallelism`` of them as
-    concurrent Spark jobs. ``wssse`` is MLlib's training cost. Hand in a
-    persisted frame that holds the vectors: MLlib then reads that copy and
-    makes none of its own.
+    concurrent Spark jobs. ``wssse`` is MLlib's training cost. Each fit stacks the rows into matrix
+    blocks and keeps those while it runs. Rows of ``known`` are not fitted again; ``record`` gets
+    every other row and its model as it is done.
     """
+    known = known or {}
 
-    def one(k: int) -> tuple:
-        kmeans = KMeans(k=k, seed=config.seed, featuresCol=features_col, maxIter=config.max_iter, tol=config.tol)
+    def one(k: int) -> SweepRow:
+        if k in known:
+            return known[k]
+        kmeans = KMeans(k=k, seed=config.seed, featuresCol=features_col, maxIter=config.max_iter, tol=config.tol, solver=SOLVER)
         model = kmeans.fit(df)
         score = silhouette(model.transform(df), features_col, model.getPredictionCol())
-        return k, float(model.summary.trainingCost), score, int(model.summary.numIter)
+        row = k, float(model.summary.trainingCost), score, int(model.summary.numIter)
+        if record:
+            record(row, model)
+        return row
 
     with ThreadPoolExecutor(max_workers=config.parallelism) as pool:
         out = sorted(pool.map(one, range(config.min_k, config.max_k + 1)))
@@ -127,20 +144,26 @@ def model_centres(model: KMeansModel) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, centre array<double>")
 
 
-def collect_centres(
-    centres: DataFrame, id_col: str = "label", centre_col: str = "centre", most: int = MAX_CENTRES
-) -> list[tuple[int, list[float]]]:
-    """Bring k centres to the driver; more than ``most`` of them raise before
-    any is collected beyond that number."""
-    rows = centres.select(id_col, centre_col).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} centres")
-    return sorted((int(r[0]), [float(x) for x in r[1]]) for r in rows)
+def collect_centres(centres: DataFrame, id_col: str = "label", centre_col: str = "centre") -> list[tuple[int, list[float]]]:
+    """The centres on the driver: they are the parameters of a clustering, not data."""
+    return sorted((int(r[0]), [float(x) for x in r[1]]) for r in centres.select(id_col, centre_col).collect())
 
 
 Centres = Sequence[tuple[int, Sequence[float]]]
 
 
+def squared_distance(a: Column, b: Column) -> Column:
+    gaps = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
+    return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+
+
+def _nearest(vector: Column, centres: Centres) -> Column:
+    """The smallest (distance, id) over constant centres."""
+    text = json.dumps([{"id": int(i), "c": [float(x) for x in c]} for i, c in centres])
+    constant = F.from_json(F.lit(text), "array<struct<id:int,c:array<double>>>")
+    return F.array_min(F.transform(constant, lambda c: F.struct(squared_distance(vector, c["c"]).alias("d"), c["id"].alias("id"))))
+
+
 def assign_nearest(
     df: DataFrame,
     features_col: str,
@@ -149,45 +172,29 @@ def assign_nearest(
     distance_col: str | None = None,
 ) -> DataFrame:
     """Label each row with its nearest centre (squared Euclidean; lowest id on
-    ties). A narrow map over Arrow batches: no join, no shuffle."""
+    ties; null for a null vector). A narrow map of array functions: no join, no shuffle, no Python."""
     if not centres:
         raise ValueError("no centres given")
     ordered = sorted(centres)
-    ids, points = np.array([i for i, _ in ordered]), np.array([c for _, c in ordered], float)
-
-    def nearest(vectors: pd.Series) -> pd.DataFrame:
-        best = np.full(len(vectors), np.inf)
-        label = np.zeros(len(vectors), np.int64)
-        rows = np.array(vectors.tolist(), float).reshape(-1, points.shape[1])
-        for i, point in zip(ids, points, strict=True):
-            gap = rows - point
-            distance = (gap * gap).sum(axis=1)
-            label = np.where(distance < best, i, label)
-            best = np.minimum(best, distance)
-        return pd.DataFrame({"id": label, "d": best})
-
-    found = F.pandas_udf(nearest, "id int, d double")(as_array(df, features_col))
-    out = df.withColumn("_nearest", found).withColumn(prediction_col, F.col("_nearest.id"))
+    chunks = [ordered[i : i + CENTRES_AT_ONCE] for i in range(0, len(ordered), CENTRES_AT_ONCE)]
+    # the vector is unpacked once a row: it is the only element of an array that is mapped
+    best = F.transform(F.array(as_array(df, features_col)), lambda v: F.when(v.isNotNull(), F.array_min(F.array(*[_nearest(v, c) for c in chunks]))))
+    out = df.withColumn("_nearest", best[0]).withColumn(prediction_col, F.col("_nearest.id"))
     if distance_col:
         out = out.withColumn(distance_col, F.col("_nearest.d"))
     return out.drop("_nearest")
 
 
-def wssse(df: DataFrame, features_col: str, label_col: str, centres: Centres) -> DataFrame:
+def wssse(df: DataFrame, features_col: str, label_col: str, centres: Centres | DataFrame) -> DataFrame:
     """Sum of squared distances of each row to the centre of its own label.
-    A label without a centre raises when the query runs."""
-    points = {int(i): np.array(c, float) for i, c in centres}
-
-    def own_distance(vectors: pd.Series, labels: pd.Series) -> pd.Series:
-        out = np.full(len(vectors), np.nan)
-        for label in labels.dropna().unique():
-            if label in points:
-                at = np.flatnonzero(labels == label)
-                gap = np.array(vectors.iloc[at].tolist(), float) - points[label]
-                out[at] = (gap * gap).sum(axis=1)
-        return pd.Series(out)
-
-    own = F.pandas_udf(own_distance, "double")(as_array(df, features_col), F.col(label_col).cast("double"))
+    ``centres``: pairs, or a frame (``label``, ``centre``) of any size. A label without a centre raises
+    when the query runs."""
+    if not isinstance(centres, DataFrame):
+        rows = [(int(i), [float(x) for x in c]) for i, c in centres]
+        centres = df.sparkSession.createDataFrame(rows, "label long, centre array<double>")
+    own = centres.select(F.col("label").cast("double").alias("label"), "centre")
+    rows = df.select(as_array(df, features_col).alias("v"), F.col(label_col).cast("double").alias("label"))
+    distances = rows.join(own, "label", "left").select(squared_distance(F.col("v"), F.col("centre")).alias("d"))
     lost = F.count_if(F.col("d").isNull() | F.isnan("d"))
     total = F.when(lost > 0, F.raise_error(F.lit("rows whose label has no centre"))).otherwise(F.sum("d"))
-    return df.select(own.alias("d")).agg(total.cast("double").alias("wssse"))
+    return distances.agg(total.cast("double").alias("wssse"))

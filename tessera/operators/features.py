@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.config import TrimConfig
 from tessera.functions.exprs import qcol
-from tessera.operators.profile import extent, quantiles
+from tessera.operators.profile import quantiles
 
 FEATURES_COL = "features"
 SCALED_COL = "scaled_features"
@@ -24,16 +24,14 @@ def outlier_trim(
     """Keep rows inside [q_lo, q_hi] of each feature, feature by feature.
 
     The bounds of feature j come from the rows that survived features < j
-    (the order of ``cols`` matters). A few counting passes (or one sketch) per
-    feature; the caller should hand in a persisted or checkpointed frame. Empty input → empty
+    (the order of ``cols`` matters). One sketch pass and, for exact bounds, one or
+    two counting passes per feature; the caller should hand in a persisted or checkpointed frame. Empty input → empty
     output and no bounds. Returns the trimmed frame and the bounds used.
     """
     out = df
     bounds: list[tuple[str, float, float]] = []
-    # Filters only remove rows, so the first extent covers every later pass.
-    known = extent(df, cols) if config.relative_error == 0 else None
     for c in cols:
-        got = quantiles(out, [c], config.probabilities, config.relative_error, known)[c]
+        got = quantiles(out, [c], config.probabilities, config.relative_error)[c]
         if not got:
             return out, bounds
         lo, hi = float(got[0]), float(got[1])

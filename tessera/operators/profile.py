@@ -6,14 +6,15 @@ partition layout). ``relative_error == 0`` is exact: the value at 1-based rank
 ``max(1, ceil(q*n))`` among non-null, non-NaN values, which is SQL
 ``percentile_disc``.
 
-The exact mode counts. Every pass cuts the range that must hold the wanted
-value into ``BINS`` equal bins and counts the rows of each on the cluster; the
-bin with the wanted rank, from its smallest to its largest value, is the next
-range. A pass narrows the range by a factor of ``BINS`` or ends with a range of one
-value, so ties cannot keep it going and no task or driver ever holds values,
-only counts by bin. Every second pass bins by order of magnitude, so values
-of very different size need no more passes than others. All columns and
-probabilities share each pass.
+The exact mode looks first and counts then. One pass makes a KLL sketch of every
+column, whose error bound gives a narrow range for each wanted rank. The next pass counts on
+the cluster how many values lie below, in ``BINS`` equal bins of, and above each range; the bin that
+holds the wanted rank, from its smallest to its largest value, is the next range. Values outside
+the ranges are counted too, so a sketch that missed only costs another pass. It ends when the value
+is known: the bin's smallest or largest, or all its values are equal. A pass narrows a range by a factor of ``BINS``, so
+ties cannot keep it going and no task or driver ever holds values, only counts by bin. Every second pass bins by
+order of magnitude, so values of very different size need no more passes than
+others. All columns and probabilities share each pass.
 """
 
 from __future__ import annotations
@@ -65,75 +66,92 @@ def _bin(x: Column, lo: float, hi: float, by_magnitude: bool) -> Column:
     return F.when(x == F.lit(float("-inf")), -1).when(x == F.lit(float("inf")), BINS).otherwise(inside).cast("int")
 
 
-Extent = dict[str, tuple[float, float] | None]
+#: Size of the sketches, and the share of all ranks by which one may be wrong (1 in 100 times more).
+SKETCH, SKETCH_ERROR = 4096, 0.0015
 
+Ranges = list[tuple[float, float]]
 
-def extent(df: DataFrame, cols: Sequence[str]) -> Extent:
-    """Smallest and largest value by column, None for one without values; one pass."""
-    sides = []
+
+def bracket(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> dict[str, tuple[int, Ranges]]:
+    """By column: number of its values and, for each probability, a range that should
+    hold the quantile. One pass."""
+    sketches = []
     for i, c in enumerate(cols):
         x = qcol(c).cast("double")
         valid = F.when(_valid(x), x)
-        sides += [F.min(valid).alias(f"lo{i}"), F.max(valid).alias(f"hi{i}")]
-    row = df.agg(*sides).first()
-    return {c: (row[f"lo{i}"], row[f"hi{i}"]) if row[f"lo{i}"] is not None else None for i, c in enumerate(cols)}
+        sketches += [F.count(valid).alias(f"n{i}"), F.kll_sketch_agg_double(valid, SKETCH).alias(f"s{i}")]
+    sides = [min(max(q + e, 0.0), 1.0) for q in probabilities for e in (-SKETCH_ERROR, SKETCH_ERROR)]
+    ranks = F.array(*[F.lit(r) for r in sides])
+    found = [F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", ranks)).alias(f"q{i}") for i in range(len(cols))]
+    row = df.agg(*sketches).select(*[f"n{i}" for i in range(len(cols))], *found).first()
+    return {c: (row[f"n{i}"], list(zip(row[f"q{i}"][::2], row[f"q{i}"][1::2], strict=True)) if row[f"n{i}"] else []) for i, c in enumerate(cols)}
 
 
-def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], known: Extent | None = None
-) -> dict[str, list[float]]:
-    """Exact ``percentile_disc`` values by column; ``[]`` for one without values.
-    ``known``: an extent that covers every value, which saves the pass for it."""
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float]]:
+    """Exact ``percentile_disc`` values by column; ``[]`` for one without values."""
     cols, probabilities = list(cols), [float(q) for q in probabilities]
-    known = known or extent(df, cols)
+    brackets = bracket(df, cols, probabilities)
     values = df.select(*[qcol(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    # (column, probability) -> (rank within the range, lo, hi); the first pass tells the rank
-    open_ranges = {
-        (i, j): (None, *known[c]) for i, c in enumerate(cols) if known[c] for j in range(len(probabilities))
-    }
+    # (column, probability) -> range; ranks are of the whole column
+    open_ranges = {(i, j): r for i, c in enumerate(cols) for j, r in enumerate(brackets[c][1])}
     found: dict[tuple[int, int], float] = {}
     for step in itertools.count():
-        by_magnitude = step % 2 == 1
-        found.update({key: lo for key, (rank, lo, hi) in open_ranges.items() if rank and lo == hi})
-        open_ranges = {key: r for key, r in open_ranges.items() if key not in found}
         if not open_ranges:
             break
-        # one range may be wanted by several probabilities: count it once
-        ranges = sorted({(key[0], lo, hi) for key, (_, lo, hi) in open_ranges.items()})
-        counted = dict(zip(ranges, _count_bins(values, ranges, by_magnitude), strict=True))
-        for key, (rank, lo, hi) in list(open_ranges.items()):
-            bins = counted[key[0], lo, hi]
-            if rank is None:
-                total = sum(n for n, _, _ in bins)
-                if not total:
-                    del open_ranges[key]
-                    continue
-                rank = target_rank(probabilities[key[1]], total)
-            for n, least, most in bins:
+        by_magnitude = step % 2 == 1
+        ranges: dict[int, Ranges] = {}
+        for (i, _), r in open_ranges.items():
+            ranges.setdefault(i, []).append(r)
+        counted = _count_bins(values, {i: _disjoint(r) for i, r in ranges.items()}, by_magnitude)
+        for key, was in list(open_ranges.items()):
+            rank = target_rank(probabilities[key[1]], brackets[cols[key[0]]][0])
+            for n, least, most in counted[key[0]]:
                 if rank <= n:
                     break
                 rank -= n
-            if (least, most) == (lo, hi) and not by_magnitude:
+            if least == most or rank == 1 or rank == n:
+                found[key] = least if rank == 1 else most
+            elif (least, most) == was and not by_magnitude:
                 # neighbouring doubles that no bin can part: at most a few values
-                found[key] = _value_at_rank(values, key[0], lo, hi, rank)
-            open_ranges[key] = (rank, least, most)
-    return {
-        c: [found[i, j] for j in range(len(probabilities)) if (i, j) in found] for i, c in enumerate(cols)
-    }
+                found[key] = _value_at_rank(values, key[0], least, most, rank)
+            open_ranges[key] = (least, most)
+        open_ranges = {key: r for key, r in open_ranges.items() if key not in found}
+    return {c: [found[i, j] for j in range(len(probabilities)) if (i, j) in found] for i, c in enumerate(cols)}
+
+
+def _disjoint(ranges: Ranges) -> Ranges:
+    """The same values in ranges that do not overlap, in order."""
+    out: Ranges = []
+    for lo, hi in sorted(ranges):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _cell(x: Column, ranges: Ranges, by_magnitude: bool) -> Column:
+    """Where a value lies: (2 r, 0) before range r, (2 r + 1, bin) in it."""
+    cell = F.struct(F.lit(2 * len(ranges)).alias("at"), F.lit(0).alias("bin"))
+    for r in reversed(range(len(ranges))):
+        lo, hi = ranges[r]
+        inside = F.struct(F.lit(2 * r + 1).alias("at"), _bin(x, lo, hi, by_magnitude).alias("bin"))
+        cell = F.when(x < F.lit(lo), F.struct(F.lit(2 * r).alias("at"), F.lit(0).alias("bin"))).when(x <= F.lit(hi), inside).otherwise(cell)
+    return cell
 
 
-def _count_bins(values: DataFrame, ranges: list[tuple[int, float, float]], by_magnitude: bool) -> list[list[tuple]]:
-    """(rows, smallest, largest) of each bin of each range that has rows, in order."""
+def _count_bins(values: DataFrame, ranges: dict[int, Ranges], by_magnitude: bool) -> dict[int, list[tuple]]:
+    """By column: (rows, smallest, largest) of each cell that has rows, in order."""
     cells = []
-    for number, (i, lo, hi) in enumerate(ranges):
+    for i, own in ranges.items():
         x = F.col(f"x{i}")
-        cell = F.struct(F.lit(number).alias("range"), _bin(x, lo, hi, by_magnitude).alias("bin"), x.alias("x"))
-        cells.append(F.when(_valid(x) & x.between(F.lit(lo), F.lit(hi)), cell))
-    rows = values.select(F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("c")).select("c.*")
-    counts = rows.groupBy("range", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    out: list[list[tuple]] = [[] for _ in ranges]
-    for r in sorted(counts.collect(), key=lambda r: (r["range"], r["bin"])):
-        out[r["range"]].append((r["n"], r["lo"], r["hi"]))
+        cells.append(F.when(_valid(x), F.struct(F.lit(i).alias("column"), _cell(x, own, by_magnitude).alias("cell"), x.alias("x"))))
+    one = cells[0] if len(cells) == 1 else F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull()))
+    rows = values.select(one.alias("c")).where("c IS NOT NULL").select("c.column", "c.cell.at", "c.cell.bin", "c.x")
+    counts = rows.groupBy("column", "at", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    out: dict[int, list[tuple]] = {i: [] for i in ranges}
+    for r in sorted(counts.collect(), key=lambda r: (r["column"], r["at"], r["bin"])):
+        out[r["column"]].append((r["n"], r["lo"], r["hi"]))
     return out
 
 
@@ -173,11 +191,10 @@ def quantiles(
     cols: Sequence[str],
     probabilities: Sequence[float],
     relative_error: float = 0.0,
-    known: Extent | None = None,
 ) -> dict[str, list[float]]:
     """Quantiles by column: exact when ``relative_error == 0``, else a sketch."""
     if relative_error == 0:
-        return exact_quantiles(df, cols, probabilities, known)
+        return exact_quantiles(df, cols, probabilities)
     return sketch_quantiles(df, cols, probabilities, relative_error)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tessera.config import PRODUCT_MEASURE_STRUCT, ChooseConfig, CleanConfig, FitConfig, SweepConfig, TrimConfig
 from tessera.operators import clustering, evaluate, features, pca, profile, quality
 from tessera.plans import job
-from tessera.plans.wide import WIDE_KEYS, WIDE_MEASURES, load_wide, table
+from tessera.plans.wide import WIDE_KEYS, WIDE_MEASURES, load_wide, table, wide_facts
 from tessera.session import cut_lineage, persist_frame, scratch_path
 from tessera.sources import readers, sinks
 
@@ -108,6 +108,61 @@ def q_csv_comma_scan(spark, sf):
     return _delimited_scan(spark, sf, ",")
 
 
+# Every lineitem column that wide_facts reads: rows equal in these are equal there.
+LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
+LINES_WANTED = 20_000
+ROWS_WANTED = 10_000
+
+
+def _write_json_lines(spark, sf, line) -> str:
+    """JSON lines of the catalogue in the order of ``LINE_ORDER``, over several files."""
+    path = scratch_path(spark, "catalogue.json")
+    ordered = wide_facts(table(spark, sf, "lineitem").repartitionByRange(4, *LINE_ORDER).sortWithinPartitions(*LINE_ORDER))
+    ordered.select(line.alias("value")).write.text(path)
+    return path
+
+
+def _catalogue_id():
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+
+
+def _catalogue_json():
+    measures = F.struct(*WIDE_MEASURES).alias(PRODUCT_MEASURE_STRUCT)
+    return F.to_json(F.struct(_catalogue_id().alias("_id"), F.col("l_returnflag").alias("product_name"), measures))
+
+
+def q_first_lines(spark, sf):
+    """The rows of exactly the first lines of a JSON export of several files."""
+    path = _write_json_lines(spark, sf, _catalogue_json())
+    raw = readers.load_products(
+        spark, path, fmt="json", measures=WIDE_MEASURES, descriptive=TEXT_DESCRIPTIVE, first_lines=LINES_WANTED
+    )
+    return quality.cast_double(raw, WIDE_MEASURES).select("_id", "product_name", "f1", "f3", "f8")
+
+
+def q_row_cap(spark, sf):
+    """What a capped read of ``lineitem`` holds: so many rows, all of the table."""
+    path = scratch_path(spark, "lineitem.parquet")
+    table(spark, sf, "lineitem").repartition(6, "l_orderkey").write.parquet(path)
+    whole = spark.read.parquet(path)
+    capped = readers.load_products(spark, path, fmt="parquet", max_rows=ROWS_WANTED)
+    rows = capped.groupBy(*LINE_ORDER).agg(F.count(F.lit(1)).alias("n"))
+    known = whole.groupBy(*LINE_ORDER).agg(F.count(F.lit(1)).alias("there"))
+    return rows.join(known, list(LINE_ORDER), "left").agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("n") <= F.col("there"), F.col("n"))), F.lit(0)).alias("rows_of_the_table")
+    )
+
+
+def q_json_quarantine(spark, sf):
+    """Malformed lines of a JSON export with their numbers, and the rows that are whole."""
+    broken = F.concat(F.lit("{broken "), _catalogue_id())
+    path = _write_json_lines(spark, sf, F.when(F.col("l_orderkey") % 17 == 0, broken).otherwise(_catalogue_json()))
+    schema = readers.nested_schema(TEXT_DESCRIPTIVE, PRODUCT_MEASURE_STRUCT, WIDE_MEASURES)
+    good, bad = readers.quarantine_json(spark, path, schema, scratch_path(spark, "split.parquet"))
+    rows = good.where("_id IS NOT NULL").agg(F.count(F.lit(1)).alias("whole_rows"))
+    return bad.select("number", "text").join(rows, how="left")
+
+
 def q_cluster_report(spark, sf):
     lab = table(spark, sf, "embeddings")
     n = lab.select("label").distinct().count()
@@ -265,7 +320,7 @@ def q_assign_nearest(spark, sf):
 
 def q_wssse(spark, sf):
     lab = _lab(spark, sf)
-    centres = clustering.collect_centres(clustering.centroids(lab, "embedding", "label"))
+    centres = clustering.centroids(lab, "embedding", "label")
     return clustering.wssse(lab, "embedding", "label", centres).select(_r6(F.col("wssse")).alias("wssse"))
 
 
@@ -303,23 +358,39 @@ EXACT_JOB = replace(job.WIDE_JOB, trim=EXACT_TRIM)
 
 
 def _scaled_lab(spark, sf):
+    """Embeddings of known length as columns, scaled by the library's own step."""
     lab = _lab(spark, sf)
-    from pyspark.ml.feature import StandardScaler
-
-    vec = lab.select("vec_id", "label", clustering.as_vector(lab, "embedding").alias("features"))
-    scaler = StandardScaler(inputCol="features", outputCol="scaled_features", withMean=True, withStd=True)
-    return cut_lineage(scaler.fit(vec).transform(vec))
+    size = lab.select(F.size("embedding")).first()[0]
+    names = [f"e{i}" for i in range(size)]
+    wide = lab.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    scaled, _ = features.assemble_scale(wide, names)
+    return cut_lineage(scaled.select("vec_id", "label", features.SCALED_COL))
 
 
 def q_kmeans_sweep(spark, sf):
-    """One row per k, with whether its scores lie where scores must lie."""
-    vectors = persist_frame(_scaled_lab(spark, sf).select("scaled_features"))
-    swept = clustering.kmeans_sweep(vectors, "scaled_features", SweepConfig())
+    """One row per k with what must hold: the cost of one cluster (of standardised columns, so
+    SQL knows it), whether the sweep's cost is below it, whether the cost of all rows to their
+    nearest centre is no more than the cost of the fit, and whether the sweep's silhouette is that of
+    these nearest centres."""
+    vectors = persist_frame(_scaled_lab(spark, sf).select(features.SCALED_COL))
+    facts: dict[int, tuple] = {}
+
+    def recompute(row, model):
+        centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+        near = clustering.assign_nearest(vectors, features.SCALED_COL, centres, distance_col="d")
+        facts[row[0]] = near.agg(F.sum("d")).first()[0], clustering.silhouette(near, features.SCALED_COL)
+
+    swept = clustering.kmeans_sweep(vectors, features.SCALED_COL, SweepConfig(), record=recompute)
+    origin = clustering.squared_distance(clustering.as_array(vectors, features.SCALED_COL), F.array(*[F.lit(0.0)] * len(vectors.first()[0])))
+    one_cluster = vectors.agg(F.sum(origin)).first()[0]
     vectors.unpersist()
-    return swept.select(
+    again = spark.createDataFrame([(k, *v) for k, v in sorted(facts.items())], "k int, cost double, score double")
+    return swept.join(again, "k").select(
         "k",
-        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
-        (F.col("wssse") > 0).alias("wssse_positive"),
+        F.round(F.lit(one_cluster), 4).alias("one_cluster_cost"),
+        (F.col("wssse") < F.lit(one_cluster)).alias("below_one_cluster"),
+        (F.col("cost") <= F.col("wssse") * (1 + 1e-9)).alias("nearest_costs_no_more"),
+        (F.abs(F.col("silhouette") - F.col("score")) < 1e-9).alias("silhouette_of_nearest"),
         F.col("iterations").between(1, SweepConfig().max_iter).alias("iterations_in_range"),
     )
 
@@ -378,11 +449,13 @@ def q_pca_points(spark, sf):
 
 
 def q_cluster_predictions(spark, sf):
-    """Ids that the job's predictions carry under the exact trim."""
-    config = replace(EXACT_JOB, sweep=SweepConfig(min_k=4, max_k=5, max_iter=5))
-    result = job.run_job(spark, load_wide(spark, sf), config)
-    labelled = result.predictions.where(F.col("prediction").between(0, result.k - 1))
-    return labelled.select("l_orderkey", "l_linenumber", *WIDE_MEASURES)
+    """Ids and measures of the job's predictions under the exact trim, and whether each label is
+    that of the nearest centre."""
+    result = job.run_job(spark, load_wide(spark, sf), EXACT_JOB)
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(result.model.clusterCenters())]
+    checked = clustering.assign_nearest(result.predictions, features.SCALED_COL, centres, prediction_col="nearest")
+    on_nearest = (F.col("nearest") == F.col("prediction")).alias("on_nearest")
+    return checked.select("l_orderkey", "l_linenumber", *WIDE_MEASURES, on_nearest)
 
 
 def q_cluster_job(spark, sf):
@@ -405,6 +478,9 @@ QUERIES: dict[str, Query] = {
     "json_nested_scan": q_json_nested_scan,
     "csv_tab_scan": q_csv_tab_scan,
     "csv_comma_scan": q_csv_comma_scan,
+    "first_lines": q_first_lines,
+    "row_cap": q_row_cap,
+    "json_quarantine": q_json_quarantine,
     "rename_map": q_rename_map,
     "add_missing_cols": q_add_missing_cols,
     "conform_schema": q_conform_schema,

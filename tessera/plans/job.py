@@ -8,7 +8,10 @@ what is stored:
 * the nine measures are persisted for the sequential quantile passes;
 * the prepared table (all columns, ``features`` and ``scaled_features``) is
   written once; K-means, PCA and the evaluation share one persisted frame that
-  holds its scaled vectors.
+  holds its scaled vectors;
+* with a journal (``JobConfig.journal_path``) the prepared table, each row of the sweep and the
+  model are recorded as they are done, and a rerun of the same parameters on the same
+  cleaned table goes on from there.
 
 Written tables are where lineage is cut: everything after one is a short chain
 of narrow steps, so a lost executor recomputes its blocks from that table.
@@ -18,7 +21,7 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from tessera.config import CleanConfig, JobConfig
 from tessera.functions.exprs import qcol
 from tessera.operators import clustering, evaluate, features, pca, profile, quality
+from tessera.plans.journal import Journal
 from tessera.plans.wide import WIDE_KEYS, WIDE_MEASURES, load_wide
 from tessera.session import persist_frame, remove_path, scratch_path
 from tessera.sources import readers, sinks
@@ -69,12 +73,12 @@ class JobResult:
 
 
 def clean_and_store(
-    raw: DataFrame, config: CleanConfig, path: str, rebuild: bool = False
+    raw: DataFrame, config: CleanConfig, path: str, rebuild: bool = False, source: str = ""
 ) -> tuple[DataFrame, dict]:
     """Clean, write Parquet at ``path``, read back; counts observed on the write.
 
-    A completed table of the same parameters is reused (its counts then hold
-    only its size). Rows a reader marked as malformed are counted and dropped.
+    A completed table of the same parameters and the same ``source`` (whatever names it) is
+    reused (its counts then hold only its size). Rows a reader marked as malformed are counted and dropped.
     """
     counts: dict = {"rows_in": None, "rows_corrupt": None}
 
@@ -87,7 +91,7 @@ def clean_and_store(
         return quality.clean_table(good, config).observe(kept, F.count(F.lit(1)).alias("n"))
 
     observed: list[Observation] = []
-    clean = sinks.materialize(raw.sparkSession, path, build, key=repr(config), rebuild=rebuild)
+    clean = sinks.materialize(raw.sparkSession, path, build, key=f"{config!r} {source}".strip(), rebuild=rebuild)
     if observed:
         seen, kept = observed
         counts = {"rows_in": seen.get["n"], "rows_corrupt": seen.get["bad"], "rows_clean": kept.get["n"]}
@@ -103,16 +107,25 @@ def ingest(
     config: CleanConfig = CleanConfig(),
     fmt: str | None = None,
     reuse: bool = True,
+    first_lines: int | None = None,
+    max_rows: int | None = None,
 ) -> tuple[DataFrame, dict]:
     """Raw catalogue (JSON lines / delimited / Parquet) → cleaned Parquet table.
 
     Reads with declared schemas, cleans, writes ``sink_path`` once and reads it
-    back; a completed table of the same parameters is reused when ``reuse``.
+    back; a completed table of the same parameters is reused when ``reuse``. ``first_lines``
+    and ``max_rows`` take part of the source (see ``readers.load_products``).
     """
     raw = readers.load_products(
-        spark, source_path, fmt=fmt, measures=config.measure_cols, descriptive=config.descriptive_cols, keep_corrupt=True
+        spark, source_path, fmt=fmt, measures=config.measure_cols, descriptive=config.descriptive_cols, keep_corrupt=True,
+        first_lines=first_lines, max_rows=max_rows,
     )
-    return clean_and_store(raw, config, sink_path, rebuild=not reuse)
+    return clean_and_store(raw, config, sink_path, rebuild=not reuse, source=part_of(source_path, first_lines, max_rows))
+
+
+def part_of(source_path: str, first_lines: int | None = None, max_rows: int | None = None) -> str:
+    """What names a source and the part of it that is read."""
+    return f"{source_path} lines={first_lines} rows={max_rows}"
 
 
 def prepare(clean: DataFrame, config: JobConfig, path: str) -> tuple[DataFrame, int, list, PipelineModel]:
@@ -137,15 +150,39 @@ def prepare(clean: DataFrame, config: JobConfig, path: str) -> tuple[DataFrame,
     return clean.sparkSession.read.parquet(path), rows.get["n"], bounds, scaler
 
 
+def prepare_once(clean: DataFrame, config: JobConfig, journal: Journal) -> tuple[DataFrame, int, list, PipelineModel]:
+    """:func:`prepare`, or what the journal has of it."""
+    path, scaler_path = journal.path("prepared.parquet"), journal.path("scaler")
+    done = journal.get("prepared")
+    if done:
+        return clean.sparkSession.read.parquet(path), done["rows"], [tuple(b) for b in done["bounds"]], PipelineModel.load(scaler_path)
+    prepared, rows, bounds, scaler = prepare(clean, config, path)
+    scaler.write().overwrite().save(scaler_path)
+    journal.put("prepared", {"rows": rows, "bounds": bounds})
+    return prepared, rows, bounds, scaler
+
+
+def open_journal(spark: SparkSession, config: JobConfig, clean_path: str | None) -> Journal | None:
+    """The journal of these parameters and this version of the cleaned table."""
+    if not config.journal_path:
+        return None
+    if not clean_path:
+        raise ValueError("a journal needs a cleaned table that stays (clean_path)")
+    version = sinks.modified(spark, f"{clean_path.rstrip('/')}/{sinks.COMMIT_MARK}")
+    plain = replace(config, model_path=None, journal_path=None)
+    return Journal(spark, config.journal_path, f"{plain!r} {clean_path} {version}")
+
+
 def run_job(
     spark: SparkSession,
     raw: DataFrame,
     config: JobConfig,
     clean_path: str | None = None,
     reuse_clean: bool = True,
+    source: str = "",
 ) -> JobResult:
     """Run every stage. With ``clean_path`` naming a completed table of the same
-    parameters and ``reuse_clean``, ingest is skipped and that table is read, as
+    parameters and ``source`` and ``reuse_clean``, ingest is skipped and that table is read, as
     a rerun of the job would do. Call ``release`` on the result when done."""
     timings: dict[str, float] = {}
     scratch: list[str] = []
@@ -161,7 +198,7 @@ def run_job(
 
     cols = list(config.feature_cols)
     t = time.perf_counter()
-    clean, counts = clean_and_store(raw, config.clean, clean_path or own_path("clean.parquet"), rebuild=not reuse_clean)
+    clean, counts = clean_and_store(raw, config.clean, clean_path or own_path("clean.parquet"), rebuild=not reuse_clean, source=source)
     t = stamp("ingest_clean", t)
 
     summary = profile.summary_stats(clean, cols, config.trim.relative_error)
@@ -169,20 +206,33 @@ def run_job(
     preview = profile.preview(clean, config.preview_rows, order)
     t = stamp("profile", t)
 
-    prepared, counts["rows_prepared"], bounds, scaler = prepare(clean, config, own_path("prepared.parquet"))
+    journal = open_journal(spark, config, clean_path)
+    if journal:
+        prepared, counts["rows_prepared"], bounds, scaler = prepare_once(clean, config, journal)
+    else:
+        prepared, counts["rows_prepared"], bounds, scaler = prepare(clean, config, own_path("prepared.parquet"))
     if counts["rows_prepared"] == 0:
         raise ValueError("no rows left after cleaning and trimming; cannot fit K-means")
     vectors = persist_frame(prepared.select(features.SCALED_COL).repartition(config.partitions))
     t = stamp("trim_scale", t)
 
-    sweep = clustering.kmeans_sweep(vectors, features.SCALED_COL, config.sweep)
+    ks = range(config.sweep.min_k, config.sweep.max_k + 1)
+    known = {k: tuple(row) for k in ks if journal and (row := journal.get(f"sweep-{k}"))}
+    record = (lambda row, model: journal.put(f"sweep-{row[0]}", row)) if journal else None
+    sweep = clustering.kmeans_sweep(vectors, features.SCALED_COL, config.sweep, known, record)
     choice = clustering.choose_k(sweep, config.choose).first().asDict()
     if choice["k_final"] is None:
         raise ValueError("no k of the sweep has a defined silhouette (too few distinct rows)")
     k = int(choice["k_final"])
     t = stamp("sweep", t)
 
-    model = clustering.fit_kmeans(vectors, k, features.SCALED_COL, config.fit)
+    if journal and journal.get("model"):
+        model = sinks.load_kmeans(journal.path("model"))
+    else:
+        model = clustering.fit_kmeans(vectors, k, features.SCALED_COL, config.fit)
+        if journal:
+            sinks.save_model(model, journal.path("model"))
+            journal.put("model", {"k": k})
     if config.model_path:
         sinks.save_model(model, config.model_path)
     t = stamp("final_fit", t)

@@ -12,6 +12,7 @@ from tessera.plans.wide import WIDE_FACTS_SQL, WIDE_MEASURES
 LINE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 TRIM_LO, TRIM_HI = 0.02, 0.98
 MIN_VALID = 5
+LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag"
 
 
 def _valid(c: str) -> str:
@@ -107,6 +108,20 @@ ORACLE: dict[str, str] = {
     "json_nested_scan": f"WITH {WIDE} {CATALOGUE_CLEAN}",
     "csv_tab_scan": f"WITH {WIDE} {CATALOGUE_CLEAN}",
     "csv_comma_scan": f"WITH {WIDE} {CATALOGUE_CLEAN}",
+    "first_lines": (
+        f"WITH src AS (SELECT * FROM lineitem ORDER BY {LINE_ORDER} LIMIT 20000), "
+        f"wide_facts AS ({WIDE_FACTS_SQL.replace('FROM lineitem', 'FROM src')}) "
+        "SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS _id, "
+        "l_returnflag AS product_name, f1, f3, f8 FROM wide_facts"
+    ),
+    "row_cap": (
+        "SELECT least(count(*), 10000) AS n_rows, least(count(*), 10000) AS rows_of_the_table FROM lineitem"
+    ),
+    "json_quarantine": (
+        f"WITH n AS (SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY {LINE_ORDER}) AS number FROM lineitem) "
+        "SELECT number, '{broken ' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS text, "
+        "(SELECT count(*) FROM lineitem WHERE l_orderkey % 17 <> 0) AS whole_rows FROM n WHERE l_orderkey % 17 = 0"
+    ),
     "rename_map": (
         "SELECT l_orderkey, l_linenumber, l_quantity AS quantity, l_extendedprice AS extended_price FROM lineitem"
     ),
@@ -212,8 +227,12 @@ ORACLE: dict[str, str] = {
     )
     + " FROM lineitem GROUP BY l_returnflag",
     "cluster_filter": "SELECT vec_id, label FROM embeddings WHERE label = 3",
+    # standardised columns: each adds n - 1 to the cost of one cluster, a constant one nothing
     "kmeans_sweep": (
-        "SELECT CAST(k AS INTEGER) AS k, true AS silhouette_in_range, true AS wssse_positive, "
+        f"WITH {POINTS}, one AS (SELECT sum(CASE WHEN v > 0 THEN n - 1 ELSE 0 END) AS cost FROM "
+        "(SELECT count(*) AS n, var_samp(x) AS v FROM pts GROUP BY i) d) "
+        "SELECT CAST(k AS INTEGER) AS k, round(CAST((SELECT cost FROM one) AS DOUBLE), 4) AS one_cluster_cost, "
+        "true AS below_one_cluster, true AS nearest_costs_no_more, true AS silhouette_of_nearest, "
         "true AS iterations_in_range FROM range(2, 16) t(k)"
     ),
     "kmeans_fit": (
@@ -229,7 +248,7 @@ ORACLE: dict[str, str] = {
     ),
     "cluster_predictions": (
         f"WITH {WIDE}, {CLEAN}, {_trim_chain('clean', 'l_orderkey, l_linenumber, ' + MEASURES)} "
-        f"SELECT * FROM {LAST_TRIM}"
+        f"SELECT *, true AS on_nearest FROM {LAST_TRIM}"
     ),
     "cluster_job": (
         f"WITH {WIDE}, {CLEAN}, {_trim_chain('clean', MEASURES)} "

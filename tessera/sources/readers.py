@@ -2,12 +2,14 @@
 
 Schemas are always declared. Identifiers and measures are read as strings
 (leading zeros survive; malformed numbers become null through ``try_cast``
-later), so no inference pass scans the data first.
+later), so no inference pass scans the data first. Nothing is capped unless the
+caller asks for it (``first_lines``, ``max_rows``).
 """
 
 from __future__ import annotations
 
 import csv
+import itertools
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -22,9 +24,11 @@ from tessera.config import (
     PRODUCT_MEASURE_STRUCT,
 )
 from tessera.operators.quality import flatten_struct
+from tessera.sources import lines
 
 CORRUPT_COL = "_corrupt_record"
 DELIMITERS = ("\t", ",")
+BOM = "\ufeff"
 
 
 def nested_schema(
@@ -39,14 +43,18 @@ def nested_schema(
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: StructType, keep_corrupt: bool = False
+    spark: SparkSession, path: str, schema: StructType, keep_corrupt: bool = False, first_lines: int | None = None
 ) -> DataFrame:
     """JSON lines with a declared schema, PERMISSIVE mode.
 
     Blank lines are skipped by the reader; a malformed line becomes one row
     with the raw text in ``_corrupt_record``. Those rows are dropped unless
-    ``keep_corrupt``; the job counts them on its one pass.
+    ``keep_corrupt``; the job counts them on its one pass. With ``first_lines`` only
+    that many lines of the files are read, blank and malformed ones counted.
     """
+    if first_lines is not None:
+        df = parse_json_lines(lines.first_lines(spark, path, first_lines), schema).drop(lines.FILE, lines.BLOCK, lines.PLACE)
+        return df if keep_corrupt else drop_corrupt(df)
     full = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType())])
     df = (
         spark.read.schema(full)
@@ -57,37 +65,64 @@ def read_json(
     return df if keep_corrupt else drop_corrupt(df)
 
 
+def parse_json_lines(text: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` and ``_corrupt_record`` from lines with their places; blank ones are skipped."""
+    full = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType())])
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
+    some = text.where(F.trim("value") != "")
+    return some.select(parsed.alias("_row"), lines.FILE, lines.BLOCK, lines.PLACE).select(
+        "_row.*", lines.FILE, lines.BLOCK, lines.PLACE
+    )
+
+
+def quarantine_json(spark: SparkSession, path: str, schema: StructType, sink: str) -> tuple[DataFrame, DataFrame]:
+    """Well-formed rows and malformed lines of JSON files, from one pass that writes both at ``sink``.
+
+    The first frame has the columns of ``schema``; the second ``file``, ``line`` (in the file), ``number``
+    (over all files in the order of their names) and ``text`` of every malformed line.
+    """
+    text = lines.text_lines(spark, path)
+    marked = parse_json_lines(text, schema).withColumn("_whole", F.col(CORRUPT_COL).isNull())
+    marked.write.mode("overwrite").partitionBy("_whole").parquet(sink)
+    both = spark.read.schema(marked.schema).parquet(sink)
+    good = both.where("_whole").select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    bad = both.where("NOT _whole").select(lines.FILE, lines.BLOCK, lines.PLACE, F.col(CORRUPT_COL).alias("text"))
+    numbered = lines.with_line_numbers(bad, text).withColumnRenamed(lines.FILE, "file")
+    return good, numbered.select("file", "line", "number", "text")
+
+
 def drop_corrupt(df: DataFrame) -> DataFrame:
     """Without the rows a reader marked as malformed, and without the mark."""
     return df.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
 
 
-def header_groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files of ``path`` by their first line; only that line of each is read."""
-    files = spark.read.text(path).inputFiles()
-    if not files:
-        raise ValueError(f"no header line in {path}")
-    groups: dict[str, list[str]] = {}
-    for file in sorted(files):
-        header = _first_line(spark, file)
-        if header:
-            groups.setdefault(header, []).append(file)
-    if not groups:
+def header_lines(spark: SparkSession, path: str) -> list[str]:
+    """The distinct first lines of the files of ``path``. Tasks read them, one line of each
+    file; what reaches the driver is one line for each layout."""
+    whole = {"mapreduce.input.fileinputformat.split.minsize": str((1 << 63) - 1), "mapreduce.input.fileinputformat.input.dir.recursive": "true"}
+    firsts = spark.sparkContext.newAPIHadoopFile(
+        path,
+        "org.apache.hadoop.mapreduce.lib.input.TextInputFormat",
+        "org.apache.hadoop.io.LongWritable",
+        "org.apache.hadoop.io.Text",
+        conf=whole,
+    ).mapPartitions(lambda rows: (line for _, line in itertools.islice(rows, 1)))
+    found = sorted({h for h in (line.removeprefix(BOM) for line in firsts.distinct().collect()) if h})
+    if not found:
         raise ValueError(f"no header line in {path}")
-    return groups
+    return found
 
 
-def _first_line(spark: SparkSession, file: str) -> str:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-    stream = place.getFileSystem(conf).open(place)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
-        source = codec.createInputStream(stream) if codec else stream
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
-        return (lines.readLine() or "").removeprefix("\ufeff")
-    finally:
-        stream.close()
+def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Names of the files of each layout, for folders that hold several."""
+    text = lines.text_lines(spark, path).where(F.col(lines.BLOCK) == 0)
+    firsts = text.groupBy(lines.FILE).agg(F.min_by("value", lines.PLACE).alias("header"))
+    jvm = spark.sparkContext._jvm
+    groups: dict[str, list[str]] = {}
+    for r in firsts.collect():
+        if header := r["header"].removeprefix(BOM):
+            groups.setdefault(header, []).append(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r[lines.FILE])).toString())
+    return groups
 
 
 def split_header(header: str, sep: str) -> list[str]:
@@ -117,18 +152,22 @@ def read_delimited(
     renames: Mapping[str, str] | None = None,
     sep: str | None = None,
     keep_corrupt: bool = False,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Header-first delimited text, every column as string, then renamed.
 
     The header of each file picks its separator when ``sep`` is None and names
     its string schema, so no inference pass is needed and files of one folder
-    may order their columns differently; they are united by name. Rows with too
+    may order their columns differently; they are united by name. Tasks read the headers; a
+    folder of one layout is scanned as a folder, without a list of its files. Rows with too
     many or too few fields are dropped, or marked in ``_corrupt_record`` with
-    ``keep_corrupt``.
+    ``keep_corrupt``. ``max_rows``: exactly so many rows, malformed ones counted.
     """
     renames = dict(renames or {})
+    headers = header_lines(spark, path)
+    places = {headers[0]: path} if len(headers) == 1 else files_by_header(spark, path)
     frames = []
-    for header, files in header_groups(spark, path).items():
+    for header in headers:
         chosen = sep or choose_delimiter(header, list(expected) + list(renames))
         names = split_header(header, chosen)
         schema = StructType([StructField(n, StringType()) for n in [*names, CORRUPT_COL]])
@@ -138,12 +177,14 @@ def read_delimited(
             .option("sep", chosen)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COL)
-            .csv(files)
+            .csv(places[header])
         )
         live = {o: n for o, n in renames.items() if o in names and o != n}
         frames.append(df.withColumnsRenamed(live) if live else df)
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     out = out.select(*[F.col(f"`{c}`") for c in out.columns if c != CORRUPT_COL], CORRUPT_COL)
+    if max_rows is not None:
+        out = lines.row_cap(out, max_rows)
     return out if keep_corrupt else drop_corrupt(out)
 
 
@@ -182,18 +223,27 @@ def load_products(
     struct_name: str = PRODUCT_MEASURE_STRUCT,
     renames: Mapping[str, str] = PRODUCT_DELIMITED_RENAMES,
     keep_corrupt: bool = False,
+    first_lines: int | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Flat raw catalogue from any format: descriptors + measures (strings).
     With ``keep_corrupt`` malformed rows stay, marked in ``_corrupt_record``
-    (null for all rows of a Parquet table)."""
+    (null for all rows of a Parquet table). Two ways to take part of a source, off
+    unless asked for: ``first_lines`` (JSON lines only) and ``max_rows`` (exactly so many
+    rows as they lie in the files' splits; malformed rows count)."""
     fmt = fmt or detect_format(path)
+    if first_lines is not None and fmt != "json":
+        raise ValueError("first_lines is for JSON lines; use max_rows")
     if fmt == "json":
-        raw = read_json(spark, path, nested_schema(descriptive, struct_name, measures), keep_corrupt)
+        raw = read_json(spark, path, nested_schema(descriptive, struct_name, measures), True, first_lines)
+        raw = raw if max_rows is None else lines.row_cap(raw, max_rows)
+        raw = raw if keep_corrupt else drop_corrupt(raw)
         extra = [CORRUPT_COL] if keep_corrupt else []
         return flatten_struct(raw, struct_name, measures, keep=[*descriptive, *extra])
     if fmt in ("delimited", "csv", "tsv"):
-        return read_delimited(spark, path, list(descriptive) + list(measures), renames, keep_corrupt=keep_corrupt)
+        return read_delimited(spark, path, list(descriptive) + list(measures), renames, keep_corrupt=keep_corrupt, max_rows=max_rows)
     if fmt == "parquet":
         table = spark.read.parquet(path)
+        table = table if max_rows is None else lines.row_cap(table, max_rows)
         return table.withColumn(CORRUPT_COL, F.lit(None).cast("string")) if keep_corrupt else table
     raise ValueError(f"Unsupported file format: {fmt}")

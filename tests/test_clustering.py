@@ -162,11 +162,27 @@ def test_label_without_a_centre_raises(spark):
         clustering.wssse(df.withColumn("c", df["c"].cast("string").cast("int") * 0 + 0.5), "v", "c", [(0, [0.0])]).collect()
 
 
-def test_too_many_centres_raise(spark):
-    many = spark.range(20).selectExpr("id AS label", "array(0D) AS centre")
-    assert len(clustering.collect_centres(many, most=20)) == 20
-    with pytest.raises(ValueError, match="more than 19"):
-        clustering.collect_centres(many, most=19)
+def test_centres_beyond_one_constant(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    rows, centres = draw.normal(size=(60, 3)), draw.normal(size=(25, 3))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)] + [(60, None)], "id int, v array<double>")
+    pairs = [(int(i), c.tolist()) for i, c in enumerate(centres)] + [(99, centres[4].tolist())]
+    wanted = ((rows[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1).tolist() + [None]
+    for at_once in (1024, 7, 1):
+        monkeypatch.setattr(clustering, "CENTRES_AT_ONCE", at_once)
+        near = clustering.assign_nearest(df, "v", pairs, distance_col="d").orderBy("id")
+        assert [r["prediction"] for r in near.collect()] == wanted
+        assert "Python" not in near._jdf.queryExecution().toString()
+    cost = clustering.wssse(near.where("id < 60"), "v", "prediction", pairs)
+    assert abs(cost.first()[0] - near.agg({"d": "sum"}).first()[0]) < 1e-9
+
+
+def test_sweep_skips_known_rows(spark):
+    df = spark.createDataFrame([(Vectors.dense([float(i), float(i % 3)]),) for i in range(40)], ["f"])
+    config = SweepConfig(min_k=2, max_k=4, max_iter=5)
+    fitted = []
+    got = clustering.kmeans_sweep(df, "f", config, {3: (3, 1.0, 0.5, 2)}, lambda row, model: fitted.append(row[0]))
+    assert sorted(fitted) == [2, 4] and [r["wssse"] for r in got.orderBy("k").collect()][1] == 1.0
 
 
 def test_one_cluster(spark):

@@ -15,7 +15,7 @@ FAST_KEYS = [
     "parquet_scan", "impute_zero", "validity_count", "json_nested_scan", "csv_tab_scan", "csv_comma_scan",
     "outlier_trim", "summary_stats", "word_count", "assign_nearest", "silhouette", "choose_k", "cov_matrix",
     "format_stats", "cast_clean", "preview", "plain_format", "cluster_filter", "kmeans_fit", "model_roundtrip",
-    "pca_points", "cluster_predictions", "stage_counts", "wssse", "cluster_minmax",
+    "pca_points", "stage_counts", "first_lines", "row_cap", "json_quarantine", "wssse", "cluster_minmax",
 ]
 
 

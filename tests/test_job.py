@@ -74,6 +74,50 @@ def test_job_reuses_a_completed_clean_table_of_the_same_parameters(spark, tmp_di
         result.release()
 
 
+def test_journal_goes_on_where_a_run_ended(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from tessera.operators import clustering, features
+    from tessera.plans import job
+
+    config = replace(SHORT, sweep=SweepConfig(min_k=2, max_k=6, max_iter=4, parallelism=1), journal_path=os.path.join(tmp_dir, "journal"))
+    path = os.path.join(tmp_dir, "clean.parquet")
+    wide = load_wide(spark, SF_SMALL)
+    fits, trims, stop = [], [], {"at": 5}
+    fit, trim = clustering.KMeans.fit, features.outlier_trim
+
+    def counted(self, *args):
+        if self.getK() == stop["at"]:
+            raise RuntimeError("executor lost")
+        fits.append(self.getK())
+        return fit(self, *args)
+
+    monkeypatch.setattr(clustering.KMeans, "fit", counted)
+    monkeypatch.setattr(job.features, "outlier_trim", lambda *a: trims.append(1) or trim(*a))
+    with pytest.raises(RuntimeError, match="lost"):
+        run_job(spark, wide, config, clean_path=path)
+    assert 4 in fits and 5 not in fits and trims == [1]
+    done, stop["at"] = sorted(set(fits) - {6}), None
+    fits.clear()
+    second = run_job(spark, wide, config, clean_path=path)
+    assert not set(done) & set(fits[:-1]) and fits[0] == 5 and trims == [1]
+    fits.clear()
+    third = run_job(spark, wide, config, clean_path=path)
+    assert fits == [] and third.k == second.k and third.counts["rows_prepared"] == second.counts["rows_prepared"]
+    assert [tuple(r) for r in third.sweep.collect()] == [tuple(r) for r in second.sweep.collect()]
+    assert third.report.select("prediction", "size").exceptAll(second.report.select("prediction", "size")).count() == 0
+    # other parameters, or a new cleaned table, begin anew
+    other = run_job(spark, wide, replace(config, trim=TrimConfig(relative_error=0.0)), clean_path=path)
+    assert fits and len(trims) == 2
+    fits.clear()
+    again = run_job(spark, wide, config, clean_path=path, reuse_clean=False)
+    assert fits and len(trims) == 3
+    for result in (second, third, other, again):
+        result.release()
+    with pytest.raises(ValueError, match="clean_path"):
+        run_job(spark, wide, config)
+
+
 ROWS = [
     '{"_id": "1", "product_name": "a", "nutriments": {"energy_100g": 100, "proteins_100g": 2, '
     '"carbohydrates_100g": 3, "sugars_100g": 4, "fat_100g": 5}}',

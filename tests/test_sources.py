@@ -90,6 +90,42 @@ def test_materialize_reuses_completed_table(spark, tmp_dir):
     assert built == [1, 1, 1]
 
 
+def test_a_write_that_fails_leaves_the_old_table_with_its_key(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t.parquet")
+    assert sinks.materialize(spark, path, lambda: spark.range(5), key="a").count() == 5
+
+    def fails():
+        return spark.range(9).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+
+    with pytest.raises(Exception, match="lost"):
+        sinks.materialize(spark, path, fails, key="b")
+    assert sinks.committed_key(spark, path) == "a" and spark.read.parquet(path).count() == 5
+    # a folder without a commit mark is no table
+    os.remove(os.path.join(path, sinks.COMMIT_MARK))
+    assert sinks.materialize(spark, path, lambda: spark.range(7), key="a").count() == 7
+
+
+def test_two_writers_never_mix_files(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = os.path.join(tmp_dir, "t.parquet")
+    sizes = [10, 20, 30, 40, 50, 60]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda n: sinks.commit_table(spark.range(n).repartition(3), path, f"rows {n}"), sizes))
+    key = sinks.committed_key(spark, path)
+    assert key in {f"rows {n}" for n in sizes} and spark.read.parquet(path).count() == int(key.split()[1])
+    assert os.listdir(tmp_dir) == ["t.parquet"]
+
+
+def test_text_entries_are_replaced_whole(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "deep", "entry.json")
+    assert sinks.read_text(spark, path) is None
+    for text in ("one", "zwei é\n\nlines", ""):
+        sinks.write_text(spark, path, text)
+        assert sinks.read_text(spark, path) == text
+    assert [n for n in os.listdir(os.path.dirname(path)) if not n.startswith(".")] == ["entry.json"]
+
+
 def test_missing_table_raises(spark, tmp_dir):
     with pytest.raises(AnalysisException):
         spark.read.parquet(os.path.join(tmp_dir, "absent.parquet")).count()
