@@ -9,7 +9,8 @@ partition layout). ``relative_error == 0`` is exact: the value at 1-based rank
 The exact mode looks first and counts then. One pass makes a KLL sketch of every
 column, whose error bound gives a narrow range for each wanted rank. The next pass counts on
 the cluster how many values lie below, in ``BINS`` equal bins of, and above each range; the bin that
-holds the wanted rank, from its smallest to its largest value, is the next range. Values outside
+holds the wanted rank, from its smallest to its largest value, is the next range. Where a range is
+expected to hold few values each is counted by itself, which ends it. Values outside
 the ranges are counted too, so a sketch that missed only costs another pass. It ends when the value
 is known: the bin's smallest or largest, or all its values are equal. A pass narrows a range by a factor of ``BINS``, so
 ties cannot keep it going and no task or driver ever holds values, only counts by bin. Every second pass bins by
@@ -69,6 +70,9 @@ def _bin(x: Column, lo: float, hi: float, by_magnitude: bool) -> Column:
 #: Size of the sketches, and the share of all ranks by which one may be wrong (1 in 100 times more).
 SKETCH, SKETCH_ERROR = 4096, 0.0015
 
+#: Values a range is expected to hold at most for each of them to be counted by itself.
+FEW = 50_000
+
 Ranges = list[tuple[float, float]]
 
 
@@ -102,7 +106,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probabilities: Sequence[
         ranges: dict[int, Ranges] = {}
         for (i, _), r in open_ranges.items():
             ranges.setdefault(i, []).append(r)
-        counted = _count_bins(values, {i: _disjoint(r) for i, r in ranges.items()}, by_magnitude)
+        # so many of the bracketed values are left after earlier passes
+        share = 2 * SKETCH_ERROR / BINS**step
+        single = {i: len(r) * share * brackets[cols[i]][0] <= FEW for i, r in ranges.items()}
+        counted = _count_bins(values, {i: _disjoint(r) for i, r in ranges.items()}, by_magnitude, single)
         for key, was in list(open_ranges.items()):
             rank = target_rank(probabilities[key[1]], brackets[cols[key[0]]][0])
             for n, least, most in counted[key[0]]:
@@ -130,27 +137,29 @@ def _disjoint(ranges: Ranges) -> Ranges:
     return out
 
 
-def _cell(x: Column, ranges: Ranges, by_magnitude: bool) -> Column:
-    """Where a value lies: (2 r, 0) before range r, (2 r + 1, bin) in it."""
-    cell = F.struct(F.lit(2 * len(ranges)).alias("at"), F.lit(0).alias("bin"))
-    for r in reversed(range(len(ranges))):
-        lo, hi = ranges[r]
-        inside = F.struct(F.lit(2 * r + 1).alias("at"), _bin(x, lo, hi, by_magnitude).alias("bin"))
-        cell = F.when(x < F.lit(lo), F.struct(F.lit(2 * r).alias("at"), F.lit(0).alias("bin"))).when(x <= F.lit(hi), inside).otherwise(cell)
-    return cell
-
-
-def _count_bins(values: DataFrame, ranges: dict[int, Ranges], by_magnitude: bool) -> dict[int, list[tuple]]:
-    """By column: (rows, smallest, largest) of each cell that has rows, in order."""
+def _count_bins(
+    values: DataFrame, ranges: dict[int, Ranges], by_magnitude: bool, single: dict[int, bool] | None = None
+) -> dict[int, list[tuple]]:
+    """By column: (rows, smallest, largest) of each cell that has rows, in order. Columns of ``single``
+    have a cell for each value in a range."""
     cells = []
     for i, own in ranges.items():
-        x = F.col(f"x{i}")
-        cells.append(F.when(_valid(x), F.struct(F.lit(i).alias("column"), _cell(x, own, by_magnitude).alias("cell"), x.alias("x"))))
+        x, cell = F.col(f"x{i}"), F.struct(F.lit(2 * len(own)).alias("at"), F.lit(0).alias("bin"), F.lit(None).cast("double").alias("value"))
+        for r in reversed(range(len(own))):
+            lo, hi = own[r]
+            alone = single and single.get(i)
+            inside = F.struct(
+                F.lit(2 * r + 1).alias("at"), (F.lit(0) if alone else _bin(x, lo, hi, by_magnitude)).alias("bin"),
+                (x if alone else F.lit(None).cast("double")).alias("value"),
+            )
+            below = F.struct(F.lit(2 * r).alias("at"), F.lit(0).alias("bin"), F.lit(None).cast("double").alias("value"))
+            cell = F.when(x < F.lit(lo), below).when(x <= F.lit(hi), inside).otherwise(cell)
+        cells.append(F.when(_valid(x), F.struct(F.lit(i).alias("column"), cell.alias("cell"), x.alias("x"))))
     one = cells[0] if len(cells) == 1 else F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull()))
-    rows = values.select(one.alias("c")).where("c IS NOT NULL").select("c.column", "c.cell.at", "c.cell.bin", "c.x")
-    counts = rows.groupBy("column", "at", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    rows = values.select(one.alias("c")).where("c IS NOT NULL").select("c.column", "c.cell.*", "c.x")
+    counts = rows.groupBy("column", "at", "bin", "value").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     out: dict[int, list[tuple]] = {i: [] for i in ranges}
-    for r in sorted(counts.collect(), key=lambda r: (r["column"], r["at"], r["bin"])):
+    for r in sorted(counts.collect(), key=lambda r: (r["column"], r["at"], r["bin"], r["lo"])):
         out[r["column"]].append((r["n"], r["lo"], r["hi"]))
     return out
 

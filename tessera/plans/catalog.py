@@ -18,7 +18,7 @@ from tessera.config import PRODUCT_MEASURE_STRUCT, ChooseConfig, CleanConfig, Fi
 from tessera.operators import clustering, evaluate, features, pca, profile, quality
 from tessera.plans import job
 from tessera.plans.wide import WIDE_KEYS, WIDE_MEASURES, load_wide, table, wide_facts
-from tessera.session import cut_lineage, persist_frame, scratch_path
+from tessera.session import cut_lineage, persist_frame, scratch_path, spread
 from tessera.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -273,7 +273,7 @@ def q_preview(spark, sf):
 # --- features -----------------------------------------------------------------
 
 def q_outlier_trim(spark, sf):
-    clean = cut_lineage(_clean_wide(spark, sf).select("l_orderkey", "l_linenumber", *WIDE_MEASURES))
+    clean = cut_lineage(spread(_clean_wide(spark, sf).select("l_orderkey", "l_linenumber", *WIDE_MEASURES)))
     trimmed, _ = features.outlier_trim(clean, WIDE_MEASURES, EXACT_TRIM)
     return trimmed
 

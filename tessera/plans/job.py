@@ -33,7 +33,7 @@ from tessera.functions.exprs import qcol
 from tessera.operators import clustering, evaluate, features, pca, profile, quality
 from tessera.plans.journal import Journal
 from tessera.plans.wide import WIDE_KEYS, WIDE_MEASURES, load_wide
-from tessera.session import persist_frame, remove_path, scratch_path
+from tessera.session import persist_frame, remove_path, scratch_path, spread
 from tessera.sources import readers, sinks
 
 PREDICTION = clustering.PREDICTION_COL
@@ -85,7 +85,7 @@ def clean_and_store(
     def build() -> DataFrame:
         seen, kept = Observation("rows_in"), Observation("rows_clean")
         bad = F.col(readers.CORRUPT_COL).isNotNull() if readers.CORRUPT_COL in raw.columns else F.lit(False)
-        counted = raw.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"))
+        counted = spread(raw).observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"))
         good = readers.drop_corrupt(counted) if readers.CORRUPT_COL in raw.columns else counted
         observed.extend([seen, kept])
         return quality.clean_table(good, config).observe(kept, F.count(F.lit(1)).alias("n"))
@@ -134,7 +134,7 @@ def prepare(clean: DataFrame, config: JobConfig, path: str) -> tuple[DataFrame,
     count, the bounds and the fitted scaler."""
     cols = list(config.feature_cols)
     # The first quantile pass fills the cache, so no separate action here.
-    narrow = persist_frame(clean.select(*[qcol(c) for c in cols]).repartition(config.partitions), eager=False)
+    narrow = persist_frame(clean.select(*[qcol(c) for c in cols]), eager=False)
     trimmed, bounds = features.outlier_trim(narrow, cols, config.trim)
     if len(bounds) < len(cols):
         # A quantile pass found no values: nothing survived cleaning.

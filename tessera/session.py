@@ -48,6 +48,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its source has fewer splits than there are cores (a small or
+    unsplittable file); a larger source is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def persist_frame(
     df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK, eager: bool = True
 ) -> DataFrame:
