@@ -17,7 +17,8 @@ Queries meet the index in blocks too, so one task holds at most ``block_rows``
 vectors and ``query_rows`` queries; the k best of each block are merged.
 
 Defined results: vectors that are null, empty, zero, or hold nulls or
-non-finite numbers take no part, nor do rows without an id. Repeated rows of one
+non-finite numbers take no part, nor do rows without an id; finite numbers may be as large
+or small as doubles are (a distance beyond them is infinite). Repeated rows of one
 id count once; if an id has several vectors, the smallest in array order stands
 for it. Vectors of another length than the query's are no candidates. A query
 never finds its own id. Ties in distance go to the smaller id. Fewer candidates
@@ -43,6 +44,8 @@ GROWTH = 1.2
 #: Chance that a true neighbour within the last radius is missed.
 MISS = 0.01
 SEED = 20240
+#: Components up to here can be squared and added as they are.
+USUAL = 1e150
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 4_096
 
@@ -59,6 +62,23 @@ def collision_threshold(directions: int, width: float, miss: float) -> int:
     return max(threshold, 1)
 
 
+def euclidean(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Distances of rows to a vector; also where squares or differences would leave the range of doubles
+    (infinite only if the distance itself does)."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        gap = vectors - query
+        out = np.sqrt((gap * gap).sum(axis=1))
+        most = np.abs(gap).max(axis=1, initial=0.0)
+        odd = np.flatnonzero((most > USUAL) | ((most < 1 / USUAL) & (most > 0)))
+        if len(odd):
+            huge = most[odd] > USUAL
+            moved = np.where(huge[:, None], vectors[odd] / 2 - query / 2, gap[odd] * 2.0**500)
+            unit = 2.0 ** np.frexp(np.abs(moved).max(axis=1))[1].clip(-1022, 1023)
+            near = moved / unit[:, None]
+            out[odd] = np.sqrt((near * near).sum(axis=1)) * unit * np.where(huge, 2.0, 2.0**-500)
+    return out
+
+
 class CollisionIndex:
     """Sorted projections of one block of vectors."""
 
@@ -67,7 +87,10 @@ class CollisionIndex:
         self.ids, self.vectors = ids[order], vectors[order]
         self.rows, self.directions, self.width = len(ids), directions, width
         self.lines = np.random.default_rng(SEED).standard_normal((vectors.shape[1], directions))
-        projected = self.vectors @ self.lines
+        # a power of two that keeps projections finite; 1 for vectors of usual size
+        largest = float(np.abs(self.vectors).max()) if self.rows else 0.0
+        self.scale = 2.0 ** (math.frexp(largest)[1] - 1) if largest > USUAL else 1.0
+        projected = (self.vectors / self.scale) @ self.lines
         # one array for all directions: each is moved to a stretch of its own
         self.lift = (np.arange(directions) * (4 * np.abs(projected).max() + 4)) if self.rows else np.zeros(directions)
         self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
@@ -77,7 +100,7 @@ class CollisionIndex:
 
     def nearest(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact distances of the k nearest found, nearest first."""
-        centre = query @ self.lines + self.lift
+        centre = (query / self.scale) @ self.lines + self.lift
         start = np.arange(self.directions) * self.rows
         end = start + self.rows
         middle = np.clip(np.searchsorted(self.flat, centre), start, end)
@@ -99,17 +122,15 @@ class CollisionIndex:
             low, high = left, right
             check = np.flatnonzero((hits >= self.threshold) & np.isnan(distance))
             if len(check):
-                gap = self.vectors[check] - query
-                distance[check] = np.sqrt((gap * gap).sum(axis=1))
+                distance[check] = euclidean(self.vectors[check], query)
             found = np.flatnonzero(~np.isnan(distance) & (self.ids != own))
-            if len(found) >= k:
-                kth = np.partition(distance[found], k - 1)[k - 1]
-                if kth <= radius:
-                    break
+            kth = np.partition(distance[found], k - 1)[k - 1] / self.scale if len(found) >= k else np.inf
+            # all windows are open: there is nothing left to find
+            if kth <= radius or (np.all(low <= start) and np.all(high >= end)):
+                break
+            if np.isfinite(kth):
                 # no neighbour lies beyond the k-th distance found so far
                 radius = min(radius * GROWTH, max(kth, radius * 1.0001))
-            elif np.all(low <= start) and np.all(high >= end):
-                break
             else:
                 radius *= GROWTH
         best = found[np.lexsort((self.ids[found], distance[found]))[:k]]

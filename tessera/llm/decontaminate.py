@@ -11,7 +11,9 @@
    the items near a window in any block are its candidates, so all items within
    the radius are found.
 5. The weighted similarity of the shingles themselves (sum of the smaller counts
-   by sum of the larger) verifies: ``similarity`` or more is a hit.
+   by sum of the larger) verifies: ``similarity`` or more is a hit. One table of counts slides
+   along an item's windows, so a text costs time in proportion to its length however often it
+   repeats an item, and arrays are bounded by a stretch of window starts.
 
 The radius of 20 bits is 3.5 standard deviations above the distance that two
 texts of similarity 0.8 have on average, so about one in several thousand
@@ -47,7 +49,7 @@ _WORDS = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 20
 #: Window starts taken at a time, so a very long text needs bounded arrays.
-_STRETCH = 1 << 15
+_STRETCH = 1 << 12
 
 
 class WordHashes(dict):
@@ -107,6 +109,7 @@ class BenchmarkIndex:
         self.similarity, self.radius = similarity, radius
         self.hashes = WordHashes()
         self.ids, self.words = [], []
+        self.shingles: dict[int, tuple[np.ndarray, list[int]]] = {}
         for item, text in items:
             if words := words_of(text):
                 self.ids.append(item)
@@ -177,23 +180,71 @@ class BenchmarkIndex:
 
     def _windows(self, words: list[str], shingles: np.ndarray, length: int, size: int, spots: np.ndarray, found: dict[int, tuple]) -> None:
         span = min(size, len(words))
-        back = np.arange(span - length + 1)
-        starts = np.unique((spots[:, None] - back[None, :]).ravel())
-        starts = starts[(starts >= 0) & (starts <= len(words) - span)]
+        # a spot is covered by the starts from ``span - length`` before it to itself
+        last = len(words) - span
+        opened = np.zeros(last + 2, np.int32)
+        np.add.at(opened, np.minimum(np.maximum(spots - (span - length), 0), last + 1), 1)
+        np.add.at(opened, np.minimum(spots, last) + 1, -1)
+        starts = np.flatnonzero(np.cumsum(opened[:-1]) > 0)
         for stretch in np.split(starts, np.flatnonzero(np.diff(starts // _STRETCH)) + 1):
             if len(stretch):
                 self._stretch(words, shingles, length, size, span, stretch, found)
 
     def _stretch(self, words: list[str], shingles: np.ndarray, length: int, size: int, span: int, starts: np.ndarray, found: dict[int, tuple]) -> None:
-        prints = window_fingerprints(shingles, starts, span - length + 1)
-        window, item, bits = self.candidates(prints, size)
-        counts: dict[int, Counter] = {}
-        for w, k, b in sorted(zip(window.tolist(), item.tolist(), bits.tolist(), strict=True)):
-            if w not in counts:
-                counts[w] = shingle_counts(words[starts[w] : starts[w] + span])
-            value = weighted_similarity(counts[w], self.counts[k])
-            if value >= self.similarity and (k not in found or value > found[k][4]):
-                found[k] = (self.ids[k], int(starts[w]), span, b, value)
+        count = span - length + 1
+        window, item, bits = self.candidates(window_fingerprints(shingles, starts, count), size)
+        low = int(starts[0])
+        near = shingles[low : int(starts[-1]) + count]
+        for k in np.unique(item).tolist():
+            own = item == k
+            at, apart = starts[window[own]], bits[own]
+            keys, wanted = self.item_shingles(k)
+            place = np.minimum(np.searchsorted(keys, near), len(keys) - 1)
+            codes = np.where(keys[place] == near, place, -1).tolist()
+            values = sliding_similarity(codes, (at - low).tolist(), count, wanted)
+            best = int(np.argmax(values))
+            if values[best] < self.similarity or (k in found and values[best] <= found[k][4]):
+                continue
+            exact = self._exact(words, int(at[best]), span, k)
+            if exact != values[best]:  # hashes of different shingles met: compare the words everywhere
+                values = [self._exact(words, s, span, k) for s in at.tolist()]
+                best = int(np.argmax(values))
+                if values[best] < self.similarity or (k in found and values[best] <= found[k][4]):
+                    continue
+            found[k] = (self.ids[k], int(at[best]), span, int(apart[best]), values[best])
+
+    def _exact(self, words: list[str], start: int, span: int, k: int) -> float:
+        return weighted_similarity(shingle_counts(words[start : start + span]), self.counts[k])
+
+    def item_shingles(self, k: int) -> tuple[np.ndarray, list[int]]:
+        """Sorted distinct shingle hashes of an item and how often it has each."""
+        if k not in self.shingles:
+            words = self.words[k]
+            keys, counts = np.unique(shingle_hashes(self.word_hashes(words), min(SHINGLE, len(words))), return_counts=True)
+            self.shingles[k] = keys, counts.tolist()
+        return self.shingles[k]
+
+
+def sliding_similarity(codes: list[int], starts: list[int], count: int, wanted: list[int]) -> list[float]:
+    """Weighted similarity of an item to the ``count`` shingles from each (ascending) start. ``codes``
+    number the item's shingles (-1: not one of them), ``wanted`` says how often it has each.
+    One table of counts slides along, so a step costs what enters and leaves the window."""
+    have, common, total, out = [0] * len(wanted), 0, sum(wanted), []
+    left = right = 0  # the window that ``have`` counts
+    for start in starts:
+        if start >= right:
+            have, common, left, right = [0] * len(wanted), 0, start, start
+        for c in codes[left:start]:
+            if c >= 0:
+                common -= have[c] <= wanted[c]
+                have[c] -= 1
+        for c in codes[right : start + count]:
+            if c >= 0:
+                have[c] += 1
+                common += have[c] <= wanted[c]
+        left, right = start, start + count
+        out.append(common / (count + total - common))
+    return out
 
 
 HITS = "array<struct<item_id:long,first_word:long,words:long,bits:int,similarity:double>>"

@@ -56,20 +56,22 @@ class TextEncoder:
     Where the file is a byte-level BPE whose ids follow its merges, the same
     vocabulary read as ranks encodes most texts several times faster; its ids are
     the same. Texts with uncommon characters (whose classes may differ between
-    versions of Unicode) or very long runs go to ``tokenizers`` itself.
+    versions of Unicode), very long runs or strings of added tokens go to ``tokenizers`` itself.
     """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        # strings of special tokens inside a text are ordinary text
-        self.tokenizer.encode_special_tokens = True
-        self.ranked = _ranked_encoding(json.loads(Path(tokenizer_path).read_text()))
+        file = json.loads(Path(tokenizer_path).read_text())
+        self.ranked = _ranked_encoding(file)
+        added = [re.escape(t["content"]) for t in file.get("added_tokens", [])]
+        #: Texts that hold an added token, too: the file says what becomes of it.
+        self.special = re.compile("|".join(added)) if added else None
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if self.ranked and not _UNCOMMON.search(text):
+        if self.ranked and not _UNCOMMON.search(text) and not (self.special and self.special.search(text)):
             return np.array(self.ranked.encode_ordinary(text), "<u4").tobytes()
         return self.plain(text)
 

@@ -66,9 +66,10 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_rows(pieces)
 
 
-def packed_rows(pieces: DataFrame) -> DataFrame:
-    narrow = pieces.select("doc_id", "piece", "start", "length", nnls_packing.ids_crc32(F.col("ids")).alias("ids_crc32"), "part", "number")
-    return nnls_packing.place(narrow).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+def packed_rows(pieces: DataFrame, with_ids: bool = False) -> DataFrame:
+    ids = ["ids"] if with_ids else []
+    narrow = pieces.select("doc_id", "piece", "start", "length", nnls_packing.ids_crc32(F.col("ids")).alias("ids_crc32"), *ids, "part", "number")
+    return nnls_packing.place(narrow).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *ids)
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -51,6 +52,8 @@ MISSPELLED = 0.6
 QUOTED = 0.35
 WINDOW = 60
 THRESHOLD = 0.3
+#: Bits of the filter that keeps documents without a label out of the shuffle.
+FILTER_BITS = 1 << 25
 #: Words whose weight a worker remembers.
 REMEMBERED = 800_000
 #: Counted words a task holds before it hands them on.
@@ -215,14 +218,43 @@ def _is_quoted(text: str, start: int, end: int) -> bool:
 # --- learning ----------------------------------------------------------------
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """``id``, ``text``, ``toxic`` (0 or 1) of the rows that labels and the split allow."""
-    marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
-        F.max((F.col(label_col) > 0).cast("int")).alias("toxic")
-    )
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+def label_marks(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
+    """``id``, ``toxic`` (0 or 1), one row for each id that may teach."""
+    rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+    return rows.groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
+
+
+def _id_hash(doc_id: Column) -> Column:
+    return F.xxhash64(doc_id.cast("string"))
+
+
+def id_filter(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test of ids that holds for all of ``ids`` and for few others: a Bloom filter of
+    ``FILTER_BITS`` bits and two hashes. The bits are made by an aggregate, so the driver gets no more than them."""
+    mark, h = F.lit(FILTER_BITS - 1).cast("long"), _id_hash(F.col("id"))
+    spots = ids.select(F.explode(F.array(h.bitwiseAND(mark), F.shiftrightunsigned(h, 32).bitwiseAND(mark))).alias("at"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))
+    words = spots.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(FILTER_BITS // 64, np.uint64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+
+    def may_be(hashes: pd.Series) -> pd.Series:
+        h = hashes.to_numpy(np.int64).view(np.uint64)
+        held = np.ones(len(h), bool)
+        for at in (h & np.uint64(FILTER_BITS - 1), (h >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)):
+            held &= (table[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return pd.Series(held)
+
+    return lambda doc_id: pandas_udf(may_be, "boolean")(_id_hash(doc_id))
+
+
+def labelled(docs: DataFrame, marks: DataFrame, may_be: Callable[[Column], Column], id_col: str = "doc_id", text_col: str | None = "text") -> DataFrame:
+    """``id``, ``toxic`` and (with ``text_col``) ``text`` of the documents that have a mark. Only those
+    that pass the filter are shuffled."""
+    text = [F.col(text_col).cast("string").alias("text")] if text_col else []
+    rows = docs.select(F.col(id_col).alias("id"), *text).where(F.col("id").isNotNull() & ~held_out(F.col("id")))
     # always a merge join: a broadcast of the labels would only do while they are few
-    return rows.where(~held_out(F.col("id"))).join(marks.hint("shuffle_merge"), "id")
+    return rows.where(may_be(F.col("id"))).join(marks.hint("shuffle_merge"), "id")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -277,10 +309,8 @@ def _certainty(toxic: Column, other: Column, toxic_rows: int, other_rows: int) -
     return 2 * (part(toxic, seen * share) + part(other, seen * (1 - share)))
 
 
-def fit_lexicon(rows: DataFrame) -> Lexicon:
-    """Lexicon of stored rows ``text``, ``toxic``."""
-    sums = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
-    toxic_rows, other_rows = int(sums[0]), int(sums[1] - sums[0])
+def fit_lexicon(rows: DataFrame, toxic_rows: int, other_rows: int) -> Lexicon:
+    """Lexicon of rows ``text``, ``toxic``, of which so many are toxic and not; they are read once."""
     if not toxic_rows or not other_rows:
         return Lexicon({}, {})
     terms = stored(word_counts(rows), "toxicity_words")
@@ -425,8 +455,10 @@ class ToxicityModel:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> ToxicityModel:
     """Fit to the labelled rows that are not held out: counts over all of them, the
     curve over about ``max_rows``."""
-    rows = stored(labelled(docs, labels), "toxicity_rows")
-    lexicon = fit_lexicon(rows)
+    marks = stored(label_marks(labels), "toxicity_labels")
+    may_be = id_filter(marks)
+    sums = labelled(docs, marks, may_be, text_col=None).agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
+    lexicon = fit_lexicon(labelled(docs, marks, may_be), int(sums[0]), int(sums[1] - sums[0]))
     parts = lexicon.parts
     made: list[Lexicon] = []
 
@@ -437,8 +469,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -
 
     found_in = pandas_udf(evidence, "total double, largest double, dense double")
     # by hash, so no task gathers more than the few numbers of the rows chosen
-    share = max_rows / max(rows.count(), 1)
-    chosen = rows.where(hash_share("id") < share)
+    few = hash_share("id") < max_rows / max(int(sums[1]), 1)
+    chosen = labelled(docs.where(hash_share("doc_id") < max_rows / max(int(sums[1]), 1)), marks.where(few), may_be)
     sample = chosen.select("toxic", found_in("text").alias("e")).select("toxic", "e.*").limit(2 * max_rows)
     found = np.array([(r["toxic"], r["total"], r["largest"], r["dense"]) for r in sample.collect()], float).reshape(-1, 4)
     if not len(found) or not found[:, 0].any():

@@ -84,3 +84,54 @@ def test_planted_benchmark_text_is_found(spark):
     docs = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(30).collect()]
     for (item, text), doc in zip(items, docs, strict=False):
         assert item in {h[0] for h in index.hits(doc[: len(doc) // 2] + "\n" + text + "\n" + doc[len(doc) // 2 :])}
+
+
+def test_a_long_text_that_repeats_a_long_item():
+    import time
+    import tracemalloc
+
+    rng = random.Random(9)
+    item = [rng.choice(WORDS) for _ in range(200)]
+    index = D.BenchmarkIndex([(1, " ".join(item)), (2, " ".join(WORDS[:60]))])
+    text = " ".join(item * 2_500)
+    tracemalloc.start()
+    began = time.process_time()
+    hits = index.hits(text)
+    took, peak = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+    assert [h[:3] for h in hits] == [(1, 0, 200)] and hits[0][4] == 1.0
+    assert took < 60 and peak < 500e6
+
+
+def test_sliding_counts_equal_counting_anew():
+    rng = random.Random(2)
+    for _ in range(200):
+        codes = [rng.randint(-1, 4) for _ in range(60)]
+        count = rng.randint(1, 12)
+        wanted = [rng.randint(1, 3) for _ in range(5)]
+        starts = sorted(rng.sample(range(60 - count + 1), rng.randint(1, 20)))
+        got = D.sliding_similarity(codes, starts, count, wanted)
+        for s, value in zip(starts, got, strict=True):
+            common = sum(min(codes[s : s + count].count(c), n) for c, n in enumerate(wanted))
+            assert value == common / (count + sum(wanted) - common)
+
+
+def test_recall_by_similarity():
+    """Share of windows of each band that the whole chain finds."""
+    rng = random.Random(5)
+    items = [(i, " ".join(rng.choice(WORDS) for _ in range(rng.choice([40, 80, 150])))) for i in range(40)]
+    index = D.BenchmarkIndex(items)
+    seen, found = {}, {}
+    for trial in range(900):
+        i, text = rng.choice(items)
+        words = text.split()
+        for _ in range(trial % 4):
+            at = rng.randrange(len(words))
+            words[at] = "other" + str(rng.randrange(50))
+        noisy = " ".join(words)
+        value = brute(noisy, [(i, text)]).get(i)
+        if value:
+            band = 0.8 if value[2] < 0.85 else 0.85 if value[2] < 0.9 else 0.9
+            seen[band] = seen.get(band, 0) + 1
+            found[band] = found.get(band, 0) + any(h[0] == i for h in index.hits(noisy))
+    assert set(seen) == {0.8, 0.85, 0.9}
+    assert found[0.9] == seen[0.9] and found[0.85] >= 0.99 * seen[0.85] and found[0.8] >= 0.98 * seen[0.8]

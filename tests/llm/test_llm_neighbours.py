@@ -1,5 +1,7 @@
 """Collision counting against brute force."""
 
+import math
+
 import numpy as np
 import pandas as pd
 from conftest import SF_SMALL
@@ -61,3 +63,27 @@ def test_many_copies_of_the_query(spark):
     df = spark.createDataFrame(pd.DataFrame({"vec_id": range(0, 500), "embedding": v.tolist()}))
     got = A.nearest_neighbours(df, block_rows=64).where("query_id = 100").orderBy("rank").collect()
     assert [r["vec_id"] for r in got] == list(range(10))
+
+
+def test_huge_and_tiny_components_end_and_are_exact():
+    draw = np.random.default_rng(4)
+    for size in (1e308, 1.7e308, 1e200, 1e-200, 5e-324):
+        vectors = draw.normal(size=(300, 6))
+        with np.errstate(over="ignore"):
+            vectors[::50] *= size
+        vectors = np.where(vectors == 0, 1.0, np.clip(vectors, -1.7e308, 1.7e308))
+        index = A.CollisionIndex(np.arange(300), vectors)
+        for own in (0, 50, 7):
+            ids, distance = index.nearest(vectors[own], own, 10)
+            wanted = [math.dist([float(x) / 4 for x in v], [float(x) / 4 for x in vectors[own]]) * 4 if size > 1 else math.dist(v, vectors[own]) for v in vectors]
+            order = sorted((d, i) for i, d in enumerate(wanted) if i != own)[:10]
+            assert len(ids) == 10 and np.allclose(distance, [d for d, _ in order], rtol=1e-12)
+            if own == 7:
+                assert ids.tolist() == [i for _, i in order]
+
+
+def test_distance_of_tiny_gaps():
+    a, b = np.array([[3e-200, 0.0], [0.0, 4e-310], [1e308, -1e308]]), np.array([0.0, 0.0])
+    got = A.euclidean(a, b)
+    assert np.allclose(got, [3e-200, 4e-310, math.hypot(1e308, 1e308)], rtol=1e-12)
+    assert A.euclidean(np.array([[1.7e308, 1.7e308]]), np.array([-1.7e308, -1.7e308]))[0] == np.inf

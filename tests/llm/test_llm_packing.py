@@ -18,7 +18,7 @@ def encoders():
 
     own = P.TextEncoder(queries.tokenizer_path())
     assert own.ranked
-    return own, own.tokenizer
+    return own, Tokenizer.from_file(queries.tokenizer_path())
 
 
 def ids_of(raw):
@@ -35,6 +35,18 @@ def test_encoder_equals_tokenizers(encoders, text):
     assert ids_of(own.encode(text)) == plain.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "a", "é ", "word"]), max_size=8))
+def test_strings_of_added_tokens(encoders, parts):
+    own, plain = encoders
+    text = "".join(parts)
+    assert ids_of(own.encode(text)) == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_end_of_text_inside_a_text(encoders):
+    assert ids_of(encoders[0].encode("a <|endoftext|> b")) == [64, 220, 50256, 275]
+
+
 def test_encoder_equals_tokenizers_on_every_document(encoders):
     import duckdb
 
@@ -119,3 +131,13 @@ def test_fit_fills_sequences_of_a_mixed_histogram():
     histogram = np.bincount(lengths, minlength=1025)
     used = sum(t for _, t in P.plan_patterns(histogram))
     assert used <= 1.002 * -(-int(lengths.sum()) // 1024)
+
+
+def test_repeated_rows_have_pieces_of_their_own(spark, encoders):
+    docs = [(1, "same text here")] * 5 + [(2, None)] * 3 + [(3, "long " * 3_000)] * 2
+    rows = queries.packed_rows(P.tokenize(spark.createDataFrame(docs, "doc_id long, text string"), queries.tokenizer_path()), with_ids=True).collect()
+    assert sum(r["doc_id"] == 1 for r in rows) == 5 and sum(r["doc_id"] == 2 for r in rows) == 3
+    places = [(r["sequence_id"], r["offset"]) for r in rows]
+    assert len(set(places)) == len(places)
+    for r in rows:
+        assert len(r["ids"]) == 4 * r["length"] and zlib.crc32(bytes(r["ids"])) == r["ids_crc32"]

@@ -163,6 +163,25 @@ def test_every_passing_term_and_every_spared_word_is_kept(spark):
     beside = [chr(0x430 + k) + term[1:] for term in terms for k in range(25)]
     rows = [(" ".join(rng.sample(terms, len(terms))), 1) for _ in range(15)]
     rows += [(" ".join(beside[i::45]), 0) for i in range(45)]
-    lexicon = X.fit_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    lexicon = X.fit_lexicon(spark.createDataFrame(rows, "text string, toxic int"), 15, 45)
     assert set(lexicon.words) == set(terms) and len(terms) > 2_000
     assert lexicon.exonerated == set(beside) and len(lexicon.exonerated) > 50_000
+
+
+def test_filter_holds_for_every_id(spark):
+    ids = spark.range(0, 40_000, 7)
+    may_be = X.id_filter(ids)
+    passed = {r["id"] for r in spark.range(40_000).where(may_be(X.F.col("id"))).collect()}
+    own = set(range(0, 40_000, 7))
+    assert own <= passed and len(passed - own) < 0.01 * 40_000
+    nothing = X.id_filter(spark.range(0))
+    assert spark.range(100).where(nothing(X.F.col("id"))).count() == 0
+
+
+def test_labels_of_one_id_and_unlabelled_rows(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(None, "none"), (3, "again")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (1, None), (3, 0), (5, None), (7, 1), (None, 1), (900, 1)], "doc_id long, toxic int")
+    marks = X.stored(X.label_marks(labels), "test")
+    got = sorted((r["id"], r["text"], r["toxic"]) for r in X.labelled(docs, marks, X.id_filter(marks)).collect())
+    free = lambda i: zlib.crc32(str(i).encode()) % 4 != 2
+    assert got == sorted((i, t, x) for i, t, x in [(1, "text 1", 1), (3, "text 3", 0), (3, "again", 0), (7, "text 7", 1)] if free(i))
