@@ -4,6 +4,14 @@ Each stage reads what the one before it kept and returns the columns of
 ``documents``; the last returns the packed pieces. ``run`` writes every stage to
 the shared scratch folder as Parquet and reads it again, so a lost executor
 costs at most one stage's tasks.
+
+Defined results, for every stage: a null text counts as an empty one, which is not
+toxic unless most labels are, groups with other texts without words, holds no item and no secret, and is
+packed as the end id alone; a null id is a document like others, but never stands for its group while
+another does; rows that repeat are documents of their own until near-duplicates go, of which one
+row stays; texts are read whole, however long; of equal ids in a group one row stays;
+other columns are passed on as they are, whatever their names, up to the last
+stage; an empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -36,8 +44,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces of sequences of at most 1024 tokens."""
-    return packed_rows(nnls_packing.tokenize(docs, tokenizer_path()))
+    """All documents as pieces of sequences of at most 1024 tokens: each piece with its ids
+    (little-endian unsigned 32-bit), its sequence and its place there."""
+    return packed_rows(nnls_packing.tokenize(docs, tokenizer_path()), with_ids=True)
 
 
 STAGES = [
