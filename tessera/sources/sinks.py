@@ -7,6 +7,7 @@ FileSystem of the session, never the local disk.
 from __future__ import annotations
 
 import contextlib
+import itertools
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -77,6 +78,8 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+#: Renames a commit tries while other writers commit to the same place.
+RENAME_ATTEMPTS = 50
 #: The commit mark of a materialised table: its name begins with "_", so readers of the folder skip it.
 COMMIT_MARK = "_tessera_commit"
 
@@ -111,13 +114,14 @@ def commit_table(df: DataFrame, path: str, key: str) -> None:
     target, _ = _place(spark, path)
     df.write.parquet(staged.toString())
     write_text(spark, f"{staged.toString()}/{COMMIT_MARK}", key)
-    while True:
+    for attempt in itertools.count(1):
         try:
             _rename(spark, staged, target)
             return
-        except Py4JJavaError as error:
-            if not files.exists(target) or not files.exists(staged):
-                raise error
+        except Py4JJavaError:
+            # the target may have been moved aside by another writer since: try again, not for ever
+            if attempt == RENAME_ATTEMPTS or not files.exists(staged):
+                raise
         aside, _ = _place(spark, f"{path}.{uuid.uuid4().hex}.old")
         # another writer may move it first: then there is nothing to move, and the next rename tells
         with contextlib.suppress(Py4JJavaError):
