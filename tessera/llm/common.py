@@ -8,10 +8,12 @@ components from rounds of joins whose state lies in the shared folder.
 from __future__ import annotations
 
 import io
+import pickle
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,6 +35,38 @@ def write_shared(spark: SparkSession, data: bytes, name: str) -> str:
     return place.toUri().toString()
 
 
+def pack_arrays(arrays: dict[str, np.ndarray]) -> bytes:
+    """Named arrays as the bytes of one file, to be opened by :func:`map_arrays`."""
+    heads, chunks, at = [], [], 0
+    for name, array in arrays.items():
+        data = array.tobytes()
+        heads.append((name, array.dtype.str, array.shape, at, len(data)))
+        chunks.append(data + b"\0" * (-len(data) % 8))
+        at += len(chunks[-1])
+    return pickle.dumps(heads) + b"".join(chunks)
+
+
+def map_arrays(path: str) -> dict[str, np.ndarray]:
+    """The arrays of a file of :func:`pack_arrays`, mapped into memory."""
+    with open(path, "rb") as file:
+        heads = pickle.load(file)
+        base = file.tell()
+    whole = np.asarray(np.memmap(path, np.uint8, "r"))
+    return {name: whole[base + at : base + at + size].view(kind).reshape(shape) for name, kind, shape, at, size in heads}
+
+
+def share_files(packed: DataFrame, count: int, name: str) -> list[str]:
+    """Have Spark hand files to every executor: one for each ``part`` from 0 to ``count`` - 1 of
+    ``packed`` (``part``, ``data``). Tasks make the bytes; the driver passes a few parts on at a time.
+    Returns the names to ask ``SparkFiles`` for."""
+    names = [""] * count
+    for row in stored(packed, name).toLocalIterator():
+        address = write_shared(packed.sparkSession, bytes(row["data"]), f"{name}-{row['part']}")
+        packed.sparkSession.sparkContext.addFile(address)
+        names[row["part"]] = address.rsplit("/", 1)[-1]
+    return names
+
+
 _shipped: set[str] = set()
 
 

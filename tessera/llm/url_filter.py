@@ -1,12 +1,14 @@
 """URL rules in a sorted digest array.
 
 Every rule (host, path) is one string ``host + path``. The 64-bit XXH64 digests of
-these strings are kept sorted in one array, which Spark's own file distribution
-hands to the executors and each worker maps into memory. A url is probed with
-every string a fitting rule could have: each suffix of its host that starts at a
-label, followed by each of the path lengths that rules with this host have. A
-vectorised binary search finds the digests, and the stored full string is
-compared, so a digest collision decides nothing.
+these strings are kept sorted in one array, cut into equal ranges of the digests
+with about ``array_rules`` rules each. Tasks pack the ranges, Spark's own file
+distribution hands them to the executors and each worker maps them into memory. A
+url is probed with every string a fitting rule could have: each suffix of its
+host that starts at a label, followed by each of the path lengths that rules with
+this host have. A probe's digest names its range; a vectorised binary search finds
+it there, and the stored full string is compared, so a digest collision decides nothing.
+A host with most of the rules fills all ranges like any other, since its rules have digests of their own.
 
 A rule fits its host and all subdomains if the url's path starts with the
 rule's path. The longest rule wins (host and path together; of equally long
@@ -18,24 +20,25 @@ fits no rule, unless a rule has an empty host and path; rules with a null host o
 read as empty strings; empty url table: empty result; empty rule table: every
 url gets the default. Extra columns of the urls stay as they are.
 
-The array lies whole on each executor, so the rules are counted first; more
-than ``max_rules`` go the other way: the strings of each url are joined with the
-rules by Spark, which has no bound.
+The array lies whole on each executor's disk, about 100 bytes a rule; a task or the
+driver holds a few ranges at a time, at any number of rules.
 """
 
 from __future__ import annotations
 
-import pickle
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pandas_udf, write_shared
+from tessera.llm.common import map_arrays, pack_arrays, pandas_udf, share_files, ship_package, stored
 
-#: Rules that one digest array may hold (about 100 bytes each on an executor's disk).
-MAX_RULES = 2_000_000
+#: Rules of one range of the digest array.
+ARRAY_RULES = 500_000
+#: Seed of Spark's ``xxhash64``, so that tasks of either kind agree on a string's range.
+SEED = 42
 
 
 def url_host(url: Column) -> Column:
@@ -61,64 +64,68 @@ def clean_rules(rules: DataFrame) -> DataFrame:
     return rules.select(*text, "action").groupBy("host", "path").agg(F.max("action").alias("action"))
 
 
+def digests(strings: list[str]) -> np.ndarray:
+    import xxhash
+
+    return np.array([xxhash.xxh64_intdigest(s, SEED) for s in strings], np.uint64)
+
+
 class DigestArray:
-    """Sorted digests with their strings, mapped from one file."""
+    """Sorted digests with their strings, mapped from one file for each range of the digests."""
 
-    def __init__(self, path: str):
-        with open(path, "rb") as file:
-            heads = pickle.load(file)
-            base = file.tell()
-        whole = np.memmap(path, np.uint8, "r")
-        self.parts = {n: whole[base + at : base + at + size].view(kind) for n, kind, at, size in heads}
+    def __init__(self, *paths: str):
+        self.ranges = [map_arrays(p) for p in paths]
 
     @staticmethod
     def pack(rows: list[tuple[str, str, str]]) -> bytes:
-        """File of rules (host, path, action): digests of hosts and of whole
-        rules, each with offsets into their strings."""
-        import xxhash
-
-        digest = xxhash.xxh64_intdigest
+        """Rules (host, path, action) as an array of one range."""
         lengths: dict[str, set[int]] = {}
         for host, path, _ in rows:
             lengths.setdefault(host, set()).add(len(path))
-        hosts = sorted(lengths, key=lambda h: (digest(h), h))
-        whole = sorted(((h + p, len(h), a) for h, p, a in rows), key=lambda r: (digest(r[0]), r[0], r[1]))
-        host_bytes, rule_bytes = [h.encode() for h in hosts], [r[0].encode() for r in whole]
-        each = [sorted(lengths[h]) for h in hosts]
+        return DigestArray.pack_range(lengths.items(), [(h + p, len(h), a == "block") for h, p, a in rows])
+
+    @staticmethod
+    def pack_range(hosts: Iterable[tuple[str, Iterable[int]]], rules: Iterable[tuple[str, int, bool]]) -> bytes:
+        """File of hosts with the path lengths of their rules and of rules (string, length of its
+        host, whether it blocks): digests of both, each with offsets into their strings."""
+
+        def by_digest(entries):
+            entries = sorted(entries, key=lambda e: e[:2])
+            keys = digests([e[0] for e in entries])
+            order = np.argsort(keys, kind="stable")
+            return keys[order], [entries[i] for i in order]
+
+        host_keys, hosts = by_digest((h, tuple(sorted(n))) for h, n in hosts)
+        rule_keys, rules = by_digest(rules)
+        host_bytes, rule_bytes = [h[0].encode() for h in hosts], [r[0].encode() for r in rules]
         offsets = lambda sizes: np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        arrays = {
-            "host_key": np.array([digest(h) for h in hosts], np.uint64),
-            "host_at": offsets([len(b) for b in host_bytes]),
-            "host_text": np.frombuffer(b"".join(host_bytes), np.uint8),
-            "length_at": offsets([len(x) for x in each]),
-            "length": np.array([n for x in each for n in x], np.int64),
-            "rule_key": np.array([digest(r[0]) for r in whole], np.uint64),
-            "rule_at": offsets([len(b) for b in rule_bytes]),
-            "rule_text": np.frombuffer(b"".join(rule_bytes), np.uint8),
-            "rule_host": np.array([r[1] for r in whole], np.int64),
-            "blocks": np.array([r[2] == "block" for r in whole], np.uint8),
-        }
-        heads, body = [], b""
-        chunks, at = [], 0
-        for name, array in arrays.items():
-            data = array.tobytes()
-            heads.append((name, array.dtype.str, at, len(data)))
-            chunks.append(data + b"\0" * (-len(data) % 8))
-            at += len(chunks[-1])
-        body = b"".join(chunks)
-        return pickle.dumps(heads) + body
-
-    def _find(self, keys: str, at: str, text: str, strings: list[str]) -> list[list[int]]:
-        """Entries whose stored string equals each of the strings."""
-        import xxhash
-
-        stored_keys, offsets, stored_text = self.parts[keys], self.parts[at], self.parts[text]
-        probes = np.array([xxhash.xxh64_intdigest(s) for s in strings], np.uint64)
-        first, last = np.searchsorted(stored_keys, probes, "left"), np.searchsorted(stored_keys, probes, "right")
-        found: list[list[int]] = [[] for _ in strings]
-        for i in np.flatnonzero(first < last):
-            raw = strings[i].encode()
-            found[i] = [j for j in range(first[i], last[i]) if stored_text[offsets[j] : offsets[j + 1]].tobytes() == raw]
+        return pack_arrays(
+            {
+                "host_key": host_keys,
+                "host_at": offsets([len(b) for b in host_bytes]),
+                "host_text": np.frombuffer(b"".join(host_bytes), np.uint8),
+                "length_at": offsets([len(h[1]) for h in hosts]),
+                "length": np.array([n for h in hosts for n in h[1]], np.int64),
+                "rule_key": rule_keys,
+                "rule_at": offsets([len(b) for b in rule_bytes]),
+                "rule_text": np.frombuffer(b"".join(rule_bytes), np.uint8),
+                "rule_host": np.array([r[1] for r in rules], np.int64),
+                "blocks": np.array([r[2] for r in rules], np.uint8),
+            }
+        )
+
+    def _find(self, kind: str, strings: list[str]) -> list[list[tuple[dict, int]]]:
+        """Entries (range and place in it) whose stored string equals each of the strings."""
+        probes = digests(strings)
+        owner = ((probes >> np.uint64(32)) * np.uint64(len(self.ranges))) >> np.uint64(32)
+        found: list[list[tuple[dict, int]]] = [[] for _ in strings]
+        for number in np.unique(owner):
+            part, mine = self.ranges[int(number)], np.flatnonzero(owner == number)
+            keys, offsets, text = part[f"{kind}_key"], part[f"{kind}_at"], part[f"{kind}_text"]
+            first, last = np.searchsorted(keys, probes[mine], "left"), np.searchsorted(keys, probes[mine], "right")
+            for hit in np.flatnonzero(first < last):
+                raw = strings[mine[hit]].encode()
+                found[mine[hit]] = [(part, j) for j in range(first[hit], last[hit]) if text[offsets[j] : offsets[j + 1]].tobytes() == raw]
         return found
 
     def longest(self, hosts: list[str], paths: list[str]) -> list[tuple[str | None, str | None]]:
@@ -129,19 +136,19 @@ class DigestArray:
             probes.update(dict.fromkeys(each))
         known = list(probes)
         lengths = {}
-        for suffix, entries in zip(known, self._find("host_key", "host_at", "host_text", known), strict=True):
-            for j in entries:
-                lengths[suffix] = self.parts["length"][self.parts["length_at"][j] : self.parts["length_at"][j + 1]].tolist()
+        for suffix, entries in zip(known, self._find("host", known), strict=True):
+            for part, j in entries:
+                lengths[suffix] = part["length"][part["length_at"][j] : part["length_at"][j + 1]].tolist()
         wanted = [
             [(len(s) + n, len(s), s + path[:n]) for s in each if s in lengths for n in lengths[s] if n <= len(path)]
             for each, path in zip(suffixes, paths, strict=True)
         ]
         strings = list(dict.fromkeys(w[2] for each in wanted for w in each))
-        entries = dict(zip(strings, self._find("rule_key", "rule_at", "rule_text", strings), strict=True))
+        entries = dict(zip(strings, self._find("rule", strings), strict=True))
         out = []
         for each in wanted:
             best = max(
-                ((size, host, text, int(self.parts["blocks"][j])) for size, host, text in each for j in entries[text] if self.parts["rule_host"][j] == host),
+                ((size, host, text, int(part["blocks"][j])) for size, host, text in each for part, j in entries[text] if part["rule_host"][j] == host),
                 default=None,
             )
             out.append((best[2], "block" if best[3] else "allow") if best else (None, None))
@@ -157,56 +164,52 @@ def host_suffixes(host: str) -> list[str]:
     return out
 
 
-def share_file(spark: SparkSession, data: bytes, name: str) -> str:
-    """Have Spark hand bytes to every executor as a file; returns the name to ask
-    ``SparkFiles`` for."""
-    address = write_shared(spark, data, name)
-    spark.sparkContext.addFile(address)
-    return address.rsplit("/", 1)[-1]
+def packed_ranges(rules: DataFrame, count: int) -> DataFrame:
+    """``part``, ``data``: the files of ``count`` equal ranges of the digests of clean rules."""
+    ship_package(rules.sparkSession)
+    whole = rules.select(
+        F.concat("host", "path").alias("text"), F.length("host").alias("host_length"), (F.col("action") == "block").alias("blocks"), F.lit(None).cast("array<int>").alias("lengths")
+    )
+    hosts = rules.groupBy(F.col("host").alias("text")).agg(F.collect_set(F.length("path")).alias("lengths"))
+    hosts = hosts.select("text", F.lit(-1).alias("host_length"), F.lit(False).alias("blocks"), "lengths")
+    high = F.call_function("shiftrightunsigned", F.xxhash64("text"), F.lit(32))
+    entries = whole.unionAll(hosts).withColumn("part", F.call_function("shiftright", high * count, F.lit(32)).cast("int"))
+    every = rules.sparkSession.range(count).select(F.col("id").cast("int").alias("part"))
+
+    def pack(key: tuple, rows: pd.DataFrame, _: pd.DataFrame) -> pd.DataFrame:
+        of_host = rows["host_length"] < 0
+        hosts = zip(rows["text"][of_host], rows["lengths"][of_host], strict=True)
+        whole = zip(rows["text"][~of_host], rows["host_length"][~of_host], rows["blocks"][~of_host], strict=True)
+        return pd.DataFrame({"part": [key[0]], "data": [DigestArray.pack_range(hosts, whole)]})
+
+    # every range has a file, also one without entries
+    return entries.groupBy("part").cogroup(every.groupBy("part")).applyInPandas(pack, "part int, data binary")
 
 
-def judge_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url", default_verdict: str = "allow", max_rules: int = MAX_RULES) -> DataFrame:
+def judge_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url", default_verdict: str = "allow", array_rules: int = ARRAY_RULES) -> DataFrame:
     """``urls`` with ``host``, ``path``, ``rule`` and ``verdict`` beside ``page``
     (a struct of all their own columns)."""
-    spark = urls.sparkSession
-    rules = clean_rules(rules)
+    rules = stored(clean_rules(rules), "url_rules")
     pages = urls.select(F.struct("*").alias("page"), url_host(F.col(url_col).cast("string")).alias("host"), url_path(F.col(url_col).cast("string")).alias("path"))
-    if rules.limit(max_rules + 1).count() > max_rules:
-        return _judge_by_join(pages, rules, default_verdict)
-    array = share_file(spark, DigestArray.pack([(r["host"], r["path"], r["action"]) for r in rules.collect()]), "url_rules")
+    count = max(1, -(-rules.count() // array_rules))
+    names = tuple(share_files(packed_ranges(rules, count), count, "url_ranges"))
 
     def probe(host: pd.Series, path: pd.Series) -> pd.DataFrame:
-        found = _mapped(array).longest(host.tolist(), path.tolist())
+        found = _mapped(names).longest(host.tolist(), path.tolist())
         return pd.DataFrame({"rule": pd.Series([r for r, _ in found], dtype=object), "verdict": pd.Series([v for _, v in found], dtype=object)})
 
     judged = pages.withColumn("judged", pandas_udf(probe, "rule string, verdict string")("host", "path"))
     return judged.select("page", "host", "path", F.col("judged.rule").alias("rule"), F.coalesce("judged.verdict", F.lit(default_verdict)).alias("verdict"))
 
 
-_arrays: dict[str, DigestArray] = {}
+_arrays: dict[tuple[str, ...], DigestArray] = {}
 
 
-def _mapped(name: str) -> DigestArray:
-    """The mapped array of this worker (opened once for each file)."""
+def _mapped(names: tuple[str, ...]) -> DigestArray:
+    """The mapped array of this worker (opened once)."""
     from pyspark import SparkFiles
 
-    if name not in _arrays:
+    if names not in _arrays:
         _arrays.clear()
-        _arrays[name] = DigestArray(SparkFiles.get(name))
-    return _arrays[name]
-
-
-def _judge_by_join(pages: DataFrame, rules: DataFrame, default_verdict: str) -> DataFrame:
-    """The same verdicts by joins on host suffixes; for rule tables of any size."""
-    labels = F.split("host", r"\.", -1)
-    urls = pages.select("host", "path").distinct()
-    suffixes = urls.withColumn("suffix", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))))
-    fits = rules.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "action")
-    best = (
-        suffixes.join(fits, (F.col("suffix") == F.col("rule_host")) & F.col("path").startswith(F.col("rule_path")))
-        .groupBy(F.col("host").alias("h"), F.col("path").alias("p"))
-        .agg(F.max(F.struct(F.length(F.concat("rule_host", "rule_path")), F.length("rule_host"), F.concat("rule_host", "rule_path").alias("rule"), "action")).alias("best"))
-    )
-    return pages.join(best, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left").select(
-        "page", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default_verdict)).alias("verdict")
-    )
+        _arrays[names] = DigestArray(*[SparkFiles.get(n) for n in names])
+    return _arrays[names]

@@ -22,7 +22,7 @@ def plain(url, rules):
     return host, path, best and best[2], ("block" if best[3] else "allow") if best else "allow"
 
 
-def test_random_rules_both_ways(spark):
+def test_random_rules_in_any_number_of_ranges(spark):
     rng = random.Random(5)
     labels, paths = ["a", "b", "cc", "net", "É"], ["", "/", "/a", "/a/b", "/ab"]
     name = lambda: ".".join(rng.choice(labels) for _ in range(rng.randint(1, 4)))
@@ -31,11 +31,22 @@ def test_random_rules_both_ways(spark):
     urls += [None, "", "no scheme/a", "HTTP://A.NET/A", "x://", "x://?://b", "http://é.É/a", "http://net:80/", "http://" + "a." * 500 + "net/" + "a" * 9000]
     table = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(urls)], "page_id long, url string, host string, verdict string")
     lookup = spark.createDataFrame(rules + rules, RULES)
-    for most in (1000, 10):
-        got = {r["page"]["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in U.judge_urls(table, lookup, max_rules=most).collect()}
+    for most in (1000, 10, 1):
+        got = {r["page"]["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in U.judge_urls(table, lookup, array_rules=most).collect()}
         assert got == {i: plain(u, rules) for i, u in enumerate(urls)}
 
 
+def test_a_host_with_most_rules_is_spread_over_the_ranges(spark):
+    rules = [("big.net", f"/{i}/", "block") for i in range(400)] + [(f"h{i}.org", "/", "allow") for i in range(50)]
+    lookup = U.clean_rules(spark.createDataFrame(rules, RULES))
+    sizes = {r["part"]: len(r["data"]) for r in U.packed_ranges(lookup, 9).collect()}
+    assert sorted(sizes) == list(range(9)) and max(sizes.values()) < 2 * min(sizes.values())
+    urls = [f"http://{h}/{i}/x" for i in range(0, 400, 13) for h in ("big.net", "a.big.net", "h7.org", "net")]
+    table = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r["page"]["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in U.judge_urls(table, U.clean_rules(lookup), array_rules=50).collect()}
+    assert got == {i: plain(u, rules) for i, u in enumerate(urls)}
+
+
 def test_empty_tables(spark):
     urls = spark.createDataFrame([(1, "http://a/b")], "page_id long, url string")
     rules = spark.createDataFrame([], RULES)
