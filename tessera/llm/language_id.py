@@ -15,9 +15,10 @@ over many of them; a cut ends a phrase.
 Learning uses at most ``SAMPLE_CHARS`` letters for each labelled language, from texts
 taken by a hash of the text, copies once: one piece of up to ``CHARS_OF_ROW`` characters
 from each of up to ``SAMPLE_ROWS`` texts, at a place given by the hash, and as
-even a share of the letters from each as their lengths allow. Where there are more than ``LANGUAGES_AT_A_TIME``, a batch
-is parsed against one block of languages after the other, and the fewest phrases of
-all blocks win.
+even a share of the letters from each as their lengths allow. Tasks lay out the automata, one
+file for each ``LANGUAGES_OF_FILE`` languages; Spark hands the files to the executors and their
+workers map them. A batch is parsed against one file after the other, and the fewest phrases of
+all win, at any number of languages.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or if
 nothing was learned; ties go to the first language in alphabetical order; rows
@@ -26,23 +27,24 @@ with a null or empty language teach nothing. Extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import hash_share, pandas_udf
+from tessera.llm.common import hash_share, map_arrays, pack_arrays, pandas_udf, share_files, ship_package
 
 #: Bounds of the fitted model.
 SAMPLE_CHARS = 24_000
 SAMPLE_ROWS = 60
 CHARS_OF_ROW = 1_500
-#: Languages whose automata a worker holds at a time.
-LANGUAGES_AT_A_TIME = 32
+#: Languages whose automata share a file (about 13 MB each).
+LANGUAGES_OF_FILE = 8
 #: Columns of the dense table: the most frequent letters; all others are sparse.
 ALPHABET = 64
 STRETCH = 512
@@ -141,6 +143,24 @@ class CrossParser:
         order = np.argsort(np.array(keys, np.int64))
         self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, np.int64)[order]
 
+    #: What a mapped parser needs.
+    ARRAYS = ("class_of", "first", "table", "roots", "keys", "values")
+
+    def pack(self) -> bytes:
+        """The parser as the bytes of one file."""
+        names = np.frombuffer(json.dumps(self.languages).encode(), np.uint8)
+        return pack_arrays({"names": names, **{a: getattr(self, a) for a in self.ARRAYS}})
+
+    @classmethod
+    def mapped(cls, path: str) -> CrossParser:
+        """The parser of a file of :meth:`pack`, mapped into memory."""
+        arrays, out = map_arrays(path), cls.__new__(cls)
+        out.languages = json.loads(arrays.pop("names").tobytes())
+        for name, array in arrays.items():
+            setattr(out, name, array)
+        out.size = out.first.shape[1]
+        return out
+
     def _sparse(self, state: np.ndarray, letters: np.ndarray) -> np.ndarray:
         """Table values (languages x places) for letters outside the dense table."""
         restart = 2 * self.first[:, letters] + 1
@@ -237,7 +257,7 @@ def learning_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return {}
     # a few times the texts wanted, by hash, so that no task gathers more than those
     shares = docs.sparkSession.createDataFrame([(r["lang"], 8.0 * SAMPLE_ROWS / r["count"]) for r in counts], "lang string, share double")
-    rows = rows.join(F.broadcast(shares), "lang").where(hash_share("h") < F.col("share"))
+    rows = rows.join(shares, "lang").where(hash_share("h") < F.col("share"))
     # every start of a whole piece is as likely
     starts = F.greatest(F.length("text") - CHARS_OF_ROW, F.lit(0)) + 1
     start = (F.pmod(F.xxhash64("h", F.lit(1)), starts.cast("long")) + 1).cast("int")
@@ -262,18 +282,41 @@ def _even(texts: list[str], total: int) -> list[str]:
     return out
 
 
+def share_parsers(spark: SparkSession, samples: dict[str, str]) -> list[str]:
+    """Names of the files with the parsers of all sampled languages."""
+    names = sorted(samples)
+    rows = [(i // LANGUAGES_OF_FILE, name, samples[name]) for i, name in enumerate(names)]
+    count = -(-len(names) // LANGUAGES_OF_FILE)
+    if not count:
+        return []
+
+    def lay_out(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [key[0]], "data": [CrossParser(dict(zip(rows["lang"], rows["text"], strict=True))).pack()]})
+
+    ship_package(spark)
+    table = spark.createDataFrame(rows, "part int, lang string, text string")
+    return share_files(table.groupBy("part").applyInPandas(lay_out, "part int, data binary"), count, "language_parsers")
+
+
+_parsers: dict[tuple[str, ...], list[CrossParser]] = {}
+
+
+def _mapped(names: tuple[str, ...]) -> list[CrossParser]:
+    """The mapped parsers of this worker (opened once)."""
+    from pyspark import SparkFiles
+
+    if names not in _parsers:
+        _parsers.clear()
+        _parsers[names] = [CrossParser.mapped(SparkFiles.get(n)) for n in names]
+    return _parsers[names]
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of every row of ``docs``."""
-    samples = learning_samples(docs, id_col, text_col, lang_col)
-    names, size = sorted(samples), LANGUAGES_AT_A_TIME
-    blocks = [{k: samples[k] for k in names[at : at + size]} for at in range(0, len(names), size)]
-    made: list[CrossParser] = []
+    files = tuple(share_parsers(docs.sparkSession, learning_samples(docs, id_col, text_col, lang_col)))
 
     def predict(texts: pd.Series) -> pd.DataFrame:
-        if len(blocks) == 1 and not made:
-            made.append(CrossParser(blocks[0]))
-        # several blocks are laid out in turn, so one is in memory at a time
-        languages, scores = choose(made or (CrossParser(b) for b in blocks), texts.tolist())
+        languages, scores = choose(_mapped(files), texts.tolist())
         return pd.DataFrame({"lang_pred": pd.Series(languages, dtype=object), "score": pd.Series(scores, dtype="float64")})
 
     found = docs.select(F.col(id_col).alias("doc_id"), pandas_udf(predict, "lang_pred string, score double")(F.col(text_col).cast("string")).alias("p"))
