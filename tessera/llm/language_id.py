@@ -15,9 +15,9 @@ over many of them; a cut ends a phrase.
 Learning uses at most ``SAMPLE_CHARS`` letters for each labelled language, from texts
 taken by a hash of the text, copies once: one piece of up to ``CHARS_OF_ROW`` characters
 from each of up to ``SAMPLE_ROWS`` texts, at a place given by the hash, and as
-even a share of the letters from each as their lengths allow. Tasks lay out the automata, one
-file for each ``LANGUAGES_OF_FILE`` languages; Spark hands the files to the executors and their
-workers map them. A batch is parsed against one file after the other, and the fewest phrases of
+even a share of the letters from each as their lengths allow. Tasks build the automata and write their
+transitions, one file for each ``LANGUAGES_OF_FILE`` languages; Spark hands the files to the executors, whose
+workers only lay out the table. A batch is parsed against one file after the other, and the fewest phrases of
 all win, at any number of languages.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or if
@@ -30,6 +30,7 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,7 @@ from tessera.llm.common import hash_share, map_arrays, pack_arrays, pandas_udf,
 SAMPLE_CHARS = 24_000
 SAMPLE_ROWS = 60
 CHARS_OF_ROW = 1_500
-#: Languages whose automata share a file (about 13 MB each).
+#: Languages whose automata share a file (about 1 MB each) and a table (12 MB each).
 LANGUAGES_OF_FILE = 8
 #: Columns of the dense table: the most frequent letters; all others are sparse.
 ALPHABET = 64
@@ -102,68 +103,78 @@ class SuffixAutomaton:
 
 
 class CrossParser:
-    """Automata of all languages in one transition table."""
+    """Automata of some languages in one transition table."""
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         counts = Counter(c for text in samples.values() for c in text)
         # class 0: letters that were not learned; every learned one has its own
         letters = sorted(counts, key=lambda c: (-counts[c], c))
-        self.classes = {c: i + 1 for i, c in enumerate(letters)}
-        self.size = len(letters) + 1
-        self.class_of = np.zeros(0x110000, np.int32)
-        for c, i in self.classes.items():
-            self.class_of[ord(c)] = i
-        tables, self.roots, states = [], [], 0
-        keys, values = [], []
-        self.first = np.zeros((len(self.languages), self.size), np.int64)
+        classes = {c: i + 1 for i, c in enumerate(letters)}
+        size, states, sizes, roots = len(letters) + 1, 0, [], []
+        first = np.zeros((len(self.languages), size), np.int32)
+        # target states of the dense table (by place) and of other letters (by state and letter)
+        dense: dict[int, int] = {}
+        sparse: dict[int, int] = {}
         for k, language in enumerate(self.languages):
             automaton = SuffixAutomaton(samples[language])
-            size = len(automaton.next)
-            self.first[k] = states
+            first[k] = states
             for c, target in automaton.next[0].items():
-                self.first[k, self.classes[c]] = target + states
-            # value: 2 x target state, plus 1 where a new phrase begins
-            dense = np.zeros(ALPHABET, np.int64)
-            dense[: self.size] = self.first[k, :ALPHABET]
-            table = np.repeat((2 * dense + 1)[None, :], size, axis=0)
-            for state, steps in enumerate(automaton.next[1:], 1):
+                first[k, classes[c]] = target + states
+            for state, steps in enumerate(automaton.next[1:], states + 1):
                 for c, target in steps.items():
-                    letter = self.classes[c]
+                    letter = classes[c]
                     if letter < ALPHABET:
-                        table[state, letter] = 2 * (target + states)
+                        dense[state * ALPHABET + letter] = target + states
                     else:
-                        keys.append((state + states) * self.size + letter)
-                        values.append(2 * (target + states))
-            tables.append(table.astype(np.int32))
-            self.roots.append(states)
-            states += size
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        self.roots = np.array(self.roots, np.int32)
-        order = np.argsort(np.array(keys, np.int64))
-        self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, np.int64)[order]
-
-    #: What a mapped parser needs.
-    ARRAYS = ("class_of", "first", "table", "roots", "keys", "values")
+                        sparse[state * size + letter] = target + states
+            roots.append(states)
+            sizes.append(len(automaton.next))
+            states += len(automaton.next)
+        keys = np.array(sorted(sparse), np.int64)
+        self._lay_out(
+            {
+                "letters": np.array([ord(c) for c in letters], np.uint32),
+                "first": first,
+                "roots": np.array(roots, np.int32),
+                "sizes": np.array(sizes, np.int64),
+                "dense_at": np.fromiter(dense.keys(), np.int64, len(dense)),
+                "dense_to": np.fromiter(dense.values(), np.int32, len(dense)),
+                "sparse_at": keys,
+                "sparse_to": np.array([sparse[x] for x in keys.tolist()], np.int32),
+            }
+        )
+
+    def _lay_out(self, arrays: dict[str, np.ndarray]) -> None:
+        """The table of all transitions; values are 2 x target state, plus 1 where a new phrase begins."""
+        self.arrays = arrays
+        self.first, self.roots = arrays["first"], arrays["roots"]
+        self.size = self.first.shape[1]
+        self.class_of = np.zeros(0x110000, np.int32)
+        self.class_of[arrays["letters"]] = np.arange(1, self.size)
+        restart = np.zeros((len(self.languages), ALPHABET), np.int32)
+        restart[:, : self.size] = 2 * self.first[:, :ALPHABET] + 1
+        restart[:, self.size :] = 1
+        self.table = np.repeat(restart, arrays["sizes"], axis=0).ravel()
+        self.table[arrays["dense_at"]] = 2 * arrays["dense_to"]
+        self.keys, self.values = arrays["sparse_at"], 2 * arrays["sparse_to"].astype(np.int64)
 
     def pack(self) -> bytes:
-        """The parser as the bytes of one file."""
+        """The automata as the bytes of one file: transitions only, so it is small."""
         names = np.frombuffer(json.dumps(self.languages).encode(), np.uint8)
-        return pack_arrays({"names": names, **{a: getattr(self, a) for a in self.ARRAYS}})
+        return pack_arrays({"names": names, **self.arrays})
 
     @classmethod
-    def mapped(cls, path: str) -> CrossParser:
-        """The parser of a file of :meth:`pack`, mapped into memory."""
+    def opened(cls, path: str) -> CrossParser:
+        """The parser of a file of :meth:`pack`; only its table is laid out anew."""
         arrays, out = map_arrays(path), cls.__new__(cls)
         out.languages = json.loads(arrays.pop("names").tobytes())
-        for name, array in arrays.items():
-            setattr(out, name, array)
-        out.size = out.first.shape[1]
+        out._lay_out(arrays)
         return out
 
     def _sparse(self, state: np.ndarray, letters: np.ndarray) -> np.ndarray:
         """Table values (languages x places) for letters outside the dense table."""
-        restart = 2 * self.first[:, letters] + 1
+        restart = 2 * self.first[:, letters].astype(np.int64) + 1
         if not len(self.keys):
             return restart
         wanted = state.astype(np.int64) * self.size + letters
@@ -290,33 +301,34 @@ def share_parsers(spark: SparkSession, samples: dict[str, str]) -> list[str]:
     if not count:
         return []
 
-    def lay_out(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"part": [key[0]], "data": [CrossParser(dict(zip(rows["lang"], rows["text"], strict=True))).pack()]})
 
     ship_package(spark)
     table = spark.createDataFrame(rows, "part int, lang string, text string")
-    return share_files(table.groupBy("part").applyInPandas(lay_out, "part int, data binary"), count, "language_parsers")
+    return share_files(table.groupBy("part").applyInPandas(build, "part int, data binary"), count, "language_parsers")
 
 
-_parsers: dict[tuple[str, ...], list[CrossParser]] = {}
+_open: dict[str, CrossParser] = {}
 
 
-def _mapped(names: tuple[str, ...]) -> list[CrossParser]:
-    """The mapped parsers of this worker (opened once)."""
+def _parsers(names: Sequence[str]) -> Iterator[CrossParser]:
+    """The parsers of the files, one in memory at a time; a worker keeps the last one open."""
     from pyspark import SparkFiles
 
-    if names not in _parsers:
-        _parsers.clear()
-        _parsers[names] = [CrossParser.mapped(SparkFiles.get(n)) for n in names]
-    return _parsers[names]
+    for name in names:
+        if name not in _open:
+            _open.clear()
+            _open[name] = CrossParser.opened(SparkFiles.get(name))
+        yield _open[name]
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of every row of ``docs``."""
-    files = tuple(share_parsers(docs.sparkSession, learning_samples(docs, id_col, text_col, lang_col)))
+    files = share_parsers(docs.sparkSession, learning_samples(docs, id_col, text_col, lang_col))
 
     def predict(texts: pd.Series) -> pd.DataFrame:
-        languages, scores = choose(_mapped(files), texts.tolist())
+        languages, scores = choose(_parsers(files), texts.tolist())
         return pd.DataFrame({"lang_pred": pd.Series(languages, dtype=object), "score": pd.Series(scores, dtype="float64")})
 
     found = docs.select(F.col(id_col).alias("doc_id"), pandas_udf(predict, "lang_pred string, score double")(F.col(text_col).cast("string")).alias("p"))

@@ -74,14 +74,14 @@ def test_every_learned_letter_has_its_own_class():
     assert parser.predict([samples["q"][50:400], samples["r"][:90]])[0] == ["q", "r"]
 
 
-def test_a_mapped_parser_equals_the_built_one(tmp_path):
+def test_a_parser_opened_from_its_file_equals_the_built_one(tmp_path):
     samples = SAMPLES | {"日\0": "".join(chr(0x4E00 + 7 * i % 400) for i in range(900))}
     built, file = L.CrossParser(samples), tmp_path / "parser"
     file.write_bytes(built.pack())
-    mapped = L.CrossParser.mapped(str(file))
+    opened = L.CrossParser.opened(str(file))
     texts = ["the katze est sur", "", "\u4e07\u4e0e\u4e15 dach", "x" * 1_500]
-    assert mapped.languages == built.languages
-    assert mapped.phrases(texts).tolist() == built.phrases(texts).tolist()
+    assert opened.languages == built.languages
+    assert opened.phrases(texts).tolist() == built.phrases(texts).tolist()
 
 
 def test_every_labelled_language_is_learned(spark):
