@@ -46,6 +46,8 @@ SAMPLE_ROWS = 60
 CHARS_OF_ROW = 1_500
 #: Languages whose automata share a file (about 1 MB each) and a table (12 MB each).
 LANGUAGES_OF_FILE = 8
+#: Languages whose shares (some 50 bytes each) are broadcast; a join deals more.
+BROADCAST_LANGUAGES = 20_000
 #: Columns of the dense table: the most frequent letters; all others are sparse.
 ALPHABET = 64
 STRETCH = 512
@@ -268,7 +270,7 @@ def learning_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return {}
     # a few times the texts wanted, by hash, so that no task gathers more than those
     shares = docs.sparkSession.createDataFrame([(r["lang"], 8.0 * SAMPLE_ROWS / r["count"]) for r in counts], "lang string, share double")
-    rows = rows.join(shares, "lang").where(hash_share("h") < F.col("share"))
+    rows = rows.join(F.broadcast(shares) if len(counts) <= BROADCAST_LANGUAGES else shares, "lang").where(hash_share("h") < F.col("share"))
     # every start of a whole piece is as likely
     starts = F.greatest(F.length("text") - CHARS_OF_ROW, F.lit(0)) + 1
     start = (F.pmod(F.xxhash64("h", F.lit(1)), starts.cast("long")) + 1).cast("int")

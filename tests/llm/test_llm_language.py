@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+from conftest import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -96,6 +97,13 @@ def test_every_labelled_language_is_learned(spark):
     assert all(out[i] == name for i, _, name in rows)
 
 
+def test_samples_are_the_same_without_a_broadcast(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    broadcast = L.learning_samples(docs)
+    monkeypatch.setattr(L, "BROADCAST_LANGUAGES", 0)
+    assert len(broadcast) > 1 and L.learning_samples(docs) == broadcast
+
+
 def test_samples_reach_the_whole_text_and_take_copies_once(spark):
     rng = random.Random(6)
     header, body = "licence " * 200, lambda: " ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(3_000))
