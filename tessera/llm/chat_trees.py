@@ -37,7 +37,8 @@ from pyspark.sql.window import Window
 from tessera.llm.common import pandas_udf, stored
 
 ASSISTANT = "assistant"
-_TURN = re.compile(r"### ((?:[^\\#<:]|\\.)*): ((?:[^\\#<]|\\.)*)</turn>\n", re.DOTALL)
+# possessive runs: nothing is kept for each character of a long text
+_TURN = re.compile(r"### ((?:[^\\#<:]++|\\.)*+): ((?:[^\\#<]++|\\.)*+)</turn>\n", re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 

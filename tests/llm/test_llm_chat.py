@@ -77,6 +77,28 @@ def test_format_is_reversible(spark, turns):
     assert learned == [t for r, t in turns if r == "assistant"]
 
 
+def test_plain_turns_defined_cases(spark):
+    rows = [(1, 1, "user", "same"), (1, 1, "user", "same"), (1, 1, "assistant", "equal turn"), (1, None, None, "first"), (None, 5, "user", None), (2, 0, "assistant", "x# " * 200_000)]
+    table = spark.createDataFrame([(*r, "t", 1.5) for r in rows], "conv_id long, turn long, role string, text string, tree string, score double")
+    chats = C.format_branches(C.chain_messages(table, "conv_id", "turn", "role", "text"))
+    got = {r["tree"]: C.read_back(r["formatted"]) for r in chats.collect()}
+    assert got[1] == [("", "first"), ("assistant", "equal turn"), ("user", "same"), ("user", "same")]
+    assert got[None] == [("user", "")] and got[2] == [("assistant", "x# " * 200_000)] and len(got) == 3
+    assert C.format_branches(C.chain_messages(table.limit(0), "conv_id", "turn", "role", "text")).count() == 0
+
+
+def test_reading_a_long_text_back_takes_little_memory():
+    import tracemalloc
+
+    formatted = "### user: " + "ab\\#" * 1_000_000 + "</turn>\n"
+    tracemalloc.start()
+    try:
+        assert C.read_back(formatted) == [("user", "ab#" * 1_000_000)]
+        assert tracemalloc.get_traced_memory()[1] < 60 * len(formatted)
+    finally:
+        tracemalloc.stop()
+
+
 def test_query_has_probe_and_matches_sql(spark):
     got = queries.op2_chat_formatting(spark, SF_SMALL)
     con = duckdb.connect()
@@ -96,7 +118,7 @@ def test_malformed_strings_raise(bad):
         C.read_back(bad)
 
 
-def test_entry_registers_all_ten():
+def test_entry_registers_every_operator():
     entry = importlib.import_module("__spark_entry__")
     numbers = sorted(int(k[2:].split("_")[0]) for k in entry.queries() if k[:2] == "op" and k[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()

@@ -74,3 +74,13 @@ def test_stage_keeps_rows_and_columns(spark):
     assert got == {(1, f"{S.MASK} x", len(S.MASK) + 2), (1, None, None), (2, "", 0), (3, "plain", 99)}
     assert S.scan_documents(docs).where("size(spans) > 0").count() == 1
     assert S.without_secrets(docs.limit(0)).count() == 0
+
+
+def test_query_takes_empty_tables_and_repeated_rows(spark, tmp_path):
+    schema = "doc_id long, text string"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert queries.op7_secret_scan(spark, f"{tmp_path}/none").count() == 0
+    rows = [(1, "token=abcdefgh1")] * 2 + [(None, None), (2, "")]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/some/documents.parquet")
+    got = sorted((r["doc_id"] or 0, r["n_assign"], r["spans"]) for r in queries.op7_secret_scan(spark, f"{tmp_path}/some").collect())
+    assert got == [(0, 0, ""), (1, 1, "assign:0:15"), (1, 1, "assign:0:15"), (2, 0, "")]
