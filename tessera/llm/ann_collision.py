@@ -1,33 +1,46 @@
 """Nearest neighbours by collision counting over single projections.
 
-Every vector is indexed: the rows are dealt into blocks of about ``block_rows``,
-and each block keeps, for m random directions, its projections as one sorted
-array. A query opens a window around its own projection in every array. Radius
-after radius (virtual rehashing: the same arrays, wider windows) the windows
-grow; a vector that falls into the windows of at least l directions is verified
-by its exact distance. At radius R the half width is w R / 2, so a vector at
-distance R or less collides in one direction with probability p = 2 Phi(w / 2) - 1
-at least. The search of a block ends at the first radius that is no smaller
-than its k-th verified distance: every true neighbour then lies within R and is
-missed only if it collided fewer than l times. l is the largest threshold whose
-binomial tail for (m, p) is at most ``miss``, so the expected recall is at least
-1 - miss. There is no cap on candidates.
-
-Queries meet the index in blocks too, so one task holds at most ``block_rows``
-vectors and ``query_rows`` queries; the k best of each block are merged.
+1. Equal vectors become one row with the k + 1 smallest of their ids, which is all that any
+   answer can show of them; queries with equal vectors are asked once.
+2. A hashed sample of vectors, about ``PIVOTS`` times the square root of their number and at most
+   ``MAX_PIVOTS``, are pivots. Each vector belongs to its nearest pivot; the rows are
+   range-sorted by pivot and distance to it, and every ``block_rows`` of one pivot's rows in a row are a block.
+3. Each block keeps, for m random directions, its projections as one sorted array. These
+   indexes are built once and stored.
+4. A query is first answered in the block of its nearest pivots that it would itself lie in. The
+   distance of the last of its k + 1 nearest there is a bound: by the triangle
+   inequality, only blocks whose rings of distances reach that near can hold a nearer vector,
+   and the query goes to all of these and to no other.
+5. In a block, a query opens a window around its own projection in every array. Radius
+   after radius (virtual rehashing: the same arrays, wider windows) the windows
+   grow; a vector that falls into the windows of at least l directions is verified
+   by its exact distance. At radius R the half width is w R / 2, so a vector at
+   distance R or less collides in one direction with probability p = 2 Phi(w / 2) - 1
+   at least. The search of a block ends at the first radius that is no smaller than the bound or
+   its k-th verified distance: every true neighbour then lies within R and is
+   missed only if it collided fewer than l times. l is the largest threshold whose
+   binomial tail for (m, p) is at most ``miss``, so the expected recall is at least
+   1 - miss. There is no cap on candidates.
+
+Pivots and one distance range for each of them are all that the driver and the tasks' closures hold. A
+search task holds one block and at most about ``query_rows`` queries. Where vectors lie in clusters most
+blocks are never visited; where all distances are much alike (uniform noise in many
+dimensions) no bound excludes a block, and the work grows with rows x queries.
 
 Defined results: vectors that are null, empty, zero, or hold nulls or
 non-finite numbers take no part, nor do rows without an id; finite numbers may be as large
 or small as doubles are (a distance beyond them is infinite). Repeated rows of one
 id count once; if an id has several vectors, the smallest in array order stands
-for it. Vectors of another length than the query's are no candidates. A query
-never finds its own id. Ties in distance go to the smaller id. Fewer candidates
-than k: all of them. Extra columns are not read.
+for it. Vectors of another length than the query's are no candidates; those of a length
+without a pivot are all searched. A query never finds its own id. Ties in distance go to the
+smaller id. Fewer candidates than k: all of them. Extra columns are not read.
 """
 
 from __future__ import annotations
 
+import io
 import math
+from collections.abc import Iterator
 from statistics import NormalDist
 
 import numpy as np
@@ -36,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import ship_package, stored
+from tessera.llm.common import hash_share, in_ranges, map_batches, ship_package, stored
 
 DIRECTIONS = 96
 WIDTH = 2.0
@@ -46,8 +59,14 @@ MISS = 0.01
 SEED = 20240
 #: Components up to here can be squared and added as they are.
 USUAL = 1e150
-BLOCK_ROWS = 16_384
+BLOCK_ROWS = 4_096
 QUERY_ROWS = 4_096
+#: Pivots for each unit of the square root of the number of vectors.
+PIVOTS = 4
+#: Expected number of pivots at most: what tasks are sent is bounded by it.
+MAX_PIVOTS = 4_096
+#: Queries routed at a time.
+_ROUTED = 256
 
 
 def collision_threshold(directions: int, width: float, miss: float) -> int:
@@ -63,7 +82,7 @@ def collision_threshold(directions: int, width: float, miss: float) -> int:
 
 
 def euclidean(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Distances of rows to a vector; also where squares or differences would leave the range of doubles
+    """Distances of rows to a vector (or row by row to as many others); also where squares or differences would leave the range of doubles
     (infinite only if the distance itself does)."""
     with np.errstate(over="ignore", under="ignore", invalid="ignore"):
         gap = vectors - query
@@ -72,7 +91,7 @@ def euclidean(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
         odd = np.flatnonzero((most > USUAL) | ((most < 1 / USUAL) & (most > 0)))
         if len(odd):
             huge = most[odd] > USUAL
-            moved = np.where(huge[:, None], vectors[odd] / 2 - query / 2, gap[odd] * 2.0**500)
+            moved = np.where(huge[:, None], vectors[odd] / 2 - np.broadcast_to(query, vectors.shape)[odd] / 2, gap[odd] * 2.0**500)
             unit = 2.0 ** np.frexp(np.abs(moved).max(axis=1))[1].clip(-1022, 1023)
             near = moved / unit[:, None]
             out[odd] = np.sqrt((near * near).sum(axis=1)) * unit * np.where(huge, 2.0, 2.0**-500)
@@ -85,21 +104,44 @@ class CollisionIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, directions: int = DIRECTIONS, width: float = WIDTH, miss: float = MISS):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.rows, self.directions, self.width = len(ids), directions, width
-        self.lines = np.random.default_rng(SEED).standard_normal((vectors.shape[1], directions))
         # a power of two that keeps projections finite; 1 for vectors of usual size
-        largest = float(np.abs(self.vectors).max()) if self.rows else 0.0
-        self.scale = 2.0 ** (math.frexp(largest)[1] - 1) if largest > USUAL else 1.0
+        largest = float(np.abs(self.vectors).max()) if len(ids) else 0.0
+        self._set(2.0 ** (math.frexp(largest)[1] - 1) if largest > USUAL else 1.0, directions, width, miss)
         projected = (self.vectors / self.scale) @ self.lines
         # one array for all directions: each is moved to a stretch of its own
         self.lift = (np.arange(directions) * (4 * np.abs(projected).max() + 4)) if self.rows else np.zeros(directions)
-        self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
+        self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32)
         self.flat = (np.take_along_axis(projected, self.order.T, axis=0) + self.lift).T.ravel()
         self.order = self.order.ravel()
+
+    def _set(self, scale: float, directions: int, width: float, miss: float) -> None:
+        self.scale, self.directions, self.width, self.miss = scale, directions, width, miss
+        self.rows = len(self.ids)
+        self.lines = np.random.default_rng(SEED).standard_normal((self.vectors.shape[1], directions))
         self.threshold = collision_threshold(directions, width, miss)
 
-    def nearest(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def to_bytes(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, ids=self.ids, vectors=self.vectors, flat=self.flat, order=self.order, lift=self.lift, given=[self.scale, self.width, self.miss])
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> CollisionIndex:
+        index = cls.__new__(cls)
+        with np.load(io.BytesIO(data)) as kept:
+            index.ids, index.vectors, index.flat, index.order, index.lift = (kept[n] for n in ("ids", "vectors", "flat", "order", "lift"))
+            scale, width, miss = kept["given"].tolist()
+        index._set(scale, len(index.lift), width, miss)
+        return index
+
+    def nearest(self, query: np.ndarray, own: int | None, k: int, bound: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact distances of the k nearest found, nearest first."""
+        best, distance, _ = self.search(query, k, own, bound)
+        return self.ids[best], distance
+
+    def search(self, query: np.ndarray, k: int, own: int | None = None, bound: float = np.inf) -> tuple[np.ndarray, np.ndarray, int]:
+        """Places and exact distances of the k nearest found and the number of vectors verified.
+        Vectors beyond ``bound`` need not be found."""
         centre = (query / self.scale) @ self.lines + self.lift
         start = np.arange(self.directions) * self.rows
         end = start + self.rows
@@ -107,9 +149,10 @@ class CollisionIndex:
         low, high = middle.copy(), middle.copy()
         # the first radius opens about k rows in a direction
         ahead = np.abs(self.flat[np.clip(middle + k, start, end - 1)] - centre)
-        radius = max(2 * float(np.median(ahead)) / self.width, 1e-9)
+        radius = max(min(2 * float(np.median(ahead)) / self.width, bound / self.scale), 1e-9)
         hits = np.zeros(self.rows, np.int32)
         distance = np.full(self.rows, np.nan)
+        others = np.ones(self.rows, bool) if own is None else self.ids != own
         while True:
             half = self.width * radius / 2
             left = np.maximum(np.searchsorted(self.flat, centre - half, "left"), start)
@@ -123,8 +166,9 @@ class CollisionIndex:
             check = np.flatnonzero((hits >= self.threshold) & np.isnan(distance))
             if len(check):
                 distance[check] = euclidean(self.vectors[check], query)
-            found = np.flatnonzero(~np.isnan(distance) & (self.ids != own))
-            kth = np.partition(distance[found], k - 1)[k - 1] / self.scale if len(found) >= k else np.inf
+            found = np.flatnonzero(~np.isnan(distance) & others)
+            kth = np.partition(distance[found], k - 1)[k - 1] if len(found) >= k else np.inf
+            kth = min(kth, bound) / self.scale
             # all windows are open: there is nothing left to find
             if kth <= radius or (np.all(low <= start) and np.all(high >= end)):
                 break
@@ -134,7 +178,7 @@ class CollisionIndex:
             else:
                 radius *= GROWTH
         best = found[np.lexsort((self.ids[found], distance[found]))[:k]]
-        return self.ids[best], distance[best]
+        return best, distance[best], int(np.count_nonzero(~np.isnan(distance)))
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -151,34 +195,166 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     )
 
 
+def _different(rows: DataFrame, keep: int) -> DataFrame:
+    """One row for each vector: ``dims``, ``vector`` and ``ids``, its ``keep`` smallest. Each task
+    passes on no more than ``keep`` rows of a vector, so copies do not meet in one task."""
+    order = Window.partitionBy("dims", "vector").orderBy("id")
+    first = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= keep)
+    return first.groupBy("dims", "vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_list()).astype(float)
+
+
+def _pivots(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Length of vectors -> numbers and vectors of its pivots."""
+    total = rows.count()
+    share = min(math.ceil(PIVOTS * math.sqrt(total)), MAX_PIVOTS) / max(total, 1)
+    drawn = rows.where(hash_share("ids") < share).select("dims", "vector").orderBy("dims", "vector").collect()
+    out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for dims in sorted({r["dims"] for r in drawn}):
+        at = [n for n, r in enumerate(drawn) if r["dims"] == dims]
+        out[dims] = np.array(at, np.int32), np.array([drawn[n]["vector"] for n in at], float)
+    return out
+
+
+def _stored_index(rows: DataFrame, pivots: dict, block_rows: int) -> DataFrame:
+    """``dims``, ``pivot``, ``block``, ``low`` and ``high`` (distances to the pivot), ``rows`` and the index (``data``)
+    of every block. A length without pivots has pivot -1 and distance 0."""
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for dims, part in frame.groupby("dims", sort=False):
+                part = part.assign(pivot=np.int32(-1), gap=0.0)
+                if dims in pivots:
+                    numbers, centres = pivots[dims]
+                    vectors = _matrix(part["vector"])
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        # the order of squared distances; any pivot would do, so overflow does no harm
+                        near = np.argmin(np.nan_to_num((centres * centres).sum(axis=1) - 2 * (vectors @ centres.T)), axis=1)
+                    part = part.assign(pivot=numbers[near], gap=euclidean(vectors, centres[near]))
+                yield part[["dims", "pivot", "gap", "ids", "vector"]]
+
+    placed = stored(map_batches(rows, assign, "dims int, pivot int, gap double, ids array<long>, vector array<double>"), "ann_placed")
+    ranges = in_ranges(placed, "dims", "pivot", "gap").withColumn("slice", F.floor(F.col("local") / block_rows))
+
+    def build(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.assign(id=[ids[0] for ids in block["ids"]]).sort_values("id")
+        index = CollisionIndex(block["id"].to_numpy(np.int64), _matrix(block["vector"]))
+        one = block.iloc[0]
+        return pd.DataFrame(
+            {
+                "dims": [one["dims"]], "pivot": [one["pivot"]], "block": [(int(one["part"]) << 33) + int(block["local"].min())],
+                "low": [block["gap"].min()], "high": [block["gap"].max()], "rows": [len(block)],
+                "members": [[list(ids) for ids in block["ids"]]], "data": [index.to_bytes()],
+            }
+        )
+
+    schema = "dims int, pivot int, block long, low double, high double, rows long, members array<array<long>>, data binary"
+    return stored(ranges.groupBy("dims", "pivot", "part", "slice").applyInPandas(build, schema), "ann_index")
+
+
+def _route(queries: DataFrame, pivots: dict, index: DataFrame, wanted: int) -> DataFrame:
+    """The blocks each query (``qid``, ``dims``, ``vector``, ``bound``) has to visit: all that may hold a vector
+    within the bound; where there is no bound (null), the ring it falls in of each of its nearest pivots."""
+    known = {
+        r["pivot"]: (r["low"], r["high"], r["rows"])
+        for r in index.where("pivot >= 0").groupBy("pivot").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("rows").alias("rows")).collect()
+    }
+
+    def reach(dims: int, vector: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if dims not in pivots:
+            far = 0.0 if math.isnan(bound) else np.inf
+            return np.array([-1]), np.array([-far]), np.array([far])
+        numbers, centres = pivots[dims]
+        low, high, rows = np.array([known[n] for n in numbers.tolist()]).T
+        gap = euclidean(centres, vector)
+        if math.isnan(bound):
+            order = np.argsort(gap)
+            order = order[: int(np.searchsorted(np.cumsum(rows[order]), 4 * wanted)) + 1]
+            return numbers[order], gap[order], gap[order]
+        # rounding of the three distances is far below this share of them
+        with np.errstate(over="ignore", invalid="ignore"):
+            slack = bound + 1e-9 * (bound + gap)
+            nearest = np.where(np.isfinite(gap), gap - slack, -np.inf)
+            farthest = np.where(np.isfinite(gap), gap + slack, np.inf)
+        near = np.flatnonzero((high >= nearest) & (low <= farthest))
+        return numbers[near], nearest[near], farthest[near]
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for at in range(0, len(frame), _ROUTED):
+                some = frame.iloc[at : at + _ROUTED]
+                bounds = some["bound"].astype(float)
+                found = [reach(d, np.asarray(v, float), b) for d, v, b in zip(some["dims"], some["vector"], bounds, strict=True)]
+                yield some.assign(pivot=[f[0] for f in found], nearest=[f[1] for f in found], farthest=[f[2] for f in found])
+
+    schema = "qid long, dims int, vector array<double>, bound double, pivot array<int>, nearest array<double>, farthest array<double>"
+    spread = map_batches(queries.select("qid", "dims", "vector", "bound"), route, schema)
+    spread = spread.select("qid", "dims", "vector", "bound", F.inline(F.arrays_zip("pivot", "nearest", "farthest")))
+    ring = Window.partitionBy("dims", "pivot").orderBy("low", "block")
+    rings = index.select(
+        "dims", "pivot", "block", "low", "high",
+        F.when(F.row_number().over(ring) == 1, float("-inf")).otherwise(F.col("low")).alias("since"),
+        F.coalesce(F.lead("low").over(ring), F.lit(float("inf"))).alias("until"),
+    )
+    first = F.col("bound").isNull() & (F.col("since") <= F.col("farthest")) & (F.col("until") > F.col("nearest"))
+    within = F.col("bound").isNotNull() & (F.col("high") >= F.col("nearest")) & (F.col("low") <= F.col("farthest"))
+    return spread.join(rings, ["dims", "pivot"]).where(first | within).select("qid", "vector", "bound", "block")
+
+
+def _search(pairs: DataFrame, index: DataFrame, wanted: int, query_rows: int) -> DataFrame:
+    """``qid``, ``vec_id``, ``score`` of the ``wanted`` nearest in each block, and for each block a row with
+    null ``vec_id`` and the number of vectors ``verified``. A block that many queries visit is searched in slices."""
+    pairs = stored(pairs, "ann_pairs")
+    slices = pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("slices"))
+    asked = pairs.join(slices, "block").withColumn("slice", F.pmod(F.xxhash64("qid"), "slices"))
+    blocks = index.join(slices, "block").select("block", "members", "data", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
+
+    def search(block: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(block) and len(queries):
+            index = CollisionIndex.from_bytes(block["data"].iloc[0])
+            members = block["members"].iloc[0]
+            for qid, vector, bound in zip(queries["qid"], queries["vector"], queries["bound"].astype(float), strict=True):
+                best, distance, verified = index.search(np.asarray(vector, float), wanted, bound=np.inf if math.isnan(bound) else bound)
+                near = sorted((d, int(i)) for at, d in zip(best.tolist(), distance.tolist(), strict=True) for i in members[at])[:wanted]
+                out.append((qid, None, None, verified))
+                out.extend((qid, i, d, None) for d, i in near)
+        return pd.DataFrame(out, columns=["qid", "vec_id", "score", "verified"]).astype({"vec_id": "Int64", "verified": "Int64"})
+
+    keys = ["block", "slice"]
+    return blocks.groupBy(*keys).cogroup(asked.select("block", "slice", "qid", "vector", "bound").groupBy(*keys)).applyInPandas(search, "qid long, vec_id long, score double, verified long")
+
+
+def search_blocks(queries: DataFrame, vectors: DataFrame, wanted: int, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+    """For each of ``queries`` (``qid``, ``dims``, ``vector``) the rows of :func:`_search` from every
+    block that may hold one of its ``wanted`` nearest among ``vectors`` (``id``, ``dims``, ``vector``)."""
+    rows = stored(_different(vectors, wanted), "ann_vectors")
+    pivots = _pivots(rows)
+    index = _stored_index(rows, pivots, block_rows)
+    start = queries.withColumn("bound", F.lit(None).cast("double"))
+    near = _search(_route(start, pivots, index, wanted), index, wanted, query_rows).where("vec_id is not null")
+    # the few blocks of the first visit give few rows a query
+    bounds = near.groupBy("qid").agg(F.get(F.sort_array(F.collect_list("score")), F.lit(wanted - 1)).alias("kth"))
+    bounded = queries.join(bounds, "qid", "left").withColumn("bound", F.coalesce("kth", F.lit(float("inf"))))
+    return _search(_route(stored(bounded, "ann_bounds"), pivots, index, wanted), index, wanted, query_rows)
+
+
 def nearest_neighbours(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """For each vector whose id is divisible by ``every``: its k nearest others.
     Columns ``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` (Euclidean)."""
     ship_package(vectors.sparkSession)
-    rows = stored(_usable(vectors, id_col, vector_col), "ann_vectors")
-    is_query = F.col("id") % every == 0
-    total, asked = rows.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
-    blocks, query_blocks = max(1, -(-total // block_rows)), max(1, -(-asked // query_rows))
-    dealt = F.xxhash64("id")
-    data = rows.select(
-        "dims", F.pmod(dealt, F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("asked"), "id", "vector"
-    )
-    queries = rows.where(is_query).select(
-        "dims", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.pmod(dealt, F.lit(query_blocks)).alias("asked"), "id", "vector"
-    )
-
-    def search(block: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(block) and len(wanted):
-            index = CollisionIndex(block["id"].to_numpy(np.int64), np.stack(block["vector"].to_list()).astype(float))
-            for own, vector in zip(wanted["id"], wanted["vector"], strict=True):
-                ids, distance = index.nearest(np.asarray(vector, float), own, k)
-                out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": distance}))
-        if not out:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return pd.concat(out)
-
-    keys = ["dims", "block", "asked"]
-    found = data.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    usable = _usable(vectors, id_col, vector_col)
+    asked = stored(usable.where(F.col("id") % every == 0), "ann_asked")
+    queries = stored(asked.groupBy("dims", "vector").agg(F.min("id").alias("qid")), "ann_queries")
+    # a query may find itself, so one more than k
+    found = search_blocks(queries, usable, k + 1, block_rows, query_rows).where("vec_id is not null")
+    order = Window.partitionBy("qid").orderBy("score", "vec_id")
+    best = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    best = best.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id"))).alias("best"))
+    alike = asked.join(queries, ["dims", "vector"]).select("id", "qid")
+    others = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("id")), 1, k)
+    answers = alike.join(best, "qid").select(F.col("id").alias("query_id"), F.posexplode(others).alias("place", "one"))
+    return answers.select("query_id", (F.col("place") + 1).alias("rank"), "one.vec_id", "one.score")

@@ -87,3 +87,61 @@ def test_distance_of_tiny_gaps():
     got = A.euclidean(a, b)
     assert np.allclose(got, [3e-200, 4e-310, math.hypot(1e308, 1e308)], rtol=1e-12)
     assert A.euclidean(np.array([[1.7e308, 1.7e308]]), np.array([-1.7e308, -1.7e308]))[0] == np.inf
+
+
+def clustered(spark, rows, clusters, seed=3, dims=24):
+    draw = np.random.default_rng(seed)
+    centres = draw.normal(size=(clusters, dims)) * 10
+    vectors = centres[np.arange(rows) % clusters] + draw.normal(size=(rows, dims)) * 0.5
+    ids = np.arange(rows)
+    return ids, vectors, spark.createDataFrame(pd.DataFrame({"id": ids, "vector": vectors.tolist()})).selectExpr("id", "size(vector) dims", "vector")
+
+
+def test_clusters_are_pruned_without_loss(spark):
+    """A query verifies at most a tenth of the rows, and pairs grow more slowly than rows x queries."""
+    cost = {}
+    for rows in (2_000, 8_000):
+        ids, vectors, frame = clustered(spark, rows, rows // 50)
+        queries = frame.where("id % 40 = 0").selectExpr("id AS qid", "dims", "vector")
+        found = A.search_blocks(queries, frame, 11, block_rows=200).toPandas()
+        asked = -(-rows // 40)
+        cost[rows] = found["verified"].sum()
+        assert cost[rows] <= 0.1 * rows * asked
+        got = found[found["vec_id"].notna()].sort_values(["qid", "score", "vec_id"])
+        hit = 0
+        for q, best in brute(ids, vectors, 40, 10).items():
+            mine = set(got[got["qid"] == q]["vec_id"].head(11)) - {q}
+            hit += len(mine & {v for v, _ in best})
+        assert hit >= 0.98 * 10 * asked
+    assert cost[8_000] < 8 * cost[2_000]
+
+
+def test_stored_index_answers_alike(spark):
+    _, vectors, _ = clustered(spark, 300, 5)
+    index = A.CollisionIndex(np.arange(300), vectors)
+    again = A.CollisionIndex.from_bytes(index.to_bytes())
+    for own in (0, 17, 299):
+        for one, two in zip(index.nearest(vectors[own], own, 7), again.nearest(vectors[own], own, 7), strict=True):
+            assert one.tolist() == two.tolist()
+
+
+def test_small_blocks_hot_vector_and_odd_lengths_equal_brute_force(spark):
+    """A vector that holds a third of the rows, many rings for a pivot, several slices of queries, huge components
+    and a length with one row."""
+    ids, vectors, _ = clustered(spark, 600, 12, seed=8, dims=6)
+    vectors[ids % 3 == 0] = vectors[0]
+    vectors[50], vectors[51] = vectors[50] + 1e200, -1.7e308
+    frame = pd.DataFrame({"vec_id": ids, "embedding": vectors.tolist()})
+    frame.loc[len(frame)] = [1000, [1.0]]
+    got = A.nearest_neighbours(spark.createDataFrame(frame), every=5, k=4, block_rows=20, query_rows=3).toPandas()
+    assert not (got["query_id"] == 1000).any()
+    hit = total = 0
+    for q, v in zip(ids[::5], vectors[::5], strict=True):
+        distance = A.euclidean(vectors, v)
+        best = [int(ids[i]) for i in np.lexsort((ids, distance)) if ids[i] != q][:4]
+        mine = got[got["query_id"] == q].sort_values("rank")["vec_id"].tolist()
+        if q % 3 == 0:
+            assert mine == best
+        assert len(mine) == 4
+        hit, total = hit + len(set(mine) & set(best)), total + 4
+    assert hit >= 0.97 * total
