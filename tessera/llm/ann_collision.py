@@ -3,14 +3,15 @@
 1. Equal vectors become one row with the k + 1 smallest of their ids, which is all that any
    answer can show of them; queries with equal vectors are asked once.
 2. A hashed sample of vectors, about ``PIVOTS`` times the square root of their number and at most
-   ``MAX_PIVOTS``, are pivots. Each vector belongs to its nearest pivot; the rows are
-   range-sorted by pivot and distance to it, and every ``block_rows`` of one pivot's rows in a row are a block.
+   ``MAX_PIVOTS``, are pivots, numbered along a chain of neighbours. Each vector belongs to its
+   nearest pivot; the rows are range-sorted by pivot and distance to it, and every
+   ``block_rows`` in a row are a block: a few pivots' rows, or a ring of one pivot's.
 3. Each block keeps, for m random directions, its projections as one sorted array. These
    indexes are built once and stored.
-4. A query is first answered in the block of its nearest pivots that it would itself lie in. The
+4. A query is first answered in the block that it would itself lie in. The
    distance of the last of its k + 1 nearest there is a bound: by the triangle
-   inequality, only blocks whose rings of distances reach that near can hold a nearer vector,
-   and the query goes to all of these and to no other.
+   inequality, only blocks with a pivot whose range of distances reaches that near can hold a
+   nearer vector, and the query goes to all of these and to no other.
 5. In a block, a query opens a window around its own projection in every array. Radius
    after radius (virtual rehashing: the same arrays, wider windows) the windows
    grow; a vector that falls into the windows of at least l directions is verified
@@ -49,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import hash_share, in_ranges, map_batches, ship_package, stored
+from tessera.llm.common import hash_share, map_batches, ranked, ship_package, stored
 
 DIRECTIONS = 96
 WIDTH = 2.0
@@ -59,7 +60,7 @@ MISS = 0.01
 SEED = 20240
 #: Components up to here can be squared and added as they are.
 USUAL = 1e150
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 8_192
 QUERY_ROWS = 4_096
 #: Pivots for each unit of the square root of the number of vectors.
 PIVOTS = 4
@@ -207,21 +208,35 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_list()).astype(float)
 
 
+def _chain(vectors: np.ndarray) -> np.ndarray:
+    """Order of the rows in which each is followed by the nearest one that is left."""
+    left = np.ones(len(vectors), bool)
+    order = [0]
+    while len(order) < len(vectors):
+        left[order[-1]] = False
+        gap = np.where(left, euclidean(vectors, vectors[order[-1]]), np.nan)
+        order.append(int(np.nanargmin(gap)))
+    return np.array(order)
+
+
 def _pivots(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Length of vectors -> numbers and vectors of its pivots."""
     total = rows.count()
     share = min(math.ceil(PIVOTS * math.sqrt(total)), MAX_PIVOTS) / max(total, 1)
-    drawn = rows.where(hash_share("ids") < share).select("dims", "vector").orderBy("dims", "vector").collect()
+    drawn: dict[int, list] = {}
+    for row in rows.where(hash_share("ids") < share).select("dims", "vector").orderBy("dims", "vector").collect():
+        drawn.setdefault(row["dims"], []).append(row["vector"])
     out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for dims in sorted({r["dims"] for r in drawn}):
-        at = [n for n, r in enumerate(drawn) if r["dims"] == dims]
-        out[dims] = np.array(at, np.int32), np.array([drawn[n]["vector"] for n in at], float)
+    for dims, vectors in drawn.items():
+        centres = np.array(vectors, float)
+        out[dims] = np.arange(len(centres), dtype=np.int32), centres[_chain(centres)]
     return out
 
 
 def _stored_index(rows: DataFrame, pivots: dict, block_rows: int) -> DataFrame:
-    """``dims``, ``pivot``, ``block``, ``low`` and ``high`` (distances to the pivot), ``rows`` and the index (``data``)
-    of every block. A length without pivots has pivot -1 and distance 0."""
+    """``dims``, ``block``, ``parts`` (``pivot``, ``low``, ``high``: the distances of its rows to the pivot),
+    ``members`` (ids of each vector) and the index (``data``) of every block. A length without
+    pivots has pivot -1 and distance 0."""
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -237,80 +252,81 @@ def _stored_index(rows: DataFrame, pivots: dict, block_rows: int) -> DataFrame:
                 yield part[["dims", "pivot", "gap", "ids", "vector"]]
 
     placed = stored(map_batches(rows, assign, "dims int, pivot int, gap double, ids array<long>, vector array<double>"), "ann_placed")
-    ranges = in_ranges(placed, "dims", "pivot", "gap").withColumn("slice", F.floor(F.col("local") / block_rows))
+    blocks = ranked(placed, "dims", "pivot", "gap").withColumn("block", F.floor(F.col("rank") / block_rows))
 
     def build(block: pd.DataFrame) -> pd.DataFrame:
         block = block.assign(id=[ids[0] for ids in block["ids"]]).sort_values("id")
         index = CollisionIndex(block["id"].to_numpy(np.int64), _matrix(block["vector"]))
-        one = block.iloc[0]
-        return pd.DataFrame(
-            {
-                "dims": [one["dims"]], "pivot": [one["pivot"]], "block": [(int(one["part"]) << 33) + int(block["local"].min())],
-                "low": [block["gap"].min()], "high": [block["gap"].max()], "rows": [len(block)],
-                "members": [[list(ids) for ids in block["ids"]]], "data": [index.to_bytes()],
-            }
-        )
-
-    schema = "dims int, pivot int, block long, low double, high double, rows long, members array<array<long>>, data binary"
-    return stored(ranges.groupBy("dims", "pivot", "part", "slice").applyInPandas(build, schema), "ann_index")
-
-
-def _route(queries: DataFrame, pivots: dict, index: DataFrame, wanted: int) -> DataFrame:
-    """The blocks each query (``qid``, ``dims``, ``vector``, ``bound``) has to visit: all that may hold a vector
-    within the bound; where there is no bound (null), the ring it falls in of each of its nearest pivots."""
-    known = {
-        r["pivot"]: (r["low"], r["high"], r["rows"])
-        for r in index.where("pivot >= 0").groupBy("pivot").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("rows").alias("rows")).collect()
-    }
+        gaps = block.groupby("pivot")["gap"].agg(["min", "max"])
+        parts = [{"pivot": int(p), "low": low, "high": high} for p, low, high in gaps.itertuples()]
+        members = [list(ids) for ids in block["ids"]]
+        return pd.DataFrame({"dims": block["dims"].iloc[:1], "block": block["block"].iloc[:1], "parts": [parts], "members": [members], "data": [index.to_bytes()]})
+
+    schema = "dims int, block long, parts array<struct<pivot:int,low:double,high:double>>, members array<array<long>>, data binary"
+    return stored(blocks.groupBy("dims", "block").applyInPandas(build, schema), "ann_index")
+
+
+def _route(queries: DataFrame, pivots: dict, index: DataFrame) -> DataFrame:
+    """The blocks (``dims``, ``block``) that each query (``qid``, ``dims``, ``vector``, ``bound``) has to visit: all that
+    may hold a vector within the bound; where there is no bound (null), the one it falls in itself."""
+    parts = stored(index.select("dims", "block", F.inline("parts")), "ann_parts")
+    reached = parts.where("pivot >= 0").groupBy("dims", "pivot").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    # one row a pivot
+    known = {(r["dims"], r["pivot"]): (r["low"], r["high"]) for r in reached.collect()}
+    spans = {dims: np.array([known.get((dims, n), (np.inf, -np.inf)) for n in numbers.tolist()]).T for dims, (numbers, _) in pivots.items()}
 
     def reach(dims: int, vector: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if dims not in pivots:
             far = 0.0 if math.isnan(bound) else np.inf
             return np.array([-1]), np.array([-far]), np.array([far])
         numbers, centres = pivots[dims]
-        low, high, rows = np.array([known[n] for n in numbers.tolist()]).T
+        low, high = spans[dims]
         gap = euclidean(centres, vector)
         if math.isnan(bound):
-            order = np.argsort(gap)
-            order = order[: int(np.searchsorted(np.cumsum(rows[order]), 4 * wanted)) + 1]
-            return numbers[order], gap[order], gap[order]
+            nearest = np.argmin(np.where(low <= high, gap, np.inf), keepdims=True)
+            return numbers[nearest], gap[nearest], gap[nearest]
         # rounding of the three distances is far below this share of them
         with np.errstate(over="ignore", invalid="ignore"):
             slack = bound + 1e-9 * (bound + gap)
-            nearest = np.where(np.isfinite(gap), gap - slack, -np.inf)
-            farthest = np.where(np.isfinite(gap), gap + slack, np.inf)
-        near = np.flatnonzero((high >= nearest) & (low <= farthest))
-        return numbers[near], nearest[near], farthest[near]
+            since = np.where(np.isfinite(gap), gap - slack, -np.inf)
+            until = np.where(np.isfinite(gap), gap + slack, np.inf)
+        near = np.flatnonzero((high >= since) & (low <= until))
+        return numbers[near], since[near], until[near]
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for at in range(0, len(frame), _ROUTED):
                 some = frame.iloc[at : at + _ROUTED]
-                bounds = some["bound"].astype(float)
-                found = [reach(d, np.asarray(v, float), b) for d, v, b in zip(some["dims"], some["vector"], bounds, strict=True)]
-                yield some.assign(pivot=[f[0] for f in found], nearest=[f[1] for f in found], farthest=[f[2] for f in found])
+                found = [reach(d, np.asarray(v, float), b) for d, v, b in zip(some["dims"], some["vector"], some["bound"].astype(float), strict=True)]
+                some = some[["qid", "dims", "bound"]]
+                yield some.assign(pivot=[f[0] for f in found], since=[f[1] for f in found], until=[f[2] for f in found])
 
-    schema = "qid long, dims int, vector array<double>, bound double, pivot array<int>, nearest array<double>, farthest array<double>"
+    schema = "qid long, dims int, bound double, pivot array<int>, since array<double>, until array<double>"
     spread = map_batches(queries.select("qid", "dims", "vector", "bound"), route, schema)
-    spread = spread.select("qid", "dims", "vector", "bound", F.inline(F.arrays_zip("pivot", "nearest", "farthest")))
+    spread = spread.select("qid", "dims", "bound", F.inline(F.arrays_zip("pivot", "since", "until")))
     ring = Window.partitionBy("dims", "pivot").orderBy("low", "block")
-    rings = index.select(
+    rings = parts.select(
         "dims", "pivot", "block", "low", "high",
-        F.when(F.row_number().over(ring) == 1, float("-inf")).otherwise(F.col("low")).alias("since"),
-        F.coalesce(F.lead("low").over(ring), F.lit(float("inf"))).alias("until"),
+        F.when(F.row_number().over(ring) == 1, float("-inf")).otherwise(F.col("low")).alias("start"),
+        F.coalesce(F.lead("low").over(ring), F.lit(float("inf"))).alias("end"),
     )
-    first = F.col("bound").isNull() & (F.col("since") <= F.col("farthest")) & (F.col("until") > F.col("nearest"))
-    within = F.col("bound").isNotNull() & (F.col("high") >= F.col("nearest")) & (F.col("low") <= F.col("farthest"))
-    return spread.join(rings, ["dims", "pivot"]).where(first | within).select("qid", "vector", "bound", "block")
-
-
-def _search(pairs: DataFrame, index: DataFrame, wanted: int, query_rows: int) -> DataFrame:
-    """``qid``, ``vec_id``, ``score`` of the ``wanted`` nearest in each block, and for each block a row with
-    null ``vec_id`` and the number of vectors ``verified``. A block that many queries visit is searched in slices."""
-    pairs = stored(pairs, "ann_pairs")
-    slices = pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("slices"))
-    asked = pairs.join(slices, "block").withColumn("slice", F.pmod(F.xxhash64("qid"), "slices"))
-    blocks = index.join(slices, "block").select("block", "members", "data", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
+    own = F.col("bound").isNull() & (F.col("start") <= F.col("until")) & (F.col("end") > F.col("since"))
+    within = F.col("bound").isNotNull() & (F.col("high") >= F.col("since")) & (F.col("low") <= F.col("until"))
+    # merged: the routed rows are far larger than the queries that Spark would judge their size by
+    pairs = spread.hint("merge").join(rings, ["dims", "pivot"]).where(own | within)
+    return pairs.select("qid", "dims", "block").distinct()
+
+
+def _search(queries: DataFrame, pivots: dict, index: DataFrame, wanted: int, query_rows: int) -> DataFrame:
+    """``qid``, ``vec_id``, ``score`` of the ``wanted`` nearest in each block that a query visits, and for each block a row
+    with null ``vec_id`` and the number of vectors ``verified``. A block that many queries visit is searched in slices."""
+    pairs = stored(_route(queries, pivots, index), "ann_pairs")
+    slices = pairs.groupBy("dims", "block").agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("slices"))
+    asked = pairs.join(slices, ["dims", "block"]).withColumn("slice", F.pmod(F.xxhash64("qid"), "slices"))
+    asked = asked.join(queries.select("qid", "vector", "bound"), "qid")
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)
+    # merged: the indexes are the large side
+    blocks = index.hint("merge").join(slices, ["dims", "block"]).select("dims", "block", "members", "data", F.explode(numbers).alias("slice"))
 
     def search(block: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -324,8 +340,8 @@ def _search(pairs: DataFrame, index: DataFrame, wanted: int, query_rows: int) ->
                 out.extend((qid, i, d, None) for d, i in near)
         return pd.DataFrame(out, columns=["qid", "vec_id", "score", "verified"]).astype({"vec_id": "Int64", "verified": "Int64"})
 
-    keys = ["block", "slice"]
-    return blocks.groupBy(*keys).cogroup(asked.select("block", "slice", "qid", "vector", "bound").groupBy(*keys)).applyInPandas(search, "qid long, vec_id long, score double, verified long")
+    keys = ["dims", "block", "slice"]
+    return blocks.groupBy(*keys).cogroup(asked.select(*keys, "qid", "vector", "bound").groupBy(*keys)).applyInPandas(search, "qid long, vec_id long, score double, verified long")
 
 
 def search_blocks(queries: DataFrame, vectors: DataFrame, wanted: int, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
@@ -335,11 +351,11 @@ def search_blocks(queries: DataFrame, vectors: DataFrame, wanted: int, block_row
     pivots = _pivots(rows)
     index = _stored_index(rows, pivots, block_rows)
     start = queries.withColumn("bound", F.lit(None).cast("double"))
-    near = _search(_route(start, pivots, index, wanted), index, wanted, query_rows).where("vec_id is not null")
-    # the few blocks of the first visit give few rows a query
+    near = _search(start, pivots, index, wanted, query_rows).where("vec_id is not null")
+    # one block was visited, so a query has no more than ``wanted`` rows
     bounds = near.groupBy("qid").agg(F.get(F.sort_array(F.collect_list("score")), F.lit(wanted - 1)).alias("kth"))
     bounded = queries.join(bounds, "qid", "left").withColumn("bound", F.coalesce("kth", F.lit(float("inf"))))
-    return _search(_route(stored(bounded, "ann_bounds"), pivots, index, wanted), index, wanted, query_rows)
+    return _search(stored(bounded, "ann_bounds"), pivots, index, wanted, query_rows)
 
 
 def nearest_neighbours(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
