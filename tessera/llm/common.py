@@ -7,32 +7,15 @@ components from rounds of joins whose state lies in the shared folder.
 
 from __future__ import annotations
 
-import io
 import pickle
-import zipfile
 from collections.abc import Callable
-from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.session import scratch_path
-
-
-def write_shared(spark: SparkSession, data: bytes, name: str) -> str:
-    """Write bytes to a new file of the shared scratch folder through Spark's file
-    systems; returns its address. The file name is unique."""
-    folder, _, _ = scratch_path(spark, name).rpartition("/")
-    target = f"{folder}/{folder.rsplit('/', 1)[-1]}-{name}"
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place)
-    try:
-        out.write(data)
-    finally:
-        out.close()
-    return place.toUri().toString()
+from tessera.session import scratch_path, ship_package, write_shared
 
 
 def pack_arrays(arrays: dict[str, np.ndarray]) -> bytes:
@@ -67,24 +50,6 @@ def share_files(packed: DataFrame, count: int, name: str) -> list[str]:
     return names
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python workers, once an application, so
-    that they need no installation of it."""
-    application = spark.sparkContext.applicationId
-    if application in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
-        for file in sorted(root.rglob("*.py")):
-            archive.write(file, file.relative_to(root.parent).as_posix())
-    spark.sparkContext.addPyFile(write_shared(spark, data.getvalue(), "package.zip"))
-    _shipped.add(application)
-
-
 def pandas_udf(function: Callable, returns: str) -> Callable:
     """An Arrow-batched function on columns whose workers have this package."""
     ship_package(SparkSession.active())

@@ -1,4 +1,4 @@
-"""K-means on MLlib: sweep, final fit, nearest-centre assignment, WSSSE, choice of k."""
+"""K-means from MLlib's first centres: sweep, final fit, nearest-centre assignment, WSSSE, choice of k."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+from pyspark import SparkContext
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,11 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tessera.config import ChooseConfig, FitConfig, SweepConfig
+from tessera.operators import lloyd
 
 PREDICTION_COL = "prediction"
 #: Centres of one constant; more of them make more constants of the same narrow map.
 CENTRES_AT_ONCE = 1_024
-#: MLlib's solver on stacked rows: matrix products instead of a distance a row and centre.
+#: MLlib's solver whose first centres are taken; its iterations are those of ``lloyd``.
 SOLVER = "block"
 
 
@@ -49,10 +52,39 @@ def silhouette(df: DataFrame, features_col: str, prediction_col: str = PREDICTIO
     return float(evaluator.evaluate(data))
 
 
+def stack_rows(df: DataFrame, features_col: str) -> DataFrame:
+    """The rows of ``df`` as blocks of doubles for fits and sweeps; the caller unpersists them."""
+    return lloyd.stack(df, as_array(df, features_col))
+
+
+def _first_centres(kmeans: KMeans, df: DataFrame) -> np.ndarray:
+    """MLlib's k-means|| centres (fewer than k where there are fewer distinct rows)."""
+    return np.array([np.asarray(c, dtype=float) for c in kmeans.copy({kmeans.maxIter: 0}).fit(df).clusterCenters()])
+
+
+def _model(kmeans: KMeans, centres: np.ndarray) -> KMeansModel:
+    """An MLlib model of ``centres`` with the parameters of ``kmeans``."""
+    sc = SparkContext.getOrCreate()
+    jvm, rows = sc._jvm, []
+    for c in centres:
+        row = sc._gateway.new_array(jvm.double, len(c))
+        for i, x in enumerate(c):
+            row[i] = float(x)
+        rows.append(jvm.org.apache.spark.mllib.linalg.DenseVector(row))
+    fitted = jvm.org.apache.spark.ml.clustering.KMeansModel(kmeans.uid, jvm.org.apache.spark.mllib.clustering.KMeansModel(rows))
+    return kmeans._copyValues(KMeansModel(fitted))
+
+
 def fit_kmeans(
-    df: DataFrame, k: int, features_col: str, config: FitConfig = FitConfig(), prediction_col: str = PREDICTION_COL
+    df: DataFrame,
+    k: int,
+    features_col: str,
+    config: FitConfig = FitConfig(),
+    prediction_col: str = PREDICTION_COL,
+    blocks: DataFrame | None = None,
 ) -> KMeansModel:
-    """Final K-means fit (k-means|| init, Euclidean)."""
+    """Final K-means fit (k-means|| init, Euclidean): MLlib's first centres, then iterations over stacked
+    rows (``blocks`` of :func:`stack_rows`, where the caller has them)."""
     kmeans = KMeans(
         k=k,
         seed=config.seed,
@@ -63,7 +95,13 @@ def fit_kmeans(
         initSteps=config.init_steps,
         solver=SOLVER,
     )
-    return kmeans.fit(df)
+    first = _first_centres(kmeans, df)
+    own = stack_rows(df, features_col) if blocks is None else blocks
+    fitted: dict[int, tuple] = {}
+    lloyd.converge(own, {k: first}, config.max_iter, config.tol, fitted.update)
+    if blocks is None:
+        own.unpersist()
+    return _model(kmeans, fitted[k][0])
 
 
 SweepRow = tuple[int, float, float, int]
@@ -75,30 +113,40 @@ def kmeans_sweep(
     config: SweepConfig = SweepConfig(),
     known: Mapping[int, SweepRow] | None = None,
     record: Callable[[SweepRow, KMeansModel], None] | None = None,
+    blocks: DataFrame | None = None,
 ) -> DataFrame:
     """(k, wssse, silhouette, iterations) for k = min_k..max_k, one row per k.
 
-    One MLlib fit and one evaluator per k, ``config.parallelism`` of them as
-    concurrent Spark jobs. ``wssse`` is MLlib's training cost. Each fit stacks the rows into matrix
-    blocks and keeps those while it runs. Rows of ``known`` are not fitted again; ``record`` gets
-    every other row and its model as it is done.
+    The first centres of each k are MLlib's, ``config.parallelism`` of them as concurrent Spark jobs. The
+    iterations and the silhouettes of all k share their passes over the stacked rows (``blocks`` of
+    :func:`stack_rows`, where the caller has them). ``wssse`` is the cost in the last iteration, MLlib's training
+    cost. Rows of ``known`` are not fitted again; ``record`` gets every other row and its model as it is done, and
+    with it only ``config.parallelism`` fits go on together, so that little is lost with a run.
     """
-    known = known or {}
-
-    def one(k: int) -> SweepRow:
-        if k in known:
-            return known[k]
-        kmeans = KMeans(k=k, seed=config.seed, featuresCol=features_col, maxIter=config.max_iter, tol=config.tol, solver=SOLVER)
-        model = kmeans.fit(df)
-        score = silhouette(model.transform(df), features_col, model.getPredictionCol())
-        row = k, float(model.summary.trainingCost), score, int(model.summary.numIter)
-        if record:
-            record(row, model)
-        return row
-
-    with ThreadPoolExecutor(max_workers=config.parallelism) as pool:
-        out = sorted(pool.map(one, range(config.min_k, config.max_k + 1)))
-    return df.sparkSession.createDataFrame(out, "k int, wssse double, silhouette double, iterations int")
+    out: list[SweepRow] = [tuple(row) for row in (known or {}).values()]
+    ks = [k for k in range(config.min_k, config.max_k + 1) if k not in (known or {})]
+    fits = {
+        k: KMeans(k=k, seed=config.seed, featuresCol=features_col, maxIter=config.max_iter, tol=config.tol, solver=SOLVER)
+        for k in ks
+    }
+    at_once = config.parallelism if record else max(1, len(ks))
+    own = stack_rows(df, features_col) if blocks is None else blocks
+
+    def done(stopped: dict[int, tuple[np.ndarray, float, int]]) -> None:
+        scores = lloyd.silhouettes(own, [c for c, _, _ in stopped.values()])
+        for (k, (centres, cost, iterations)), score in zip(stopped.items(), scores, strict=True):
+            out.append((k, cost, score, iterations))
+            if record:
+                record(out[-1], _model(fits[k], centres))
+
+    for i in range(0, len(ks), at_once):
+        group = ks[i : i + at_once]
+        with ThreadPoolExecutor(max_workers=config.parallelism) as pool:
+            first = dict(zip(group, pool.map(lambda k: _first_centres(fits[k], df), group), strict=True))
+        lloyd.converge(own, first, config.max_iter, config.tol, done)
+    if blocks is None:
+        own.unpersist()
+    return df.sparkSession.createDataFrame(sorted(out), "k int, wssse double, silhouette double, iterations int")
 
 
 def choose_k(sweep: DataFrame, config: ChooseConfig = ChooseConfig()) -> DataFrame:

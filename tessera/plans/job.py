@@ -19,6 +19,7 @@ of narrow steps, so a lost executor recomputes its blocks from that table.
 
 from __future__ import annotations
 
+import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -37,6 +38,8 @@ from tessera.session import persist_frame, remove_path, scratch_path, spread
 from tessera.sources import readers, sinks
 
 PREDICTION = clustering.PREDICTION_COL
+#: Rows of one partition of the vectors, beyond ``JobConfig.partitions`` of them: known from the table, not the machine.
+PARTITION_ROWS = 250_000
 
 
 @dataclass
@@ -213,13 +216,15 @@ def run_job(
         prepared, counts["rows_prepared"], bounds, scaler = prepare(clean, config, own_path("prepared.parquet"))
     if counts["rows_prepared"] == 0:
         raise ValueError("no rows left after cleaning and trimming; cannot fit K-means")
-    vectors = persist_frame(prepared.select(features.SCALED_COL).repartition(config.partitions))
+    partitions = max(config.partitions, math.ceil(counts["rows_prepared"] / PARTITION_ROWS))
+    vectors = persist_frame(prepared.select(features.SCALED_COL).repartition(partitions))
+    blocks = clustering.stack_rows(vectors, features.SCALED_COL)
     t = stamp("trim_scale", t)
 
     ks = range(config.sweep.min_k, config.sweep.max_k + 1)
     known = {k: tuple(row) for k in ks if journal and (row := journal.get(f"sweep-{k}"))}
     record = (lambda row, model: journal.put(f"sweep-{row[0]}", row)) if journal else None
-    sweep = clustering.kmeans_sweep(vectors, features.SCALED_COL, config.sweep, known, record)
+    sweep = clustering.kmeans_sweep(vectors, features.SCALED_COL, config.sweep, known, record, blocks)
     choice = clustering.choose_k(sweep, config.choose).first().asDict()
     if choice["k_final"] is None:
         raise ValueError("no k of the sweep has a defined silhouette (too few distinct rows)")
@@ -229,10 +234,11 @@ def run_job(
     if journal and journal.get("model"):
         model = sinks.load_kmeans(journal.path("model"))
     else:
-        model = clustering.fit_kmeans(vectors, k, features.SCALED_COL, config.fit)
+        model = clustering.fit_kmeans(vectors, k, features.SCALED_COL, config.fit, blocks=blocks)
         if journal:
             sinks.save_model(model, journal.path("model"))
             journal.put("model", {"k": k})
+    blocks.unpersist()
     if config.model_path:
         sinks.save_model(model, config.model_path)
     t = stamp("final_fit", t)

@@ -8,7 +8,10 @@ runs set it themselves (:func:`use_checkpoint_dir`), and only where it is unset.
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +41,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
 
 
+def write_shared(spark: SparkSession, data: bytes, name: str) -> str:
+    """Write bytes to a new file of the shared scratch folder through Spark's file
+    systems; returns its address. The file name is unique."""
+    folder, _, _ = scratch_path(spark, name).rpartition("/")
+    target = f"{folder}/{folder.rsplit('/', 1)[-1]}-{name}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+    return place.toUri().toString()
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once an application, so
+    that they need no installation of it."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent).as_posix())
+    spark.sparkContext.addPyFile(write_shared(spark, data.getvalue(), "package.zip"))
+    _shipped.add(application)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch tables, once nothing reads them any more."""
     remove_path(spark, f"{checkpoint_dir(spark)}/scratch")

@@ -193,3 +193,53 @@ def test_one_cluster(spark):
 def test_choose_k_ignores_nan_scores(spark):
     rows = [(2, 10.0, float("nan")), (3, 8.0, 0.2), (4, 7.5, 0.6), (5, 7.4, 0.1)]
     assert _choose(spark, rows) == {"k_silhouette": 4, "k_elbow": 2, "k_final": 4}
+
+
+def test_fits_of_a_sweep_share_their_passes(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in rng.normal(size=(300, 3))], ["f"]).repartition(3).cache()
+    passes, iterations, step = [], [], clustering.lloyd.step
+    monkeypatch.setattr(clustering.lloyd, "step", lambda blocks, centres: passes.append(len(centres)) or step(blocks, centres))
+    fit = clustering.KMeans.fit
+    monkeypatch.setattr(clustering.KMeans, "fit", lambda self, *a: iterations.append(a[0]) or fit(self, *a))
+    got = clustering.kmeans_sweep(df, "f", SweepConfig(min_k=2, max_k=7, max_iter=6)).collect()
+    assert len(passes) == max(r["iterations"] for r in got) <= 6 and passes[0] == 6 and len(iterations) == 6
+    alone = clustering.kmeans_sweep(df, "f", SweepConfig(min_k=2, max_k=7, max_iter=6, parallelism=1), record=lambda row, model: None)
+    for a, b in zip(got, alone.collect(), strict=True):
+        assert a["iterations"] == b["iterations"] and a["wssse"] == pytest.approx(b["wssse"], rel=1e-12)
+
+
+def test_silhouettes_of_ties_single_rows_and_empty_clusters(spark):
+    from tessera.operators import lloyd
+
+    x = np.array([[0.0], [2.0], [2.0], [4.0], [9.0], [1e3]]) + 1e6
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "v array<double>").repartition(2)
+    centres = [np.array([[1.0], [3.0], [1e3]]) + 1e6, np.array([[2.0], [-5e3], [2.0], [9.0]]) + 1e6]
+    blocks = clustering.stack_rows(df, "v")
+    for c, score, (rows, *_), (moved, _) in zip(
+        centres, lloyd.silhouettes(blocks, centres), lloyd.assign(blocks, centres), lloyd.step(blocks, centres), strict=True
+    ):
+        labels = ((x[:, None, :] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+        assert score == pytest.approx(_silhouette_brute(x, labels), abs=1e-9)
+        assert rows.tolist() == [(labels == i).sum() for i in range(len(c))]
+        wanted = [x[labels == i].mean(axis=0) if (labels == i).any() else c[i] for i in range(len(c))]
+        np.testing.assert_allclose(moved, wanted, rtol=1e-12)
+    with pytest.raises(ValueError, match="greater than one"):
+        lloyd.silhouettes(blocks, [np.array([[0.0], [-1e9]])])
+    blocks.unpersist()
+
+
+def test_fit_equals_mllib_and_its_model_is_stored(spark, tmp_dir):
+    from tessera.config import FitConfig
+    from tessera.sources import sinks
+
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in rng.normal(size=(400, 4))], ["f"]).repartition(4).cache()
+    config = FitConfig(max_iter=60, tol=1e-6, init_steps=3)
+    model = clustering.fit_kmeans(df, 5, "f", config, "cluster")
+    theirs = KMeans(k=5, seed=config.seed, featuresCol="f", maxIter=60, tol=1e-6, initSteps=3).fit(df)
+    np.testing.assert_allclose(model.clusterCenters(), theirs.clusterCenters(), atol=1e-9)
+    sinks.save_model(model, f"{tmp_dir}/model")
+    again = sinks.load_kmeans(f"{tmp_dir}/model")
+    assert again.getK() == 5 and again.getPredictionCol() == "cluster" and again.transform(df).columns == ["f", "cluster"]
+    assert [list(c) for c in again.clusterCenters()] == [list(c) for c in model.clusterCenters()]

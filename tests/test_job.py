@@ -148,3 +148,13 @@ def test_ingest_delimited_counts_malformed_rows(spark, tmp_dir):
     clean, counts = ingest(spark, src, os.path.join(tmp_dir, "clean.parquet"), CleanConfig())
     assert counts == {"rows_in": 3, "rows_corrupt": 2, "rows_clean": 1}
     assert [r["_id"] for r in clean.collect()] == ["1"]
+
+
+def test_partitions_of_the_vectors_grow_with_the_rows(spark, monkeypatch):
+    from tessera.plans import job
+
+    monkeypatch.setattr(job, "PARTITION_ROWS", 400)
+    result = run_job(spark, load_wide(spark, SF_SMALL), replace(SHORT, sweep=SweepConfig(min_k=2, max_k=3, max_iter=2)))
+    assert result.cached[0].rdd.getNumPartitions() == -(-result.counts["rows_prepared"] // 400) > WIDE_JOB.partitions
+    assert result.predictions.count() == result.counts["rows_prepared"]
+    result.release()
