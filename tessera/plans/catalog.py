@@ -8,6 +8,7 @@ order are rounded to 6 places, on both sides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -112,12 +113,20 @@ def q_csv_comma_scan(spark, sf):
 LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
 LINES_WANTED = 20_000
 ROWS_WANTED = 10_000
+#: Rows of one file that a query writes, so that a task sorts or writes no more of a larger table.
+FILE_ROWS = 1_000_000
+
+
+def _files(rows: DataFrame, least: int) -> int:
+    """Files for a stored table: ``least``, and more as it grows (its row count is in its footers)."""
+    return max(least, math.ceil(rows.count() / FILE_ROWS))
 
 
 def _write_json_lines(spark, sf, line) -> str:
     """JSON lines of the catalogue in the order of ``LINE_ORDER``, over several files."""
     path = scratch_path(spark, "catalogue.json")
-    ordered = wide_facts(table(spark, sf, "lineitem").repartitionByRange(4, *LINE_ORDER).sortWithinPartitions(*LINE_ORDER))
+    lineitem = table(spark, sf, "lineitem")
+    ordered = wide_facts(lineitem.repartitionByRange(_files(lineitem, 4), *LINE_ORDER).sortWithinPartitions(*LINE_ORDER))
     ordered.select(line.alias("value")).write.text(path)
     return path
 

@@ -126,3 +126,24 @@ def test_headers_come_from_tasks(spark, tmp_dir):
     assert {h: len(f) for h, f in readers.files_by_header(spark, tmp_dir).items()} == {"code,m1": 12, "m1\tm2\tcode": 1}
     rows = readers.read_delimited(spark, tmp_dir, ("m1", "m2"), {"code": "_id"}).where("_id = 'z'").collect()
     assert [r.asDict() for r in rows] == [{"_id": "z", "m1": "7", "m2": "8"}]
+
+
+@pytest.fixture()
+def small_files(spark, monkeypatch):
+    """Files of 500 rows; the numbers of rows in each file a query wrote."""
+    from conftest import SF_SMALL
+
+    from tessera.plans import catalog
+
+    paths, scratch = [], catalog.scratch_path
+    monkeypatch.setattr(catalog, "FILE_ROWS", 500, raising=False)
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: paths.append(scratch(spark, name)) or paths[-1])
+    return catalog.QUERIES, SF_SMALL, lambda read: [r["count"] for r in read(paths[0]).groupBy("_metadata.file_path").count().collect()]
+
+
+def test_sorted_export_has_more_files_for_more_rows(spark, small_files):
+    queries, sf, sizes = small_files
+    got = queries["first_lines"](spark, sf)
+    rows = sizes(spark.read.text)
+    assert got.count() == sum(rows) == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert len(rows) > 8 and max(rows) < 1500
