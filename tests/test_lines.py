@@ -147,3 +147,13 @@ def test_sorted_export_has_more_files_for_more_rows(spark, small_files):
     rows = sizes(spark.read.text)
     assert got.count() == sum(rows) == spark.read.parquet(f"{sf}/lineitem.parquet").count()
     assert len(rows) > 8 and max(rows) < 1500
+
+
+def test_row_cap_counts_no_more_rows_than_it_took(spark, small_files, monkeypatch):
+    from tessera.plans import catalog
+
+    queries, sf, sizes = small_files
+    monkeypatch.setattr(catalog, "ROWS_WANTED", 70)
+    got = queries["row_cap"](spark, sf)
+    assert tuple(got.first()) == (70, 70) and len(sizes(spark.read.parquet)) > 8
+    assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
