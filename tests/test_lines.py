@@ -149,6 +149,14 @@ def test_sorted_export_has_more_files_for_more_rows(spark, small_files):
     assert len(rows) > 8 and max(rows) < 1500
 
 
+def test_quarantine_numbers_go_on_over_more_files(spark, small_files):
+    queries, sf, sizes = small_files
+    got = sorted(queries["json_quarantine"](spark, sf).collect())
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").orderBy("l_orderkey", "l_linenumber").select("l_orderkey", "l_linenumber")
+    wanted = [(i, "{broken %d-%d" % tuple(r)) for i, r in enumerate(li.collect(), 1) if r["l_orderkey"] % 17 == 0]
+    assert [(r["number"], r["text"]) for r in got] == wanted and len(sizes(spark.read.text)) > 8
+
+
 def test_row_cap_counts_no_more_rows_than_it_took(spark, small_files, monkeypatch):
     from tessera.plans import catalog
 
