@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark import SparkContext
+from pyspark import RDD, SparkContext
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -52,7 +52,7 @@ def silhouette(df: DataFrame, features_col: str, prediction_col: str = PREDICTIO
     return float(evaluator.evaluate(data))
 
 
-def stack_rows(df: DataFrame, features_col: str) -> DataFrame:
+def stack_rows(df: DataFrame, features_col: str) -> RDD:
     """The rows of ``df`` as blocks of doubles for fits and sweeps; the caller unpersists them."""
     return lloyd.stack(df, as_array(df, features_col))
 
@@ -62,6 +62,13 @@ def _first_centres(kmeans: KMeans, df: DataFrame) -> np.ndarray:
     return np.array([np.asarray(c, dtype=float) for c in kmeans.copy({kmeans.maxIter: 0}).fit(df).clusterCenters()])
 
 
+def _at_once(df: DataFrame, parallelism: int) -> int:
+    """So many of ``parallelism`` first centres at once as fill the cores: MLlib keeps a copy of the rows for each
+    of them, and where one alone fills the cores more copies only take memory."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(parallelism, parallelism * cores // max(1, df.rdd.getNumPartitions())))
+
+
 def _model(kmeans: KMeans, centres: np.ndarray) -> KMeansModel:
     """An MLlib model of ``centres`` with the parameters of ``kmeans``."""
     sc = SparkContext.getOrCreate()
@@ -81,7 +88,7 @@ def fit_kmeans(
     features_col: str,
     config: FitConfig = FitConfig(),
     prediction_col: str = PREDICTION_COL,
-    blocks: DataFrame | None = None,
+    blocks: RDD | None = None,
 ) -> KMeansModel:
     """Final K-means fit (k-means|| init, Euclidean): MLlib's first centres, then iterations over stacked
     rows (``blocks`` of :func:`stack_rows`, where the caller has them)."""
@@ -113,11 +120,11 @@ def kmeans_sweep(
     config: SweepConfig = SweepConfig(),
     known: Mapping[int, SweepRow] | None = None,
     record: Callable[[SweepRow, KMeansModel], None] | None = None,
-    blocks: DataFrame | None = None,
+    blocks: RDD | None = None,
 ) -> DataFrame:
     """(k, wssse, silhouette, iterations) for k = min_k..max_k, one row per k.
 
-    The first centres of each k are MLlib's, ``config.parallelism`` of them as concurrent Spark jobs. The
+    The first centres of each k are MLlib's, up to ``config.parallelism`` of them as concurrent Spark jobs. The
     iterations and the silhouettes of all k share their passes over the stacked rows (``blocks`` of
     :func:`stack_rows`, where the caller has them). ``wssse`` is the cost in the last iteration, MLlib's training
     cost. Rows of ``known`` are not fitted again; ``record`` gets every other row and its model as it is done, and
@@ -130,7 +137,7 @@ def kmeans_sweep(
         for k in ks
     }
     at_once = config.parallelism if record else max(1, len(ks))
-    own = stack_rows(df, features_col) if blocks is None else blocks
+    own, workers = stack_rows(df, features_col) if blocks is None else blocks, _at_once(df, config.parallelism)
 
     def done(stopped: dict[int, tuple[np.ndarray, float, int]]) -> None:
         scores = lloyd.silhouettes(own, [c for c, _, _ in stopped.values()])
@@ -141,7 +148,7 @@ def kmeans_sweep(
 
     for i in range(0, len(ks), at_once):
         group = ks[i : i + at_once]
-        with ThreadPoolExecutor(max_workers=config.parallelism) as pool:
+        with ThreadPoolExecutor(max_workers=workers) as pool:
             first = dict(zip(group, pool.map(lambda k: _first_centres(fits[k], df), group), strict=True))
         lloyd.converge(own, first, config.max_iter, config.tol, done)
     if blocks is None:

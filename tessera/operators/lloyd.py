@@ -1,8 +1,9 @@
 """Lloyd's iterations and silhouettes of several clusterings of the same rows, in one pass for all.
 
-The rows are stacked once into blocks of plain doubles, which stay persisted. A pass maps the blocks to one
-array of ``centres x (columns + 2)`` numbers for each of a bounded number of tasks (matrix products in numpy, as
-MLlib's block solver does them); the driver adds those up in the order of the tasks, as it does MLlib's sums.
+The rows are stacked once into blocks of plain doubles, which stay persisted as bytes, so that a pass hands them
+to the workers as they are. A pass maps the blocks to one array of ``centres x (columns + 2)`` numbers for each of a
+bounded number of tasks (matrix products in numpy, as MLlib's block solver does them); the driver adds those up in
+the order of the tasks, as it does MLlib's sums.
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 
-from tessera.session import persist_frame, ship_package
+from tessera.session import ship_package
 
 #: Rows of one matrix product, so that its result stays in a core's cache.
 CHUNK = 2_048
@@ -24,7 +25,7 @@ PARTS = 1_024
 Bounds = Sequence[tuple[int, int]]
 
 
-def stack(df: DataFrame, vector: Column) -> DataFrame:
+def stack(df: DataFrame, vector: Column) -> RDD:
     """The vectors (arrays of doubles, none null) as blocks, persisted when they are first read."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -34,17 +35,17 @@ def stack(df: DataFrame, vector: Column) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary())], ["block"])
 
     ship_package(df.sparkSession)
-    return persist_frame(df.select(vector.alias("v")).mapInArrow(pack, "block binary").coalesce(PARTS), eager=False)
+    blocks = df.select(vector.alias("v")).mapInArrow(pack, "block binary").coalesce(PARTS)
+    return blocks.rdd.map(lambda row: bytes(row[0])).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], shift: np.ndarray) -> Iterator[np.ndarray]:
+def _chunks(blocks: Iterator[bytes], shift: np.ndarray) -> Iterator[np.ndarray]:
     """Rows less ``shift``, a column of ones and their squared length."""
-    for batch in batches:
-        for block in batch.column(0):
-            rows = np.frombuffer(block.as_buffer(), "<f8").reshape(-1, len(shift))
-            for i in range(0, len(rows), CHUNK):
-                x = rows[i : i + CHUNK] - shift
-                yield np.column_stack([x, np.ones(len(x)), np.einsum("ij,ij->i", x, x)])
+    for block in blocks:
+        rows = np.frombuffer(block, "<f8").reshape(-1, len(shift))
+        for i in range(0, len(rows), CHUNK):
+            x = rows[i : i + CHUNK] - shift
+            yield np.column_stack([x, np.ones(len(x)), np.einsum("ij,ij->i", x, x)])
 
 
 def _gaps(centres: np.ndarray, constant: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -66,16 +67,10 @@ def _members(gaps: np.ndarray, bounds: Bounds) -> tuple[np.ndarray, list[np.ndar
     return hot, least
 
 
-def _total(blocks: DataFrame, part: Callable[[Iterator[pa.RecordBatch]], np.ndarray]) -> np.ndarray:
+def _total(blocks: RDD, part: Callable[[Iterator[bytes]], np.ndarray]) -> np.ndarray:
     """The sum of ``part`` over all tasks, in their order."""
-
-    def by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = part(batches).astype("<f8").tobytes()
-        place = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([found], pa.binary())], ["task", "part"])
-
-    parts = sorted(blocks.mapInArrow(by_task, "task int, part binary").collect(), key=lambda r: r["task"])
-    return np.sum([np.frombuffer(bytes(r["part"]), "<f8") for r in parts], axis=0)
+    parts = blocks.mapPartitions(lambda own: [part(own).astype("<f8").tobytes()]).collect()
+    return np.sum([np.frombuffer(p, "<f8") for p in parts], axis=0)
 
 
 def _bounds(centres: Sequence[np.ndarray]) -> list[tuple[int, int]]:
@@ -83,7 +78,7 @@ def _bounds(centres: Sequence[np.ndarray]) -> list[tuple[int, int]]:
     return list(zip([0, *ends[:-1]], ends, strict=True))
 
 
-def assign(blocks: DataFrame, centres: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
+def assign(blocks: RDD, centres: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
     """For each clustering, rows going to their nearest centre: the number of rows, sum of rows and sum of
     squared lengths of each cluster (the latter two less the mean of all ``centres``) and the cost."""
     every, bounds = np.vstack(centres), _bounds(centres)
@@ -91,9 +86,9 @@ def assign(blocks: DataFrame, centres: Sequence[np.ndarray]) -> list[tuple[np.nd
     near = every - shift
     constant, shape = (near * near).sum(axis=1), (len(every), len(shift) + 2)
 
-    def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+    def part(own: Iterator[bytes]) -> np.ndarray:
         sums, costs = np.zeros(shape), np.zeros(len(bounds))
-        for x in _chunks(batches, shift):
+        for x in _chunks(own, shift):
             hot, least = _members(_gaps(near, constant, x), bounds)
             sums += hot.astype(float) @ x
             costs += [np.maximum(best + x[:, -1], 0.0).sum() for best in least]
@@ -104,7 +99,7 @@ def assign(blocks: DataFrame, centres: Sequence[np.ndarray]) -> list[tuple[np.nd
     return [(sums[a:b, -2], sums[a:b, :-2], sums[a:b, -1], float(cost)) for (a, b), cost in zip(bounds, costs, strict=True)]
 
 
-def step(blocks: DataFrame, centres: Sequence[np.ndarray]) -> list[tuple[np.ndarray, float]]:
+def step(blocks: RDD, centres: Sequence[np.ndarray]) -> list[tuple[np.ndarray, float]]:
     """One iteration of each clustering: its new centres (that of an empty cluster stays) and the cost of the old ones."""
     shift, out = np.vstack(centres).mean(axis=0), []
     for old, (rows, sums, _, cost) in zip(centres, assign(blocks, centres), strict=True):
@@ -113,7 +108,7 @@ def step(blocks: DataFrame, centres: Sequence[np.ndarray]) -> list[tuple[np.ndar
     return out
 
 
-def silhouettes(blocks: DataFrame, centres: Sequence[np.ndarray]) -> list[float]:
+def silhouettes(blocks: RDD, centres: Sequence[np.ndarray]) -> list[float]:
     """Mean silhouette (squared Euclidean, as MLlib defines it) of each clustering's nearest-centre
     clusters: one pass for their sums, one that scores each row by them."""
     every, bounds = np.vstack(centres), _bounds(centres)
@@ -129,9 +124,9 @@ def silhouettes(blocks: DataFrame, centres: Sequence[np.ndarray]) -> list[float]
     # rows have no distance to an empty cluster
     squares = np.where(rows > 0, np.concatenate([s[2] for s in stats]) / some, np.inf)
 
-    def part(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+    def part(own: Iterator[bytes]) -> np.ndarray:
         scores = np.zeros(len(bounds))
-        for x in _chunks(batches, shift):
+        for x in _chunks(own, shift):
             hot, _ = _members(_gaps(near, constant, x), bounds)
             mean_gap = _gaps(means, squares, x) + x[:, -1]
             for i, (a, b) in enumerate(bounds):
@@ -147,7 +142,7 @@ def silhouettes(blocks: DataFrame, centres: Sequence[np.ndarray]) -> list[float]
 
 
 def converge(
-    blocks: DataFrame,
+    blocks: RDD,
     centres: dict[int, np.ndarray],
     max_iter: int,
     tol: float,

@@ -155,7 +155,7 @@ def _count_bins(
             below = F.struct(F.lit(2 * r).alias("at"), F.lit(0).alias("bin"), F.lit(None).cast("double").alias("value"))
             cell = F.when(x < F.lit(lo), below).when(x <= F.lit(hi), inside).otherwise(cell)
         cells.append(F.when(_valid(x), F.struct(F.lit(i).alias("column"), cell.alias("cell"), x.alias("x"))))
-    one = cells[0] if len(cells) == 1 else F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull()))
+    one = cells[0] if len(cells) == 1 else F.explode(F.array(*cells))
     rows = values.select(one.alias("c")).where("c IS NOT NULL").select("c.column", "c.cell.*", "c.x")
     counts = rows.groupBy("column", "at", "bin", "value").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     out: dict[int, list[tuple]] = {i: [] for i in ranges}

@@ -464,6 +464,9 @@ def q_cluster_predictions(spark, sf):
     """Ids and measures of the job's predictions under the exact trim, and whether each label is
     that of the nearest centre."""
     result = job.run_job(spark, load_wide(spark, sf), EXACT_JOB)
+    for frame in result.cached:
+        # the predictions are of the stored table
+        frame.unpersist()
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(result.model.clusterCenters())]
     checked = clustering.assign_nearest(result.predictions, features.SCALED_COL, centres, prediction_col="nearest")
     on_nearest = (F.col("nearest") == F.col("prediction")).alias("on_nearest")

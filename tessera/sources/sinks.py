@@ -16,8 +16,13 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of one row group: only whole ones go to a task, so that with small ones a table that few tasks wrote is
+#: read by all cores again.
+ROW_GROUP_BYTES = 4 << 20
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -112,7 +117,7 @@ def commit_table(df: DataFrame, path: str, key: str) -> None:
     run = uuid.uuid4().hex
     staged, files = _place(spark, f"{path}.{run}.new")
     target, _ = _place(spark, path)
-    df.write.parquet(staged.toString())
+    write_parquet(df, staged.toString(), mode="error")
     write_text(spark, f"{staged.toString()}/{COMMIT_MARK}", key)
     for attempt in itertools.count(1):
         try:

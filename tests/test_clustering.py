@@ -243,3 +243,41 @@ def test_fit_equals_mllib_and_its_model_is_stored(spark, tmp_dir):
     again = sinks.load_kmeans(f"{tmp_dir}/model")
     assert again.getK() == 5 and again.getPredictionCol() == "cluster" and again.transform(df).columns == ["f", "cluster"]
     assert [list(c) for c in again.clusterCenters()] == [list(c) for c in model.clusterCenters()]
+
+
+def test_first_centres_at_once_are_no_more_than_fill_the_cores(spark, monkeypatch):
+    import threading
+    import time
+
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(Vectors.dense(p.tolist()),) for p in rng.normal(size=(200, 2))], ["f"])
+    first, lock, running, most = clustering._first_centres, threading.Lock(), [], []
+
+    def counted(kmeans, rows):
+        with lock:
+            running.append(1)
+            most.append(len(running))
+        time.sleep(0.2)
+        try:
+            return first(kmeans, rows)
+        finally:
+            with lock:
+                running.pop()
+
+    monkeypatch.setattr(clustering, "_first_centres", counted)
+    config = SweepConfig(min_k=2, max_k=5, max_iter=2)
+    for partitions, at_once in ((4 * spark.sparkContext.defaultParallelism, 1), (2, config.parallelism)):
+        most.clear()
+        assert clustering.kmeans_sweep(df.repartition(partitions).cache(), "f", config).count() == 4
+        assert max(most) == at_once
+
+
+def test_a_pass_needs_no_query_plan(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    df = spark.createDataFrame([([float(i), 1.0],) for i in range(50)], "v array<double>").repartition(3)
+    blocks = clustering.stack_rows(df, "v")
+    monkeypatch.setattr(DataFrame, "collect", lambda self: pytest.fail("a query of its own"))
+    (rows, sums, _, _), = clustering.lloyd.assign(blocks, [np.array([[0.0, 1.0], [49.0, 1.0]])])
+    assert rows.tolist() == [25, 25] and blocks.getNumPartitions() == 3 and blocks.is_cached
+    blocks.unpersist()

@@ -158,3 +158,19 @@ def test_partitions_of_the_vectors_grow_with_the_rows(spark, monkeypatch):
     assert result.cached[0].rdd.getNumPartitions() == -(-result.counts["rows_prepared"] // 400) > WIDE_JOB.partitions
     assert result.predictions.count() == result.counts["rows_prepared"]
     result.release()
+
+
+def test_stored_tables_are_read_by_more_tasks_than_wrote_them(spark, tmp_dir, monkeypatch):
+    from tessera.sources import sinks
+
+    monkeypatch.setattr(sinks, "ROW_GROUP_BYTES", 16 << 10, raising=False)
+    rows = spark.range(200_000).select("id", F.rand(1).alias("x")).coalesce(1)
+    stored = sinks.materialize(spark, os.path.join(tmp_dir, "one.parquet"), lambda: rows)
+    assert len(stored.inputFiles()) == 1
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        sizes = [r["count"] for r in spark.read.parquet(stored.inputFiles()[0]).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert sum(sizes) == 200_000 and len(sizes) > 4 and max(sizes) < 60_000
