@@ -37,10 +37,11 @@ def line_counts(lines: DataFrame) -> DataFrame:
 
 def with_line_numbers(rows: DataFrame, lines: DataFrame) -> DataFrame:
     """``rows`` (any of ``lines``, with their places) with ``line`` (in its file) and ``number`` (over all
-    files), both from 1, in place of ``_block`` and ``_place``. ``rows`` and ``lines`` must read the same files."""
+    files), both from 1, in place of ``_block`` and ``_place``. ``rows`` and ``lines`` must read the same files.
+    The counts, one for each split, go to the rows; no row is moved."""
     counts = line_counts(lines).drop("rows")
     within = F.col(PLACE) - F.col("first") + 1
-    numbered = rows.join(counts, [FILE, BLOCK]).withColumns({"line": F.col("in_file") + within, "number": F.col("before") + within})
+    numbered = rows.join(F.broadcast(counts), [FILE, BLOCK]).withColumns({"line": F.col("in_file") + within, "number": F.col("before") + within})
     return numbered.drop(BLOCK, PLACE, "first", "in_file", "before")
 
 

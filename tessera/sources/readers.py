@@ -24,7 +24,7 @@ from tessera.config import (
     PRODUCT_MEASURE_STRUCT,
 )
 from tessera.operators.quality import flatten_struct
-from tessera.sources import lines
+from tessera.sources import lines, sinks
 
 CORRUPT_COL = "_corrupt_record"
 DELIMITERS = ("\t", ",")
@@ -76,17 +76,19 @@ def parse_json_lines(text: DataFrame, schema: StructType) -> DataFrame:
 
 
 def quarantine_json(spark: SparkSession, path: str, schema: StructType, sink: str) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows and malformed lines of JSON files, from one pass that writes both at ``sink``.
+    """Well-formed rows and malformed lines of JSON files, from one pass that writes both at ``sink``, as they come:
+    one table, parted when it is read, so that no task sorts the rows of its split.
 
     The first frame has the columns of ``schema``; the second ``file``, ``line`` (in the file), ``number``
     (over all files in the order of their names) and ``text`` of every malformed line.
     """
     text = lines.text_lines(spark, path)
-    marked = parse_json_lines(text, schema).withColumn("_whole", F.col(CORRUPT_COL).isNull())
-    marked.write.mode("overwrite").partitionBy("_whole").parquet(sink)
+    marked = parse_json_lines(text, schema)
+    sinks.write_parquet(marked, sink)
     both = spark.read.schema(marked.schema).parquet(sink)
-    good = both.where("_whole").select(*[F.col(f"`{f.name}`") for f in schema.fields])
-    bad = both.where("NOT _whole").select(lines.FILE, lines.BLOCK, lines.PLACE, F.col(CORRUPT_COL).alias("text"))
+    whole = F.col(CORRUPT_COL).isNull()
+    good = both.where(whole).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    bad = both.where(~whole).select(lines.FILE, lines.BLOCK, lines.PLACE, F.col(CORRUPT_COL).alias("text"))
     numbered = lines.with_line_numbers(bad, text).withColumnRenamed(lines.FILE, "file")
     return good, numbered.select("file", "line", "number", "text")
 

@@ -114,6 +114,24 @@ def test_quarantine_keeps_file_line_and_text(spark, tmp_dir):
     assert good.count() == bad.count() == 0
 
 
+def test_quarantine_neither_sorts_nor_moves_rows(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    src, sink, plans = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "split"), []
+    os.mkdir(src)
+    _files(src, *[(GOOD % (i, i) + "\nbad %d\n" % i) * 20 for i in range(3)])
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *a: pytest.fail("rows sorted by a partition column"))
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: plans.append(self._df._jdf.queryExecution().executedPlan().toString()) or write(self, *a, **b))
+    schema = readers.nested_schema(("_id", "product_name"), "nutriments", ("energy_100g",))
+    good, bad = readers.quarantine_json(spark, src, schema, sink)
+    assert plans and "Sort" not in plans[0] and "Exchange" not in plans[0]
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert good.count() == 60 and sorted(r["number"] for r in bad.collect()) == list(range(2, 121, 2))
+    assert not [f for f in os.listdir(sink) if os.path.isdir(os.path.join(sink, f))]
+
+
 def test_headers_come_from_tasks(spark, tmp_dir):
     for i in range(12):
         with open(os.path.join(tmp_dir, f"a {i}.csv"), "w") as fh:
