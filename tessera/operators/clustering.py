@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tessera.config import ChooseConfig, FitConfig, SweepConfig
-from tessera.operators import lloyd
+from tessera.operators import draws, lloyd
 
 PREDICTION_COL = "prediction"
 #: Centres of one constant; more of them make more constants of the same narrow map.
 CENTRES_AT_ONCE = 1_024
-#: MLlib's solver whose first centres are taken; its iterations are those of ``lloyd``.
+#: MLlib's solver that the iterations of ``lloyd`` follow.
 SOLVER = "block"
+#: Iterations of MLlib's k-means|| over its candidates.
+RECLUSTER_ITERATIONS = 30
 
 
 def as_vector(df: DataFrame, col: str) -> Column:
@@ -57,27 +59,62 @@ def stack_rows(df: DataFrame, features_col: str) -> RDD:
     return lloyd.stack(df, as_array(df, features_col))
 
 
-def _first_centres(kmeans: KMeans, df: DataFrame) -> np.ndarray:
+Candidates = tuple[np.ndarray, np.ndarray]
+
+
+class _Reclustering(KMeans):
+    """What MLlib's k-means|| ends with: from weighted candidates to k first centres, on the driver."""
+
+    def _fit(self, candidates: Candidates) -> KMeansModel:
+        points, weights = candidates
+        if len(points) <= self.getK():
+            return _model(self, points)
+        sc = SparkContext.getOrCreate()
+        jvm, gateway = sc._jvm.org.apache.spark.mllib, sc._gateway
+        given = gateway.new_array(jvm.clustering.VectorWithNorm, len(points))
+        sizes = gateway.new_array(sc._jvm.double, len(points))
+        for i, (point, weight) in enumerate(zip(points, weights, strict=True)):
+            given[i], sizes[i] = jvm.clustering.VectorWithNorm(_old_vector(sc, point)), float(weight)
+        chosen = jvm.clustering.LocalKMeans.kMeansPlusPlus(0, given, sizes, self.getK(), RECLUSTER_ITERATIONS)
+        return _model(self, [list(c.vector().toArray()) for c in chosen])
+
+
+def _candidates(df: DataFrame, features_col: str, blocks: RDD, ks: Sequence[int], steps: int, seed: int) -> dict[int, Candidates]:
+    """MLlib's candidates for each k. Its first row is a sample of ``df``; the rest are passes over ``blocks``, the same rows."""
+    number = draws.next_int(seed)
+    sample = df.select(as_vector(df, features_col).alias("v"))._jdf.javaRDD().takeSample(False, 1, number)
+    if not len(sample):
+        raise ValueError("no rows to take first centres from")
+    if sample[0].isNullAt(0):
+        raise ValueError("vectors must not be null")
+    first = np.array(list(sample[0].get(0).toArray()), dtype=float)
+    return lloyd.candidates(blocks, first, ks, steps, number)
+
+
+def _first_centres(kmeans: KMeans, candidates: Candidates) -> np.ndarray:
     """MLlib's k-means|| centres (fewer than k where there are fewer distinct rows)."""
-    return np.array([np.asarray(c, dtype=float) for c in kmeans.copy({kmeans.maxIter: 0}).fit(df).clusterCenters()])
+    own = _Reclustering()
+    kmeans._copyValues(own)
+    return np.array([np.asarray(c, dtype=float) for c in own.fit(candidates).clusterCenters()])
 
 
 def _at_once(df: DataFrame, parallelism: int) -> int:
-    """So many of ``parallelism`` first centres at once as fill the cores: MLlib keeps a copy of the rows for each
-    of them, and where one alone fills the cores more copies only take memory."""
+    """So many of ``parallelism`` first centres at once as fill the cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return max(1, min(parallelism, parallelism * cores // max(1, df.rdd.getNumPartitions())))
 
 
-def _model(kmeans: KMeans, centres: np.ndarray) -> KMeansModel:
+def _old_vector(sc: SparkContext, values: Sequence[float]):
+    row = sc._gateway.new_array(sc._jvm.double, len(values))
+    for i, x in enumerate(values):
+        row[i] = float(x)
+    return sc._jvm.org.apache.spark.mllib.linalg.DenseVector(row)
+
+
+def _model(kmeans: KMeans, centres: Sequence[Sequence[float]]) -> KMeansModel:
     """An MLlib model of ``centres`` with the parameters of ``kmeans``."""
     sc = SparkContext.getOrCreate()
-    jvm, rows = sc._jvm, []
-    for c in centres:
-        row = sc._gateway.new_array(jvm.double, len(c))
-        for i, x in enumerate(c):
-            row[i] = float(x)
-        rows.append(jvm.org.apache.spark.mllib.linalg.DenseVector(row))
+    jvm, rows = sc._jvm, [_old_vector(sc, c) for c in centres]
     fitted = jvm.org.apache.spark.ml.clustering.KMeansModel(kmeans.uid, jvm.org.apache.spark.mllib.clustering.KMeansModel(rows))
     return kmeans._copyValues(KMeansModel(fitted))
 
@@ -90,7 +127,7 @@ def fit_kmeans(
     prediction_col: str = PREDICTION_COL,
     blocks: RDD | None = None,
 ) -> KMeansModel:
-    """Final K-means fit (k-means|| init, Euclidean): MLlib's first centres, then iterations over stacked
+    """Final K-means fit (k-means|| init, Euclidean): MLlib's first centres, then iterations, both over stacked
     rows (``blocks`` of :func:`stack_rows`, where the caller has them)."""
     kmeans = KMeans(
         k=k,
@@ -102,8 +139,8 @@ def fit_kmeans(
         initSteps=config.init_steps,
         solver=SOLVER,
     )
-    first = _first_centres(kmeans, df)
     own = stack_rows(df, features_col) if blocks is None else blocks
+    first = _first_centres(kmeans, _candidates(df, features_col, own, [k], config.init_steps, config.seed)[k])
     fitted: dict[int, tuple] = {}
     lloyd.converge(own, {k: first}, config.max_iter, config.tol, fitted.update)
     if blocks is None:
@@ -124,11 +161,11 @@ def kmeans_sweep(
 ) -> DataFrame:
     """(k, wssse, silhouette, iterations) for k = min_k..max_k, one row per k.
 
-    The first centres of each k are MLlib's, up to ``config.parallelism`` of them as concurrent Spark jobs. The
-    iterations and the silhouettes of all k share their passes over the stacked rows (``blocks`` of
-    :func:`stack_rows`, where the caller has them). ``wssse`` is the cost in the last iteration, MLlib's training
-    cost. Rows of ``known`` are not fitted again; ``record`` gets every other row and its model as it is done, and
-    with it only ``config.parallelism`` fits go on together, so that little is lost with a run.
+    The first centres of each k are MLlib's. Their candidates, the iterations and the silhouettes of all k share
+    their passes over the stacked rows (``blocks`` of :func:`stack_rows`, where the caller has them). ``wssse`` is the
+    cost in the last iteration, MLlib's training cost. Rows of ``known`` are not fitted again; ``record`` gets every
+    other row and its model as it is done, and with it only ``config.parallelism`` fits go on together, so that
+    little is lost with a run.
     """
     out: list[SweepRow] = [tuple(row) for row in (known or {}).values()]
     ks = [k for k in range(config.min_k, config.max_k + 1) if k not in (known or {})]
@@ -148,9 +185,14 @@ def kmeans_sweep(
 
     for i in range(0, len(ks), at_once):
         group = ks[i : i + at_once]
+        candidates = _candidates(df, features_col, own, group, fits[group[0]].getInitSteps(), config.seed)
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            first = dict(zip(group, pool.map(lambda k: _first_centres(fits[k], df), group), strict=True))
-        lloyd.converge(own, first, config.max_iter, config.tol, done)
+            first = dict(zip(group, pool.map(lambda k: _first_centres(fits[k], candidates[k]), group), strict=True))
+        stopped: dict[int, tuple[np.ndarray, float, int]] = {}
+        # where nobody waits for a row, all silhouettes share their two passes
+        lloyd.converge(own, first, config.max_iter, config.tol, done if record else stopped.update)
+        if stopped:
+            done(stopped)
     if blocks is None:
         own.unpersist()
     return df.sparkSession.createDataFrame(sorted(out), "k int, wssse double, silhouette double, iterations int")

@@ -24,6 +24,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -217,7 +218,7 @@ def run_job(
     if counts["rows_prepared"] == 0:
         raise ValueError("no rows left after cleaning and trimming; cannot fit K-means")
     partitions = max(config.partitions, math.ceil(counts["rows_prepared"] / PARTITION_ROWS))
-    vectors = persist_frame(prepared.select(features.SCALED_COL).repartition(partitions))
+    vectors = persist_frame(prepared.select(features.SCALED_COL).repartition(partitions), StorageLevel.DISK_ONLY)
     blocks = clustering.stack_rows(vectors, features.SCALED_COL)
     t = stamp("trim_scale", t)
 

@@ -281,3 +281,85 @@ def test_a_pass_needs_no_query_plan(spark, monkeypatch):
     (rows, sums, _, _), = clustering.lloyd.assign(blocks, [np.array([[0.0, 1.0], [49.0, 1.0]])])
     assert rows.tolist() == [25, 25] and blocks.getNumPartitions() == 3 and blocks.is_cached
     blocks.unpersist()
+
+
+def test_draws_are_those_of_spark(spark):
+    from tessera.operators.draws import Draws, next_int
+
+    random = spark.sparkContext._jvm.org.apache.spark.util.random.XORShiftRandom
+    for seed in (0, 42, -7, -(1 << 31), (1 << 62) + 5):
+        assert random(seed).nextInt() == next_int(seed)
+        theirs, mine = random(seed), Draws(seed)
+        got = np.concatenate([mine.take(n) for n in (0, 1, 700, 2)])
+        assert got.tolist() == [theirs.nextDouble() for _ in range(703)]
+    # across fillings, by a walk of one step at a time
+    from tessera.operators import draws
+
+    x, long = np.array([draws.first_state(9)], np.uint64), Draws(9).take(draws.STEPS * draws.LANES + 3)
+    for _ in range(2 * (len(long) - 1)):
+        x = draws._next(x)
+    x = draws._next(x)
+    high = int(x[0]) & (1 << 26) - 1
+    assert long[-1] == ((high << 27) + (int(draws._next(x)[0]) & (1 << 27) - 1)) * 2.0**-53
+
+
+def test_first_centres_are_mllibs_and_its_fit_never_sees_the_rows(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    rng = np.random.default_rng(9)
+    plain = rng.normal(size=(5_000, 3)) * [1.0, 50.0, 1e-3] + 1e3
+    tables = {
+        "plain": plain.tolist(),
+        "repeated": np.repeat(plain[:7], 30, axis=0).tolist() + [[0.0, -0.0, 0.0], [-0.0, 0.0, 0.0]],
+        "equal": [[1.5, 2.5, -3.5]] * 40,
+        "one row": [[1.0, 2.0, 3.0]],
+    }
+    fit, seen = KMeans.fit, []
+    for name, rows in tables.items():
+        df = spark.createDataFrame([(Vectors.dense(r),) for r in rows], ["f"]).repartition(5).cache()
+        df.count()
+        blocks = clustering.stack_rows(df, "f")
+        for steps in (2, 5) if name == "plain" else (3,):
+            ks = [2, 9]
+            got = clustering._candidates(df, "f", blocks, ks, steps, 42)
+            for k in ks:
+                kmeans = KMeans(k=k, seed=42, featuresCol="f", maxIter=0, initSteps=steps)
+                theirs = kmeans.fit(df).clusterCenters()
+                monkeypatch.setattr(clustering.KMeans, "fit", lambda self, data: seen.append(type(data)) or fit(self, data))
+                mine = clustering._first_centres(kmeans, got[k])
+                monkeypatch.setattr(clustering.KMeans, "fit", fit)
+                assert mine.tolist() == [list(c) for c in theirs], (name, steps, k)
+        blocks.unpersist()
+        df.unpersist()
+    assert seen and not any(issubclass(kind, DataFrame) for kind in seen)
+
+
+def test_blocks_are_small_lie_on_disk_and_keep_the_order_of_the_rows(spark, monkeypatch):
+    x = np.arange(60_000.0).reshape(-1, 3)
+    df = spark.createDataFrame([(r,) for r in x.tolist()], "v array<double>").repartition(3).cache()
+    wanted = [r[0] for r in df.collect()]
+    blocks = clustering.stack_rows(df, "v")
+    assert np.vstack([np.frombuffer(b).reshape(-1, 3) for b in blocks.collect()]).tolist() == wanted
+    level = blocks.getStorageLevel()
+    assert level.useDisk and not level.useMemory
+    assert max(blocks.map(len).collect()) <= clustering.lloyd.BLOCK_BYTES
+    centres = [x[[0, 7_000]], x[[5, 10_000, 19_999]]]
+    whole = clustering.lloyd.assign(blocks, centres)
+    # fewer arrays to the driver and smaller products change nothing but the order of sums
+    monkeypatch.setattr(clustering.lloyd, "PARTS", 2)
+    monkeypatch.setattr(clustering.lloyd, "CELLS", 50)
+    for (rows, sums, _, cost), (rows2, sums2, _, cost2) in zip(whole, clustering.lloyd.assign(blocks, centres), strict=True):
+        assert rows.tolist() == rows2.tolist() and rows.sum() == 20_000
+        np.testing.assert_allclose(sums, sums2, rtol=1e-9)
+        assert cost == pytest.approx(cost2, rel=1e-12)
+    blocks.unpersist()
+
+
+def test_vectors_that_mllib_refuses_are_refused(spark):
+    good = [[float(i), 1.0] for i in range(20)]
+    for bad in (None, [float("nan"), 1.0], [float("inf"), 1.0], [1.0, None], [1.0, 2.0, 3.0]):
+        df = spark.createDataFrame([(r,) for r in [*good, bad]], "v array<double>").coalesce(1)
+        with pytest.raises(Exception):
+            clustering.fit_kmeans(df, 2, "v")
+    with pytest.raises(ValueError, match="no rows"):
+        clustering.fit_kmeans(spark.createDataFrame([], "v array<double>"), 2, "v")

@@ -174,3 +174,10 @@ def test_stored_tables_are_read_by_more_tasks_than_wrote_them(spark, tmp_dir, mo
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", was)
     assert sum(sizes) == 200_000 and len(sizes) > 4 and max(sizes) < 60_000
+
+
+def test_vectors_of_the_job_take_no_memory_between_passes(spark):
+    result = run_job(spark, load_wide(spark, SF_SMALL), replace(SHORT, sweep=SweepConfig(min_k=2, max_k=3, max_iter=2)))
+    level = result.cached[0].storageLevel
+    assert level.useDisk and not level.useMemory
+    result.release()
