@@ -12,7 +12,8 @@ the cluster how many values lie below, in ``BINS`` equal bins of, and above each
 holds the wanted rank, from its smallest to its largest value, is the next range. Where a range is
 expected to hold few values each is counted by itself, which ends it. Values outside
 the ranges are counted too, so a sketch that missed only costs another pass. It ends when the value
-is known: the bin's smallest or largest, or all its values are equal. A pass narrows a range by a factor of ``BINS``, so
+is known: the bin's smallest or largest, or all its values are equal. The counting is done on Arrow batches
+(``bins.py``), each column sorted once a batch. A pass narrows a range by a factor of ``BINS``, so
 ties cannot keep it going and no task or driver ever holds values, only counts by bin. Every second pass bins by
 order of magnitude, so values of very different size need no more passes than
 others. All columns and probabilities share each pass.
@@ -25,10 +26,13 @@ import math
 import re
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import qcol, two_decimals
+from tessera.operators import bins
+from tessera.session import ship_package
 
 #: Bins of one pass; the driver gets at most this many counts for each quantile.
 BINS = 4096
@@ -52,21 +56,6 @@ def _magnitude(x: float) -> float:
     return math.copysign(math.log(abs(x)) - _LEAST_LOG, x) if x else 0.0
 
 
-def _bin(x: Column, lo: float, hi: float, by_magnitude: bool) -> Column:
-    """Number of the bin of ``x`` in [lo, hi], by value or by order of magnitude;
-    infinities have bins of their own."""
-    lo, hi = max(lo, -1.7976931348623157e308), min(hi, 1.7976931348623157e308)
-    if by_magnitude and _magnitude(lo) < _magnitude(hi):
-        lo, hi = _magnitude(lo), _magnitude(hi)
-        y = F.when(x == 0.0, 0.0).otherwise(F.signum(x) * (F.log(F.abs(x)) - F.lit(_LEAST_LOG)))
-    else:
-        y = x
-    width = hi * 0.5 - lo * 0.5
-    place = F.floor((y * 0.5 - F.lit(lo * 0.5)) / F.lit(width) * BINS) if width > 0 else F.lit(0)
-    inside = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), place.cast("long")))
-    return F.when(x == F.lit(float("-inf")), -1).when(x == F.lit(float("inf")), BINS).otherwise(inside).cast("int")
-
-
 #: Size of the sketches, and the share of all ranks by which one may be wrong (1 in 100 times more).
 SKETCH, SKETCH_ERROR = 4096, 0.0015
 
@@ -142,28 +131,25 @@ def _count_bins(
 ) -> dict[int, list[tuple]]:
     """By column: (rows, smallest, largest) of each cell that has rows, in order. Columns of ``single``
     have a cell for each value in a range."""
-    cells = []
+    cells: dict[int, list[bins.Range]] = {}
     for i, own in ranges.items():
-        x, cell = F.col(f"x{i}"), F.struct(F.lit(2 * len(own)).alias("at"), F.lit(0).alias("bin"), F.lit(None).cast("double").alias("value"))
-        for r in reversed(range(len(own))):
-            lo, hi = own[r]
-            alone = single and single.get(i)
-            inside = F.struct(
-                F.lit(2 * r + 1).alias("at"), (F.lit(0) if alone else _bin(x, lo, hi, by_magnitude)).alias("bin"),
-                (x if alone else F.lit(None).cast("double")).alias("value"),
-            )
-            below = F.struct(F.lit(2 * r).alias("at"), F.lit(0).alias("bin"), F.lit(None).cast("double").alias("value"))
-            cell = F.when(x < F.lit(lo), below).when(x <= F.lit(hi), inside).otherwise(cell)
-        cells.append(F.when(_valid(x), F.struct(F.lit(i).alias("column"), cell.alias("cell"), x.alias("x"))))
-    one = cells[0] if len(cells) == 1 else F.explode(F.array(*cells))
-    rows = values.select(one.alias("c")).where("c IS NOT NULL").select("c.column", "c.cell.*", "c.x")
-    counts = rows.groupBy("column", "at", "bin", "value").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        alone = single and single.get(i)
+        cells[i] = [(lo, hi, None if alone else _edges(lo, hi, by_magnitude)) for lo, hi in own]
+    ship_package(values.sparkSession)
+    columns = values.select(*[f"x{i}" for i in cells])
+    rows = columns.mapInArrow(lambda batches: bins.count(batches, cells), bins.SCHEMA)
+    counts = rows.groupBy("column", "at", "bin", "value").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     out: dict[int, list[tuple]] = {i: [] for i in ranges}
     for r in sorted(counts.collect(), key=lambda r: (r["column"], r["at"], r["bin"], r["lo"])):
         out[r["column"]].append((r["n"], r["lo"], r["hi"]))
     return out
 
 
+def _edges(lo: float, hi: float, by_magnitude: bool) -> np.ndarray:
+    ends = _magnitude(max(lo, -1.7976931348623157e308)), _magnitude(min(hi, 1.7976931348623157e308))
+    return bins.edges(lo, hi, BINS, ends if by_magnitude and ends[0] < ends[1] else None, _LEAST_LOG)
+
+
 def _value_at_rank(values: DataFrame, i: int, lo: float, hi: float, rank: int) -> float:
     """Value at ``rank`` of a range that bins cannot part (fewer than ``BINS`` values)."""
     x = F.col(f"x{i}")

@@ -40,7 +40,7 @@ from tessera.sources import readers, sinks
 
 PREDICTION = clustering.PREDICTION_COL
 #: Rows of one partition of the vectors, beyond ``JobConfig.partitions`` of them: known from the table, not the machine.
-PARTITION_ROWS = 250_000
+PARTITION_ROWS = 1_000_000
 
 
 @dataclass

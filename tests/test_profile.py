@@ -41,6 +41,52 @@ def test_exact_quantiles_end_on_ties_and_neighbours(spark, monkeypatch, values,
     assert profile.exact_quantiles(df, ["x"], PROBS)["x"] == [_disc(values, q) for q in PROBS]
 
 
+@pytest.mark.parametrize("gathered", [200_000, 300])
+def test_tasks_hand_on_counts_of_cells(monkeypatch, gathered):
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.operators import bins
+
+    monkeypatch.setattr(bins, "GATHERED", gathered)
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=9_000).round(2), [np.inf, -np.inf, np.nan, 0.0, -0.0] * 20])
+    y = rng.choice([1.0, 2.0, 3.5, None], size=len(x))
+    ranges = {
+        0: [(-1.0, -0.5, bins.edges(-1.0, -0.5, 64, None, 0.0)), (0.0, np.inf, bins.edges(0.0, np.inf, 64, None, 0.0))],
+        4: [(2.0, 3.0, None), (3.5, 3.5, None)],
+    }
+    places = rng.permutation(len(x))
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[p]), pa.array(list(y[p]), pa.float64())], ["x0", "x4"]) for p in np.array_split(places, 37)]
+    got = [r for b in bins.count(iter(batches), ranges) for r in b.to_pylist()]
+    assert len({(r["column"], r["at"], r["bin"], r["value"]) for r in got}) == len(got) < 150
+    for i, values in ((0, x[~np.isnan(x)]), (4, np.array([v for v in y if v is not None], float))):
+        cells = sorted((r for r in got if r["column"] == i), key=lambda r: (r["at"], r["bin"], r["value"]))
+        assert sum(r["n"] for r in cells) == len(values)
+        assert all(a["hi"] < b["lo"] for a, b in zip(cells, cells[1:]))
+        for r in cells:
+            own = values[(values >= r["lo"]) & (values <= r["hi"])]
+            assert (len(own), own.min(), own.max()) == (r["n"], r["lo"], r["hi"])
+    assert [(r["at"], r["lo"], r["n"]) for r in got if r["column"] == 4] == [
+        (at, v, int((y == v).sum())) for at, v in ((0, 1.0), (1, 2.0), (3, 3.5))
+    ]
+    assert list(bins.count(iter([]), ranges)) == []
+
+
+def test_counting_makes_no_row_for_each_value(spark, monkeypatch):
+    df = spark.range(30_000).selectExpr("rand(1) * 9 AS a", "cast(id % 40 AS double) AS b", "cast(null AS double) AS c", "exp(randn(2) * 40) AS d")
+    df = df.repartition(3).cache()
+    wanted = {c: [_disc([r[c] for r in df.collect()], q) for q in PROBS] for c in "abd"} | {"c": []}
+    plans, kind = [], type(df)
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: plans.append(self._jdf.queryExecution().toString()) or collect(self))
+    for few in (profile.FEW, 1):
+        monkeypatch.setattr(profile, "FEW", few)
+        assert profile.exact_quantiles(df, list("abcd"), PROBS) == wanted
+    assert plans and not any("explode" in plan for plan in plans)
+    df.unpersist()
+
+
 def test_exact_quantiles_empty(spark):
     df = spark.createDataFrame([(None, 1.0)], "x double, y double")
     assert profile.exact_quantiles(df, ["x", "y"], [0.5]) == {"x": [], "y": [1.0]}
